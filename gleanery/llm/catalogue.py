@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import mixing, sharding
+from gleanery.llm import mixing, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_extendible_shards": sharding.op2,
     "op6_capped_mix": mixing.op6,
+    "op8_prefix_token_counts": token_counts.op8,
 }
 
 SQL: dict[str, str] = {
