@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import mixing, sharding, token_counts
+from gleanery.llm import mixing, sharding, syncmers, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_closed_syncmers": syncmers.op1,
     "op2_extendible_shards": sharding.op2,
     "op6_capped_mix": mixing.op6,
     "op8_prefix_token_counts": token_counts.op8,
