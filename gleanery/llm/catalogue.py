@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import mixing, sharding, syncmers, token_counts
+from gleanery.llm import mixing, secrets_scan, sharding, syncmers, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_closed_syncmers": syncmers.op1,
     "op2_extendible_shards": sharding.op2,
     "op6_capped_mix": mixing.op6,
     "op8_prefix_token_counts": token_counts.op8,
+    "op9_trigram_secrets": secrets_scan.op9,
 }
 
 SQL: dict[str, str] = {
     "op2_extendible_shards": sharding.op2_sql(),
     "op6_capped_mix": mixing.OP6_SQL,
+    "op9_trigram_secrets": secrets_scan.OP9_SQL,
 }
