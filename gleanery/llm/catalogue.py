@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity
+from gleanery.llm import decontam, mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_closed_syncmers": syncmers.op1,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_capped_mix": mixing.op6,
     "op8_prefix_token_counts": token_counts.op8,
     "op9_trigram_secrets": secrets_scan.op9,
+    "op10_wand_decontamination": decontam.op10,
 }
 
 SQL: dict[str, str] = {
