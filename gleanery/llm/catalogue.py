@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontam, mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity
+from gleanery.llm import decontam, mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_closed_syncmers": syncmers.op1,
     "op2_extendible_shards": sharding.op2,
     "op3_dart_near_duplicates": near_dup.op3,
+    "op4_warc_archive": warc.op4,
     "op5_zstd_toxicity": toxicity.op5,
     "op6_capped_mix": mixing.op6,
     "op8_prefix_token_counts": token_counts.op8,
