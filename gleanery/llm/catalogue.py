@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontam, mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity, warc
+from gleanery.llm import decontam, html_text, mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_closed_syncmers": syncmers.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_archive": warc.op4,
     "op5_zstd_toxicity": toxicity.op5,
     "op6_capped_mix": mixing.op6,
+    "op7_mincut_main_text": html_text.op7,
     "op8_prefix_token_counts": token_counts.op8,
     "op9_trigram_secrets": secrets_scan.op9,
     "op10_wand_decontamination": decontam.op10,
