@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import pandas as pd
@@ -26,8 +26,10 @@ from gleanery.llm.common import table, text_or_empty
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
-#: Words and pairs whose tables a worker keeps; beyond that it starts afresh.
-KEPT_WORDS, KEPT_PAIRS = 500_000, 500_000
+#: Words and pairs of tokens whose counts a worker keeps, twice as many at most.
+KEPT_WORDS, KEPT_PAIRS = 800_000, 500_000
+#: Code points of texts whose new words are learned together.
+GROUP = 4_000_000
 SPACE = "\t-\r \x85\xa0  -     　"
 END = "</w>"
 #: What str.split() takes for white space and the tokenizer does not.
@@ -52,7 +54,6 @@ class PrefixCounter:
         assert model["end_of_word_suffix"] == END, "a BPE with word ends is needed"
         self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.symbols = byte_symbols()
-        self.as_symbols = {b: s for b, s in self.symbols.items() if b < 128}
         #: token: rank and parts of the merge that makes it
         self.made: dict[str, tuple[int, str, str]] = {}
         for (a, b), i in self.ranks.items():
@@ -70,7 +71,15 @@ class PrefixCounter:
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.contractions = {p for p in split.split("|") if regex.fullmatch("'[a-z]{2}", p)}
+        #: the greatest length of a token that ends in these two symbols
+        self.reach: dict[str, int] = {}
+        for t in self.vocab:
+            if len(t) > 1 and not t.endswith(END):
+                self.reach[t[-2:]] = max(self.reach.get(t[-2:], 2), len(t))
+        #: counts of words and chunks, and those of the generation before
         self.totals: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.at: tuple[str, list[str], list[int]] = ("", [""], [0])
 
     def _reached(self, a: str, b: str) -> bool:
         """Whether a, b is the encoding of their text but for the merge of the two."""
@@ -111,41 +120,55 @@ class PrefixCounter:
             else:
                 taken_b, b = of_b[0], of_b[1]
 
-    def _last(self, chars: str, last: list[str], end: int, mark: str) -> tuple[int, str]:
-        """Where the last token of the encoding of chars[:end] begins, and the token."""
-        vocab, pairs = self.vocab, self.pairs
-        for start in range(max(0, end - self.longest), end):
-            token = chars[start:end] + mark
-            if token in vocab:
-                if not start:
-                    return start, token
-                ok = pairs.get((last[start], token))
-                if ok or (ok is None and self.follows(last[start], token)):
-                    return start, token
-        raise ValueError(f"no token ends at {end} of {chars!r}")
-
-    def _inner(self, word: str) -> tuple[str, list[str], list[int]]:
+    def _extend(self, word: str) -> tuple[str, list[str], list[int]]:
         """The word's symbols and, for each prefix of them that goes on, the last token
-        and the count of its encoding."""
-        chars = word.translate(self.as_symbols) if word.isascii() else "".join(self.symbols[b] for b in word.encode("utf-8", "surrogatepass"))
-        last, inner = [""], [0]
-        for end in range(1, len(chars)):
-            start, token = self._last(chars, last, end, "")
+        and the count of its encoding. What the word before began with alike is kept, so
+        words in sorted order cost little more than what is new in each."""
+        if word.isascii() and word.isprintable():
+            chars = word  # these bytes are their own symbols
+        else:
+            chars = "".join([self.symbols[b] for b in word.encode("utf-8", "surrogatepass")])
+        before, last, inner = self.at
+        same, top = 0, min(len(before), len(chars)) - 1
+        while same < top and before[same] == chars[same]:
+            same += 1
+        del last[same + 1 :], inner[same + 1 :]
+        vocab, pairs, reach = self.vocab, self.pairs, self.reach
+        for end in range(len(last), len(chars)):
+            for start in range(max(0, end - reach.get(chars[max(0, end - 2) : end], 2)), end):
+                token = chars[start:end]
+                if token in vocab:
+                    if not start:
+                        break
+                    ok = pairs.get((last[start], token))
+                    if ok or (ok is None and self.follows(last[start], token)):
+                        break
+            else:
+                raise ValueError(f"no token ends at {end} of {word!r}")
             inner.append(inner[start] + 1)
             last.append(token)
-        return chars, last, inner
+        self.at = chars, last, inner
+        return self.at
+
+    def _ended(self, chars: str, last: list[str], inner: list[int], end: int) -> int:
+        """The count of chars[:end] as a whole word."""
+        for start in range(max(0, end - self.longest), end):
+            token = chars[start:end] + END
+            if token in self.vocab and (not start or self.follows(last[start], token)):
+                return inner[start] + 1
+        raise ValueError(f"no token ends {chars[:end]!r}")
 
     def word_count(self, word: str) -> int:
-        chars, last, inner = self._inner(word)
-        return inner[self._last(chars, last, len(chars), END)[0]] + 1
+        chars, last, inner = self._extend(word)
+        return self._ended(chars, last, inner, len(chars))
 
     def word_table(self, word: str) -> list[int]:
         """Token counts of word[:1], word[:2], ..., word, each as a word of its own."""
-        chars, last, inner = self._inner(word)
+        chars, last, inner = self._extend(word)
         end, whole = 0, []
         for c in word:
             end += len(c.encode("utf-8", "surrogatepass"))
-            whole.append(inner[self._last(chars, last, end, END)[0]] + 1)
+            whole.append(self._ended(chars, last, inner, end))
         if word in self.contractions:  # cut after one letter it is an apostrophe and a word
             whole[1] = self.word_count("'") + self.word_count(word[1])
         return whole
@@ -156,34 +179,54 @@ class PrefixCounter:
             text = unicodedata.normalize("NFC", text)
         return text.replace("Σ", "σ").lower()  # lower() alone would look at a sigma's neighbours
 
-    def _plain(self, text: str) -> int:
-        totals = self.totals
+    def _learn(self, chunks: set[str]) -> None:
+        """Puts the counts of chunks (runs without white space) into `totals`."""
+        if len(self.totals) > KEPT_WORDS:  # the older generation goes
+            self.totals, self.older = {}, self.totals
+        older, totals = self.older, self.totals
+        fresh: dict[str, list[str]] = {}
+        for c in chunks:
+            n = older.get(c)
+            if n is None:
+                fresh[c] = self.words.findall(c)
+            else:
+                totals[c] = n
+        new = {w for ws in fresh.values() for w in ws}.difference(totals)
+        for w in sorted(new):
+            n = older.get(w)
+            totals[w] = self.word_count(w) if n is None else n
+        for c, ws in fresh.items():
+            totals[c] = sum([totals[w] for w in ws])
+
+    def _pieces(self, text: str) -> list[str]:
         low = self.normal(text)
-        chunks = low.split() if not ODD_SPACE.search(low) else [c for _, c in self.chunks(low)]
-        found = list(map(totals.get, chunks))
-        if None in found:
-            if len(totals) >= KEPT_WORDS:
-                totals.clear()
-            for i, n in enumerate(found):
-                if n is None:
-                    chunk = chunks[i]
-                    n = totals.get(chunk)
-                    if n is None:
-                        n = totals[chunk] = sum(map(self.word_total, self.words.findall(chunk)))
-                    found[i] = n
-        return sum(found)
-
-    def word_total(self, word: str) -> int:
-        n = self.totals.get(word)  # a word is a chunk with itself as its only word
-        if n is None:
-            n = self.totals[word] = self.word_count(word)
-        return n
+        return low.split() if not ODD_SPACE.search(low) else [c for _, c in self.chunks(low)]
+
+    def counts(self, texts: Sequence[str]) -> list[int]:
+        """Tokens of each whole text: the last entries of their prefix counts. Words that
+        are new are learned for many texts at once, in sorted order."""
+        out: list[int] = []
+        at = 0
+        while at < len(texts):
+            group, size = [], 0
+            while at < len(texts) and (not group or size + len(texts[at]) < GROUP):
+                t = texts[at]
+                parts = [t] if self.special is None or "<|" not in t else self.special.split(t)
+                group.append((len(parts) - 1, [c for p in parts for c in self._pieces(p)] if len(parts) > 1 else self._pieces(t)))
+                size += len(t)
+                at += 1
+            new = set().union(*(c for _, c in group)).difference(self.totals)
+            if new:
+                before = self.totals
+                self._learn(new)
+                if before is not self.totals:  # a new generation: what this group needs of the old one
+                    self._learn(set().union(*(c for _, c in group)).difference(self.totals))
+            get = self.totals.__getitem__
+            out += [n + sum(map(get, c)) for n, c in group]
+        return out
 
     def count(self, text: str) -> int:
-        """Tokens of the whole text: the last entry of its prefix counts."""
-        if self.special is None or "<|" not in text:
-            return self._plain(text)
-        return sum(map(self._plain, self.special.split(text))) + len(self.special.findall(text))
+        return self.counts([text])[0]
 
     def chunks(self, text: str) -> Iterator[tuple[int, str]]:
         """The text's runs without white space, which are encoded independently."""
@@ -245,7 +288,7 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, path: str | None = None) -
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = counter(path)
         for b in batches:
-            n = [c.count(t) for t in b.text]
+            n = c.counts([*b.text])
             fit = [len(t) if k <= limit else c.fit(t, limit) for t, k in zip(b.text, n)]
             yield pd.DataFrame({"doc_id": b.doc_id, "n_bytes": b.n_bytes, "n_tokens": n, "over_limit": [k > limit for k in n], "fit_chars": fit})
 
