@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import table, text_or_empty
+from gleanery.llm.common import bounded_broadcast, table, text_or_empty
 
 #: Labelled documents of each class that the classifier is fitted on, at most; by a
 #: hash of doc_id. Scoring takes every document and every window.
@@ -138,11 +138,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     outside the held-out fold. What reaches the driver is bounded: dictionary words and
     three numbers for each sampled document."""
     known = labels.where("toxic is not null").where(fold_of(F.col("doc_id")) > 0).groupBy(F.col("doc_id").alias("id")).agg((F.max("toxic") > 0).alias("toxic"))
-    rows = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text")).join(known, "id")
     found = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     shares = {y: min(1.0, sample / n) for y, n in found.items()}
     lot = F.pmod(F.xxhash64(F.col("id"), F.lit("toxicity")), F.lit(1_000_000)) / 1e6
-    rows = rows.where(lot < F.when(F.col("toxic"), F.lit(shares.get(True, 0.0))).otherwise(F.lit(shares.get(False, 0.0))))
+    known = known.where(lot < F.when(F.col("toxic"), F.lit(shares.get(True, 0.0))).otherwise(F.lit(shares.get(False, 0.0))))
+    # The sample's ids are few: they go to the documents, not the texts through a shuffle.
+    rows = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text")).join(bounded_broadcast(known, 4 * sample), "id")
     # Copies tell nothing new and would pass their words off as telling.
     rows = rows.groupBy(F.md5("text").alias("m"), "toxic").agg(F.first("text").alias("text")).select("text", "toxic").persist()
     n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
