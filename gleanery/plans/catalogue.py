@@ -2,9 +2,555 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gleanery.functions import text as T
+from gleanery.functions.similarity import option_share, ratio
+from gleanery.operators import align, findings, options, schema_rules, scoring
+from gleanery.operators.blocks import sessions, signals
+from gleanery.plans.views import RECORDS_SQL, records, rendered, table, turns
+from gleanery.sources import pages as P
+from gleanery.sources.reports import list_cell
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+SPACES = r"[\t-\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def clean_sql(x: str) -> str:
+    return f"trim(regexp_replace(coalesce({x}, ''), '{SPACES}+', ' ', 'g'))"
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with the SQL of the same rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# Sources
+
+
+@query(f"""
+SELECT page_id, i - 1 AS pos, ls[i] AS line FROM (
+  SELECT page_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (
+    SELECT page_id, list_filter(list_transform(string_split_regex(html, '<[^>]+>'), lambda x: {clean_sql('x')}), lambda x: x <> '') AS ls FROM pages))""")
+def a_page_lines(spark, d):
+    return P.page_lines(table(spark, d, "pages"))
+
+
+@query(f"""
+WITH found AS (
+  SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]+)"[^>]*>([^<]*)</a>', 1)) AS href,
+         unnest(regexp_extract_all(html, '<a href="([^"]+)"[^>]*>([^<]*)</a>', 2)) AS title,
+         unnest(range(len(regexp_extract_all(html, '<a href="([^"]+)"[^>]*>([^<]*)</a>')))) AS pos FROM pages),
+firsts AS (SELECT page_id, href, min(pos) AS pos, arg_min(title, pos) AS title FROM found GROUP BY 1, 2)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS idx, href, {clean_sql('title')} AS title FROM firsts""")
+def a_link_scan(spark, d):
+    return P.links(table(spark, d, "pages"))
+
+
+@query(rf"""
+SELECT page_id, {clean_sql("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title,
+       {clean_sql("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS heading,
+       coalesce(nullif({clean_sql("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}, ''), nullif({clean_sql("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, ''), regexp_extract(url, '([^/]+?)(\.[^./]*)?$', 1)) AS chosen FROM pages""")
+def a_title_metadata(spark, d):
+    title, heading = (T.collapsed(F.regexp_extract("html", f"<{t}>([^<]*)</{t}>", 1)) for t in ("title", "h1"))
+    chosen = F.coalesce(F.nullif(heading, F.lit("")), F.nullif(title, F.lit("")), T.stem_of_path(F.col("url")))
+    return table(spark, d, "pages").select("page_id", title.alias("title"), heading.alias("heading"), chosen.alias("chosen"))
+
+
+@query("""
+SELECT key, CASE WHEN c.c_custkey IS NULL THEN s.s_name ELSE c.c_name END AS name, CASE WHEN c.c_custkey IS NULL THEN 'supplier' ELSE 'customer' END AS origin
+FROM (SELECT s_suppkey AS key FROM supplier UNION SELECT c_custkey FROM customer) k
+LEFT JOIN supplier s ON s.s_suppkey = key LEFT JOIN customer c ON c.c_custkey = key""")
+def a_source_map_lastwins(spark, d):
+    older = table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.lit("supplier").alias("origin"))
+    newer = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.lit("customer").alias("origin"))
+    return P.last_wins(older, newer, key=["key"])
+
+
+@query("""
+SELECT page_id, coalesce(list_filter(hs, lambda h: contains(lower(h), 'th'))[1], hs[1], '') AS picked
+FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS hs FROM pages)""")
+def a_doc_pick(spark, d):
+    found = F.regexp_extract_all("html", F.lit('<a href="([^"]+)"'), F.lit(1))
+    first = lambda a: F.try_element_at(a, F.lit(1))
+    return table(spark, d, "pages").select("page_id", F.coalesce(first(F.filter(found, lambda h: F.contains(F.lower(h), F.lit("th")))), first(found), F.lit("")).alias("picked"))
+
+
+@query(f"""WITH {RECORDS_SQL}
+SELECT id, CASE WHEN len(kept) = 0 THEN '[]' ELSE '[''' || array_to_string(kept, ''', ''') || ''']' END AS cell
+FROM (SELECT id, list_filter(options, lambda x: x <> '') AS kept FROM records)""")
+def b_csv_list_cells(spark, d):
+    return records(spark, d).select("id", list_cell(F.filter("options", lambda x: x != "")).alias("cell"))
+
+
+# Filters and joins
+
+
+@query("""
+SELECT n_nationkey, n_name, r_name, upper(trim(r_name)) AS class_code FROM nation JOIN region ON n_regionkey = r_regionkey
+WHERE lower(r_name) IN ('asia', 'europe') ORDER BY 1""")
+def c_class_filter(spark, d):
+    asked = F.transform(F.split(F.lit(" Asia, ,EUROPE "), ","), lambda x: F.lower(F.trim(x)))
+    r = table(spark, d, "region").where(F.array_contains(F.filter(asked, lambda x: x != ""), F.lower("r_name")))
+    n = table(spark, d, "nation").join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return n.select("n_nationkey", "n_name", "r_name", F.upper(F.trim("r_name")).alias("class_code"))
+
+
+@query("""
+SELECT c_custkey, count(o_orderkey) AS orders, count(o_orderkey) > 0 AS covered, CASE WHEN count(o_orderkey) > 0 THEN '' ELSE 'missing_source' END AS coverage_reason
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1""")
+def c_coverage_split(spark, d):
+    n = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("orders"))
+    j = table(spark, d, "customer").join(n, F.col("c_custkey") == F.col("o_custkey"), "left")
+    orders = F.coalesce("orders", F.lit(0))
+    return j.select("c_custkey", orders.alias("orders"), (orders > 0).alias("covered"), F.when(orders > 0, "").otherwise("missing_source").alias("coverage_reason"))
+
+
+@query(r"""
+SELECT p_partkey, regexp_matches(p_name, '(?i)(steel|brass|ring|bolt)') AS wanted, regexp_matches(p_type, '(?i)(small|promo)') AS excluded,
+       regexp_matches(p_name, '(?i)(steel|brass|ring|bolt)') AND NOT regexp_matches(p_type, '(?i)(small|promo)') AS taken FROM part""")
+def c_title_predicates(spark, d):
+    a, b = F.rlike("p_name", F.lit("(?i)(steel|brass|ring|bolt)")), F.rlike("p_type", F.lit("(?i)(small|promo)"))
+    return table(spark, d, "part").select("p_partkey", a.alias("wanted"), b.alias("excluded"), (a & ~b).alias("taken"))
+
+
+@query(r"""
+SELECT doc_id, regexp_matches(coalesce(text, ''), '(?i)Type\s*Your\s*Answer|View\s*Answer|Solution:?') AS leaks,
+       regexp_matches(coalesce(text, ''), '(?i)all rights reserved|copyright|license') AS notice FROM documents""")
+def c_ui_leak(spark, d):
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, d, "documents").select("doc_id", F.rlike(t, F.lit(T.UI_LEAK)).alias("leaks"), F.rlike(t, F.lit("(?i)all rights reserved|copyright|license")).alias("notice"))
+
+
+@query("""
+SELECT page_id, pos, url FROM (
+  SELECT page_id, unnest(hs) AS url, unnest(range(len(hs))) AS pos FROM (
+    SELECT page_id, list_transform(regexp_extract_all(html, '<a href="([^"]+)"', 1), lambda h: CASE WHEN starts_with(h, 'http') THEN h ELSE regexp_extract(url, '^(https?://[^/]+)', 1) || h END) AS hs FROM pages))""")
+def d_explode_links(spark, d):
+    base = F.regexp_extract("url", "^(https?://[^/]+)", 1)
+    hs = F.transform(F.regexp_extract_all("html", F.lit('<a href="([^"]+)"'), F.lit(1)), lambda h: F.when(h.startswith("http"), h).otherwise(F.concat(base, h)))
+    return table(spark, d, "pages").select("page_id", F.posexplode(hs).alias("pos", "url"))
+
+
+@query("""
+SELECT p_partkey, i - 1 AS pos, trim(parts[i]) AS piece FROM (
+  SELECT p_partkey, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
+    SELECT p_partkey, list_filter(string_split(regexp_replace(p_name || ' Q1: ' || p_brand || ' q2 : ' || p_type, '(?i)(Q\\s*\\d+\\s*:)', '\x1f\\1', 'g'), '\x1f'), lambda x: trim(x) <> '') AS parts FROM part))""".replace("\\\\", "\\").replace("\x1f", "|#|"))
+def d_tag_split_nodes(spark, d):
+    text = F.concat("p_name", F.lit(" Q1: "), "p_brand", F.lit(" q2 : "), "p_type")
+    parts = F.filter(F.split(text, r"(?i)(?=Q\s*\d+\s*:)", -1), lambda x: F.trim(x) != "")
+    return table(spark, d, "part").select("p_partkey", F.posexplode(F.transform(parts, lambda x: F.trim(x))).alias("pos", "piece"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+def e_anti_orphans(spark, d):
+    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+
+
+@query("""
+SELECT s_suppkey, s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
+def e_left_hash(spark, d):
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+@query("""
+SELECT o_orderkey, count(l_orderkey) AS failures, coalesce(string_agg(l_linenumber::VARCHAR || ':' || l_shipdate::DATE::VARCHAR, ',' ORDER BY l_linenumber, l_shipdate::DATE), '') AS listed
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_shipdate < o_orderdate GROUP BY 1""")
+def e_collect_failures(spark, d):
+    late = table(spark, d, "lineitem").join(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_shipdate") < F.col("o_orderdate")))
+    rows = late.groupBy("l_orderkey").agg(F.count("*").alias("failures"), F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_shipdate").cast("date").alias("s")))).alias("xs"))
+    listed = F.array_join(F.transform("xs", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["s"].cast("string"))), ",")
+    return table(spark, d, "orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", F.coalesce("failures", F.lit(0)).alias("failures"), F.coalesce(listed, F.lit("")).alias("listed"))
+
+
+@query("""
+SELECT l_partkey, l_suppkey, count(*) AS candidates, min(l_orderkey) AS first_order FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+GROUP BY 1, 2""")
+def e_candidate_key(spark, d):
+    j = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return j.groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("candidates"), F.min("l_orderkey").alias("first_order"))
+
+
+# Aggregates
+
+
+@query(f"""WITH {RECORDS_SQL}
+SELECT class, chapter, count(*) AS questions, count(*) FILTER (answer <> '') AS answers, sum(len(list_filter(options, lambda v: v <> '')))::BIGINT AS options,
+       sum(images)::BIGINT AS images, sum(tables)::BIGINT AS tables, count(*) FILTER (explanation = '')::DOUBLE / count(*) AS empty_explanation_rate,
+       sum(images)::DOUBLE / count(*) AS image_density, count(*) FILTER (len(list_distinct(options)) < 4)::DOUBLE / count(*) AS duplicate_option_rate,
+       array_to_string(list_reverse_sort(list_distinct(list(year))), ',') AS years, min(year) || '-' || max(year) AS year_range
+FROM records GROUP BY 1, 2""")
+def f_chapter_totals(spark, d):
+    n = F.count("*")
+    return records(spark, d).groupBy("class", "chapter").agg(
+        n.alias("questions"), F.count_if(F.col("answer") != "").alias("answers"), F.sum(F.size(F.filter("options", lambda v: v != ""))).alias("options"), F.sum("images").alias("images"), F.sum("tables").alias("tables"),
+        (F.count_if(F.col("explanation") == "") / n).alias("empty_explanation_rate"), (F.sum("images") / n).alias("image_density"), (F.count_if(F.size(F.array_distinct("options")) < 4) / n).alias("duplicate_option_rate"),
+        F.array_join(F.sort_array(F.collect_set("year"), False), ",").alias("years"), F.concat_ws("-", F.min("year"), F.max("year")).alias("year_range"),
+    )
+
+
+ANOMALY_SQL = """
+t AS (SELECT *, len(list_filter(options, lambda v: v <> '')) AS n FROM records),
+typed AS (SELECT *, n = 0 AS e, n > 0 AND n < 4 AS p, answer <> '' AND n < 4 AS a, images > 0 AND n < 4 AS i, warnings > 0 AS w FROM t)"""
+
+
+@query(f"""WITH {RECORDS_SQL}, {ANOMALY_SQL}
+SELECT chapter, id, n::INTEGER AS filled, array_to_string(list_filter([CASE WHEN e THEN 'all_options_empty' END, CASE WHEN p THEN 'partial_options' END, CASE WHEN a THEN 'answer_without_full_options' END,
+  CASE WHEN i THEN 'image_backed_option_gap' END, CASE WHEN w THEN 'parser_warning' END], lambda x: x IS NOT NULL), ',') AS types FROM typed WHERE e OR p OR a OR i OR w""")
+def p_option_anomalies(spark, d):
+    r = records(spark, d).withColumn("types", findings.anomaly_types()).where(F.size("types") > 0)
+    return r.select("chapter", "id", F.size(F.filter("options", lambda v: v != "")).alias("filled"), F.array_join("types", ",").alias("types"))
+
+
+_ROLLUP = "count(*) AS question_count, count(*) FILTER (e OR p OR a OR i OR w) AS anomaly_count, count(*) FILTER (e) AS all_empty_option_count, count(*) FILTER (p) AS partial_option_count, count(*) FILTER (i) AS image_backed_gap_count FROM typed"
+
+
+@query(f"WITH {RECORDS_SQL}, {ANOMALY_SQL} SELECT class, chapter, {_ROLLUP} GROUP BY 1, 2")
+def f_anomaly_rollup(spark, d):
+    return findings.anomaly_rollup(records(spark, d), ["class", "chapter"])
+
+
+@query(f"WITH {RECORDS_SQL}, {ANOMALY_SQL} SELECT {_ROLLUP}")
+def f_corpus_totals(spark, d):
+    return findings.anomaly_rollup(records(spark, d), [])
+
+
+@query("""
+SELECT user_id, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'view') AS view, count(*) FILTER (event_type = 'purchase') AS purchase,
+       count(*) FILTER (event_type = 'signup') AS signup, count(*) FILTER (event_type IN ('click', 'view', 'purchase', 'signup')) AS total FROM events GROUP BY 1""")
+def f_category_pivot(spark, d):
+    kinds = ["click", "view", "purchase", "signup"]
+    p = table(spark, d, "events").groupBy("user_id").pivot("event_type", kinds).count().na.fill(0)
+    return p.withColumn("total", sum((F.col(k) for k in kinds[1:]), F.col(kinds[0])))
+
+
+@query("SELECT year(o_orderdate)::VARCHAR AS year, count(*) AS orders FROM orders GROUP BY 1")
+def f_year_facet(spark, d):
+    return table(spark, d, "orders").groupBy(F.year("o_orderdate").cast("string").alias("year")).agg(F.count("*").alias("orders"))
+
+
+@query(f"""WITH {RECORDS_SQL}
+SELECT count(DISTINCT chapter) AS chapters, count(*) AS questions, sum(images)::BIGINT AS images, sum(tables)::BIGINT AS tables, count(*) FILTER (explanation = '') AS unexplained,
+       count(DISTINCT chapter) FILTER (images > 2) AS illustrated_chapters FROM records""")
+def f_overview_kpis(spark, d):
+    return records(spark, d).agg(F.count_distinct("chapter").alias("chapters"), F.count("*").alias("questions"), F.sum("images").alias("images"), F.sum("tables").alias("tables"), F.count_if(F.col("explanation") == "").alias("unexplained"), F.count_distinct(F.when(F.col("images") > 2, F.col("chapter"))).alias("illustrated_chapters"))
+
+
+# Ordered operators
+
+
+@query("""
+WITH marked AS (
+  SELECT *, last_value(CASE WHEN event_type = 'signup' THEN event_id::VARCHAR END IGNORE NULLS) OVER w AS v,
+         sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) OVER w - 1 AS block FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT user_id, block::INTEGER AS source_index, coalesce(max(v) FILTER (event_type = 'click'), '') AS carried, count(*) AS lines, min(event_id) AS first_event
+FROM marked WHERE block >= 0 AND event_type <> 'signup' GROUP BY 1, 2""")
+def g_blocks(spark, d):
+    e = table(spark, d, "events")
+    s = sessions(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", F.col("event_id").cast("string"), F.col("event_type") == "click")
+    return s.groupBy("user_id", F.col("block").alias("source_index")).agg(F.max("carried").alias("carried"), F.count("*").alias("lines"), F.min("event_id").alias("first_event"))
+
+
+@query("""
+WITH marked AS (SELECT conv_id, turn, role, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS block,
+  first_value(CASE WHEN role = 'system' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS sys, coalesce(text, '') AS text FROM conversations)
+SELECT conv_id, block::INTEGER AS source_index, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM marked WHERE block >= 0 AND role <> 'system' GROUP BY 1, 2""")
+def g_turn_blocks(spark, d):
+    s = sessions(turns(spark, d), ["conv_id"], ["turn"], F.col("role") == "system", F.col("text"), F.col("role") == "user")
+    return s.groupBy("conv_id", F.col("block").alias("source_index")).agg(F.count("*").alias("lines"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("""
+SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS carried FROM events""")
+def g_forward_fill(spark, d):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return table(spark, d, "events").select("event_id", F.coalesce(F.last(F.when(F.col("event_type") == "signup", F.col("event_id")), ignorenulls=True).over(w), F.lit(-1)).alias("carried"))
+
+
+@query("""
+SELECT event_id, CASE WHEN max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER w = 1 THEN 'explanation' ELSE 'question' END AS phase,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ordinal FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def g_latch(spark, d):
+    by = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    seen = F.max((F.col("event_type") == "purchase").cast("int")).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return table(spark, d, "events").select("event_id", F.when(seen == 1, "explanation").otherwise("question").alias("phase"), F.row_number().over(by).alias("ordinal"))
+
+
+@query("SELECT user_id, event_id, value, place FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS place FROM events) WHERE place <= 8")
+def g_top8(spark, d):
+    return findings.top_per(table(spark, d, "events"), "user_id", [F.col("value").desc(), F.col("event_id")]).select("user_id", "event_id", "value", "place")
+
+
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE before IS DISTINCT FROM event_type")
+def g_adjacent_duplicates(spark, d):
+    before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return table(spark, d, "events").withColumn("b", before).where(~F.col("b").eqNullSafe(F.col("event_type"))).select("event_id", "user_id", "event_type")
+
+
+@query("SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1 ORDER BY customers DESC, c_nationkey LIMIT 6")
+def h_topk_chapters(spark, d):
+    return table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").alias("customers")).orderBy(F.desc("customers"), "c_nationkey").limit(6)
+
+
+@query("SELECT o_custkey, arg_max(o_orderkey, (o_totalprice, -o_orderkey)) AS best, max(o_totalprice) AS price FROM (SELECT o_custkey, o_orderkey, o_totalprice FROM orders) GROUP BY 1")
+def h_argmax_tie(spark, d):
+    return table(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", -F.col("o_orderkey"))).alias("best"), F.max("o_totalprice").alias("price"))
+
+
+@query("SELECT n_name, row_number() OVER (ORDER BY lower(n_name), n_name) AS place FROM nation")
+def h_collated_sort(spark, d):
+    return table(spark, d, "nation").select("n_name", F.row_number().over(Window.orderBy(F.collate("n_name", "UNICODE"))).alias("place"))
+
+
+@query("SELECT DISTINCT name FROM (SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region UNION ALL SELECT c_mktsegment FROM customer)")
+def i_union_distinct(spark, d):
+    one = lambda t, c: table(spark, d, t).select(F.col(c).alias("name"))
+    return one("nation", "n_name").unionByName(one("region", "r_name")).unionByName(one("customer", "c_mktsegment")).distinct()
+
+
+# Scalar functions
+
+
+@query(f"""
+SELECT doc_id, md5({clean_sql('text')}) AS cleaned, md5(lower({clean_sql("replace(coalesce(text, ''), '&', ' and ')")})) AS normal, length({clean_sql('text')}) AS n FROM documents""")
+def j_clean(spark, d):
+    c = T.collapsed(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.md5(c).alias("cleaned"), F.md5(T.normal(F.col("text"))).alias("normal"), F.length(c).cast("long").alias("n"))
+
+
+def _slug_sql(x: str) -> str:
+    hyphened = f"regexp_replace(regexp_replace(regexp_replace(lower({clean_sql(f'''replace(coalesce({x}, ''), '&', ' and ')''')}), ' +', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-+', '-', 'g')"
+    return f"regexp_replace({hyphened}, '^-+|-+$', '', 'g')"
+
+
+@query(f"""
+SELECT p_partkey, {_slug_sql("p_name || ' & ' || p_type")} AS slug, lower(replace(replace({clean_sql("p_name")}, '&', ' and '), '-', ' ')) AS title_key,
+       CASE WHEN length(p_type) > 12 THEN left(p_type, 12) || '…' ELSE p_type END AS short FROM part""")
+def j_slugify(spark, d):
+    return table(spark, d, "part").select("p_partkey", T.slug(F.concat("p_name", F.lit(" & "), "p_type")).alias("slug"), T.title_key(F.col("p_name")).alias("title_key"), T.truncated(F.col("p_type"), 12).alias("short"))
+
+
+@query(r"""
+SELECT page_id, regexp_extract(url, '([^/]+?)(\.[^./]*)?$', 1) AS stem, regexp_extract(url, '^https?://([^/]+)', 1) AS host, coalesce(try_cast(regexp_extract(url, '/(\d+)', 1) AS INTEGER), -1) AS number FROM pages""")
+def j_url_parts(spark, d):
+    return table(spark, d, "pages").select("page_id", T.stem_of_path(F.col("url")).alias("stem"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), F.coalesce(F.regexp_extract("url", r"/(\d+)", 1).try_cast("int"), F.lit(-1)).alias("number"))
+
+
+@query("""
+SELECT page_id, md5(replace(replace(replace(replace(regexp_extract(html, '<footer>([^<]*)', 1), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')) AS footer FROM pages""")
+def j_unescape(spark, d):
+    from gleanery.functions.similarity import unescaped
+
+    return table(spark, d, "pages").select("page_id", F.md5(unescaped(F.regexp_extract("html", "<footer>([^<]*)", 1))).alias("footer"))
+
+
+@query(r"""
+SELECT p_partkey, p_partkey::INTEGER AS number, substr('abcd', 1 + p_size // 13, 1) AS letter, 'because of ' || p_brand AS explanation FROM part""")
+def j_answer_parts(spark, d):
+    letter = F.substring(F.lit("abcd"), 1 + F.floor(F.col("p_size") / 13).cast("int"), F.lit(1))
+    lines = F.array(F.concat(F.lit("Q"), F.col("p_partkey").cast("string"), F.lit(": what is it?")), F.concat(F.lit("Ans: ("), letter, F.lit(") because of "), F.col("p_brand")))
+    return table(spark, d, "part").withColumn("lines", lines).select("p_partkey", T.first_number(F.col("lines")).alias("number"), T.answer_letter(F.array_join("lines", " ")).alias("letter"), T.stated_explanation(F.col("lines")).alias("explanation"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_size <= 25 THEN p_brand ELSE p_type END AS told FROM part""")
+def j_explanation_union(spark, d):
+    value = F.when(F.col("p_size") <= 25, F.to_json(F.struct(F.col("p_brand").alias("correct"), F.lit("x").alias("others")))).otherwise(F.col("p_type"))
+    return table(spark, d, "part").select("p_partkey", T.told_explanation(value).alias("told"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_size <= 10 THEN 'a' WHEN p_size <= 20 THEN 'b' WHEN p_size <= 30 THEN 'c' WHEN p_size <= 40 THEN 'd' ELSE '' END AS answer FROM part""")
+def j_infer_answer(spark, d):
+    s = F.col("p_size")
+    says = F.when(s <= 10, "Both are true and the reason is the correct explanation").when(s <= 20, "Both are true but the reason is not the correct explanation").when(s <= 30, "The assertion is true but the reason is false").when(s <= 40, "The assertion is incorrect").otherwise("Nothing follows")
+    return table(spark, d, "part").select("p_partkey", options.inferred_answer(says).alias("answer"))
+
+
+@query()
+def j_ratio(spark, d):
+    """No SQL has this similarity; tests hold it against the standard library."""
+    p = table(spark, d, "part")
+    return p.select("p_partkey", F.round(ratio(T.normal(F.col("p_name")), T.normal(F.col("p_type"))), 4).alias("ratio"))
+
+
+@query("""
+SELECT p_partkey, (CASE WHEN contains(lower(p_name), lower(p_brand)) THEN 1 ELSE 0 END + CASE WHEN contains(lower(p_name), lower(split_part(p_name, ' ', 1))) THEN 1 ELSE 0 END) / 2.0::DOUBLE AS share FROM part""")
+def j_option_containment(spark, d):
+    return table(spark, d, "part").select("p_partkey", option_share(F.col("p_name"), F.array("p_brand", F.split_part("p_name", F.lit(" "), F.lit(1)))).alias("share"))
+
+
+# Parsing
+
+
+@query("""
+SELECT p_partkey, 'Which holds for part ' || p_partkey || '?' AS stem,
+       CASE WHEN p_size > 40 THEN '|||' ELSE p_brand || '|' || p_type || '|size ' || p_size || '|no such part' END AS options,
+       CASE WHEN p_size <= 10 THEN 'lower_markers' WHEN p_size <= 20 THEN 'numbered_paren_options' WHEN p_size <= 30 THEN 'mixed_option_markers' WHEN p_size <= 40 THEN 'inline_lower_option_lines' ELSE 'fallback' END AS source,
+       CASE WHEN p_size > 40 THEN 'missing' ELSE 'parsed' END AS status FROM part""")
+def k_cascade(spark, d):
+    r = rendered(spark, d).withColumn("r", options.parse_options(F.col("text")))
+    return r.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"), options.status(F.col("r.options"), F.col("text")).alias("status"))
+
+
+@query("""
+SELECT p_partkey, n AS n_error, field, type FROM (
+  SELECT p_partkey, 0 AS n, 'year' AS field, 'missing_key' AS type FROM part WHERE p_size <= 10
+  UNION ALL SELECT p_partkey, 0, 'options.D', 'missing_option' FROM part WHERE p_size > 10 AND p_size <= 20
+  UNION ALL SELECT p_partkey, 0, 'images', 'wrong_type' FROM part WHERE p_size > 20 AND p_size <= 30
+  UNION ALL SELECT p_partkey, 0, 'parserWarnings', 'wrong_warning_type' FROM part WHERE p_size > 30 AND p_size <= 40)""")
+def l_schema_errors(spark, d):
+    s = F.col("p_size")
+    parts = F.concat(
+        F.lit('{"id":"Q1","text":"t","answer":"a","explanation":"e","chapter":"c","class":"B11","tables":[]'),
+        F.when(s <= 10, "").otherwise(',"year":"2020"'),
+        F.when((s > 10) & (s <= 20), ',"options":{"A":"1","B":"2","C":"3"}').otherwise(',"options":{"A":"1","B":"2","C":"3","D":"4"}'),
+        F.when((s > 20) & (s <= 30), ',"images":{}').otherwise(',"images":["x"]'),
+        F.when((s > 30) & (s <= 40), ',"parserWarnings":["w",1]').otherwise(""),
+        F.lit("}"),
+    )
+    rows = table(spark, d, "part").select("p_partkey", parts.alias("json"))
+    return schema_rules.record_errors(rows).select("p_partkey", F.col("n_error").cast("int").alias("n_error"), "field", "type")
+
+
+# Scores and reports
+
+
+def audited(spark: SparkSession, d: str) -> DataFrame:
+    """Chapters (nations) with their scores: all orders are what the source leads to expect,
+    those that are settled are what was extracted."""
+    r = records(spark, d)
+    filled = F.size(F.filter("options", lambda v: v != ""))
+    got = F.col("answer") != ""
+    number = lambda c: F.sum(F.when(got, c).otherwise(0))
+    chapters = r.groupBy("class", "chapter").agg(
+        F.count("*").alias("expected_question_count"), F.count("*").alias("expected_answer_markers"), (F.count("*") * 4).alias("expected_option_markers"), F.sum("images").alias("expected_images"), F.sum("tables").alias("expected_tables"),
+        F.count_if(filled < 2).alias("residual_blocks"), F.count_if(got).alias("questions"), F.count_if(got).alias("answers"), number(filled).alias("options"), number(F.col("images")).alias("images"), number(F.col("tables")).alias("tables"),
+        F.count_if(got & (filled == 0)).alias("schema_errors"), F.count_if(got & (F.col("explanation") == "")).alias("empty_explanations"), F.count_if(got & (F.size(F.array_distinct("options")) < 4)).alias("duplicate_options"),
+        F.avg(F.when(got & (filled >= 3), filled / 4).otherwise(0.0)).alias("mean_alignment"),
+    )
+    return scoring.scored(chapters)
+
+
+AUDITED_SQL = f"""{RECORDS_SQL},
+r AS (SELECT *, len(list_filter(options, lambda v: v <> '')) AS filled, answer <> '' AS got FROM records),
+chapters AS (
+  SELECT class, chapter, count(*) AS eq, 4 * count(*) AS eo, sum(images)::BIGINT AS ei, sum(tables)::BIGINT AS et, count(*) FILTER (filled < 2) AS residual, count(*) FILTER (got) AS q,
+         coalesce(sum(filled) FILTER (got), 0)::BIGINT AS o, coalesce(sum(images) FILTER (got), 0)::BIGINT AS i, coalesce(sum(tables) FILTER (got), 0)::BIGINT AS t,
+         count(*) FILTER (got AND filled = 0) AS errors, count(*) FILTER (got AND explanation = '') AS empty_, count(*) FILTER (got AND len(list_distinct(options)) < 4) AS dup,
+         avg(CASE WHEN got AND filled >= 3 THEN filled / 4.0::DOUBLE ELSE 0.0::DOUBLE END) AS al
+  FROM r GROUP BY 1, 2),
+s1 AS (
+  SELECT *, CASE WHEN q = 0 THEN 0.0 ELSE round(greatest(0.0::DOUBLE, 1.0::DOUBLE - least(1.0::DOUBLE, errors::DOUBLE / q)), 4) END AS structural,
+         round(0.35::DOUBLE * least(q::DOUBLE / greatest(eq, 1), 1) + 0.2::DOUBLE * least(q::DOUBLE / greatest(eq, 1), 1) + 0.2::DOUBLE * least(o::DOUBLE / greatest(eo, 1), 1) + 0.15::DOUBLE * least(i::DOUBLE / greatest(ei, 1), 1) + 0.1::DOUBLE * least(t::DOUBLE / greatest(et, 1), 1), 4) AS complete,
+         round(al, 4) AS semantic, round(greatest(eq - q, 0)::DOUBLE / greatest(eq, 1), 4) AS missing, round(residual::DOUBLE / greatest(eq, 1), 4) AS resid,
+         round(least(1.0::DOUBLE, 0.7::DOUBLE * (greatest(eq - q, 0)::DOUBLE / greatest(eq, 1)) + 0.3::DOUBLE * (residual::DOUBLE / greatest(eq, 1))), 4) AS gap
+  FROM chapters),
+s2 AS (
+  SELECT *, CASE WHEN q = 0 THEN 1.0 ELSE round(least(1.0::DOUBLE, 0.4::DOUBLE * gap + 0.25::DOUBLE * (empty_::DOUBLE / q) + 0.2::DOUBLE * (dup::DOUBLE / q) + 0.15::DOUBLE * CASE WHEN i::DOUBLE / q > 2.5 THEN 1.0 ELSE 0.0 END), 4) END AS anomaly,
+         round(0.25::DOUBLE * structural + 0.35::DOUBLE * complete + 0.4::DOUBLE * semantic, 4) AS final FROM s1),
+audited AS (SELECT *, CASE WHEN anomaly >= 0.6 OR gap >= 0.5 THEN 'high' WHEN anomaly >= 0.3 OR final < 0.75 THEN 'medium' ELSE 'low' END AS risk FROM s2)"""
+_SUMMARY = """class, chapter, eq AS expected_question_count, q AS scraped_question_count, errors AS schema_error_count, structural AS structural_accuracy, complete AS completeness_accuracy,
+  semantic AS semantic_accuracy, gap AS schema_gap_risk, anomaly AS anomaly_score, final AS final_accuracy, risk"""
+_FAILURES = """array_to_string(list_filter([CASE WHEN errors > 0 THEN 'schema_errors' END, CASE WHEN eq > q THEN 'missing_questions' END, CASE WHEN resid > 0.1 THEN 'alignment_residuals' END,
+  CASE WHEN complete < 0.95 THEN 'completeness_drop' END, CASE WHEN semantic < 0.95 THEN 'semantic_mismatch' END, CASE WHEN anomaly >= 0.3 THEN 'content_anomalies' END], lambda x: x IS NOT NULL), ',')"""
+
+
+@query(f"WITH {AUDITED_SQL} SELECT {_SUMMARY}, {_FAILURES} AS dominant_failures FROM audited")
+def q_chapter_summary(spark, d):
+    a = audited(spark, d)
+    return a.select(
+        "class", "chapter", "expected_question_count", F.col("questions").alias("scraped_question_count"), F.col("schema_errors").alias("schema_error_count"), "structural_accuracy", "completeness_accuracy",
+        "semantic_accuracy", "schema_gap_risk", "anomaly_score", "final_accuracy", "risk", F.array_join("dominant_failures", ",").alias("dominant_failures"),
+    )
+
+
+@query(f"WITH {AUDITED_SQL} SELECT class, chapter, risk, final AS final_accuracy FROM audited WHERE risk <> 'low'")
+def q_high_risk(spark, d):
+    return audited(spark, d).where("risk <> 'low'").select("class", "chapter", "risk", "final_accuracy")
+
+
+@query(f"WITH {AUDITED_SQL} SELECT class, chapter, missing AS missing_question_ratio, resid AS residual_block_ratio, gap AS schema_gap_risk FROM audited")
+def q_residual(spark, d):
+    return audited(spark, d).select("class", "chapter", "missing_question_ratio", "residual_block_ratio", "schema_gap_risk")
+
+
+@query(f"WITH {AUDITED_SQL} SELECT class, chapter, final AS final_accuracy, row_number() OVER (PARTITION BY class ORDER BY final, chapter) AS place FROM audited QUALIFY place <= 8")
+def r_watchlist(spark, d):
+    return findings.top_per(audited(spark, d), "class", [F.col("final_accuracy"), F.col("chapter")]).select("class", "chapter", "final_accuracy", "place")
+
+
+@query(f"""WITH {AUDITED_SQL} SELECT class, chapter FROM audited WHERE contains(lower(concat_ws(' ', chapter, risk, eq::VARCHAR)), 'medium')""")
+def r_filter(spark, d):
+    return findings.search(audited(spark, d), F.concat_ws(" ", "chapter", "risk", F.col("expected_question_count").cast("string")), " Medium ").select("class", "chapter")
+
+
+# Alignment and explanations
+
+
+def _conversation_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A conversation's user turns as source blocks, its assistant turns as questions."""
+    t = turns(spark, d)
+    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    blocks = t.where("role = 'user'").select("conv_id", n.cast("int").alias("source_index"), F.lit("").alias("year"), F.lit(None).cast("int").alias("number"), F.col("text").alias("stem"), F.array("text").alias("lines"))
+    questions = t.where("role = 'assistant'").select("conv_id", n.cast("int").alias("scraped_index"), F.lit("").alias("year"), F.lit(None).cast("int").alias("number"), "text", F.array().cast("array<string>").alias("options"), F.lit("a").alias("answer"))
+    return blocks, questions
+
+
+@query()
+def n_align_greedy(spark, d):
+    """The fold depends on an order and on a similarity that SQL lacks; tests hold it against its definition."""
+    return align.align(*_conversation_sides(spark, d), "conv_id")
+
+
+@query("""
+WITH b AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i, turn FROM conversations WHERE role = 'user')
+SELECT conv_id, i::INTEGER AS source_index, i::INTEGER AS scraped_index, 0.85::DOUBLE AS score, true AS matched FROM b""")
+def n_align_keyed(spark, d):
+    """Each block's own text, under its own number: the score of equal texts is known."""
+    blocks, _ = _conversation_sides(spark, d)
+    blocks = blocks.withColumn("number", F.col("source_index"))
+    questions = blocks.select("conv_id", F.col("source_index").alias("scraped_index"), "year", "number", F.col("stem").alias("text"), F.array().cast("array<string>").alias("options"), F.lit("a").alias("answer"))
+    return align.align(blocks, questions, "conv_id")
+
+
+@query("""
+SELECT p_partkey, category FROM (
+  SELECT p_partkey, 'missing_in_json' AS category FROM part WHERE p_size <= 10
+  UNION ALL SELECT p_partkey, 'missing_from_source' FROM part WHERE p_size > 10 AND p_size <= 20
+  UNION ALL SELECT p_partkey, 'ui_leak' FROM part WHERE p_size > 20 AND p_size <= 30)""")
+def o_explanation_scan(spark, d):
+    s = F.col("p_size")
+    source = F.when((s > 10) & (s <= 20), "").otherwise(F.col("p_name"))
+    told = F.when(s <= 10, "").when((s > 20) & (s <= 30), F.concat("p_name", F.lit(" View Answer"))).otherwise(F.col("p_name"))
+    pairs = table(spark, d, "part").select("p_partkey", source.alias("source_explanation"), told.alias("json_explanation"))
+    return findings.explanation_findings(pairs).select("p_partkey", "category")
+
+
+@query(r"""
+SELECT page_id, 0::BIGINT AS expected_question_count, 0::BIGINT AS expected_answer_markers, 0::BIGINT AS expected_option_markers,
+       len(regexp_extract_all(html, '<img'))::BIGINT AS expected_images, len(regexp_extract_all(html, '<table'))::BIGINT AS expected_tables, 0::BIGINT AS residual_blocks FROM pages""")
+def f_source_signals(spark, d):
+    """The pages hold no numbered questions; tests have pages that do."""
+    from gleanery.operators.blocks import blocks
+
+    pages = table(spark, d, "pages")
+    return signals(blocks(P.page_lines(pages)), pages)
 
 
-def flagship(spark, sf_dir):
-    return QUERIES["g_blocks"](spark, sf_dir)
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["q_chapter_summary"](spark, sf_dir)
