@@ -11,7 +11,6 @@ ZERO_WIDTH = r"[\x{200B}-\x{200D}\x{FEFF}]"
 ANSWER = r"(?i)(?:Correct\s*Answer|Ans(?:wer)?)[.:\s-]+[\s(]*([a-d])"
 QUESTION_NUMBER = r"(?i)^Q(\d+)[:\s.]"
 UI_LEAK = r"(?i)Type\s*Your\s*Answer|View\s*Answer|Solution:?"
-NOT_A_CHAPTER = r"(?i)\b(?:test|mock|syllabus|revision|notes|video|paper|sample|doubt|formula|important|previous)\b"
 
 
 def truthy(c: Column) -> Column:
@@ -84,3 +83,47 @@ def told_explanation(value: Column) -> Column:
     of_object = F.coalesce(F.nullif(asked[0], F.lit("")), F.nullif(asked[1], F.lit("")), value)
     text = without_zero_width(F.when(F.trim(value).startswith('{"correct":'), of_object).otherwise(value))
     return collapsed(text)
+
+
+# What the pages' interface leaves in the text of questions and options.
+INTERFACE = r"(?i)Type\s*Your\s*Answer|View\s*Answer|View\s*Solution|View\s*Correct|Hide\s*Explanation|Solution:?"
+FOLLOW_UPS = r"(?i)MULTIPLE\s+CHOICE\s+QUESTION|Try\s*yourself|View\s*Solution|View\s*Correct|Hide\s*Explanation|Report\s+a\s*problem|Cancel\s*Report|CancelReport"
+CHOOSER = r"Choose the (?:correct|most appropriate) answer from the options given below\s*:?|In the light of the above statements,?\s*choose the correct answer from the options given below\s*:?"
+
+
+def without_follow_ups(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(c, FOLLOW_UPS, " "), r"(?is)Report.*$", " ")
+
+
+def question_text(c: Column) -> Column:
+    """A question's stem without pictures, interface words, its number, answer and chooser line."""
+    for pattern, by in (
+        (r"(?i)\[IMG(?::[^\]]+)?\]", ""),
+        (INTERFACE, " "),
+        (r"(?is)Correct\s*Answer\s*:.*$", " "),
+        (r"(?i)^Q\s*\d+[:\s.]*", ""),
+        (r"(?i)\s*\(NEET[^)]*\)", ""),
+        (r"(?i)(?:\(\s*[a-d]\s*\)\s*){2,}", " "),
+        (rf"(?i)\s*(?:{CHOOSER})\s*$", ""),
+        (r"(?i)\s*In the light of the above statements,?\s*$", ""),
+        (r"[\s,;:.-]+$", ""),
+    ):
+        c = F.regexp_replace(c, pattern, by)
+    return collapsed(without_follow_ups(c))
+
+
+def option_value(c: Column) -> Column:
+    """An option's text; a picture counts as [diagram]."""
+    for pattern, by in ((r"(?i)\[IMG:[^\]]+\]", "[diagram]"), (INTERFACE, " "), (r"(?is)Correct\s*Answer\s*:.*$", " "), (r"(?i)\bCorrect\b\s*$", ""), (r"(?i)\s*\(NEET[^)]*\)", ""), (r"^[\s:.-]+", "")):
+        c = F.regexp_replace(c, pattern, by)
+    return collapsed(without_follow_ups(c))
+
+
+def answer_parts(line: Column) -> Column:
+    """struct<before, after> of a line with an answer marker, else null."""
+    out = []
+    for marker in (r"\bAns\b[.:\s-]+", r"\bAnswer\b\s*[:\-]\s*", r"\bCorrect\s*Answer\b\s*[:\-]?\s*"):
+        pattern = f"(?is)^(.*?){marker}(.*)$"
+        parts = F.struct(*(collapsed(F.regexp_extract(line, pattern, i)).alias(n) for i, n in ((1, "before"), (2, "after"))))
+        out.append(F.when(F.rlike(line, F.lit(pattern)), parts))
+    return F.coalesce(*out)

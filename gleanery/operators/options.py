@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import collapsed
+from gleanery.functions.text import CHOOSER, collapsed, option_value, question_text
 
 RESULT = "struct<stem:string,options:array<string>,source:string>"
 #: Stages in order: name, pattern of a marker (label in group 1 or 2), how markers are read.
@@ -48,7 +48,7 @@ def stage(text: Column, name: str, pattern: str, how: str, usable: bool) -> Colu
     second = F.regexp_extract_all(text, F.lit(pattern), F.lit(groups))
     labels = F.transform(F.arrays_zip(first.alias("a"), second.alias("b")), lambda x: _label(x["a"], x["b"]))
     pieces = F.split(text, pattern, -1)
-    values = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), collapsed)
+    values = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda v: option_value(v))
     n = F.size(labels)
     if how == "labels":
         at = [F.array_position(labels, x).cast("int") for x in "ABCD"]
@@ -68,15 +68,59 @@ def stage(text: Column, name: str, pattern: str, how: str, usable: bool) -> Colu
             fits = (n >= 4) & F.exists(starts, run)
         options = F.slice(values, best, F.lit(4))
         stem = F.array_join(F.slice(pieces, F.lit(1), best), "")
-    result = F.struct(collapsed(stem).alias("stem"), options.alias("options"), F.lit(name).alias("source"))
+    result = F.struct(question_text(stem).alias("stem"), options.alias("options"), F.lit(name).alias("source"))
     ok = fits & F.forall(options, meaningful) if usable else fits
     return F.when(ok, result)
 
 
-def parse_options(text: Column) -> Column:
+def chooser_stages(text: Column) -> list[Column]:
+    """Options after a line that asks to choose: as lines of their own, then anywhere."""
+    pattern = f"(?is)^(.*?(?:{CHOOSER}))(.*)$"
+    head, tail = (F.regexp_extract(text, pattern, i) for i in (1, 2))
+    out = []
+    for name, marker in (("lower_option_lines", STAGES[0][1]), ("chooser_lower_markers", STAGES[1][1])):
+        r = stage(tail, name, marker, "labels", True)
+        out.append(F.when(r.isNotNull(), F.struct(question_text(head).alias("stem"), r["options"].alias("options"), r["source"].alias("source"))))
+    return out
+
+
+def _by_pattern(text: Column, name: str, pattern: str) -> Column:
+    """A stage that one pattern describes: stem, then the four options."""
+    stem, *found = (F.regexp_extract(text, pattern, i) for i in range(1, 6))
+    values = F.array(*map(option_value, found))
+    return F.when(F.rlike(text, F.lit(pattern)) & F.forall(values, meaningful), F.struct(question_text(stem).alias("stem"), values.alias("options"), F.lit(name).alias("source")))
+
+
+#: The first option has no label of its own: it stands between the question's last : or ? and (b).
+IMPLICIT_A = r"(?is)^(.*[:?])([^:?]*?)\(b\)\s*(.*?)\(c\)\s*(.*?)\(d\)\s*(.*)$"
+#: Upper-case labels in order, each before something that is no space, the first after : or ?.
+ORDERED = r"(?s)^(.*?[?:])\s*A(?=\S)(.*?)B(?=\S)(.*?)C(?=\S)(.*?)D(?=\S)(.*)$"
+
+
+def table_options(tables: Column) -> Column:
+    """Options that stand in a table (array<array<array<string>>>), a label and a value a row;
+    null if no table has all four."""
+    def of_table(rows: Column) -> Column:
+        labelled = F.transform(F.filter(rows, lambda r: F.size(r) >= 2), lambda r: F.struct(F.upper(F.regexp_extract(collapsed(r[0]), r"(?i)^\(?\s*([a-d])\s*\)?\s*[:.)-]*\s*$", 1)).alias("label"), option_value(F.array_join(F.slice(r, 2, 1_000), " ")).alias("value")))
+        return F.array(*(F.coalesce(F.try_element_at(F.transform(F.filter(labelled, lambda x: (x["label"] == k) & (x["value"] != "")), lambda x: x["value"]), F.lit(1)), F.lit("")) for k in "ABCD"))
+
+    return F.try_element_at(F.filter(F.transform(tables, of_table), lambda o: F.forall(o, meaningful)), F.lit(1))
+
+
+def parse_options(text: Column, tables: Column | None = None) -> Column:
     """struct<stem, options (four, '' where unresolved), source>; source is 'fallback' if no stage fits."""
-    fallback = F.struct(collapsed(text).alias("stem"), F.array(*[F.lit("")] * 4).alias("options"), F.lit("fallback").alias("source"))
-    return F.coalesce(*(stage(text, *s) for s in STAGES), fallback)
+    stages = chooser_stages(text)
+    if tables is not None:
+        found = table_options(tables)
+        stages.insert(0, F.when(found.isNotNull(), F.struct(question_text(text).alias("stem"), found.alias("options"), F.lit("table").alias("source"))))
+    for s in STAGES:
+        if s[0] == "packed_upper_labels":
+            stages.append(_by_pattern(text, "implicit_a_lower_bcd", IMPLICIT_A))
+        if s[0] == "compact_upper_numeric_labels":
+            stages.append(_by_pattern(text, "ordered_upper_labels", ORDERED))
+        stages.append(stage(text, *s))
+    fallback = F.struct(question_text(text).alias("stem"), F.array(*[F.lit("")] * 4).alias("options"), F.lit("fallback").alias("source"))
+    return F.coalesce(*stages, fallback)
 
 
 def status(options: Column, text: Column) -> Column:

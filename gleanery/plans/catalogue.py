@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
+from gleanery.functions import titles
 from gleanery.functions.similarity import option_share, ratio
 from gleanery.operators import align, findings, options, schema_rules, scoring
 from gleanery.operators.blocks import sessions, signals
@@ -394,6 +395,27 @@ def j_option_containment(spark, d):
     return table(spark, d, "part").select("p_partkey", option_share(F.col("p_name"), F.array("p_brand", F.split_part("p_name", F.lit(" "), F.lit(1)))).alias("share"))
 
 
+@query("""
+SELECT p_partkey, lower(p_name) || ' and process' AS topic, lower(p_name) || ' and process' AS chapter, p_size > 10 AS chapter_like,
+       CASE WHEN p_size <= 25 THEN 'P11' ELSE 'C12' END AS code, CASE WHEN p_size <= 25 THEN 'physics' ELSE 'chemistry' END AS subject FROM part""")
+def j_topic_key(spark, d):
+    s = F.col("p_size")
+    topic = F.concat(F.lit("• "), "p_name", F.lit(" & Processes  NEET 2020 | 12 pages"))
+    title = F.concat("p_name", F.lit(" and  Processes "))
+    kind = F.when(s <= 10, F.concat("p_name", F.lit(" Flashcards"))).otherwise(F.col("p_name"))
+    code = titles.class_code(F.when(s <= 25, "Physics Class 11").otherwise("Chemistry Class XII"))
+    return table(spark, d, "part").select("p_partkey", titles.topic_key(topic).alias("topic"), titles.chapter_key(title).alias("chapter"), titles.is_chapter(kind).alias("chapter_like"), code.alias("code"), titles.subject(code).alias("subject"))
+
+
+@query("""
+SELECT p_partkey, p_name || ' is what' AS question, p_brand AS option_, 'because' AS before, '(b) ' || p_brand AS after FROM part""")
+def j_question_clean(spark, d):
+    question = F.concat(F.lit("Q12: "), "p_name", F.lit(" [IMG:x.png] is View Answer what (NEET 2019) Choose the correct answer from the options given below :"))
+    option = F.concat(F.lit(": "), "p_brand", F.lit(" Hide Explanation Report it and more"))
+    parts = T.answer_parts(F.concat(F.lit("because Ans: (b) "), "p_brand"))
+    return table(spark, d, "part").select("p_partkey", T.question_text(question).alias("question"), T.option_value(option).alias("option_"), parts["before"].alias("before"), parts["after"].alias("after"))
+
+
 # Parsing
 
 
@@ -407,6 +429,27 @@ def k_cascade(spark, d):
     return r.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"), options.status(F.col("r.options"), F.col("text")).alias("status"))
 
 
+@query("""
+SELECT p_partkey, 'Which one is ' || p_name AS stem, p_brand || '|' || p_type || '|size ' || p_size || '|none' AS options,
+       CASE WHEN p_size <= 10 THEN 'table' WHEN p_size <= 20 THEN 'lower_option_lines' WHEN p_size <= 30 THEN 'chooser_lower_markers' ELSE 'implicit_a_lower_bcd' END AS source FROM part""")
+def k_tables_and_choosers(spark, d):
+    s, stem = F.col("p_size"), F.concat(F.lit("Which one is "), "p_name")
+    values = [F.col("p_brand"), F.col("p_type"), F.concat(F.lit("size "), s.cast("string")), F.lit("none")]
+    shown = lambda before, gap: F.concat(*(x for k, v in zip("abcd", values) for x in (F.lit(f"{gap}({k}) "), v)))
+    ask = F.lit("\nChoose the correct answer from the options given below:")
+    text = F.when(s <= 10, stem).when(s <= 20, F.concat(stem, ask, shown("", "\n"))).when(s <= 30, F.concat(stem, ask, shown("", " "))).otherwise(F.concat(stem, F.lit(": "), values[0], *(x for k, v in zip("bcd", values[1:]) for x in (F.lit(f" ({k}) "), v))))
+    html = F.concat(F.lit("<table>"), *(x for k, v in zip("abcd", values) for x in (F.lit(f"<tr><td>({k})</td><td><b>"), v, F.lit("</b></td></tr>"))), F.lit("</table>"))
+    found = table(spark, d, "part").select("p_partkey", options.parse_options(text, P.tables(F.when(s <= 10, html).otherwise(""))).alias("r"))
+    return found.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"))
+
+
+@query("""
+SELECT page_id, p AS pos, line FROM (SELECT page_id, unnest([0, 1]) AS p, unnest([url, '[IMG:' || page_id || '.png] tail']) AS line FROM pages)""")
+def d_element_lines(spark, d):
+    html = F.concat(F.lit("<div><script>var a;</script>"), "url", F.lit("<br/><img class='x' src='"), F.col("page_id").cast("string"), F.lit(".png'>tail<table><tr><td>x</td></tr></table></div>"))
+    return table(spark, d, "pages").select("page_id", F.posexplode(P.shown_lines(html)).alias("pos", "line"))
+
+
 @query("""
 SELECT p_partkey, n AS n_error, field, type FROM (
   SELECT p_partkey, 0 AS n, 'year' AS field, 'missing_key' AS type FROM part WHERE p_size <= 10
