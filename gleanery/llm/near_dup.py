@@ -19,8 +19,10 @@ SHINGLE, SIMILAR = 5, 0.8
 #: Two documents of similarity 0.8 agree on none of the bands once in 14,000 times.
 BANDS, ROWS = 24, 5
 #: Signatures that agree on less than this share of coordinates are not compared as
-#: texts: 5.5 standard errors below SIMILAR.
-HOPELESS = 0.6
+#: texts: 4 standard errors below SIMILAR.
+HOPELESS = 0.65
+#: Documents of a block where a bucket's members are compared one by one.
+BLOCK = 512
 #: Code points hashed at once.
 CHUNK = 1 << 20
 #: Narrow rows up to which a table of ids is broadcast.
@@ -204,6 +206,64 @@ def _links(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, name: str)
     return written(likely.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInPandas(_verified, "a long, b long, similarity double"), f"{name}-links")
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids, texts = b.column("id"), b.column("text").to_pylist()
+        for i in range(0, len(texts), 64):
+            part = [h.tobytes() for h, _ in shingles(texts[i : i + 64])]
+            yield pa.RecordBatch.from_arrays([ids.slice(i, len(part)), pa.array(part, pa.binary())], names=["id", "shingles"])
+
+
+def _between_blocks(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+    """Links between the components of two blocks of a bucket (or of one block), each pair
+    in the first bucket that it shares. Components once linked here are one from then on."""
+    bucket, i, j = key
+    out: list[tuple[int, int, float]] = []
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    ids, labels, block = b.id.to_numpy(), b.label.to_numpy(), b.block.to_numpy()
+    sig = np.frombuffer(b"".join(map(bytes, b.signature)), np.uint32).reshape(len(b), -1)
+    bands = np.array(b.bands.tolist(), np.int64)
+    own = [np.frombuffer(bytes(x), np.uint64) for x in b.shingles]
+    band = int(np.argmax(bands[0] == bucket))
+    right = np.flatnonzero(block == j)
+    for x in np.flatnonzero(block == i):
+        ys = right[ids[right] > ids[x]] if i == j else right
+        ys = ys[labels[ys] != labels[x]]
+        if len(ys):
+            ys = ys[(bands[ys] == bands[x]).argmax(axis=1) == band]
+        if len(ys):
+            ys = ys[(sig[ys] == sig[x]).mean(axis=1) >= HOPELESS]
+        for y in ys:
+            if root(labels[x]) == root(labels[y]):
+                continue
+            shared = len(np.intersect1d(own[x], own[y], assume_unique=True))
+            union = len(own[x]) + len(own[y]) - shared
+            if shared >= SIMILAR * union:
+                out.append((min(ids[x], ids[y]), max(ids[x], ids[y]), shared / union))
+                parent[root(labels[x])] = root(labels[y])
+    return pd.DataFrame(out, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
+
+
+def _residual(placed: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, similarity: what links different components within the buckets `placed` (bucket,
+    id, label). Members are dealt to blocks and each two blocks of a bucket meet in a group of
+    bounded size, where pairs are compared and only links come out."""
+    ids = placed.select("id").distinct()
+    own = texts.join(bounded_broadcast(ids, SMALL), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_shingled, "id long, shingles binary")
+    data = written(own.join(signatures, "id"), "residual")
+    sizes = placed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = placed.select("bucket", "id", "label").join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+    met = dealt.select("bucket", "id", "label", "block", F.explode(others).alias("m")).select("bucket", "m.i", "m.j", "id", "label", "block")
+    return written(met.join(data, "id").groupBy("bucket", "i", "j").applyInPandas(_between_blocks, "a long, b long, similarity double"), "dup3-links")
+
+
 def _other(x: str, y: str) -> tuple[Column, Column]:
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
@@ -240,9 +300,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
     members = written(members.join(mass, "id").select("bucket", "id", "mass"), "members")
     best = F.max_by("id", F.struct("mass", -F.col("id"))).alias("hub")
     hubs = members.groupBy("bucket").agg(best)
-    first = members.join(hubs, "bucket").where("id != hub").select(*_other("id", "hub")).distinct()
+    first = written(members.join(hubs, "bucket").where("id != hub").select(*_other("id", "hub")).distinct(), "first-pairs")
     links = _links(first, signatures, rows, "dup1")
-    tried = written(first, "tried")
     for n in (2, 3):
         labels = components(links)
         placed = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -253,14 +312,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
         if n == 2:
             inner = placed.join(hubs.join(labels.select(F.col("id").alias("hub"), F.col("label").alias("of")), "hub", "left").select("bucket", F.coalesce("of", "hub").alias("of")), "bucket")
             second = inner.where("label != of").groupBy("bucket").agg(best, F.max_by("label", F.struct("mass", -F.col("id"))).alias("own"))
-            pairs = placed.join(second, "bucket").where("label != own").select(*_other("id", "hub"))
+            pairs = placed.join(second, "bucket").where("label != own").select(*_other("id", "hub")).distinct()
+            links = links.unionByName(_links(pairs.join(first, ["a", "b"], "left_anti"), signatures, rows, "dup2"))
         else:
-            x, y = (placed.select("bucket", F.col("id").alias(i), F.col("label").alias(l)) for i, l in (("x", "lx"), ("y", "ly")))
-            pairs = x.join(y, "bucket").where("x < y and lx != ly").select(*_other("x", "y"))
-        fresh = pairs.distinct().join(tried, ["a", "b"], "left_anti")
-        more = _links(fresh, signatures, rows, f"dup{n}")
-        tried = written(tried.unionByName(pairs.distinct()).distinct(), "tried") if n == 2 else tried
-        links = links.unionByName(more)
+            links = links.unionByName(_residual(placed, signatures, rows))
     labels = components(links)
     # The first document of each text, with its class; then all documents of that text.
     heads = same.join(labels.withColumnRenamed("id", "head"), "head", "left").select("same", F.coalesce("label", "head").alias("class_id"))

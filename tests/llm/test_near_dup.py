@@ -110,3 +110,16 @@ def test_components(spark):
             parent[max(x, y)] = min(x, y)
     got = {x.id: x.label for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_residual_in_small_blocks(spark, monkeypatch):
+    """Chains that no hub covers, compared in blocks of two."""
+    monkeypatch.setattr(m, "BLOCK", 2)
+    rows = []
+    for c in range(3):
+        text = words(40 + c, 300)
+        for i in range(9):
+            rows.append((100 * c + (i * 5) % 9, text))
+            text = edit(text, 4, 1000 * c + i)
+    classes, _ = m.near_duplicates(docs(spark, rows))
+    assert {r.id: r.class_id for r in classes.collect()} == brute(rows)
