@@ -59,6 +59,13 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def digest_column(payload: Column) -> Column:
+    """The same of a column: five hex digits are four of base 32."""
+    h = F.sha1(payload)
+    fours = (F.lpad(F.conv(F.substring(h, i, 5), 16, 32), 4, "0") for i in range(1, 41, 5))
+    return F.translate(F.concat(*fours), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
 def _file_system(path: str) -> tuple[pafs.FileSystem, str]:
     if "://" in path or path.startswith("file:"):
         return (pafs.LocalFileSystem(), unquote(urlparse(path).path)) if path.startswith("file:") else pafs.FileSystem.from_uri(path)
@@ -294,11 +301,7 @@ def archive_rows(pages: DataFrame, least: int = 0) -> DataFrame:
     the least. Other columns are not read.
     """
 
-    @F.udf("string", useArrow=True)
-    def digest_of(html: str) -> str:
-        return digest(html.encode("utf-8", "surrogatepass"))
-
-    rows = pages.select("page_id", "url", text_or_empty("html").alias("html")).withColumn("digest", digest_of("html")).withColumn("n_bytes", F.octet_length("html"))
+    rows = pages.select("page_id", "url", text_or_empty("html").alias("html")).withColumn("digest", digest_column(F.col("html").cast("binary"))).withColumn("n_bytes", F.octet_length("html"))
     # Only payloads that occur twice need a first page; those of one copy, nearly all, get none.
     firsts = rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     joined = rows.join(bounded_broadcast(written(firsts, "first-pages"), SMALL), "digest", "left")
@@ -329,16 +332,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = "record_type,record_id,payload_digest,refers_to,headers,payload"
     records = spark.read.format("warc").option("columns", wanted).load(path).where(F.col("record_type").isin("response", "revisit"))
 
-    @F.udf("string", useArrow=True)
-    def checked(payload: bytes, told: str, kind: str) -> str:
-        """The payload's digest as read back; a revisit's is its header's."""
-        return digest(bytes(payload or b"")) if kind == "response" else told.removeprefix("sha1:")
-
+    # A response's digest is taken of the payload as read back; a revisit's is its header's.
+    told = F.regexp_replace("payload_digest", "^sha1:", "")
+    own = F.when(F.col("record_type") == "response", digest_column(F.coalesce("payload", F.lit(b"")))).otherwise(told)
     length = F.when(F.col("record_type") == "response", F.octet_length("payload")).otherwise(F.col("headers")["x-payload-bytes"].cast("long"))
     return records.select(
         page_of(F.col("record_id")).alias("page_id"),
         length.cast("long").alias("payload_bytes"),
-        checked("payload", "payload_digest", "record_type").alias("payload_digest"),
+        own.alias("payload_digest"),
         "record_type",
         page_of(F.col("refers_to")).alias("refers_to"),
     )
