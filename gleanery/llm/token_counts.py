@@ -259,11 +259,16 @@ class PrefixCounter:
             if done > budget:
                 break
             best = start  # what stands before it, with the white space
-            t = self.chunk_table(chunk)
-            best = max([best, *(start + i for i, n in enumerate(t, 1) if done + n <= budget)])
-            done += t[-1]
-        else:
-            best = len(text) if done <= budget else best
+            n = self.count(chunk) if self.special and "<|" in chunk else self.totals.get(self.normal(chunk))
+            if n is None:
+                n = self.count(chunk)
+            if done + n <= budget:
+                best = start + len(chunk)
+            else:  # the budget ends within this chunk: its own prefixes tell where
+                best = max([best, *(start + i for i, k in enumerate(self.chunk_table(chunk), 1) if done + k <= budget)])
+            done += n
+        if done <= budget:
+            best = len(text)
         return best
 
 
