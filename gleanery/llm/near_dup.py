@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
     of each takes part in what follows. Those that share a band meet in a bucket. In each
     bucket one document, the one whose bands are shared the most (in a group of copies
     of one text, that text), is compared with all others, then the like among those
-    not linked to it; only pairs of a bucket that are in different components after
+    not linked to it; only pairs of the rest that are in different components after
     that are compared one by one. So the pairs grow with the members, not their square,
     and no link between components is lost.
 
@@ -302,18 +302,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
     hubs = members.groupBy("bucket").agg(best)
     first = written(members.join(hubs, "bucket").where("id != hub").select(*_other("id", "hub")).distinct(), "first-pairs")
     links = _links(first, signatures, rows, "dup1")
+    # A hub has met all of its bucket; what may still be linked is among the others.
+    left = members.join(hubs, "bucket").where("id != hub")
     for n in (2, 3):
         labels = components(links)
-        placed = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        placed = left.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         mixed = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")
         placed = written(placed.join(mixed, "bucket"), "mixed")
         if placed.isEmpty():
             break
         if n == 2:
-            inner = placed.join(hubs.join(labels.select(F.col("id").alias("hub"), F.col("label").alias("of")), "hub", "left").select("bucket", F.coalesce("of", "hub").alias("of")), "bucket")
-            second = inner.where("label != of").groupBy("bucket").agg(best, F.max_by("label", F.struct("mass", -F.col("id"))).alias("own"))
-            pairs = placed.join(second, "bucket").where("label != own").select(*_other("id", "hub")).distinct()
+            of = labels.select(F.col("id").alias("hub"), F.col("label").alias("of"))
+            inner = placed.join(of, "hub", "left").where(F.col("label") != F.coalesce("of", "hub"))
+            second = written(inner.groupBy("bucket").agg(best, F.max_by("label", F.struct("mass", -F.col("id"))).alias("own")), "second-hubs")
+            placed = placed.drop("hub").join(second, "bucket")
+            pairs = placed.where("label != own").select(*_other("id", "hub")).distinct()
             links = links.unionByName(_links(pairs.join(first, ["a", "b"], "left_anti"), signatures, rows, "dup2"))
+            left = placed.where("id != hub").select("bucket", "id", "mass", "hub")
         else:
             links = links.unionByName(_residual(placed, signatures, rows))
     labels = components(links)
