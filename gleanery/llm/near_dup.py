@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import bounded_broadcast, table, text_or_empty, written
@@ -23,6 +23,11 @@ BANDS, ROWS = 24, 5
 HOPELESS = 0.65
 #: Documents of a block where a bucket's members are compared one by one.
 BLOCK = 512
+#: Shingle bytes of a block where all members of a class are compared; classes of one block
+#: or less share tasks up to as many.
+CLASS_BYTES = 16 << 20
+#: Cells of the incidence matrices that are multiplied at once.
+CELLS = 1 << 22
 #: Code points hashed at once.
 CHUNK = 1 << 20
 #: Narrow rows up to which a table of ids is broadcast.
@@ -264,29 +269,100 @@ def _residual(placed: DataFrame, signatures: DataFrame, texts: DataFrame) -> Dat
     return written(met.join(data, "id").groupBy("bucket", "i", "j").applyInPandas(_between_blocks, "a long, b long, similarity double"), "dup3-links")
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = b.column("text").to_pylist()
+        for i in range(0, len(texts), 64):
+            part = [h.tobytes() for h, _ in shingles(texts[i : i + 64])]
+            yield pa.RecordBatch.from_arrays([b.column("id").slice(i, len(part)), b.column("label").slice(i, len(part)), pa.array(part, pa.binary())], names=["id", "label", "shingles"])
+
+
+def _overlaps(x: Sequence[np.ndarray], y: Sequence[np.ndarray]) -> np.ndarray:
+    """How many shingles each of x shares with each of y, exactly: products of incidence
+    matrices, over stretches of the shingles that both sides have."""
+    flat = [np.concatenate(z) for z in (x, y)]
+    common = np.intersect1d(*flat)
+    found = []
+    for z, f in zip((x, y), flat):
+        at = np.minimum(np.searchsorted(common, f), max(0, len(common) - 1))
+        hit = common[at] == f if len(common) else np.zeros(len(f), bool)
+        order = np.argsort(at[hit], kind="stable")
+        found.append((at[hit][order], np.repeat(np.arange(len(z)), [len(s) for s in z])[hit][order]))
+    out = np.zeros((len(x), len(y)), np.int64)
+    width = max(1, CELLS // (len(x) + len(y)))
+    for start in range(0, len(common), width):
+        end = min(start + width, len(common))
+        sides = []
+        for z, (at, row) in zip((x, y), found):
+            part = slice(*np.searchsorted(at, (start, end)))
+            m = np.zeros((len(z), end - start), np.float32)  # sums of up to `width` ones are exact
+            m[row[part], at[part] - start] = 1
+            sides.append(m)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    return out
+
+
+def _near_pairs(i: int, j: int, b: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each class: ids, ids and similarity of the near-duplicates between blocks i and j."""
+    b = b.sort_values("label", kind="stable")
+    ids, labels, block = b.id.to_numpy(), b.label.to_numpy(), b.block.to_numpy()
+    own = [np.frombuffer(bytes(x), np.uint64) for x in b.shingles]
+    size = np.array([len(x) for x in own], np.int64)
+    edge = np.flatnonzero(np.concatenate([[True], labels[1:] != labels[:-1], [True]]))
+    for start, end in zip(edge, edge[1:]):
+        left, right = (start + np.flatnonzero(block[start:end] == n) for n in (i, j))
+        if not len(left) or not len(right):
+            continue
+        shared = _overlaps([own[n] for n in left], [own[n] for n in right])
+        union = size[left][:, None] + size[right] - shared
+        near = shared >= SIMILAR * union
+        x, y = np.nonzero(np.triu(near, 1) if i == j else near)
+        yield ids[left[x]], ids[right[y]], shared[x, y] / union[x, y]
+
+
+def _class_links(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+    out = [pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "similarity": s}) for x, y, s in _near_pairs(*key[2:], b)]
+    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "similarity": []})
+
+
+def _class_degrees(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+    ends = [z for x, y, _ in _near_pairs(*key[2:], b) for z in (x, y)]
+    ids, n = np.unique(np.concatenate(ends) if ends else np.zeros(0, np.int64), return_counts=True)
+    return pd.DataFrame({"id": ids, "n_links": n})
+
+
+def _within_classes(labels: DataFrame, texts: DataFrame) -> GroupedData:
+    """Groups in which every two members of a class (labels: id, label) meet once: a link's
+    ends are in one class, so these hold all links. Members of a large class are dealt
+    to blocks, and each two of its blocks are a group; small classes share groups."""
+    named = texts.join(bounded_broadcast(labels, SMALL), "id").dropDuplicates(["id"])
+    own = written(named.mapInArrow(_labelled, "id long, label long, shingles binary"), "class-shingles")
+    n_bytes = F.sum(F.octet_length("shingles"))
+    sizes = own.groupBy("label").agg(n_bytes.alias("bytes"), F.ceil(F.greatest(F.count("*") / BLOCK, n_bytes / CLASS_BYTES)).cast("int").alias("blocks"))
+    sizes = written(sizes, "class-sizes")
+    lots = 1 + (sizes.where("blocks = 1").agg(F.sum("bytes")).first()[0] or 0) // CLASS_BYTES
+    large = sizes.where("blocks > 1").select("label", "blocks")
+    dealt = own.join(bounded_broadcast(large, SMALL), "label", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("id"), "blocks"), F.lit(0)).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+    lot = F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("label"), F.lit(lots))).otherwise(F.lit(-1))
+    met = dealt.select("id", "label", "block", "shingles", lot.alias("lot"), F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.col("label")).alias("large"), F.explode(others).alias("m"))
+    return met.select("large", "lot", "m.i", "m.j", "id", "label", "block", "shingles").groupBy("large", "lot", "i", "j")
+
+
 def _other(x: str, y: str) -> tuple[Column, Column]:
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Classes and links.
-
-    classes: id, class_id, one row per row of docs; class_id is the least id of the
-    documents that are linked to it, directly or through others. links: a, b,
-    similarity, between documents of different text.
+def _classed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """id, head, class_id of each row of docs; id, label of the heads that have links; id, text.
 
     Equal texts are one class from the start, whoever they are, and only the least id
-    of each takes part in what follows. Those that share a band meet in a bucket. In each
-    bucket one document, the one whose bands are shared the most (in a group of copies
+    of each, the head, takes part in what follows. Those that share a band meet in a bucket.
+    In each bucket one document, the one whose bands are shared the most (in a group of copies
     of one text, that text), is compared with all others, then the like among those
     not linked to it; only pairs of the rest that are in different components after
     that are compared one by one. So the pairs grow with the members, not their square,
     and no link between components is lost.
-
-    Null text counts as empty; texts without words are alike only if equal. Rows that
-    share an id are taken to be one document where their texts are equal, and any of
-    them otherwise. Null ids form no links: class_id null. Empty table: empty results.
-    Other columns are not read.
     """
     rows = docs.select(F.col(key).alias("id"), text_or_empty().alias("text"))
     signed = written(rows.where("id is not null").mapInArrow(_signed, "id long, same binary, signature binary, bands array<long>"), "signatures")
@@ -323,21 +399,43 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
             links = links.unionByName(_residual(placed, signatures, rows))
     labels = components(links)
     # The first document of each text, with its class; then all documents of that text.
-    heads = same.join(labels.withColumnRenamed("id", "head"), "head", "left").select("same", F.coalesce("label", "head").alias("class_id"))
-    classes = signed.select("id", "same").join(heads, "same").select("id", "class_id")
-    nameless = rows.where("id is null").select("id", F.lit(None).cast("long").alias("class_id"))
-    return classes.unionByName(nameless), links
+    heads = same.join(labels.withColumnRenamed("id", "head"), "head", "left").select("same", "head", F.coalesce("label", "head").alias("class_id"))
+    classes = signed.select("id", "same").join(heads, "same").select("id", "head", "class_id")
+    none = F.lit(None).cast("long")
+    nameless = rows.where("id is null").select("id", none.alias("head"), none.alias("class_id"))
+    return classes.unionByName(nameless), labels, rows
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Classes and links.
+
+    classes: id, class_id, one row per row of docs; class_id is the least id of the
+    documents that are linked to it, directly or through others. links: a, b,
+    similarity, between the least ids of different texts: every two texts of a class
+    that are near-duplicates, not only what it takes to hold the class together.
+
+    Null text counts as empty; texts without words are alike only if equal. Rows that
+    share an id are taken to be one document where their texts are equal, and any of
+    them otherwise. Null ids form no links: class_id null. Empty table: empty results.
+    Other columns are not read.
+    """
+    classes, labels, rows = _classed(docs, key)
+    links = _within_classes(labels, rows).applyInPandas(_class_links, "a long, b long, similarity double")
+    return classes.select("id", "class_id"), links
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """docs with one document of each class, that of the least id; rows of that id all
     stay, as do rows without an id. All columns as they were, whatever they are named."""
-    classes, _ = near_duplicates(docs, key)
+    classes, _, _ = _classed(docs, key)
     extra = written(classes.where("id != class_id").select(F.col("id").alias("__copy")).distinct(), "copies")
     return docs.join(bounded_broadcast(extra, SMALL), F.col(f"`{key}`") == F.col("__copy"), "left_anti")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes, links = near_duplicates(table(spark, sf_dir, "documents"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    return classes.join(degree, "id", "left").select(F.col("id").alias("doc_id"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    """doc_id, class_id, n_links: how many other texts are near-duplicates of the document's
+    own; the same for all copies of one text."""
+    classes, labels, rows = _classed(table(spark, sf_dir, "documents"), "doc_id")
+    degrees = _within_classes(labels, rows).applyInPandas(_class_degrees, "id long, n_links long").groupBy(F.col("id").alias("head")).agg(F.sum("n_links").alias("n_links"))
+    degrees = written(degrees, "degrees")
+    return classes.join(bounded_broadcast(degrees, SMALL), "head", "left").select(F.col("id").alias("doc_id"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))

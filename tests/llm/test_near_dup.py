@@ -5,7 +5,7 @@ import numpy as np
 
 from gleanery.llm import near_dup as m
 from gleanery.llm.components import components
-from tests.llm.fixtures import docs, words
+from tests.llm.fixtures import docs, save, words
 
 
 def edit(text, n, seed):
@@ -123,3 +123,34 @@ def test_residual_in_small_blocks(spark, monkeypatch):
             text = edit(text, 4, 1000 * c + i)
     classes, _ = m.near_duplicates(docs(spark, rows))
     assert {r.id: r.class_id for r in classes.collect()} == brute(rows)
+
+
+def brute_links(rows):
+    """All links between the least ids of different texts."""
+    heads = {}
+    for i, t in rows:
+        heads[t or ""] = min(i, heads.get(t or "", i))
+    sets = {i: m.shingles([t])[0][0] for t, i in heads.items()}
+    out = set()
+    for x in sets:
+        for y in sets:
+            shared = len(np.intersect1d(sets[x], sets[y]))
+            if x < y and shared and shared >= 0.8 * (len(sets[x]) + len(sets[y]) - shared):
+                out.add((x, y))
+    return out, {i: heads[t or ""] for i, t in rows}
+
+
+def test_all_links_are_there(spark, tmp_path, monkeypatch):
+    """In a class whose members are nearly all alike, in blocks and in one; copies count as their text does."""
+    base = words(1, 150)
+    rows = table() + [(200 + i, edit(base, 1 + i % 3, 50 + i)) for i in range(30)] + [(300, edit(base, 1, 50)), (301, base)]
+    want, head = brute_links(rows)
+    assert len(want) > 200
+    frame = docs(spark, rows)
+    save(frame, tmp_path, "documents")
+    for block in (512, 7):
+        monkeypatch.setattr(m, "BLOCK", block)
+        got = [(r.a, r.b) for r in m.near_duplicates(frame)[1].collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        counts = {r.doc_id: r.n_links for r in m.op3(spark, str(tmp_path)).collect()}
+        assert counts == {i: sum(h in w for w in want) for i, h in head.items()}
