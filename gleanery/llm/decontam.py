@@ -22,8 +22,10 @@ from gleanery.llm.common import table, text_or_empty
 PASSAGE, STRIDE, UNIT = 64, 32, 40
 #: Share of a unit's own BM25 score that a passage must reach to be looked at closely.
 THRESHOLD = 0.5
-#: Share of the question's word shingles, and of the answer's, that the document must have.
+#: Share of the item's word shingles that the matched passages must have; or of the question's
+#: and of the answer's that the document must have, where the two stand apart.
 OVERLAP = 0.5
+ITEM_SHINGLE = 5
 QUESTION_SHINGLE, ANSWER_SHINGLE = 5, 2
 K1, B = 1.2, 0.75
 #: Postings of a block, each with its own greatest impact.
@@ -64,6 +66,19 @@ def overlap(part: Sequence[str], n: int, text: Sequence[str]) -> float:
     return 1.0 if not own else len(own & {tuple(text[i : i + size]) for i in range(len(text) - size + 1)}) / len(own)
 
 
+def item_overlap(item: Sequence[str], text: Sequence[str], spans: Sequence[tuple[int, int]]) -> float:
+    """Share of the item's shingles that the passages (first word, one past the last) of the text have."""
+    own, size = grams(item, ITEM_SHINGLE), min(ITEM_SHINGLE, len(item))
+    found: set[tuple[str, ...]] = set()
+    begin = end = 0
+    for a, b in [*sorted(spans), (len(text) + 1, len(text) + 1)]:
+        if a > end:  # passages that touch are one stretch
+            found.update(own & {tuple(text[i : i + size]) for i in range(begin, end - size + 1)})
+            begin = a
+        end = max(end, b)
+    return len(found) / len(own)
+
+
 class Index:
     """Postings by term, in unit order, with the unit's BM25 impact as a share of the score
     that its own text has, and in blocks with their greatest impact."""
@@ -108,6 +123,7 @@ class Index:
         self.first_doc = np.array([d for d, _ in flat], np.int64)
         self.first_impact = np.array([i for _, i in flat])
         self.parts = [question_and_answer(t) for _, t in self.items]
+        self.words = [words_of(t) for _, t in self.items]
 
     def search(self, terms: Sequence[int], theta: float = THRESHOLD) -> list[tuple[int, float]]:
         """Block-max WAND: all units (unit, score) whose score for these distinct terms is theta or more."""
@@ -181,9 +197,9 @@ class Index:
         begin = (hot - first_window[d]) * STRIDE
         return [(int(i), int(a), int(min(a + PASSAGE, owner_words[i]))) for i, a in zip(d, begin)]
 
-    def matches(self, texts: Sequence[str]) -> list[list[tuple[int, float, float, float]]]:
-        """For each text: (item id, best score, question overlap, answer overlap) of the items that it has."""
-        out: list[list[tuple[int, float, float, float]]] = [[] for _ in texts]
+    def matches(self, texts: Sequence[str]) -> list[list[tuple[int, float, float, float, float]]]:
+        """For each text: (item id, best score, item, question and answer overlap) of the items that it has."""
+        out: list[list[tuple[int, float, float, float, float]]] = [[] for _ in texts]
         if not self.terms:
             return out
         at = 0
@@ -198,16 +214,21 @@ class Index:
             terms = np.fromiter((get(w, -1) for ws in chunk for w in ws), np.int64, total)
             begin = np.cumsum(counts) - counts
             best: dict[tuple[int, int], float] = {}
+            spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
             for doc, a, b in self.passages(terms, counts):
                 asked = terms[begin[doc] + a : begin[doc] + b]
                 for unit, score in self.search(sorted({int(t) for t in asked if t >= 0})):
                     k = doc, self.item_of[unit]
                     best[k] = max(best.get(k, 0.0), score)
+                    spans.setdefault(k, []).append((a, b))
             for (doc, n), score in sorted(best.items()):
                 question, answer = self.parts[n]
+                whole = item_overlap(self.words[n], chunk[doc], spans[doc, n])
                 q = overlap(question, QUESTION_SHINGLE, chunk[doc])
-                if q >= OVERLAP and (a := overlap(answer, ANSWER_SHINGLE, chunk[doc])) >= OVERLAP:
-                    out[at + doc].append((self.items[n][0], min(score, 1.0), q, a))
+                a = overlap(answer, ANSWER_SHINGLE, chunk[doc])
+                # No answer is marked: the guess at one may add a match, never veto one.
+                if whole >= OVERLAP or (q >= OVERLAP and a >= OVERLAP):
+                    out[at + doc].append((self.items[n][0], min(score, 1.0), whole, q, a))
             at += len(chunk)
         return out
 
@@ -224,11 +245,11 @@ def _index(items: Sequence[tuple[int, str]]) -> Index:
     return _indexes[key]
 
 
-MATCH = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
+MATCH = "array<struct<item_id:long,score:double,item_overlap:double,question_overlap:double,answer_overlap:double>>"
 
 
 def _matcher(shared):
-    names = ("item_id", "score", "question_overlap", "answer_overlap")
+    names = ("item_id", "score", "item_overlap", "question_overlap", "answer_overlap")
 
     @F.pandas_udf(MATCH)
     def matched(text: pd.Series) -> pd.Series:
@@ -256,11 +277,12 @@ def matches(benchmark: DataFrame) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap: one row for each row of
+    """doc_id, item_id, score, item_overlap, question_overlap, answer_overlap: one row for each row of
     docs and each test item that it contains.
 
-    A passage of the document must reach THRESHOLD of a unit's BM25 score, and the document
-    hold OVERLAP of the question's and of the answer's shingles. Null and empty texts
+    A passage of the document must reach THRESHOLD of a unit's BM25 score, and the passages
+    that do hold OVERLAP of the item's shingles; or else the document that share of the
+    question's and of the (guessed) answer's. Null and empty texts
     contain nothing. Equal rows and null ids each get their own rows. No items: no rows.
     Texts are searched whole. Other columns are not read.
     """

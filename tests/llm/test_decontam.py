@@ -75,3 +75,17 @@ def test_empty(spark, items):
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert m.contaminated(docs(spark, []), bench).count() == 0
     assert m.contaminated(docs(spark, [(1, "x")]), bench.limit(0)).count() == 0
+
+
+def test_parts_of_an_item_are_leaks(spark):
+    """An item without its first or last words, or with a changed last sentence, is found; a quarter of it is not."""
+    items = [(i, words(i, 20 + 9 * i).capitalize() + ". " + words(500 + i, 1 + i % 4).capitalize() + ".") for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = []
+    for i, t in items:
+        w = t.split()
+        last = len(m.question_and_answer(t)[1])
+        kept = [w[: -(-len(w) * 9 // 10)], w[: -(-len(w) * 7 // 10)], w[len(w) // 5 :], [*w[:-last], *words(700 + i, last).split()], w[: len(w) // 4]]
+        rows += [(10 * i + n, f"{words(2000 + i, 70)} {' '.join(k)} {words(3000 + i, 80)}") for n, k in enumerate(kept)]
+    got = {(r.doc_id, r.item_id) for r in m.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(10 * i + n, i) for i, _ in items for n in range(4)}
