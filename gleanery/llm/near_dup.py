@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -173,7 +172,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(at, end - at),
-                    pa.array([hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in part], pa.binary()),
+                    b.column("same").slice(at, end - at),
                     pa.array([r.tobytes() for r in sig], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].ravel())),
                 ],
@@ -201,12 +200,21 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
 
 
-def _links(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+#: The texts of a table of text numbers (id), with its other columns.
+Texts = Callable[[DataFrame], DataFrame]
+
+
+def _same() -> Column:
+    """The text's hash; texts of the same hash are taken to be equal."""
+    return F.unhex(F.md5(text_or_empty()))
+
+
+def _links(pairs: DataFrame, signatures: DataFrame, texts: Texts, name: str) -> DataFrame:
     """a, b, similarity: those of the pairs that are near-duplicates by their whole texts."""
     a, b = (signatures.select(F.col("id").alias(x), F.col("signature").alias(f"s{x}")) for x in "ab")
     likely = written(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInPandas(_alike, "a long, b long"), f"{name}-likely")
     ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = written(texts.join(bounded_broadcast(ids, SMALL), "id", "left_semi").dropDuplicates(["id"]), f"{name}-texts")
+    own = written(texts(ids), f"{name}-texts")
     a, b = (own.select(F.col("id").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
     return written(likely.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInPandas(_verified, "a long, b long, similarity double"), f"{name}-links")
 
@@ -255,12 +263,12 @@ def _between_blocks(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
 
 
-def _residual(placed: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
+def _residual(placed: DataFrame, signatures: DataFrame, texts: Texts) -> DataFrame:
     """a, b, similarity: what links different components within the buckets `placed` (bucket,
     id, label). Members are dealt to blocks and each two blocks of a bucket meet in a group of
     bounded size, where pairs are compared and only links come out."""
     ids = placed.select("id").distinct()
-    own = texts.join(bounded_broadcast(ids, SMALL), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_shingled, "id long, shingles binary")
+    own = texts(ids).mapInArrow(_shingled, "id long, shingles binary")
     data = written(own.join(signatures, "id"), "residual")
     sizes = placed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = placed.select("bucket", "id", "label").join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
@@ -331,12 +339,11 @@ def _class_degrees(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": ids, "n_links": n})
 
 
-def _within_classes(labels: DataFrame, texts: DataFrame) -> GroupedData:
+def _within_classes(labels: DataFrame, texts: Texts) -> GroupedData:
     """Groups in which every two members of a class (labels: id, label) meet once: a link's
     ends are in one class, so these hold all links. Members of a large class are dealt
     to blocks, and each two of its blocks are a group; small classes share groups."""
-    named = texts.join(bounded_broadcast(labels, SMALL), "id").dropDuplicates(["id"])
-    own = written(named.mapInArrow(_labelled, "id long, label long, shingles binary"), "class-shingles")
+    own = written(texts(labels).mapInArrow(_labelled, "id long, label long, shingles binary"), "class-shingles")
     n_bytes = F.sum(F.octet_length("shingles"))
     sizes = own.groupBy("label").agg(n_bytes.alias("bytes"), F.ceil(F.greatest(F.count("*") / BLOCK, n_bytes / CLASS_BYTES)).cast("int").alias("blocks"))
     sizes = written(sizes, "class-sizes")
@@ -353,22 +360,32 @@ def _other(x: str, y: str) -> tuple[Column, Column]:
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def _classed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """id, head, class_id of each row of docs; id, label of the heads that have links; id, text.
+def _classed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame, Texts]:
+    """doc, same, head, class_id, keeper of each row of docs; id, least of each text; id, label
+    of the texts that have links; and the texts by number.
 
-    Equal texts are one class from the start, whoever they are, and only the least id
-    of each, the head, takes part in what follows. Those that share a band meet in a bucket.
+    Rows are what their id and text are: those of equal text are one class from the start,
+    whoever they are, and each different text, under a number of its own (id; in classes,
+    head), takes part in what follows. Those that share a band meet in a bucket.
     In each bucket one document, the one whose bands are shared the most (in a group of copies
     of one text, that text), is compared with all others, then the like among those
     not linked to it; only pairs of the rest that are in different components after
     that are compared one by one. So the pairs grow with the members, not their square,
-    and no link between components is lost.
+    and no link between components is lost. class_id is the class's least id, null where
+    no row of it has one; keeper is the class's least hash of a text.
     """
-    rows = docs.select(F.col(key).alias("id"), text_or_empty().alias("text"))
-    signed = written(rows.where("id is not null").mapInArrow(_signed, "id long, same binary, signature binary, bands array<long>"), "signatures")
-    same = written(signed.groupBy("same").agg(F.min("id").alias("head")), "same-texts")
-    firsts = signed.join(same, "same").where("id = head").dropDuplicates(["id"])
-    signatures = written(firsts.select("id", "signature", "bands"), "first-signatures")
+    rows = docs.select(F.col(key).alias("id"), _same().alias("same"), text_or_empty().alias("text"))
+    signed = written(rows.mapInArrow(_signed, "id long, same binary, signature binary, bands array<long>"), "signatures")
+    firsts = signed.groupBy("same").agg(F.min("id").alias("least"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+    firsts = written(firsts.withColumn("id", F.monotonically_increasing_id()), "first-signatures")
+    heads = firsts.select("id", "same", "least")
+
+    def texts(ids: DataFrame) -> DataFrame:
+        named = bounded_broadcast(heads.join(bounded_broadcast(ids, SMALL), "id").withColumnRenamed("same", "of"), SMALL)
+        found = rows.withColumnRenamed("id", "doc").join(named, F.col("same").eqNullSafe(F.col("of")) & F.col("doc").eqNullSafe(F.col("least")))
+        return found.select(*ids.columns, "text").dropDuplicates(["id"])
+
+    signatures = firsts.select("id", "signature", "bands")
     banded = signatures.select("id", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = written(banded.join(sizes, "bucket"), "bucket-members")
@@ -377,7 +394,7 @@ def _classed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame
     best = F.max_by("id", F.struct("mass", -F.col("id"))).alias("hub")
     hubs = members.groupBy("bucket").agg(best)
     first = written(members.join(hubs, "bucket").where("id != hub").select(*_other("id", "hub")).distinct(), "first-pairs")
-    links = _links(first, signatures, rows, "dup1")
+    links = _links(first, signatures, texts, "dup1")
     # A hub has met all of its bucket; what may still be linked is among the others.
     left = members.join(hubs, "bucket").where("id != hub")
     for n in (2, 3):
@@ -393,17 +410,24 @@ def _classed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame
             second = written(inner.groupBy("bucket").agg(best, F.max_by("label", F.struct("mass", -F.col("id"))).alias("own")), "second-hubs")
             placed = placed.drop("hub").join(second, "bucket")
             pairs = placed.where("label != own").select(*_other("id", "hub")).distinct()
-            links = links.unionByName(_links(pairs.join(first, ["a", "b"], "left_anti"), signatures, rows, "dup2"))
+            links = links.unionByName(_links(pairs.join(first, ["a", "b"], "left_anti"), signatures, texts, "dup2"))
             left = placed.where("id != hub").select("bucket", "id", "mass", "hub")
         else:
-            links = links.unionByName(_residual(placed, signatures, rows))
+            links = links.unionByName(_residual(placed, signatures, texts))
     labels = components(links)
-    # The first document of each text, with its class; then all documents of that text.
-    heads = same.join(labels.withColumnRenamed("id", "head"), "head", "left").select("same", "head", F.coalesce("label", "head").alias("class_id"))
-    classes = signed.select("id", "same").join(heads, "same").select("id", "head", "class_id")
-    none = F.lit(None).cast("long")
-    nameless = rows.where("id is null").select("id", none.alias("head"), none.alias("class_id"))
-    return classes.unionByName(nameless), labels, rows
+    # Each text with its class; then all rows of that text.
+    linked = labels.join(heads, "id")
+    least = linked.groupBy("label").agg(F.min("least").alias("class_id"), F.min("same").alias("keeper"))
+    linked = written(linked.join(bounded_broadcast(least, SMALL), "label").select("id", "class_id", "keeper"), "linked")
+    named = heads.join(bounded_broadcast(linked, SMALL), "id", "left")
+    named = named.select("same", F.col("id").alias("head"), F.coalesce("class_id", "least").alias("class_id"), F.coalesce("keeper", "same").alias("keeper"))
+    classes = signed.select(F.col("id").alias("doc"), "same").join(named, "same")
+    return classes, heads.select("id", "least"), labels, texts
+
+
+def _named() -> Column:
+    """The class of a row that has an id."""
+    return F.when(F.col("doc").isNotNull(), F.col("class_id")).alias("class_id")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -415,27 +439,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
     that are near-duplicates, not only what it takes to hold the class together.
 
     Null text counts as empty; texts without words are alike only if equal. Rows that
-    share an id are taken to be one document where their texts are equal, and any of
-    them otherwise. Null ids form no links: class_id null. Empty table: empty results.
-    Other columns are not read.
+    share an id are classed each by its own text. Rows without an id take part, but
+    their class_id is null and texts that only they have are in no row of links. Empty
+    table: empty results. Other columns are not read.
     """
-    classes, labels, rows = _classed(docs, key)
-    links = _within_classes(labels, rows).applyInPandas(_class_links, "a long, b long, similarity double")
-    return classes.select("id", "class_id"), links
+    classes, heads, labels, texts = _classed(docs, key)
+    links = _within_classes(labels, texts).applyInPandas(_class_links, "a long, b long, similarity double")
+    least = written(heads.join(bounded_broadcast(labels, SMALL), "id", "left_semi").where("least is not null"), "link-ends")
+    for x in "ab":
+        ends = bounded_broadcast(least.select(F.col("id").alias(x), F.col("least").alias(f"least_{x}")), SMALL)
+        links = links.join(ends, x)
+    return classes.select(F.col("doc").alias("id"), _named()), links.select(*_other("least_a", "least_b"), "similarity")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs with one document of each class, that of the least id; rows of that id all
-    stay, as do rows without an id. All columns as they were, whatever they are named."""
-    classes, _, _ = _classed(docs, key)
-    extra = written(classes.where("id != class_id").select(F.col("id").alias("__copy")).distinct(), "copies")
-    return docs.join(bounded_broadcast(extra, SMALL), F.col(f"`{key}`") == F.col("__copy"), "left_anti")
+    """docs with one document of each class, that of the least id: the class's rows of that
+    id all stay. Of a class without ids one row stays, of the least text by hash. All columns
+    as they were, whatever they are named."""
+    classes, _, _, _ = _classed(docs, key)
+    copy = F.when(F.col("class_id").isNull(), F.col("same") != F.col("keeper")).otherwise(~F.col("doc").eqNullSafe(F.col("class_id")))
+    extra = written(classes.where(copy).select(F.col("doc").alias("__copy"), F.col("same").alias("__same")).distinct(), "copies")
+    own = F.col(f"`{key}`")
+    kept = docs.join(bounded_broadcast(extra, SMALL), own.eqNullSafe(F.col("__copy")) & (_same() == F.col("__same")), "left_anti")
+    if classes.where("doc is null").isEmpty():
+        return kept
+    nameless = kept.where(own.isNull()).withColumn("__same", _same()).dropDuplicates(["__same"]).drop("__same")
+    return kept.where(own.isNotNull()).unionByName(nameless)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, class_id, n_links: how many other texts are near-duplicates of the document's
+    """doc_id, class_id, n_links: how many other texts are near-duplicates of the row's
     own; the same for all copies of one text."""
-    classes, labels, rows = _classed(table(spark, sf_dir, "documents"), "doc_id")
-    degrees = _within_classes(labels, rows).applyInPandas(_class_degrees, "id long, n_links long").groupBy(F.col("id").alias("head")).agg(F.sum("n_links").alias("n_links"))
+    classes, _, labels, texts = _classed(table(spark, sf_dir, "documents"), "doc_id")
+    degrees = _within_classes(labels, texts).applyInPandas(_class_degrees, "id long, n_links long").groupBy(F.col("id").alias("head")).agg(F.sum("n_links").alias("n_links"))
     degrees = written(degrees, "degrees")
-    return classes.join(bounded_broadcast(degrees, SMALL), "head", "left").select(F.col("id").alias("doc_id"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return classes.join(bounded_broadcast(degrees, SMALL), "head", "left").select(F.col("doc").alias("doc_id"), _named(), F.coalesce("n_links", F.lit(0)).alias("n_links"))

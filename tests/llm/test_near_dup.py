@@ -154,3 +154,12 @@ def test_all_links_are_there(spark, tmp_path, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == want
         counts = {r.doc_id: r.n_links for r in m.op3(spark, str(tmp_path)).collect()}
         assert counts == {i: sum(h in w for w in want) for i, h in head.items()}
+
+
+def test_keep_one_of_rows_that_share_an_id_or_have_none(spark):
+    a, b, c = words(900, 80), words(901, 80), words(902, 120)
+    rows = [(7, a), (7, b), (3, b), (9, edit(a, 1, 1)), (None, b), (None, c), (None, c), (None, edit(c, 1, 2)), (None, words(903, 60))]
+    kept = [(r.doc_id, r.text) for r in m.keep_one(docs(spark, rows, clash=True)).collect()]
+    assert sorted(x for x in kept if x[0] is not None) == sorted([(7, a), (3, b)])
+    nameless = [t for i, t in kept if i is None]
+    assert len(nameless) == 2 and words(903, 60) in nameless and b not in nameless
