@@ -17,14 +17,20 @@ from gleanery.llm.common import table, text_or_empty
 
 #: Elements that stand within a line; all others end the block before and after them.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Formulas stand within a line, with all their parts.
+INLINE |= frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split())
+#: Elements that may stand in a head; any other, or text, ends it.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 #: Elements whose text is never shown as text.
-HIDDEN = frozenset("script style noscript template head title svg math iframe object canvas audio video map select option datalist textarea button input".split())
+HIDDEN = frozenset("annotation annotation-xml script style noscript template head title svg iframe object canvas audio video map select option datalist textarea button input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a new one of these closes, if open: what authors leave out.
 CLOSED_BY = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 P_CLOSERS = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 #: Costs, in nats, of calling a block content although an element around it says boilerplate,
-#: and the other way round. The nearest elements that say something count.
+#: and the other way round. The nearest element that says something counts, names on the page's
+#: own elements do not, and landmarks count from wherever they are.
+LANDMARKS = frozenset("nav footer aside".split())
 BOILER_TAGS = {"nav": 8, "footer": 8, "aside": 8, "form": 8, "header": 6, "menu": 8, "dialog": 8, "figcaption": 0}
 CONTENT_TAGS = {"article": 5, "main": 4}
 BOILER_NAMES = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|respond|replies|disqus|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|promo\w*|sponsor\w*|related|recommend\w*|share|social|sidebar|side-?bar|menu|nav\w*|footer|header|masthead|toolbar|widget|login|signup|copyright|legal|pagination|pager|skip|hidden|sr-only)(?:$|[^a-z])")
@@ -68,9 +74,15 @@ class _Blocks(HTMLParser):
             self.links -= tag == "a"
         del self.open[at:]
 
+    def _leave_head(self) -> None:
+        if self.open and self.open[-1][1] == "head":
+            self._close(len(self.open) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
             self.flush()
+        if tag not in IN_HEAD:
+            self._leave_head()
         closes = CLOSED_BY.get(tag, set()) | ({"p"} if tag in P_CLOSERS else set())
         for at in range(len(self.open) - 1, -1, -1):
             name = self.open[at][1]
@@ -103,6 +115,8 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._leave_head()
         if not self.hidden:
             self.parts.append(data)
             if self.links:
@@ -120,14 +134,20 @@ def blocks_of(html: str) -> list[Block]:
 def terminal_cost(b: Block) -> float:
     """How much rather content than boilerplate a block is, as log odds: the nearest
     element that says so, the share of linked text, the length, sentence ends."""
-    cost, seen = 0.0, False
+    cost, seen, told = 0.0, False, False
     for _, tag, names in reversed(b.path):
-        if tag in BOILER_TAGS or (names and BOILER_NAMES.search(names)):
-            cost -= max(BOILER_TAGS.get(tag, 0), NAME_COST if names and BOILER_NAMES.search(names) else 0)
+        if tag in ("html", "body"):
+            names = ""
+        boiler = max(BOILER_TAGS.get(tag, 0), NAME_COST if names and BOILER_NAMES.search(names) else 0)
+        if boiler:
+            if not told or tag in LANDMARKS:
+                cost -= boiler
+            seen = told = True
+        elif tag in BOILER_TAGS:
             seen = True
         elif not seen and (tag in CONTENT_TAGS or (names and CONTENT_NAMES.search(names))):
             cost += CONTENT_TAGS.get(tag, 3)
-            seen = True
+            seen = told = True
     words = b.text.count(" ") + 1
     cost -= 4.0 * b.linked / len(b.text)
     cost += min(2.0, 0.6 * math.log(words)) - 0.8

@@ -55,3 +55,21 @@ def test_rows(spark):
     assert sorted(map(tuple, got), key=str) == sorted(((i, u, m.main_text(h or ""), len(m.main_text(h or ""))) for i, u, h in rows), key=str)
     assert m.main_text(long).count("\n") == 1499 and m.main_text(rows[5][2]) == ""
     assert m.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_names_far_up_do_not_cost_the_article():
+    paragraphs = [words(i, 40) + "." for i in range(4)]
+    article = "<div class='entry-content'>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</div>"
+    aside = f"<aside><div class='text'><p>{words(71, 20)}.</p></div></aside>"
+    for body in ("<body class='no-sidebar'>", "<body class='page has-sidebar'>", "<body><div class='with-sidebar'><div class='no-banner'>"):
+        assert m.main_text(f"<html><head><title>T</title></head>{body}{article}{aside}</body></html>") == "\n".join(paragraphs)
+
+
+def test_head_without_its_end():
+    for body in (f"<body><p>{words(1, 30)}.</p>", f"<p>{words(1, 30)}.</p>", f"{words(1, 30)}."):
+        assert m.main_text(f"<html><head><title>T</title><meta charset='utf-8'><style>p{{}}</style>\n{body}") == words(1, 30) + "."
+
+
+def test_formulas_are_text():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></mrow><annotation>x=y^2</annotation></semantics></math>"
+    assert m.main_text(page(f"<article><p>{words(1, 20)} {formula} {words(2, 20)}.</p></article>")) == f"{words(1, 20)} x=y2 {words(2, 20)}."
