@@ -47,7 +47,7 @@ def title_key(c: Column) -> Column:
 
 
 def title_from_slug(c: Column) -> Column:
-    return F.array_join(F.transform(F.split(c, "-"), lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, 2, 1_000))), " ")
+    return F.array_join(F.transform(F.split(c, "-"), lambda w: F.concat(F.upper(F.left(w, F.lit(1))), w.substr(F.lit(2), F.length(w)))), " ")
 
 
 def stem_of_path(path: Column) -> Column:

@@ -101,7 +101,7 @@ def table_options(tables: Column) -> Column:
     """Options that stand in a table (array<array<array<string>>>), a label and a value a row;
     null if no table has all four."""
     def of_table(rows: Column) -> Column:
-        labelled = F.transform(F.filter(rows, lambda r: F.size(r) >= 2), lambda r: F.struct(F.upper(F.regexp_extract(collapsed(r[0]), r"(?i)^\(?\s*([a-d])\s*\)?\s*[:.)-]*\s*$", 1)).alias("label"), option_value(F.array_join(F.slice(r, 2, 1_000), " ")).alias("value")))
+        labelled = F.transform(F.filter(rows, lambda r: F.size(r) >= 2), lambda r: F.struct(F.upper(F.regexp_extract(collapsed(r[0]), r"(?i)^\(?\s*([a-d])\s*\)?\s*[:.)-]*\s*$", 1)).alias("label"), option_value(F.array_join(F.slice(r, F.lit(2), F.size(r)), " ")).alias("value")))
         return F.array(*(F.coalesce(F.try_element_at(F.transform(F.filter(labelled, lambda x: (x["label"] == k) & (x["value"] != "")), lambda x: x["value"]), F.lit(1)), F.lit("")) for k in "ABCD"))
 
     return F.try_element_at(F.filter(F.transform(tables, of_table), lambda o: F.forall(o, meaningful)), F.lit(1))

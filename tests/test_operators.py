@@ -73,7 +73,8 @@ CASES = [
     ("What? (1) one (2) two (3) three (4) four", "What?", ["one", "two", "three", "four"], "numbered_paren_options"),
     ("What? (a) one (b) two (c) three D four", "What?", ["one", "two", "three", "four"], "three_lower_plus_terminal_upper"),
     ("What? A: one B: two C: three D: four", "What?", ["one", "two", "three", "four"], "mixed_option_markers"),
-    ("Which value? A12 B34 C56 D78", "Which value?", ["12", "34", "56", "78"], "compact_upper_numeric_labels"),
+    ("Which value? A12 B34 C56 D78", "Which value?", ["12", "34", "56", "78"], "ordered_upper_labels"),
+    ("Which value A12 B34 C56 D78", "Which value", ["12", "34", "56", "78"], "compact_upper_numeric_labels"),
     ("No options here", "No options here", [""] * 4, "fallback"),
     ("(a) x (b) y", "(a) x (b) y", [""] * 4, "fallback"),
     (None, "", [""] * 4, "fallback"),
