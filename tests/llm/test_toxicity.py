@@ -3,7 +3,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from gleanery.llm import toxicity as m
-from tests.llm.fixtures import docs, words
+from tests.llm.fixtures import docs, save, words
 
 BAD = ["grubby", "vilest", "wretch"]
 
@@ -34,6 +34,33 @@ def test_held_out_rows_are_told_apart(spark):
     assert len(held) > 20 and all((got[i] >= 0.5) == bool(y) for i, y in held)
 
 
+def test_query_is_the_model_on_every_row(spark, tmp_path):
+    """op5 against its parts, row by row: fold, score of the whole text, cut at one half."""
+    rows, labels = corpus()
+    rows += [(900, None), (901, ""), (3, rows[3][1]), (None, rows[4][1])]
+    d, l = frames(spark, rows, labels, clash=True)
+    folder = save(d, tmp_path, "documents")
+    save(l, tmp_path, "labels")
+    model = m.learn(d, l)
+    want = sorted((str(i), i is not None and zlib.crc32(str(i).encode()) % 5 == 0, model.score(t or ""), int(model.score(t or "") >= 0.5)) for i, t in rows)
+    got = sorted((str(r.doc_id), r.held_out, r.score, r.predicted) for r in m.op5(spark, folder).collect())
+    assert got == want and {g[3] for g in got} == {0, 1}
+
+
+def test_length_does_not_dilute(spark):
+    model = m.learn(*frames(spark, *corpus()))
+    scores = [model.score(f"{words(5, n)} {' '.join(BAD)} {words(6, n)}") for n in (0, 100, 1000, 9000)]
+    assert min(scores) >= 0.5
+
+
+def test_dictionaries_are_running_text(spark):
+    rows, labels = corpus()
+    model = m.learn(*frames(spark, rows, labels))
+    toxic = [m.words_of(t) for i, t in rows if i % 4 == 0]
+    seen = {m.coded(w[i : i + n]) for w in toxic for i in range(len(w)) for n in (1, 2, 3)}
+    assert any(model.toxic[2 * m.CODE : (2 + n) * m.CODE] in seen for n in (1, 2, 3)) and len(model.toxic) == len(model.ordinary)
+
+
 def test_held_out_labels_are_not_read(spark):
     rows, labels = corpus()
     flipped = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, q, y in labels]
