@@ -1,8 +1,9 @@
-"""Document fingerprints from closed syncmers."""
+"""Document fingerprints from closed syncmers, compared by the anchors' positions."""
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,12 @@ from gleanery.llm.common import partitions, table, text_or_empty
 #: Code points of a k-mer and of its inner substrings. A third of all k-mers or
 #: fewer, 2 / (K - S + 1), are closed syncmers.
 K, S = 20, 11
-#: Hashes that a fingerprint keeps: the least of the text's syncmers.
+#: Hashes that the written form of a fingerprint shows, the least; likeness takes all.
 SKETCH = 256
+#: Bytes of text of a range of ids, and its rows at the least.
+RANGE_BYTES, RANGE_ROWS = 32 << 20, 64
+#: Values of the number by which rows of one id and text are dealt to ranges.
+LOTS = 1 << 20
 #: Code points hashed at once; a longer text is cut into overlapping stretches.
 STRETCH = 1 << 20
 
@@ -85,50 +90,117 @@ def syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([start + at for start, at, _ in parts]), np.concatenate([h for _, _, h in parts])
 
 
-def fingerprint(text: str, size: int = SKETCH) -> np.ndarray:
-    """The `size` least distinct syncmer hashes, ascending: all of a short text's."""
-    h = np.unique(syncmers(text)[1])
-    return h[:size]
-
-
-def written_out(print_: np.ndarray) -> str:
-    """16 hex digits a hash."""
-    return print_.astype(">u8").tobytes().hex()
-
-
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
-    """Jaccard similarity of the two texts' syncmers: of the `size` least of both, the
-    share that both have. Exact where neither has more than that; 1 for two empty texts."""
-    if not len(a) and not len(b):
-        return 1.0
-    both = np.union1d(a, b)[:size]
-    return float(len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), both, assume_unique=True)) / len(both))
-
+#: Positions and hashes of all of a text's anchors.
+Anchors = tuple[np.ndarray, np.ndarray]
+
+
+def written_out(anchors: Anchors, size: int = SKETCH) -> str:
+    """A digest of all anchors with their positions, and the `size` least distinct hashes,
+    ascending, 16 hex digits each; '' for an empty text."""
+    at, hashes = anchors
+    if not len(at):
+        return ""
+    whole = hashlib.blake2b(at.astype("<i8").tobytes() + hashes.astype("<u8").tobytes(), digest_size=8).hexdigest()
+    return whole + np.unique(hashes)[:size].astype(">u8").tobytes().hex()
+
+
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of (hash, how many anchors before it have the same)."""
+    order = np.argsort(hashes, kind="stable")
+    new = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(hashes)), 0))
+    nth = np.empty(len(hashes), np.uint64)
+    nth[order] = (np.arange(len(hashes)) - first).astype(np.uint64)
+    return _mixed(hashes + nth * _BASE)
+
+
+def chain(a: Anchors, b: Anchors) -> int:
+    """Anchors of the longest chain: those that both texts have, in the same order of
+    positions. Of an anchor that repeats, the n-th meets the n-th."""
+    _, x, y = np.intersect1d(_numbered(a[1]), _numbered(b[1]), assume_unique=True, return_indices=True)
+    y = y[np.argsort(x)]
+    if len(y) < 2 or (y[1:] > y[:-1]).all():
+        return len(y)
+    ends: list[int] = []  # the least end of a chain of each length
+    for v in y.tolist():
+        n = bisect_left(ends, v)
+        ends[n : n + 1] = [v]
+    return len(ends)
+
+
+def likeness(a: Anchors, b: Anchors) -> float:
+    """Anchors in the longest chain, of all that either text has: 1 for texts of the same
+    anchors in the same order, lower for each that is changed, moved, or in one only."""
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0]))
+    n = chain(a, b)
+    return n / (len(a[0]) + len(b[0]) - n)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the order: last (no id), down (falls as doc_id rises), h (of the text).
+    lot: deals rows that are equal in all of it; it decides no order."""
+    rows = docs.select("doc_id", text_or_empty().alias("text"))
+    down = F.bitwise_not(F.coalesce(F.col("doc_id"), F.lit(0)).cast("long"))
+    lot = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(LOTS))
+    return rows.select("*", F.col("doc_id").isNull().cast("int").alias("last"), down.alias("down"), F.xxhash64("text").alias("h"), lot.alias("lot"))
+
+
+def _bounds(rows: DataFrame) -> list[tuple[int, int, int, int]]:
+    """The least key of each range but the first: ranges of about as many rows, found
+    by dealing the keys alone, with no texts. Rows of one id and text that fill whole ranges are cut
+    at even lots; fewer stay together."""
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
+    n = min(max(partitions(rows.sparkSession), (size.b or 0) // RANGE_BYTES), size.n // RANGE_ROWS)
+    if n < 2:
+        return []
+    key = F.struct("last", "down", "h", "lot")
+    dealt = rows.select("last", "down", "h", "lot").repartitionByRange(n, "last", "down", "h", "lot")
+    ends = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("head"), F.max(key).alias("end")).orderBy("head").collect()  # one a range
+    found: list[tuple[int, int, int, int]] = []
+    inside: list[tuple[int, int, int]] = []  # bounds within rows of one id and text
+    for i, r in enumerate(ends[1:], 1):
+        mine, before = tuple(r.head)[:3], tuple(ends[i - 1].end)[:3]
+        if inside and mine != inside[0]:
+            found += _even(inside)
+            inside = []
+        if mine == before:
+            inside.append(mine)
+        else:
+            found.append((*mine, -1))
+    return found + _even(inside)
+
+
+def _even(inside: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    m = len(inside)
+    return [(*k, LOTS * (i + 1) // (m + 1)) for i, k in enumerate(inside)] if m > 1 else []
+
+
+def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
+    """bucket, doc_id, text, mine, and the order's columns: docs' rows cut into ranges of the
+    order, and for each range, as its last row (mine false), the row that follows: the first of
+    the next range. Also the number of ranges.
+
+    Order: doc_id descending, null last, then a hash of the text. After the last row comes
+    the first. What is collected is a key a range.
+    """
+    rows = _keyed(docs)
+    bounds = _bounds(rows)
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """bucket, doc_id, text, mine: docs' rows cut into ranges of doc_id, and for each range,
-    as its last row (mine false), the row that follows: the first of the next range.
+    @F.pandas_udf("int")
+    def bucket(last: pd.Series, down: pd.Series, h: pd.Series, lot: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(bounds, k) for k in zip(last.tolist(), down.tolist(), h.tolist(), lot.tolist())], dtype="int32")
 
-    The ranges' bounds come from a bounded quantile sketch, so that nothing is sorted
-    as a whole; the rows added are one a range. Order: doc_id descending, null last,
-    then text. After the last row comes the first.
-    """
-    spark = docs.sparkSession
-    n = partitions(spark)
-    rows = docs.select(F.col("doc_id"), text_or_empty().alias("text"))
-    bounds = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("b")).first().b if n > 1 else []
-    bounds = sorted(set(bounds or []))
-    # Bucket 0 has the greatest ids; nulls come after the least.
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b > F.col("doc_id"))))
-    rows = rows.withColumn("bucket", bucket)
-    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("head")).orderBy("bucket").collect()  # one a range
-    if not heads:
-        return rows.select("bucket", "doc_id", "text", F.lit(True).alias("mine"))
-    before = F.create_map(*(F.lit(x) for i, r in enumerate(heads) for x in (r.bucket, heads[i - 1].bucket)))
-    is_head = F.col("doc_id").isin([r.head for r in heads if r.head is not None]) | F.col("doc_id").isNull()
-    first = rows.where(is_head).groupBy("bucket", "doc_id").agg(F.max("text").alias("text"))
-    guests = first.select(before[F.col("bucket")].alias("bucket"), "doc_id", "text", F.lit(False).alias("mine"))
-    return rows.select("bucket", "doc_id", "text", F.lit(True).alias("mine")).unionByName(guests)
+    order = ["last", "down", "h"]
+    least = rows.agg(F.min(F.struct(*order)).alias("k")).first().k
+    mine = rows.select(bucket(*order, "lot").alias("bucket"), "doc_id", "text", *order, F.lit(True).alias("mine"))
+    if least is None:
+        return mine, 1
+    heads = [tuple(least), *(b[:3] for b in bounds)]
+    before = docs.sparkSession.createDataFrame([((i - 1) % len(heads), *k) for i, k in enumerate(heads)], "bucket int, last int, down long, h long")
+    first = rows.join(F.broadcast(before.select(*order).distinct()), order).groupBy("doc_id", *order).agg(F.max("text").alias("text"))
+    guests = first.join(F.broadcast(before), order).select("bucket", "doc_id", "text", *order, F.lit(False).alias("mine"))
+    return mine.unionByName(guests), len(heads)
 
 
 def edited(text: str, following: str) -> str:
@@ -138,16 +210,16 @@ def edited(text: str, following: str) -> str:
 
 
 def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by bucket and order; each needs the row after it."""
+    """Rows come sorted; each needs the row after it."""
     held = None
     for b in batches:
         out = []
-        for bucket, doc, text, mine in zip(b.bucket, b.doc_id, b.text, b.mine):
-            f = fingerprint(text)
+        for doc, text, mine in zip(b.doc_id, b.text, b.mine):
+            f = syncmers(text)
             if held is not None:
                 doc0, text0, f0 = held
                 new = edited(text0, text)
-                g = fingerprint(new)
+                g = syncmers(new)
                 out.append((doc0, len(text0), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), written_out(f0), written_out(g), likeness(f0, g), likeness(f0, f)))
             held = (None if pd.isna(doc) else int(doc), text, f) if mine else None
         yield pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]).astype({"doc_id": "Int64"})
@@ -156,14 +228,16 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def compare_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Null text counts as empty: no syncmers, fingerprint '', likeness 1 to an empty
-    text and 0 to any other. Equal texts have equal fingerprints. Rows that share a
-    doc_id follow each other by text, descending. The only row of a table is
-    followed by itself. Empty table: empty result. Other columns are not read.
+    Likeness is reckoned from all anchors and their order. Null text counts as empty: no
+    syncmers, fingerprint '', likeness 1 to an empty text and 0 to any other. Equal texts have
+    equal fingerprints. Rows that share a doc_id, or have none, follow each other by a hash of
+    their texts; equal rows follow each other, and any number of them is spread over ranges.
+    The only row of a table is followed by itself. Texts are taken whole. Empty
+    table: empty result. Other columns are not read.
     """
-    rows = with_next(docs)
-    # One shuffle: each range of ids meets in a task, which streams through it.
-    dealt = rows.repartition(partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket", F.col("mine").desc(), F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+    rows, ranges = with_next(docs)
+    # One shuffle of texts: each range meets in a task, which streams through it.
+    dealt = rows.repartitionById(ranges, "bucket").sortWithinPartitions(F.col("mine").desc(), "last", "down", "h").select("doc_id", "text", "mine")
     return dealt.mapInPandas(_compared, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
