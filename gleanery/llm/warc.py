@@ -11,6 +11,7 @@ these know.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage
 from pyspark.sql.types import BinaryType, LongType, MapType, StringType, StructField, StructType
 
 from gleanery.llm.common import bounded_broadcast, shared_dir, table, text_or_empty, written
@@ -42,6 +43,8 @@ SCHEMA = StructType(
 )
 #: Columns that are headers, by the headers' names (in lower case).
 HEADERS = {"record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "date": "warc-date", "content_type": "content-type", "payload_digest": "warc-payload-digest", "refers_to": "warc-refers-to"}
+#: The same as they are written.
+WRITTEN = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "date": "WARC-Date", "content_type": "Content-Type", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To"}
 DATE = "2024-01-01T00:00:00Z"
 #: Bytes of a file that one task reads; of a file that one task writes.
 SPLIT_BYTES, FILE_BYTES = 64 << 20, 512 << 20
@@ -51,6 +54,8 @@ READ_BYTES = 1 << 16
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 #: Digests (of payloads that occur twice) up to which they are broadcast.
 SMALL = 500_000
+#: A compressed file has no known end of its records; it is one stretch.
+ENDLESS = 1 << 62
 MARK = b"WARC/1.1\r\n"
 
 
@@ -147,8 +152,9 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         fs, path = _file_system(self.path)
         found = fs.get_file_info(pafs.FileSelector(path, recursive=True)) if fs.get_file_info(path).type == pafs.FileType.Directory else [fs.get_file_info(path)]
-        files = sorted((f for f in found if f.type == pafs.FileType.File and f.path.endswith(".warc")), key=lambda f: f.path)
-        return [Stretch(f.path, at, min(at + self.split, f.size)) for f in files for at in range(0, f.size, self.split)]
+        files = sorted((f for f in found if f.type == pafs.FileType.File), key=lambda f: f.path)
+        plain = [Stretch(f.path, at, min(at + self.split, f.size)) for f in files if f.path.endswith(".warc") for at in range(0, f.size, self.split)]
+        return plain + [Stretch(f.path, 0, ENDLESS) for f in files if f.path.endswith(".warc.gz")]
 
     def _passes(self, headers: dict[str, str]) -> bool:
         for column, values in self.wanted.items():
@@ -168,7 +174,7 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         size = 0
         with fs.open_input_file(partition.path) as file:
-            c = _Cursor(file, partition.start)
+            c = _Cursor(gzip.GzipFile(fileobj=file) if partition.end == ENDLESS else file, partition.start)
             if partition.start and not self._first(c, partition):
                 return
             while c.at < partition.end:
@@ -224,29 +230,34 @@ class Written(WriterCommitMessage):
     paths: list[str]
 
 
-class WarcWriter(DataSourceWriter):
-    """Writes a file a task, under a name of its own. A task's file counts once it is
-    committed: until then it has another ending, and tasks that fail leave no archive."""
+class WarcWriter(DataSourceArrowWriter):
+    """Writes a file a task, under a name of its own; with gzip, each record as a member of
+    its own. A task's file counts once it is committed: until then it has another ending, and
+    tasks that fail leave no archive."""
 
-    def __init__(self, path: str, limit: int) -> None:
-        self.path, self.limit = path, limit
+    def __init__(self, path: str, limit: int, packed: bool) -> None:
+        self.path, self.limit, self.packed = path, limit, packed
 
-    def write(self, rows: Iterator) -> Written:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         fs, path = _file_system(self.path)
         fs.create_dir(path, recursive=True)
         paths: list[str] = []
         out = None
-        for r in rows:
-            if out is None or out.tell() >= self.limit:
-                if out is not None:
-                    out.close()
-                paths.append(f"{path}/{uuid.uuid4().hex}.warc")
-                out = fs.open_output_stream(paths[-1] + ".part")
-            v = r.asDict(recursive=False)
-            own = {"WARC-Type": v.get("record_type"), "WARC-Record-ID": v.get("record_id"), "WARC-Target-URI": v.get("target_uri"), "WARC-Date": v.get("date"), "Content-Type": v.get("content_type"), "WARC-Payload-Digest": v.get("payload_digest"), "WARC-Refers-To": v.get("refers_to")}
-            known = {k.lower() for k in own} | {"content-length"}
-            extra = {k: x for k, x in (v.get("headers") or {}).items() if k.lower() not in known and x is not None}
-            out.write(record({k: x for k, x in own.items() if x is not None} | extra, bytes(v.get("payload") or b"")))
+        for b in batches:
+            columns = {n: b.column(n).to_pylist() for n in b.schema.names}
+            own = {WRITTEN[n]: columns[n] for n in WRITTEN if n in columns}
+            known = {k.lower() for k in WRITTEN.values()} | {"content-length"}
+            extra, payloads = columns.get("headers"), columns.get("payload")
+            for i in range(b.num_rows):
+                if out is None or out.tell() >= self.limit:
+                    if out is not None:
+                        out.close()
+                    paths.append(f"{path}/{uuid.uuid4().hex}.warc{'.gz' if self.packed else ''}")
+                    out = fs.open_output_stream(paths[-1] + ".part", compression=None)
+                headers = {k: v[i] for k, v in own.items() if v[i] is not None}
+                headers |= {k: x for k, x in (extra and extra[i] or ()) if k.lower() not in known and x is not None}
+                r = record(headers, payloads and payloads[i] or b"")
+                out.write(gzip.compress(r, mtime=0) if self.packed else r)
         if out is not None:
             out.close()
         return Written(paths)
@@ -266,7 +277,8 @@ class WarcWriter(DataSourceWriter):
 
 
 class WarcSource(DataSource):
-    """Format "warc". Options: path; split_bytes, file_bytes; columns: a comma-separated
+    """Format "warc": files .warc, read in stretches, and .warc.gz, each read by one task.
+    Options: path; split_bytes, file_bytes; compression: gzip, for writing; columns: a comma-separated
     list of the columns to read (all by default). Python data sources are not told which
     columns a query uses, so a scan that needs no payloads says so with `columns`."""
 
@@ -281,8 +293,8 @@ class WarcSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return WarcReader(self.options["path"], schema, int(self.options.get("split_bytes", SPLIT_BYTES)))
 
-    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return WarcWriter(self.options["path"], int(self.options.get("file_bytes", FILE_BYTES)))
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return WarcWriter(self.options["path"], int(self.options.get("file_bytes", FILE_BYTES)), self.options.get("compression") == "gzip")
 
 
 def register(spark: SparkSession) -> None:
@@ -293,53 +305,50 @@ def register(spark: SparkSession) -> None:
 def archive_rows(pages: DataFrame, least: int = 0) -> DataFrame:
     """Pages (page_id, url, html) as rows of WARC records.
 
-    Of the records with equal payloads of `least` bytes or more, that of the least
-    page_id is the response and holds the payload; the others are revisits of it, with
-    its record id in WARC-Refers-To and without a payload, whose length and digest
-    they keep in headers. Null html is an empty payload. Null page_ids come after all
-    others; rows that share page_id and payload are each a response if their page_id is
-    the least. Other columns are not read.
+    Of the records with equal payloads of `least` bytes or more, that of the least page_id
+    (and of the least url, where pages share an id; null ids and urls come last) is the
+    response and holds the payload; the others are revisits of it, with its record id in
+    WARC-Refers-To and without a payload, whose length and digest they keep in headers. Rows
+    that are equal in all of page_id, url and payload are each what one of them is. A record's
+    id is made of page_id and digest, a revisit's of its url too. Null html is an empty
+    payload; payloads are taken whole. Empty table: no records. Other columns are not read.
     """
-
     rows = pages.select("page_id", "url", text_or_empty("html").alias("html")).withColumn("digest", digest_column(F.col("html").cast("binary"))).withColumn("n_bytes", F.octet_length("html"))
     # Only payloads that occur twice need a first page; those of one copy, nearly all, get none.
-    firsts = rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    rank = F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.col("url").isNull().alias("nowhere"), "url")
+    firsts = rows.where(F.col("n_bytes") >= least).groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     joined = rows.join(bounded_broadcast(written(firsts, "first-pages"), SMALL), "digest", "left")
-    is_first = F.col("first").isNull() | (F.col("n_bytes") < least) | F.col("first").eqNullSafe(F.col("page_id"))
-    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
+    is_first = F.col("first").isNull() | (F.col("n_bytes") < least) | F.col("first").eqNullSafe(rank)
+    name = lambda c, *more: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(":"), F.col("digest"), *more, F.lit(">"))
     return joined.select(
         F.when(is_first, "response").otherwise("revisit").alias("record_type"),
-        name(F.col("page_id")).alias("record_id"),
+        F.when(is_first, name(F.col("page_id"))).otherwise(name(F.col("page_id"), F.lit(":"), F.md5(F.coalesce("url", F.lit(""))))).alias("record_id"),
         F.col("url").alias("target_uri"),
         F.lit(DATE).alias("date"),
         F.lit("text/html").alias("content_type"),
         F.when(is_first, F.col("n_bytes")).otherwise(0).cast("long").alias("content_length"),
         F.concat(F.lit("sha1:"), F.col("digest")).alias("payload_digest"),
-        F.when(~is_first, name(F.col("first"))).alias("refers_to"),
+        F.when(~is_first, name(F.col("first.page_id"))).alias("refers_to"),
         F.create_map(F.lit("X-Payload-Bytes"), F.col("n_bytes").cast("string")).alias("headers"),
         F.when(is_first, F.col("html").cast("binary")).alias("payload"),
     )
 
 
 def page_of(name: Column) -> Column:
-    return F.nullif(F.regexp_extract(name, "^<urn:page:(.*)>$", 1), F.lit("")).cast("long")
+    return F.nullif(F.regexp_extract(name, "^<urn:page:([^:]*):.*>$", 1), F.lit("")).cast("long")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive read back in two scans, each of which drops the other's records by their
+    headers: responses with their payloads, and revisits from their headers alone."""
     register(spark)
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     archive_rows(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
-    wanted = "record_type,record_id,payload_digest,refers_to,headers,payload"
-    records = spark.read.format("warc").option("columns", wanted).load(path).where(F.col("record_type").isin("response", "revisit"))
-
+    read = spark.read.format("warc")
+    responses = read.option("columns", "record_type,record_id,payload").load(path).where("record_type = 'response'")
+    revisits = read.option("columns", "record_type,record_id,payload_digest,refers_to,headers").load(path).where("record_type = 'revisit'")
+    page = page_of(F.col("record_id")).alias("page_id")
     # A response's digest is taken of the payload as read back; a revisit's is its header's.
-    told = F.regexp_replace("payload_digest", "^sha1:", "")
-    own = F.when(F.col("record_type") == "response", digest_column(F.coalesce("payload", F.lit(b"")))).otherwise(told)
-    length = F.when(F.col("record_type") == "response", F.octet_length("payload")).otherwise(F.col("headers")["x-payload-bytes"].cast("long"))
-    return records.select(
-        page_of(F.col("record_id")).alias("page_id"),
-        length.cast("long").alias("payload_bytes"),
-        own.alias("payload_digest"),
-        "record_type",
-        page_of(F.col("refers_to")).alias("refers_to"),
-    )
+    found = responses.select(page, F.octet_length("payload").cast("long").alias("payload_bytes"), digest_column(F.col("payload")).alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+    again = revisits.select(page, F.col("headers")["x-payload-bytes"].cast("long"), F.regexp_replace("payload_digest", "^sha1:", ""), "record_type", page_of(F.col("refers_to")))
+    return found.union(again)
