@@ -1,4 +1,8 @@
-"""Near-duplicate documents: DartMinHash signatures, banded join, exact check."""
+"""Near-duplicate documents: DartMinHash signatures, banded join, exact check.
+
+Two texts are near-duplicates if their word shingles are alike, as bags (weighted by their
+counts) or as sets. A text whose shingles repeat has a signature of each kind.
+"""
 
 from __future__ import annotations
 
@@ -87,6 +91,25 @@ def shingles(texts: Sequence[str], size: int = SHINGLE) -> list[tuple[np.ndarray
     return out
 
 
+def repeats(shingled: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each occurrence of a shingle but its first, a hash of the shingle and its number: with
+    these, two bags share as many elements as the lesser counts of each shingle add up to."""
+    h, n = shingled
+    more = np.flatnonzero(n > 1)
+    if not len(more):
+        return np.zeros(0, np.uint64)
+    again = np.repeat(h[more], n[more] - 1)
+    first = np.repeat(np.cumsum(n[more] - 1) - (n[more] - 1), n[more] - 1)
+    nth = (np.arange(len(again)) - first + 2).astype(np.uint64)
+    return np.unique(_mix(again + nth * _U(0x9FB21C651E98DF25)))
+
+
+def _likeness(shared: np.ndarray, again: np.ndarray, sizes: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """Of sets and of bags, the greater similarity; sizes and repeated: of both sides together."""
+    bags = (shared + again) / np.maximum(sizes + repeated - shared - again, 1)
+    return np.maximum(shared / np.maximum(sizes - shared, 1), bags)
+
+
 def _unit(h: np.ndarray) -> np.ndarray:
     """Hashes as numbers in (0, 1]."""
     return ((h >> _U(11)).astype(np.float64) + 1) / float(1 << 53)
@@ -163,40 +186,61 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size += len(texts[end])
                 end += 1
             part = texts[at:end]
-            # Each distinct shingle weighs 1: the similarity is that of sets.
-            sets = [(s, np.ones(len(s))) for s, _ in shingles(part)]
-            sig = dart_signatures(sets)
-            some = np.array([len(s) > 0 for s, _ in sets], bool)
-            bands = _bands(sig)
-            offsets = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
+            # Weights are the shingles' counts; where some repeat, a second signature takes each once.
+            bags = shingles(part)
+            some = np.array([len(s) > 0 for s, _ in bags], bool)
+            twice = np.array([len(s) > 0 and n.max() > 1 for s, n in bags], bool)
+            sig = dart_signatures(bags)
+            once = dart_signatures([(s, np.ones(len(s))) for (s, _), t in zip(bags, twice) if t])
+            more = np.cumsum(twice) - 1
+            signatures = [r.tobytes() + (once[more[i]].tobytes() if twice[i] else b"") for i, r in enumerate(sig)]
+            bands, also = _bands(sig), _bands(once)
+            buckets = [np.union1d(bands[i], also[more[i]]) if twice[i] else bands[i] if some[i] else bands[i][:0] for i in range(len(part))]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in buckets])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(at, end - at),
                     b.column("same").slice(at, end - at),
-                    pa.array([r.tobytes() for r in sig], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].ravel())),
+                    pa.array(signatures, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(buckets), pa.int64())),
                 ],
                 names=["id", "same", "signature", "bands"],
             )
             at = end
 
 
+def _parted(signatures: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures by counts, and those of the sets (the same where nothing repeats)."""
+    size = BANDS * ROWS * 4
+    parts = (b"".join([bytes(x)[:size] for x in signatures]), b"".join([bytes(x)[-size:] for x in signatures]))
+    return tuple(np.frombuffer(p, np.uint32).reshape(len(signatures), -1) for p in parts)
+
+
 def _alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         if len(b):
-            x, y = (np.frombuffer(b"".join(map(bytes, b[c])), np.uint32).reshape(len(b), -1) for c in ("sa", "sb"))
-            yield b.loc[(x == y).mean(axis=1) >= HOPELESS, ["a", "b"]]
+            hopeful = np.zeros(len(b), bool)
+            for x, y in zip(_parted(b.sa), _parted(b.sb)):
+                hopeful |= (x == y).mean(axis=1) >= HOPELESS
+            yield b.loc[hopeful, ["a", "b", "hub"]]
 
 
-def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _against_hub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted: a hub's text, then its partners'."""
+    hub = None
     for b in batches:
         rows = []
         for i in range(0, len(b), 64):
             part = b.iloc[i : i + 64]
-            for a, c, (x, _), (y, _) in zip(part.a, part.b, shingles([*part.ta]), shingles([*part.tb])):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                if shared >= SIMILAR * (len(x) + len(y) - shared):
-                    rows.append((a, c, shared / (len(x) + len(y) - shared)))
+            for at, mine, x in zip(part.id, part.partner, shingles([*part.text])):
+                y = x[0], repeats(x)
+                if not mine:
+                    hub = at, y
+                    continue
+                shared, again = (len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(hub[1], y))
+                s = float(_likeness(shared, again, len(hub[1][0]) + len(y[0]), len(hub[1][1]) + len(y[1])))
+                if s >= SIMILAR:
+                    rows.append((min(hub[0], at), max(hub[0], at), s))
         yield pd.DataFrame(rows, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
 
 
@@ -210,26 +254,37 @@ def _same() -> Column:
 
 
 def _links(pairs: DataFrame, signatures: DataFrame, texts: Texts, name: str) -> DataFrame:
-    """a, b, similarity: those of the pairs that are near-duplicates by their whole texts."""
+    """a, b, similarity: those of the pairs (a, b, hub: one of the two) that are near-duplicates by
+    their whole texts. A hub's text goes once to each block of its partners."""
     a, b = (signatures.select(F.col("id").alias(x), F.col("signature").alias(f"s{x}")) for x in "ab")
-    likely = written(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInPandas(_alike, "a long, b long"), f"{name}-likely")
-    ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = written(texts(ids), f"{name}-texts")
-    a, b = (own.select(F.col("id").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
-    return written(likely.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInPandas(_verified, "a long, b long, similarity double"), f"{name}-links")
+    likely = written(pairs.join(a, "a").join(b, "b").select("a", "b", "hub", "sa", "sb").mapInPandas(_alike, "a long, b long, hub long"), f"{name}-likely")
+    own = written(texts(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()), f"{name}-texts")
+    sizes = likely.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).where("blocks > 1")
+    met = likely.select("hub", (F.col("a") + F.col("b") - F.col("hub")).alias("id")).join(bounded_broadcast(sizes, SMALL), "hub", "left")
+    met = met.select("hub", "id", F.coalesce(F.pmod(F.xxhash64("id"), "blocks"), F.lit(0)).cast("int").alias("block"), F.lit(True).alias("partner"))
+    both = met.unionByName(met.select("hub", F.col("hub").alias("id"), "block", F.lit(False).alias("partner")).distinct())
+    dealt = both.join(own, "id").repartition("hub", "block").sortWithinPartitions("hub", "block", "partner").select("id", "partner", "text")
+    return written(dealt.mapInPandas(_against_hub, "a long, b long, similarity double"), f"{name}-links")
+
+
+def _stored(shingled: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple[pa.Array, pa.Array]:
+    return pa.array([h.tobytes() for h, _ in shingled], pa.binary()), pa.array([repeats(x).tobytes() for x in shingled], pa.binary())
+
+
+def _read(column: pd.Series) -> list[np.ndarray]:
+    return [np.frombuffer(bytes(x), np.uint64) for x in column]
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, texts = b.column("id"), b.column("text").to_pylist()
         for i in range(0, len(texts), 64):
-            part = [h.tobytes() for h, _ in shingles(texts[i : i + 64])]
-            yield pa.RecordBatch.from_arrays([ids.slice(i, len(part)), pa.array(part, pa.binary())], names=["id", "shingles"])
+            part = shingles(texts[i : i + 64])
+            yield pa.RecordBatch.from_arrays([ids.slice(i, len(part)), *_stored(part)], names=["id", "shingles", "again"])
 
 
 def _between_blocks(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-    """Links between the components of two blocks of a bucket (or of one block), each pair
-    in the first bucket that it shares. Components once linked here are one from then on."""
+    """Links between the components of two blocks of a bucket (or of one block). Components once linked here are one from then on."""
     bucket, i, j = key
     out: list[tuple[int, int, float]] = []
     parent: dict[int, int] = {}
@@ -240,25 +295,24 @@ def _between_blocks(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         return x
 
     ids, labels, block = b.id.to_numpy(), b.label.to_numpy(), b.block.to_numpy()
-    sig = np.frombuffer(b"".join(map(bytes, b.signature)), np.uint32).reshape(len(b), -1)
-    bands = np.array(b.bands.tolist(), np.int64)
-    own = [np.frombuffer(bytes(x), np.uint64) for x in b.shingles]
-    band = int(np.argmax(bands[0] == bucket))
+    sig, once = _parted(b.signature)
+    bands = [np.asarray(x, np.int64) for x in b.bands]  # ascending only where two signatures were joined
+    own, again = _read(b.shingles), _read(b.again)
+    sets = [frozenset(x.tolist()) for x in bands]
     right = np.flatnonzero(block == j)
     for x in np.flatnonzero(block == i):
         ys = right[ids[right] > ids[x]] if i == j else right
         ys = ys[labels[ys] != labels[x]]
         if len(ys):
-            ys = ys[(bands[ys] == bands[x]).argmax(axis=1) == band]
-        if len(ys):
-            ys = ys[(sig[ys] == sig[x]).mean(axis=1) >= HOPELESS]
+            ys = ys[np.maximum((sig[ys] == sig[x]).mean(axis=1), (once[ys] == once[x]).mean(axis=1)) >= HOPELESS]
         for y in ys:
-            if root(labels[x]) == root(labels[y]):
+            # Each pair meets in the least bucket that it shares.
+            if root(labels[x]) == root(labels[y]) or min(sets[x] & sets[y]) != bucket:
                 continue
-            shared = len(np.intersect1d(own[x], own[y], assume_unique=True))
-            union = len(own[x]) + len(own[y]) - shared
-            if shared >= SIMILAR * union:
-                out.append((min(ids[x], ids[y]), max(ids[x], ids[y]), shared / union))
+            shared, twice = (len(np.intersect1d(z[x], z[y], assume_unique=True)) for z in (own, again))
+            s = float(_likeness(shared, twice, len(own[x]) + len(own[y]), len(again[x]) + len(again[y])))
+            if s >= SIMILAR:
+                out.append((min(ids[x], ids[y]), max(ids[x], ids[y]), s))
                 parent[root(labels[x])] = root(labels[y])
     return pd.DataFrame(out, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
 
@@ -268,10 +322,10 @@ def _residual(placed: DataFrame, signatures: DataFrame, texts: Texts) -> DataFra
     id, label). Members are dealt to blocks and each two blocks of a bucket meet in a group of
     bounded size, where pairs are compared and only links come out."""
     ids = placed.select("id").distinct()
-    own = texts(ids).mapInArrow(_shingled, "id long, shingles binary")
+    own = texts(ids).mapInArrow(_shingled, "id long, shingles binary, again binary")
     data = written(own.join(signatures, "id"), "residual")
     sizes = placed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = placed.select("bucket", "id", "label").join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = placed.select("bucket", "id", "label").join(bounded_broadcast(written(sizes, "bucket-sizes"), SMALL), "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
     met = dealt.select("bucket", "id", "label", "block", F.explode(others).alias("m")).select("bucket", "m.i", "m.j", "id", "label", "block")
     return written(met.join(data, "id").groupBy("bucket", "i", "j").applyInPandas(_between_blocks, "a long, b long, similarity double"), "dup3-links")
@@ -281,8 +335,8 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column("text").to_pylist()
         for i in range(0, len(texts), 64):
-            part = [h.tobytes() for h, _ in shingles(texts[i : i + 64])]
-            yield pa.RecordBatch.from_arrays([b.column("id").slice(i, len(part)), b.column("label").slice(i, len(part)), pa.array(part, pa.binary())], names=["id", "label", "shingles"])
+            part = shingles(texts[i : i + 64])
+            yield pa.RecordBatch.from_arrays([b.column("id").slice(i, len(part)), b.column("label").slice(i, len(part)), *_stored(part)], names=["id", "label", "shingles", "again"])
 
 
 def _overlaps(x: Sequence[np.ndarray], y: Sequence[np.ndarray]) -> np.ndarray:
@@ -314,18 +368,18 @@ def _near_pairs(i: int, j: int, b: pd.DataFrame) -> Iterator[tuple[np.ndarray, n
     """For each class: ids, ids and similarity of the near-duplicates between blocks i and j."""
     b = b.sort_values("label", kind="stable")
     ids, labels, block = b.id.to_numpy(), b.label.to_numpy(), b.block.to_numpy()
-    own = [np.frombuffer(bytes(x), np.uint64) for x in b.shingles]
-    size = np.array([len(x) for x in own], np.int64)
+    own, again = _read(b.shingles), _read(b.again)
+    size, extra = (np.array([len(x) for x in z], np.int64) for z in (own, again))
     edge = np.flatnonzero(np.concatenate([[True], labels[1:] != labels[:-1], [True]]))
     for start, end in zip(edge, edge[1:]):
         left, right = (start + np.flatnonzero(block[start:end] == n) for n in (i, j))
         if not len(left) or not len(right):
             continue
-        shared = _overlaps([own[n] for n in left], [own[n] for n in right])
-        union = size[left][:, None] + size[right] - shared
-        near = shared >= SIMILAR * union
+        shared, twice = (_overlaps([z[n] for n in left], [z[n] for n in right]) for z in (own, again))
+        alike = _likeness(shared, twice, size[left][:, None] + size[right], extra[left][:, None] + extra[right])
+        near = alike >= SIMILAR
         x, y = np.nonzero(np.triu(near, 1) if i == j else near)
-        yield ids[left[x]], ids[right[y]], shared[x, y] / union[x, y]
+        yield ids[left[x]], ids[right[y]], alike[x, y]
 
 
 def _class_links(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
@@ -343,8 +397,8 @@ def _within_classes(labels: DataFrame, texts: Texts) -> GroupedData:
     """Groups in which every two members of a class (labels: id, label) meet once: a link's
     ends are in one class, so these hold all links. Members of a large class are dealt
     to blocks, and each two of its blocks are a group; small classes share groups."""
-    own = written(texts(labels).mapInArrow(_labelled, "id long, label long, shingles binary"), "class-shingles")
-    n_bytes = F.sum(F.octet_length("shingles"))
+    own = written(texts(labels).mapInArrow(_labelled, "id long, label long, shingles binary, again binary"), "class-shingles")
+    n_bytes = F.sum(F.octet_length("shingles") + F.octet_length("again"))
     sizes = own.groupBy("label").agg(n_bytes.alias("bytes"), F.ceil(F.greatest(F.count("*") / BLOCK, n_bytes / CLASS_BYTES)).cast("int").alias("blocks"))
     sizes = written(sizes, "class-sizes")
     lots = 1 + (sizes.where("blocks = 1").agg(F.sum("bytes")).first()[0] or 0) // CLASS_BYTES
@@ -352,8 +406,8 @@ def _within_classes(labels: DataFrame, texts: Texts) -> GroupedData:
     dealt = own.join(bounded_broadcast(large, SMALL), "label", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("id"), "blocks"), F.lit(0)).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
     lot = F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("label"), F.lit(lots))).otherwise(F.lit(-1))
-    met = dealt.select("id", "label", "block", "shingles", lot.alias("lot"), F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.col("label")).alias("large"), F.explode(others).alias("m"))
-    return met.select("large", "lot", "m.i", "m.j", "id", "label", "block", "shingles").groupBy("large", "lot", "i", "j")
+    met = dealt.select("id", "label", "block", "shingles", "again", lot.alias("lot"), F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.col("label")).alias("large"), F.explode(others).alias("m"))
+    return met.select("large", "lot", "m.i", "m.j", "id", "label", "block", "shingles", "again").groupBy("large", "lot", "i", "j")
 
 
 def _other(x: str, y: str) -> tuple[Column, Column]:
@@ -393,7 +447,7 @@ def _classed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame
     members = written(members.join(mass, "id").select("bucket", "id", "mass"), "members")
     best = F.max_by("id", F.struct("mass", -F.col("id"))).alias("hub")
     hubs = members.groupBy("bucket").agg(best)
-    first = written(members.join(hubs, "bucket").where("id != hub").select(*_other("id", "hub")).distinct(), "first-pairs")
+    first = written(members.join(hubs, "bucket").where("id != hub").groupBy(*_other("id", "hub")).agg(F.min("hub").alias("hub")), "first-pairs")
     links = _links(first, signatures, texts, "dup1")
     # A hub has met all of its bucket; what may still be linked is among the others.
     left = members.join(hubs, "bucket").where("id != hub")
@@ -409,7 +463,7 @@ def _classed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame
             inner = placed.join(of, "hub", "left").where(F.col("label") != F.coalesce("of", "hub"))
             second = written(inner.groupBy("bucket").agg(best, F.max_by("label", F.struct("mass", -F.col("id"))).alias("own")), "second-hubs")
             placed = placed.drop("hub").join(second, "bucket")
-            pairs = placed.where("label != own").select(*_other("id", "hub")).distinct()
+            pairs = placed.where("label != own").groupBy(*_other("id", "hub")).agg(F.min("hub").alias("hub"))
             links = links.unionByName(_links(pairs.join(first, ["a", "b"], "left_anti"), signatures, texts, "dup2"))
             left = placed.where("id != hub").select("bucket", "id", "mass", "hub")
         else:
@@ -438,7 +492,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, Da
     similarity, between the least ids of different texts: every two texts of a class
     that are near-duplicates, not only what it takes to hold the class together.
 
-    Null text counts as empty; texts without words are alike only if equal. Rows that
+    Similarity is the greater of that of the bags and that of the sets of shingles; 0.8
+    itself is enough. Texts are taken whole. Null text counts as empty; texts without words are alike only if equal. Rows that
     share an id are classed each by its own text. Rows without an id take part, but
     their class_id is null and texts that only they have are in no row of links. Empty
     table: empty results. Other columns are not read.

@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -156,6 +156,32 @@ def test_all_links_are_there(spark, tmp_path, monkeypatch):
         assert counts == {i: sum(h in w for w in want) for i, h in head.items()}
 
 
+def bag_likeness(x, y):
+    grams = [[tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in (x.split(), y.split())]
+    a, b = map(Counter, grams)
+    sets = len(a.keys() & b.keys()) / len(a.keys() | b.keys())
+    return sets, (a & b).total() / (a | b).total()
+
+
+def test_bags_and_sets(spark):
+    """Texts alike by their counts only, and by their distinct shingles only."""
+    line, text = words(50, 12) + " ", words(51, 90)
+    rows = [(1, line * 60 + words(52, 30)), (2, line * 60 + words(53, 30)), (3, text), (4, f"{text} {text}"), (5, line * 3 + words(54, 60)), (6, words(55, 50))]
+    (s, b), (t, c) = bag_likeness(rows[0][1], rows[1][1]), bag_likeness(text, rows[3][1])
+    assert s < 0.8 <= b and c < 0.8 <= t
+    classes, links = m.near_duplicates(docs(spark, rows))
+    assert {r.id: r.class_id for r in classes.collect()} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6}
+    assert {(r.a, r.b): round(r.similarity, 9) for r in links.collect()} == {(1, 2): round(b, 9), (3, 4): round(t, 9)}
+
+
+def test_a_shared_hub_in_blocks(spark, monkeypatch):
+    """A hub's partners are dealt to several blocks, each with the hub's text."""
+    monkeypatch.setattr(m, "BLOCK", 3)
+    base = words(60, 120)
+    rows = [(0, base)] + [(i, edit(base, 2, i)) for i in range(1, 25)]
+    assert {r.class_id for r in m.near_duplicates(docs(spark, rows))[0].collect()} == {0}
+
+
 def test_keep_one_of_rows_that_share_an_id_or_have_none(spark):
     a, b, c = words(900, 80), words(901, 80), words(902, 120)
     rows = [(7, a), (7, b), (3, b), (9, edit(a, 1, 1)), (None, b), (None, c), (None, c), (None, edit(c, 1, 2)), (None, words(903, 60))]
