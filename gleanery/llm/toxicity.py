@@ -14,7 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,10 +26,10 @@ from gleanery.llm.common import bounded_broadcast, table, text_or_empty
 
 #: Labelled documents of each class that the classifier is fitted on, at most; by a
 #: hash of doc_id. Scoring takes every document and every window.
-SAMPLE = 10_000
+SAMPLE = 4_000
 #: Segments of toxic text that the toxic dictionary may begin with: the number is the one
 #: that tells apart best the documents that a dictionary was not cut from.
-SEGMENTS = (2, 3, 4, 6, 8, 12, 16, 32, 48, 64, 80, 96, 128, 256, 512)
+SEGMENTS = (2, 3, 4, 8, 16, 32, 64, 80, 96, 128, 256, 512)
 #: Words that the ordinary text in both dictionaries covers, the most frequent ones.
 ORDINARY_WORDS = 8_192
 #: Parts of the sample: each is measured with dictionaries cut from the others.
@@ -83,7 +83,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
 
 
-@cache
+@lru_cache(maxsize=4)
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     p = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=WINDOW * CODE, dict_size=len(content), write_content_size=False, write_dict_id=False)
@@ -257,7 +257,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"toxic": b.toxic, "x": [[evidence(codes, *pair) for pair in shared.value[part]] for codes, part in ((coded(words_of(t)), p) for t, p in zip(b.text, b.part))]})
+            codes, x = [coded(words_of(t)) for t in b.text], np.zeros((len(b), len(SEGMENTS)))
+            for part in range(PARTS):
+                rows = np.flatnonzero(b.part == part)
+                for i, pair in enumerate(shared.value[part]):  # one pair of compressors at a time
+                    x[rows, i] = [evidence(codes[j], *pair) for j in rows]
+            yield pd.DataFrame({"toxic": b.toxic, "x": list(x)})
 
     m = rows.mapInPandas(measured, "toxic boolean, x array<double>").toPandas()
     rows.unpersist()
