@@ -127,3 +127,45 @@ def answer_parts(line: Column) -> Column:
         parts = F.struct(*(collapsed(F.regexp_extract(line, pattern, i)).alias(n) for i, n in ((1, "before"), (2, "after"))))
         out.append(F.when(F.rlike(line, F.lit(pattern)), parts))
     return F.coalesce(*out)
+
+
+def number_of(field: Column) -> Column:
+    """A question's number from a field of any type; null where it is none."""
+    return field.cast("string").try_cast("int")
+
+
+def shown_score(x: Column) -> Column:
+    """Four decimals, or a dash."""
+    return F.coalesce(F.format_string("%.4f", x), F.lit("—"))
+
+
+def badge(risk: Column) -> Column:
+    """The style of a risk: its own, or neutral."""
+    r = F.lower(F.coalesce(F.nullif(risk, F.lit("")), F.lit("unknown")))
+    return F.when(r.isin("high", "medium", "low"), r).otherwise("neutral")
+
+
+def asset_extension(url: Column) -> Column:
+    found = F.lower(F.regexp_extract(url, r"(?i)\.(svg|png|jpe?g|webp|gif)(?:[?#]|$)", 1))
+    return F.concat(F.lit("."), F.coalesce(F.nullif(found, F.lit("")), F.lit("png")))
+
+
+# Chapters whose pictures have a short prefix.
+ASSET_PREFIXES = {
+    "biodiversity-and-its-conservation": "biodiversity-",
+    "human-health-and-diseases": "human-health-",
+    "human-reproduction": "reproduction-",
+    "microbes-in-human-welfare": "microbes-",
+    "molecular-basis-of-inheritance": "mbi-",
+    "principles-of-inheritance-and-variation": "piv-",
+}
+
+
+def asset_prefix(chapter_slug: Column) -> Column:
+    """A chapter's prefix of picture names: its own, or the slug in upper case."""
+    own = F.coalesce(*(F.when(chapter_slug == k, v) for k, v in ASSET_PREFIXES.items()))
+    return F.coalesce(own, F.concat(F.upper(F.replace(chapter_slug, F.lit("-"), F.lit("_"))), F.lit("-")))
+
+
+def has_any_prefix(c: Column, prefixes: Column) -> Column:
+    return F.exists(prefixes, lambda p: c.startswith(p))

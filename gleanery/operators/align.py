@@ -2,44 +2,34 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.similarity import sequence_ratio
+from gleanery.functions.similarity import ratio
 from gleanery.functions.text import normal
 
 MATCHED = 0.55
-OUT = "source_index int, scraped_index int, score double, matched boolean"
 
 
-def _of(list_) -> list:
-    return [] if list_ is None else list(list_)
-
-
-def _fold(blocks: pd.DataFrame, questions: pd.DataFrame) -> list[tuple]:
-    """Blocks in order each take the best question that is left, also if it is no match."""
-    left = questions.sort_values("scraped_index").to_dict("records")
+def _fold(pairs: pd.DataFrame) -> list[tuple]:
+    """Blocks in order each take the best question that is left, also if it is no match; of those
+    with their number and year, if any is left. Of equals the first."""
     out = []
-    for b in blocks.sort_values("source_index").to_dict("records"):
-        keyed = [q for q in left if not pd.isna(b["number"]) and not pd.isna(q["number"]) and q["number"] == b["number"] and q["year_key"] == b["year_key"]]
-        best, score = None, -1.0
-        for q in keyed or left:
-            text = sequence_ratio(b["stem"], q["text"])
-            values = _of(q["options"])
-            options = sum(bool(v) and v in b["whole"] for v in values) / max(len(values), 1)
-            answer = 1.0 if q["answer"] else 0.0
-            if keyed:
-                total = 0.8 * text + 0.15 * options + 0.05 * answer
-            else:
-                total = 0.6 * text + 0.15 * (1.0 if b["year"] and b["year"] == q["year"] else 0.0) + 0.15 * options + 0.1 * answer
-            if total > score:
-                best, score = q, total
-        if best is None:
-            out.append((b["source_index"], None, 0.0, False))
-        else:
-            left.remove(best)
-            out.append((b["source_index"], best["scraped_index"], round(score, 4), score >= MATCHED))
+    left: dict[int, bool] = {}
+    for source, rows in pairs.sort_values(["source_index", "scraped_index"]).groupby("source_index", sort=False):
+        at = rows.scraped_index.to_numpy()
+        free = np.array([not pd.isna(q) and left.get(int(q), True) for q in at], bool)
+        mine = free & rows.keyed.to_numpy(bool)
+        if not free.any():
+            out.append((source, None, 0.0, False))
+            continue
+        scores = rows.keyed_score.where(mine, -1.0) if mine.any() else rows.free_score.where(free, -1.0)
+        best = int(np.argmax(scores.to_numpy()))
+        left[int(at[best])] = False
+        score = float(scores.iloc[best])
+        out.append((source, int(at[best]), round(score, 4), score >= MATCHED))
     return out
 
 
@@ -47,17 +37,29 @@ def align(blocks: DataFrame, questions: DataFrame, key: str) -> DataFrame:
     """key, source_index, scraped_index, score, matched: one row per block.
 
     blocks: key, source_index, year, number, stem, lines; questions: key, scraped_index,
-    year, number, text, options, answer. A chapter is what one page holds, so a task
-    takes few rows; chapters spread over all tasks. Normal forms are made by built-in
-    functions before the fold.
+    year, number, text, options, answer. A chapter's pairs are scored as rows, wherever Spark
+    deals them; only their numbers meet in a chapter's fold. A chapter is what one page
+    holds: its pairs grow with the product of its blocks and questions.
     """
-    b = blocks.select(key, "source_index", F.col("number").cast("int").alias("number"), "year", normal(F.col("year")).alias("year_key"), normal(F.col("stem")).alias("stem"), normal(F.array_join("lines", " ")).alias("whole"))
-    q = questions.select(key, "scraped_index", F.col("number").cast("int").alias("number"), "year", normal(F.col("year")).alias("year_key"), normal(F.col("text")).alias("text"), F.transform("options", normal).alias("options"), "answer")
+    clean = lambda c: normal(F.col(c))
+    b = blocks.select(F.col(key).alias("k"), "source_index", F.col("number").cast("int").alias("number"), F.col("year").alias("year"), clean("year").alias("year_key"), clean("stem").alias("stem"), normal(F.array_join("lines", " ")).alias("whole"))
+    q = questions.select(
+        F.col(key).alias("of"), "scraped_index", F.col("number").cast("int").alias("q_number"), F.col("year").alias("q_year"), clean("year").alias("q_year_key"), clean("text").alias("text"),
+        F.transform(F.coalesce("options", F.array().cast("array<string>")), normal).alias("options"), (F.coalesce("answer", F.lit("")) != "").cast("double").alias("answered"),
+    )
+    pairs = b.join(q, F.col("k").eqNullSafe(F.col("of")), "left")
+    held = F.size(F.filter("options", lambda v: (v != "") & F.contains("whole", v))) / F.greatest(F.size("options"), F.lit(1))
+    same_year = F.when((F.coalesce("year", F.lit("")) != "") & (F.col("year") == F.col("q_year")), 1.0).otherwise(0.0)
+    keyed = F.coalesce((F.col("number") == F.col("q_number")) & (F.col("year_key") == F.col("q_year_key")), F.lit(False))
+    rows = pairs.select("k", "source_index", "scraped_index", keyed.alias("keyed"), ratio("stem", "text").alias("t"), held.alias("o"), same_year.alias("y"), "answered")
+    keyed_score = 0.8 * F.col("t") + 0.15 * F.col("o") + 0.05 * F.col("answered")
+    free_score = 0.6 * F.col("t") + 0.15 * F.col("y") + 0.15 * F.col("o") + 0.1 * F.col("answered")
+    scored = rows.select("k", "source_index", "scraped_index", "keyed", keyed_score.alias("keyed_score"), free_score.alias("free_score"))
     kind = blocks.schema[key].dataType.simpleString()
 
-    def fold(k: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        rows = pd.DataFrame(_fold(x, y), columns=["source_index", "scraped_index", "score", "matched"])
-        rows.insert(0, key, k[0])
-        return rows.astype({"scraped_index": "Int32"})
+    def fold(k: tuple, x: pd.DataFrame) -> pd.DataFrame:
+        found = pd.DataFrame(_fold(x), columns=["source_index", "scraped_index", "score", "matched"])
+        found.insert(0, key, k[0])
+        return found.astype({"scraped_index": "Int32"})
 
-    return b.groupBy(key).cogroup(q.groupBy(key)).applyInPandas(fold, f"{key} {kind}, {OUT}")
+    return scored.groupBy("k").applyInPandas(fold, f"`{key}` {kind}, source_index int, scraped_index int, score double, matched boolean")

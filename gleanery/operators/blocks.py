@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import first_number
+from gleanery.functions.text import collapsed, first_number
 
 YEAR = r"\b(20\d{2})\b"
 START = r"(?i)^Q\d+[:\s.]"
@@ -39,6 +39,50 @@ def blocks(lines: DataFrame, key: str = "page_id", initial: str = "") -> DataFra
     return grouped.select(key, F.col("block").alias("source_index"), "year", F.transform("ls", lambda x: x["line"]).alias("lines"))
 
 
+#: The same on elements of a page instead of lines: headings are headers however long they
+#: are, and the year before the first header is this one.
+ELEMENT_START, FIRST_YEAR = r"(?i)^Q\s*\d+[:\s.]", "2022"
+
+
+def element_blocks(elements: DataFrame, key: str = "page_id") -> DataFrame:
+    """key, source_index, year, lines: the question blocks of pages given by their elements (key, pos, tag, text)."""
+    t = F.col("text")
+    header = F.rlike(t, F.lit(YEAR)) & (F.col("tag").isin("h1", "h2", "h3", "h4") | (F.length(t) < 20))
+    rows = sessions(elements, [key], ["pos"], header, F.regexp_extract(t, YEAR, 1), F.rlike(t, F.lit(ELEMENT_START)), FIRST_YEAR)
+    grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("ls"))
+    return grouped.select(key, F.col("block").alias("source_index"), "year", F.transform("ls", lambda x: x["text"]).alias("lines"))
+
+
+def is_picture(src: Column) -> Column:
+    """Whether a picture belongs to a question: not the page's own ornaments."""
+    return src.startswith("http") & ~F.contains(src, F.lit("Vector.png"))
+
+
+def picture_suffixes(pictures: DataFrame, key: Sequence[str]) -> DataFrame:
+    """pictures (key, pos, src, after_answer) that belong to questions, with suffix: -main, -main2, ...
+    before the answer, -explanation1, ... after it."""
+    n = F.row_number().over(Window.partitionBy(*key, "after_answer").orderBy("pos"))
+    own = pictures.where(is_picture(F.col("src"))).withColumn("__n", n)
+    suffix = F.when(F.col("after_answer"), F.concat(F.lit("-explanation"), F.col("__n").cast("string"))).when(F.col("__n") == 1, "-main").otherwise(F.concat(F.lit("-main"), F.col("__n").cast("string")))
+    return own.withColumn("suffix", suffix).drop("__n")
+
+
+OTHER_OPTIONS = r"(?i)^(other options|explanation of incorrect options|incorrect options|why other options)"
+ANSWER_LEAD = r"(?i)^Ans[:\s-]+[\s(]*[a-d][)\s.]*"
+
+
+def rebuilt_explanation(body: Column, lines: Column) -> Column:
+    """An explanation's body, and under the heading of the other options, if the block has one, what
+    stands after its answer."""
+    heading = F.try_element_at(F.filter(lines, lambda x: (F.length(x) < 60) & F.rlike(x, F.lit(OTHER_OPTIONS))), F.lit(1))
+    answers = F.transform(lines, lambda x: F.contains(F.lower(x), F.lit("ans:")))
+    first = F.array_position(answers, True).cast("int")
+    after = F.when(first > 0, F.slice(lines, first, F.size(lines))).otherwise(F.array().cast("array<string>"))
+    parts = F.filter(F.transform(F.filter(after, lambda x: ~F.contains(F.lower(x), F.lit("ans:")) & (x != heading)), lambda x: F.trim(F.regexp_replace(x, ANSWER_LEAD, ""))), lambda x: x != "")
+    whole = F.filter(F.array(collapsed(body), F.concat(F.trim(F.regexp_replace(heading, ":+$", "")), F.lit(":")), F.array_join(parts, " ")), lambda x: x != "")
+    return F.when(heading.isNull(), collapsed(body)).otherwise(collapsed(F.array_join(whole, " ")))
+
+
 def signals(of: DataFrame, pages: DataFrame, key: str = "page_id") -> DataFrame:
     """key and what its page leads one to expect: questions, answers, options, images, tables,
     blocks left short."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,8 +117,50 @@ def parse_options(text: Column, tables: Column | None = None) -> Column:
         if s[0] == "compact_upper_numeric_labels":
             stages.append(_by_pattern(text, "ordered_upper_labels", ORDERED))
         stages.append(stage(text, *s))
+    # The chooser stages are not tried again after the lettered ones: on the same text they cannot fit then.
     fallback = F.struct(question_text(text).alias("stem"), F.array(*[F.lit("")] * 4).alias("options"), F.lit("fallback").alias("source"))
-    return F.coalesce(*stages, fallback)
+    found = F.coalesce(*stages, fallback)
+    return with_defaults(found)
+
+
+# The options of questions that print none, and how such questions are told.
+STATEMENT_OPTIONS = (
+    "Both Statement I and Statement II are true.",
+    "Both Statement I and Statement II are false.",
+    "Statement I is true but Statement II is false.",
+    "Statement I is false but Statement II is true.",
+)
+ASSERTION = r"(?i)\bAssertion\s*\(\s*A\s*\)|\bReason\s*\(\s*R\s*\)"
+STATEMENT_PAIR = r"(?is)\bStatement\s*I\b.*\bStatement\s*II\b"
+WARNINGS = {
+    "image_backed_unresolved": "Option content appears to be image-backed and could not be extracted as text.",
+    "missing": "Option content could not be extracted from the source block.",
+    "partial": "Only part of the option set was extracted from the source block.",
+}
+
+
+def needs_defaults(text: Column, options: Column) -> Column:
+    """Whether a question has no option and is of assertion and reason, or of two statements."""
+    return ~F.exists(options, lambda v: collapsed(v) != "") & (F.rlike(text, F.lit(ASSERTION)) | F.rlike(text, F.lit(STATEMENT_PAIR)))
+
+
+def with_defaults(parsed: Column) -> Column:
+    """A parsed question, with the usual options where it needs them."""
+    options = F.when(needs_defaults(parsed["stem"], parsed["options"]), F.array(*map(F.lit, STATEMENT_OPTIONS))).otherwise(parsed["options"])
+    return F.struct(parsed["stem"].alias("stem"), options.alias("options"), parsed["source"].alias("source"))
+
+
+def diagnostics(options: Column, text: Column, source: Column) -> Column:
+    """struct<source, status, imageTokenCount, nonEmptyOptionCount, warnings> of a parsed question."""
+    state = status(options, text)
+    warning = F.coalesce(*(F.when(state == k, w) for k, w in WARNINGS.items()))
+    return F.struct(
+        source.alias("source"),
+        state.alias("status"),
+        F.regexp_count(text, F.lit(r"(?i)\[IMG(?::[^\]]+)?\]")).alias("imageTokenCount"),
+        F.size(F.filter(options, lambda v: v != "")).alias("nonEmptyOptionCount"),
+        F.filter(F.array(warning), lambda w: w.isNotNull()).alias("warnings"),
+    )
 
 
 def status(options: Column, text: Column) -> Column:
@@ -130,8 +170,18 @@ def status(options: Column, text: Column) -> Column:
     return F.when(n == 4, "parsed").when(n > 0, "partial").when(images > 0, "image_backed_unresolved").otherwise("missing")
 
 
+# What explanations of such questions say, in order, and the letter it amounts to.
+VERDICTS = (
+    (r"both\s+(?:statement\s*i|a)\s+and\s+(?:statement\s*ii|r)\s+are\s+true", "a"),
+    (r"both\s+(?:statement\s*i|a)\s+and\s+(?:statement\s*ii|r)\s+are\s+false", "b"),
+    (r"(?:statement\s*i|assertion|a)\s+is\s+true\s+but\s+(?:statement\s*ii|reason|r)\s+is\s+false", "c"),
+    (r"(?:statement\s*i|assertion|a)\s+is\s+false\s+but\s+(?:statement\s*ii|reason|r)\s+is\s+true", "d"),
+    (r"statement\s*i\s+is\s+incorrect\s+but\s+statement\s*ii\s+is\s+correct", "d"),
+    (r"statement\s*i\s+is\s+correct\s+but\s+statement\s*ii\s+is\s+incorrect", "c"),
+)
+
+
 def inferred_answer(explanation: Column) -> Column:
-    """For assertion-and-reason questions: the letter that an explanation amounts to; '' if it says nothing."""
-    says = lambda p: F.rlike(explanation, F.lit(f"(?i){p}"))
-    rules = ((r"both .*(true|correct).*(not|isn't) the correct explanation", "b"), (r"both .*(true|correct).*correct explanation", "a"), (r"both .*(false|incorrect)", "d"), (r"assertion .*(true|correct).*reason .*(false|incorrect)", "c"), (r"assertion .*(false|incorrect)", "d"))
-    return reduce(lambda c, r: c.when(says(r[0]), r[1]), rules[1:], F.when(says(rules[0][0]), rules[0][1])).otherwise("")
+    """The letter that an explanation of two statements amounts to; '' if it says nothing."""
+    told = F.lower(collapsed(explanation))
+    return F.coalesce(*(F.when(F.rlike(told, F.lit(p)), a) for p, a in VERDICTS), F.lit(""))

@@ -70,3 +70,14 @@ def record_errors(records: DataFrame, json: str = "json") -> DataFrame:
     """The records' columns and n_error (in order), field, type, expected, actual: a row an error."""
     rows = records.withColumn("errors", question_errors(F.try_parse_json(json)))
     return rows.select(*records.columns, F.posexplode("errors").alias("n_error", "e")).select(*records.columns, "n_error", "e.*")
+
+
+def chapter_errors(chapters: DataFrame, root: str = "root") -> DataFrame:
+    """The chapters' other columns and index, n_error, field, type, expected, actual: errors of
+    chapter files given as variants. A root that is no list is one error, without an index."""
+    keep = [c for c in chapters.columns if c != root]
+    items = F.try_variant_get(root, "$", "array<variant>")
+    rows = chapters.where(type_name(F.col(root)) == "list").select(*keep, F.posexplode(items).alias("index", "__v"))
+    errors = rows.select(*keep, "index", F.posexplode(question_errors(F.col("__v"))).alias("n_error", "e")).select(*keep, "index", "n_error", "e.*")
+    odd = chapters.where(type_name(F.col(root)) != "list").select(*keep, F.lit(None).cast("int").alias("index"), F.lit(0).alias("n_error"), _error("root", "root_not_list").alias("e")).select(*keep, "index", "n_error", "e.*")
+    return errors.unionByName(odd)

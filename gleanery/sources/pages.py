@@ -1,8 +1,8 @@
-"""Pages, their lines and links; chapter files."""
+"""Pages and their lines; chapter files."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import collapsed, stem_of_path
@@ -24,20 +24,27 @@ def page_lines(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.posexplode(kept).alias("pos", "line"))
 
 
-def links(pages: DataFrame) -> DataFrame:
-    """page_id, idx (1-based), href, title: a page's links, the first of each address."""
-    found = F.arrays_zip(F.regexp_extract_all("html", F.lit('<a href="([^"]+)"[^>]*>([^<]*)</a>'), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit('<a href="([^"]+)"[^>]*>([^<]*)</a>'), F.lit(2)).alias("title"))
-    rows = pages.select("page_id", F.posexplode(found).alias("pos", "a")).select("page_id", "pos", "a.href", collapsed(F.col("a.title")).alias("title"))
-    first = rows.withColumn("nth", F.row_number().over(Window.partitionBy("page_id", "href").orderBy("pos"))).where("nth = 1")
-    return first.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("pos")).alias("idx"), "href", "title")
-
-
 def chapter_files(spark: SparkSession, path: str) -> DataFrame:
     """slug, n (0-based), and a question's columns, from JSON arrays of questions."""
     rows = spark.read.schema(QUESTION).option("multiLine", True).json(path)
     return rows.select(stem_of_path(F.col("_metadata.file_path")).alias("slug"), "*")
 
 
+def chapter_roots(spark: SparkSession, path: str) -> DataFrame:
+    """json_path, slug, root: chapter files as they are, whatever their types (variants)."""
+    rows = spark.read.option("multiLine", True).option("singleVariantColumn", "root").json(path)
+    return rows.select(F.col("_metadata.file_path").alias("json_path"), stem_of_path(F.col("_metadata.file_path")).alias("slug"), "root")
+
+
+def json_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON arrays or lines at path; if nothing is there, a table without rows. Broken files fail."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+    if not found or not len(found):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+
+
 def last_wins(*maps: DataFrame, key: list[str]) -> DataFrame:
     """Rows of several keyed tables of one schema; a later table's row replaces an earlier one's."""
     ranked = None

@@ -17,7 +17,8 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    csv_ready(df).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; a table without rows has none."""
+    csv_ready(df).write.mode("overwrite").option("header", not df.isEmpty()).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
