@@ -136,7 +136,7 @@ def number_of(field: Column) -> Column:
 
 def shown_score(x: Column) -> Column:
     """Four decimals, or a dash."""
-    return F.coalesce(F.format_string("%.4f", x), F.lit("—"))
+    return F.when(x.isNull(), "—").otherwise(F.format_string("%.4f", x))
 
 
 def badge(risk: Column) -> Column:

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from gleanery.functions import similarity as S
 from gleanery.functions import text as T
 from gleanery.operators import align, findings, options, schema_rules, scoring
-from gleanery.operators.blocks import blocks, signals, stem
+from gleanery.operators.blocks import blocks, element_blocks, picture_suffixes, rebuilt_explanation, signals, stem
+from gleanery.plans import catalogue
+from gleanery.sources import links
 from gleanery.sources import pages as P
 from gleanery.sources import reports
 
@@ -75,16 +77,21 @@ CASES = [
     ("What? A: one B: two C: three D: four", "What?", ["one", "two", "three", "four"], "mixed_option_markers"),
     ("Which value? A12 B34 C56 D78", "Which value?", ["12", "34", "56", "78"], "ordered_upper_labels"),
     ("Which value A12 B34 C56 D78", "Which value", ["12", "34", "56", "78"], "compact_upper_numeric_labels"),
+    ("Which? (a) one (b) two (c) three (d", "Which? (a) one (b) two (c) three (d", [""] * 4, "fallback"),
+    ("What? (a one (b two (c three (d four", "What?", ["one", "two", "three", "four"], "sequential_lower_markers"),
+    ("What? (a one (c two (b three (d four", "What?", ["one", "two", "three", "four"], "loose_lower_sequence"),
+    ("Assertion (A): it floats. Reason (R): it is light", "Assertion (A): it floats. Reason (R): it is light", list(options.STATEMENT_OPTIONS), "fallback"),
+    ("Statement I: x\nStatement II: y", "Statement I: x Statement II: y", list(options.STATEMENT_OPTIONS), "fallback"),
     ("No options here", "No options here", [""] * 4, "fallback"),
     ("(a) x (b) y", "(a) x (b) y", [""] * 4, "fallback"),
     (None, "", [""] * 4, "fallback"),
 ]
 
 
-@pytest.mark.parametrize(("text", "stem_", "opts", "source"), CASES)
-def test_option_cascade(spark, text, stem_, opts, source):
-    r = spark.createDataFrame([(text,)], "t string").select(options.parse_options(F.coalesce("t", F.lit(""))).alias("r")).first().r
-    assert (r.stem, r.options, r.source) == (stem_, opts, source)
+def test_option_cascade(spark):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, t string")
+    got = df.select("i", options.parse_options(F.coalesce("t", F.lit(""))).alias("r")).orderBy("i").collect()
+    assert [(r.r.stem, r.r.options, r.r.source) for r in got] == [c[1:] for c in CASES]
 
 
 GOOD = {"id": "Q1", "text": "t", "options": dict.fromkeys("ABCD", "x"), "answer": "a", "explanation": "e", "year": "2020", "chapter": "c", "class": "B11", "images": [], "tables": []}
@@ -165,9 +172,107 @@ def test_sources_and_sinks(spark, tmp_path):
 
 def test_links_first_wins(spark):
     pages = spark.createDataFrame([(1, '<a href="/a">A</a><a href="/b"> B </a><a href="/a">again</a>')], "page_id long, html string")
-    assert [tuple(r)[1:] for r in P.links(pages).orderBy("idx").collect()] == [(1, "/a", "A"), (2, "/b", "B")]
+    assert [tuple(r)[1:] for r in links.links(pages).orderBy("idx").collect()] == [(1, "/a", "A"), (2, "/b", "B")]
 
 
 def test_last_wins(spark):
     a, b = (spark.createDataFrame(x, "k string, v int") for x in ([("x", 1), ("y", 2)], [("y", 3)]))
     assert sorted(map(tuple, P.last_wins(a, b, key=["k"]).collect())) == [("x", 1), ("y", 3)]
+
+
+def brute_alignment(blocks_, questions_):
+    """The definition, block by block: (source, scraped, score, matched)."""
+    left, out = list(range(len(questions_))), []
+    for i, (y, n, t) in enumerate(blocks_):
+        keyed = [q for q in left if n is not None and questions_[q][1] == n and questions_[q][0].strip().lower() == y.strip().lower()]
+        best, score = None, -1.0
+        for q in keyed or left:
+            r = S.sequence_ratio(norm(t), norm(questions_[q][2]))
+            same = 1.0 if y and y == questions_[q][0] else 0.0
+            s = 0.8 * r + 0.15 * 0.0 + 0.05 * 1.0 if keyed else 0.6 * r + 0.15 * same + 0.15 * 0.0 + 0.1 * 1.0
+            if s > score:
+                best, score = q, s
+        out.append((i, best, round(score, 4) if best is not None else 0.0, best is not None and score >= 0.55))
+        if best is not None:
+            left.remove(best)
+    return out
+
+
+def norm(t):
+    return " ".join(t.replace("&", " and ").split()).lower()
+
+
+def test_alignment_against_its_definition(spark):
+    r = random.Random(5)
+    say = lambda: " ".join(r.choice("alpha beta gamma delta tide leaf stone".split()) for _ in range(r.randint(2, 6)))
+    for _ in range(4):
+        b = [(r.choice(["2020", "2021", ""]), r.choice([None, 1, 2, 3]), say()) for _ in range(9)]
+        q = [(r.choice(["2020", "2021", ""]), r.choice([None, 1, 2, 3]), say()) for _ in range(7)]
+        assert sides(spark, b, q) == brute_alignment(b, q)
+
+
+def test_element_blocks_and_pictures(spark):
+    rows = [(1, 0, "p", "Q1: before any year"), (1, 1, "h3", "Questions of the exam held in 2019 and more"), (1, 2, "p", "Q 12: which"), (1, 3, "p", "a line of the year 2018 that is long"), (1, 4, "p", "2017"), (1, 5, "p", "Q13. what"), (2, 0, "p", "no question")]
+    got = element_blocks(spark.createDataFrame(rows, "page_id int, pos int, tag string, text string")).orderBy("source_index").collect()
+    assert [(r.year, len(r.lines)) for r in got] == [("2022", 1), ("2019", 2), ("2017", 1)]
+    p = [(1, 0, "http://a", False), (1, 1, "http://Vector.png", False), (1, 2, "data:x", False), (1, 3, "http://b", False), (1, 4, "http://c", True), (1, 5, "http://d", True)]
+    got = picture_suffixes(spark.createDataFrame(p, "q int, pos int, src string, after_answer boolean"), ["q"]).orderBy("pos").collect()
+    assert [r.suffix for r in got] == ["-main", "-main2", "-explanation1", "-explanation2"]
+
+
+def test_rebuilt_explanation(spark):
+    rows = [("it is so", ["Q1: x", "Ans: (a) it is so", "first", "Other options:", "Ans - (b) second"]), ("it  is so", ["Q1: x", "Ans: (a)"]), ("b", ["Incorrect options", "no answer here"])]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, b string, ls array<string>")
+    got = [r.v for r in df.select("i", rebuilt_explanation(F.col("b"), F.col("ls")).alias("v")).orderBy("i").collect()]
+    assert got == ["it is so Other options: first second", "it is so", "b Incorrect options:"]
+
+
+def test_small_functions(spark):
+    assert values(spark, T.asset_extension, "https://x/a.JPEG?y", "https://x/a") == [".jpeg", ".png"]
+    assert values(spark, T.asset_prefix, "human-reproduction", "cell-cycle") == ["reproduction-", "CELL_CYCLE-"]
+    assert values(spark, T.badge, "High", "odd", "", None) == ["high", "neutral", "neutral", "neutral"]
+    assert values(spark, T.number_of, "12", "x", None) == [12, None, None]
+    assert values(spark, lambda c: T.shown_score(c.cast("double")), "0.5", None) == ["0.5000", "—"]
+    assert values(spark, lambda c: T.has_any_prefix(c, F.array(F.lit("ab"), F.lit("c"))), "abc", "cd", "d") == [True, True, False]
+    assert values(spark, T.title_from_slug, "a" * 1500 + "-b") == ["A" + "a" * 1499 + " B"]
+    assert values(spark, options.inferred_answer, "Both A and R are true", "statement i is correct but statement ii is incorrect", "") == ["a", "c", ""]
+
+
+def test_json_or_none(spark, tmp_path):
+    assert P.json_or_none(spark, str(tmp_path / "absent.json"), "a int").count() == 0
+    (tmp_path / "there.json").write_text('[{"a": 1}, {"a": 2}]')
+    assert P.json_or_none(spark, str(tmp_path / "there.json"), "a int").count() == 2
+    (tmp_path / "broken.json").write_text('[{"a": ')
+    with pytest.raises(Exception, match="(?i)malformed|parse|FAILED_READ"):
+        P.json_or_none(spark, str(tmp_path / "broken.json"), "a int").collect()
+
+
+def test_queries_without_sql(spark):
+    """Whole pages against the standard library and a plain loop; real turns against the definition."""
+    import hashlib
+    import re
+
+    sf = "/root/testdata/sf0.001"
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    got = {r.page_id: r.plain for r in catalogue.QUERIES["j_unescape"](spark, sf).collect()}
+    assert got == {p.page_id: hashlib.md5(html.unescape(p.html or "").encode()).hexdigest() for p in pages}
+
+    def lines(page):
+        x = re.sub(r"(?is)<(script|style|noscript|table)\b.*?</\1>", " ", page)
+        x = re.sub(r"(?i)<br\s*/?>", "\n", x)
+        x = re.sub(r"""(?i)<img\b[^>]*?\bsrc=["']?([^"'\s>]+)[^>]*>""", r" [IMG:\1] ", x)
+        x = re.sub(r"<[^>]+>", "", re.sub(r"(?i)<img\b[^>]*>", " [IMG] ", x))
+        return [y for y in (" ".join(part.split()) for part in x.split("\n")) if y]
+
+    shown: dict = {}
+    for r in catalogue.QUERIES["d_element_lines"](spark, sf).orderBy("page_id", "pos").collect():
+        shown.setdefault(r.page_id, []).append(r.line)
+    assert shown == {p.page_id: lines(p.html) for p in pages if p.html and lines(p.html)}
+
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").orderBy("conv_id", "turn").collect()
+    for name, numbered in (("n_align_keyed", True), ("n_align_greedy", False)):
+        want = []
+        for conv in {t.conv_id for t in turns}:
+            mine = [[("", i if numbered else None, t.text or "") for i, t in enumerate(t for t in turns if t.conv_id == conv and t.role == role)] for role in ("user", "assistant")]
+            want += [(conv, *x) for x in brute_alignment(*mine)]
+        assert sorted(map(tuple, catalogue.QUERIES[name](spark, sf).collect())) == sorted(want)
