@@ -42,6 +42,9 @@ LEVEL = 6
 EDGE = bytes(2 * CODE)
 #: What a text's last window is filled up with: bytes that no dictionary has.
 FILL = hashlib.shake_128(b"fill").digest(WINDOW * CODE)
+#: Bytes that end every window and both dictionaries: zstandard leaves alone what it could shorten by a
+#: few bytes only, and so a single match would not show.
+PAD = hashlib.shake_128(b"pad").digest(8 * CODE)
 WORD = re.compile(r"\w+")
 #: Codes that a worker keeps; beyond that it starts afresh.
 KEPT = 500_000
@@ -86,7 +89,7 @@ class Model:
 @lru_cache(maxsize=4)
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    p = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=WINDOW * CODE, dict_size=len(content), write_content_size=False, write_dict_id=False)
+    p = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=WINDOW * CODE + len(PAD), dict_size=len(content), write_content_size=False, write_dict_id=False)
     return zstandard.ZstdCompressor(dict_data=d, compression_params=p)
 
 
@@ -98,7 +101,7 @@ def evidence(codes: bytes, toxic: bytes, ordinary: bytes) -> float:
     gains: list[int] = []
     for i in range(0, len(codes), step):
         w = codes[i : i + step]
-        w += FILL[len(w) :]
+        w += FILL[len(w) :] + PAD
         gain = len(far(w)) - len(near(w))
         gains.append(gain if gain >= SAVED else 0)
         now += gains[-1] - (gains[-1 - PASSAGE] if len(gains) > PASSAGE else 0)
@@ -198,7 +201,7 @@ def dictionaries(r: Ranks, found: dict[tuple[bool, int, str], tuple[int, list[st
     out = []
     for n in SEGMENTS:
         own = content(telling[:n])
-        out.append((EDGE + own + shared + EDGE, EDGE + (rest * (len(own) // len(rest) + 1))[: len(own)] + shared + EDGE))
+        out.append(tuple(EDGE + x + shared + PAD + EDGE for x in (own, (rest * (len(own) // len(rest) + 1))[: len(own)])))
     return out
 
 
