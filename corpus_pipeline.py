@@ -1,7 +1,7 @@
 """Documents to training shards: toxicity, near-duplicates, benchmarks, mixing, sharding.
 
 Every stage takes the documents that the one before kept, written and read again, and
-returns them with the same columns; the last returns the shards' manifest.
+returns them with the same columns; the last writes the shards and returns their manifest.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.llm import decontam, mixing, near_dup, sharding, toxicity
-from gleanery.llm.common import table, written
+from gleanery.llm.common import shared_dir, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -37,8 +37,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_bytes and shard (name, depth, documents, bytes) of each row."""
-    return sharding.shard(docs)
+    """Writes each shard's documents to a folder of its own under the shared one; doc_id, n_bytes,
+    shard (name, depth, documents, bytes) and folder of each row."""
+    return sharding.write_shards(docs, f"{shared_dir(spark)}/shards-{spark.sparkContext.applicationId}")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import duckdb
+from pyspark.sql import functions as F
 
 from gleanery.llm import sharding as m
 from tests.llm.fixtures import docs, words
@@ -43,5 +44,25 @@ def test_one_id_in_a_third_of_the_rows(spark):
     assert sum(1 for x in sums for y in sums if x != y and y.startswith(x)) == 0  # no shard within another
 
 
+def test_default_limit_splits_small_tables(spark):
+    rows = [(i, words(i, 30)) for i in range(400)]
+    got = m.shard(docs(spark, rows)).collect()
+    assert len({r.shard for r in got}) >= m.SHARDS and sum(r.n_bytes for r in got) == sum(len(t) for _, t in rows)
+    assert max(r.shard_bytes for r in got) <= sum(len(t) for _, t in rows) // m.SHARDS
+
+
+def test_shards_are_written_whole(spark, tmp_path):
+    rows = [(i, words(i, 9)) for i in range(80)] + [(5, words(5, 9))] * 3 + [(None, None)]
+    frame = docs(spark, rows, clash=True).withColumn("name", F.lit("clash"))
+    manifest = m.write_shards(frame, str(tmp_path / "out"), 600).collect()
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, (tuple(r[c] for c in frame.columns) for r in back.collect()))) == sorted(map(str, map(tuple, frame.collect())))
+    assert len(manifest) == len(rows)
+    for folder in {r.folder for r in manifest}:
+        here = sorted(str(r.doc_id) for r in manifest if r.folder == folder)
+        assert sorted(str(r.doc_id) for r in spark.read.parquet(folder).collect()) == here
+    assert m.write_shards(frame.limit(0), str(tmp_path / "none")).count() == 0
+
+
 def test_empty(spark):
     assert m.shard(docs(spark, []), 10).count() == 0
