@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Sequence
@@ -236,24 +236,26 @@ class Index:
 _indexes: dict[str, Index] = {}
 
 
-def _index(items: Sequence[tuple[int, str]]) -> Index:
-    """The items' index, built once in a worker."""
-    key = hashlib.sha256(repr(items).encode("utf-8", "surrogatepass")).hexdigest()
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = Index(items)
-    return _indexes[key]
+def _index(name: str, shared) -> Index:
+    """The index of the items broadcast under this name, built once in a worker; a worker keeps those of
+    one benchmark."""
+    own = name.partition("/")[0]
+    for other in [k for k in _indexes if k.partition("/")[0] != own]:
+        del _indexes[other]
+    if name not in _indexes:
+        _indexes[name] = Index(shared.value)
+    return _indexes[name]
 
 
 MATCH = "array<struct<item_id:long,score:double,item_overlap:double,question_overlap:double,answer_overlap:double>>"
 
 
-def _matcher(shared):
+def _matcher(name: str, shared):
     names = ("item_id", "score", "item_overlap", "question_overlap", "answer_overlap")
 
     @F.pandas_udf(MATCH)
     def matched(text: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(names, m)) for m in ms] for ms in _index(shared.value).matches([*text])], dtype=object)
+        return pd.Series([[dict(zip(names, m)) for m in ms] for ms in _index(name, shared).matches([*text])], dtype=object)
 
     return matched
 
@@ -262,17 +264,18 @@ def matches(benchmark: DataFrame) -> Column:
     """A column for the column `text`: the test items that it contains.
 
     The items are broadcast in blocks of INDEX_BYTES, by their measured size; each
-    block is an index of its own, and a text is held against all of them. Items
+    block is an index of its own, kept by each worker, and a text is held against all of them: memory
+    grows with the benchmark, by some times its own size. Items
     without words match nothing; a null item_id counts as -1.
     """
     items = benchmark.select(F.coalesce("item_id", F.lit(-1)).cast("long").alias("item_id"), text_or_empty().alias("text")).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / INDEX_BYTES))
-    sc = benchmark.sparkSession.sparkContext
+    sc, name = benchmark.sparkSession.sparkContext, uuid.uuid4().hex
     found = []
     for n in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == n).orderBy("item_id", "text").collect()  # INDEX_BYTES or so
-        found.append(_matcher(sc.broadcast([(r.item_id, r.text) for r in rows]))(text_or_empty()))
+        found.append(_matcher(f"{name}/{n}", sc.broadcast([(r.item_id, r.text) for r in rows]))(text_or_empty()))
     return reduce(F.concat, found) if len(found) > 1 else found[0]
 
 
