@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +32,19 @@ P_CLOSERS = frozenset("address article aside blockquote details div dl fieldset
 #: Costs, in nats, of calling a block content although an element around it says boilerplate,
 #: and the other way round. The nearest element that says something counts, names on the page's
 #: own elements do not, and landmarks count from wherever they are.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LANDMARKS = frozenset("nav footer aside".split())
 BOILER_TAGS = {"nav": 8, "footer": 8, "aside": 8, "form": 8, "header": 6, "menu": 8, "dialog": 8, "figcaption": 0}
 CONTENT_TAGS = {"article": 5, "main": 4}
 BOILER_NAMES = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|respond|replies|disqus|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|promo\w*|sponsor\w*|related|recommend\w*|share|social|sidebar|side-?bar|menu|nav\w*|footer|header|masthead|toolbar|widget|login|signup|copyright|legal|pagination|pager|skip|hidden|sr-only)(?:$|[^a-z])")
 CONTENT_NAMES = re.compile(r"(?:^|[^a-z])(?:article|content|main|post|entry|story|body|text)(?:$|[^a-z])")
 NAME_COST = 6.0
+#: What a block's text and its own element say: the classifier's weights before it is fitted, and how much
+#: they weigh against the sample, as a ridge. Names and landmarks prevail over them within these bounds.
+FEATURES = ("constant", "linked share", "words", "sentence end", "paragraph or heading", "list item or cell")
+PRIOR, RIDGE, BOUNDS = (-0.8, -4.0, 0.6, 0.4, 0.8, 0.0), 20.0, (-4.8, 2.4)
+#: Pages that the classifier is fitted on, and their blocks, at most; by hashes.
+SAMPLE_PAGES, SAMPLE_BLOCKS = 2_000, 50
 #: Cost of a cut between blocks that follow each other, by how far up their paths part.
 ADJACENT, SIBLING = 1.2, 0.6
 
@@ -131,13 +140,21 @@ def blocks_of(html: str) -> list[Block]:
     return p.blocks
 
 
-def terminal_cost(b: Block) -> float:
+def features(b: Block) -> list[float]:
+    """What tells content from boilerplate without the elements around the block."""
+    words, tag = b.text.count(" ") + 1, b.path[-1][1] if b.path else ""
+    return [1.0, b.linked / len(b.text), min(2.0 / 0.6, math.log(words)), float(b.text[-1] in ".!?…。！？"), float(tag in ("p", "blockquote", "pre") or tag in HEADINGS), float(tag in ("li", "td", "th", "dt", "dd"))]
+
+
+def terminal_cost(b: Block, weights: Sequence[float] = PRIOR) -> float:
     """How much rather content than boilerplate a block is, as log odds: the nearest
-    element that says so, the share of linked text, the length, sentence ends."""
+    element that says so, and the classifier."""
     cost, seen, told = 0.0, False, False
-    for _, tag, names in reversed(b.path):
+    for n, (_, tag, names) in enumerate(reversed(b.path)):
         if tag in ("html", "body"):
             names = ""
+        if tag == "header" and b.path[-1][1] in HEADINGS and any(t == "article" for _, t, _ in b.path[: len(b.path) - 1 - n]):
+            continue  # an article's title stands in its header
         boiler = max(BOILER_TAGS.get(tag, 0), NAME_COST if names and BOILER_NAMES.search(names) else 0)
         if boiler:
             if not told or tag in LANDMARKS:
@@ -148,18 +165,57 @@ def terminal_cost(b: Block) -> float:
         elif not seen and (tag in CONTENT_TAGS or (names and CONTENT_NAMES.search(names))):
             cost += CONTENT_TAGS.get(tag, 3)
             seen = told = True
-    words = b.text.count(" ") + 1
-    cost -= 4.0 * b.linked / len(b.text)
-    cost += min(2.0, 0.6 * math.log(words)) - 0.8
-    if b.text[-1] in ".!?…。！？":
-        cost += 0.4
-    if b.path and b.path[-1][1] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"):
-        cost += 0.8
+    cost += min(max(sum(w * x for w, x in zip(weights, features(b))), BOUNDS[0]), BOUNDS[1])
     if not seen and b.text[:1] in "©":
         cost -= 4.0
     return cost
 
 
+def structural_label(b: Block) -> bool | None:
+    """For a page that has an article: whether a block is in it and in nothing that is boilerplate (true), or in a
+    landmark or named as boilerplate outside it (false); None if neither."""
+    tags = [t for _, t, _ in b.path]
+    odd = any(t in BOILER_TAGS and BOILER_TAGS[t] for t in tags) or any(n and BOILER_NAMES.search(n) for _, t, n in b.path if t not in ("html", "body"))
+    return not odd if "article" in tags else False if odd else None
+
+
+def fitted(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[float, ...]:
+    """Logistic weights, classes weighing alike, drawn towards PRIOR."""
+    start = np.array(PRIOR)
+    w, weight = start.copy(), np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
+        step = np.linalg.solve(h, x.T @ (weight * (y - p)) - ridge * (w - start))
+        w += np.clip(step, -1, 1)
+        if np.abs(step).max() < 1e-6:
+            break
+    return tuple(float(v) for v in w)
+
+
+def learn(pages: DataFrame) -> tuple[float, ...]:
+    """The classifier's weights, fitted on a bounded sample of the pages: those with an article label their
+    own blocks by their elements, and the classifier learns what such blocks look like in themselves. Without
+    blocks of both labels: PRIOR."""
+    n = pages.count()
+    lot = F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000)) / 1e6
+
+    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for html in b.html:
+                blocks = blocks_of(html)
+                if any(t == "article" for x in blocks for _, t, _ in x.path):
+                    told = [(features(x), structural_label(x)) for x in sorted(blocks, key=lambda x: zlib.crc32(x.text.encode("utf-8", "surrogatepass")))]
+                    out += [(f, y) for f, y in told if y is not None][:SAMPLE_BLOCKS]
+            yield pd.DataFrame(out, columns=["x", "y"])
+
+    sample = pages.where(lot < min(1.0, SAMPLE_PAGES / max(n, 1))).select(text_or_empty("html").alias("html"))
+    rows = sample.mapInPandas(measured, "x array<double>, y boolean").toPandas()
+    y = rows.y.to_numpy(float)
+    return PRIOR if not len(y) or y.min() == y.max() else fitted(np.array(rows.x.tolist()), y)
+
+
 def _shared(a: Block, b: Block) -> int:
     n = 0
     for x, y in zip(a.path, b.path):
@@ -252,25 +308,28 @@ def minimum_cut(costs: Sequence[float], edges: Sequence[tuple[int, int, float]])
                 break
 
 
-def main_text(html: str) -> str:
+def main_text(html: str, weights: Sequence[float] = PRIOR) -> str:
     """The content blocks' texts, in page order, a line each."""
     blocks = blocks_of(html)
-    labels = minimum_cut([terminal_cost(b) for b in blocks], edges_of(blocks))
+    labels = minimum_cut([terminal_cost(b, weights) for b in blocks], edges_of(blocks))
     return "\n".join(b.text for b, content in zip(blocks, labels) if content)
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars: one row per row of pages.
+def extract(pages: DataFrame, weights: Sequence[float] | None = None) -> DataFrame:
+    """page_id, url, text, n_chars: one row per row of pages. weights: those of learn(); fitted on the
+    pages themselves if not given.
 
-    Null html counts as empty; a page without content gives the empty text. Pages are
-    parsed whole, in time that grows with their length. Repeated rows and null ids or
-    urls each get a row. Empty table: empty result. Other columns are not read.
+    Null html counts as empty; a page without content gives the empty text. <br> ends a block. Pages are
+    parsed whole, in time that grows with their length, and with its square where thousands of elements stay
+    open within each other. Repeated rows and null ids or urls each get a row. Empty table: empty result.
+    Other columns, whatever their names, are not read.
     """
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
+    weights = learn(pages) if weights is None else weights
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            t = [main_text(h) for h in b.html]
+            t = [main_text(h, weights) for h in b.html]
             yield pd.DataFrame({"page_id": b.page_id, "url": b.url, "text": t, "n_chars": [len(x) for x in t]})
 
     rows = pages.select("page_id", "url", text_or_empty("html").alias("html"))

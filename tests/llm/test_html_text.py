@@ -73,3 +73,54 @@ def test_head_without_its_end():
 def test_formulas_are_text():
     formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></mrow><annotation>x=y^2</annotation></semantics></math>"
     assert m.main_text(page(f"<article><p>{words(1, 20)} {formula} {words(2, 20)}.</p></article>")) == f"{words(1, 20)} x=y2 {words(2, 20)}."
+
+
+def test_title_in_the_articles_header():
+    body = f"<header><h1>Site of words</h1></header><article><header><h1>Title of it</h1><p class='share'>Share this</p></header><p>{words(1, 30)}.</p></article>"
+    assert m.main_text(page(body)) == f"Title of it\n{words(1, 30)}."
+
+
+def test_deep_nesting():
+    text = words(3, 40) + "."
+    assert m.main_text(page("<div>" * 400 + f"<p>{text}</p>" + "</div>" * 400)) == text
+
+
+def test_fitted_weights(spark):
+    """Learned from pages that label themselves; every page of the table against the extraction with those
+    weights, and against the text that the page was made of."""
+    rows, want = [], {}
+    for i in range(60):
+        paragraphs = [words(100 * i + k, 20 + k) + "." for k in range(4)]
+        menu = "".join(f"<li><a href='/{k}'>{words(5000 + i + k, 2)}</a></li>" for k in range(5))
+        inner = "".join(f"<p>{p}</p>" for p in paragraphs)
+        body = f"<nav><ul>{menu}</ul></nav>" + (f"<article>{inner}</article><div class='ad'>{words(i, 8)}.</div><footer>Us {i}</footer>" if i < 40 else f"<div>{inner}</div>")
+        rows.append((i, f"u{i}", page(body)))
+        want[i] = "\n".join(paragraphs)
+    d = spark.createDataFrame([(*r, "clash", 1) for r in rows], PAGES)
+    w = m.learn(d)
+    assert w != m.PRIOR and w[1] < 0 < w[2] and w == m.learn(d)
+    got = {r.page_id: r.text for r in m.extract(d).collect()}
+    assert got == {i: m.main_text(h, w) for i, _, h in rows} == want
+    assert m.learn(d.limit(0)) == m.PRIOR
+
+
+def whole_article(html):
+    """The articles of the given pages by plain patterns: their markup is regular."""
+    import html as library
+    import re
+
+    inner = re.search(r"(?s)<article>(.*)</article>", html)
+    if not inner:
+        return None
+    x = re.sub(r"(?s)<!--.*?-->|<(script|style)\b.*?</\1>", "", inner[1])
+    parts = re.split(r"(?i)</?(?:p|h1|h2|br|div|ul|li|table|tr|td|blockquote)\b[^>]*>", x)
+    parts = [" ".join(library.unescape(re.sub(r"<[^>]+>", "", y)).split()) for y in parts]
+    return "\n".join(y for y in parts if y)
+
+
+def test_all_given_pages_against_their_articles(spark):
+    folder = "/root/testdata/sf0.001"
+    html = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    got = {r.page_id: r.text for r in m.op7(spark, folder).collect()}
+    want = {i: whole_article(h or "") for i, h in html.items()}
+    assert all(w is not None for w in want.values()) and got == want
