@@ -40,9 +40,9 @@ BOILER_NAMES = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|banner|breadcrumbs?|co
 CONTENT_NAMES = re.compile(r"(?:^|[^a-z])(?:article|content|main|post|entry|story|body|text)(?:$|[^a-z])")
 NAME_COST = 6.0
 #: What a block's text and its own element say: the classifier's weights before it is fitted, and how much
-#: they weigh against the sample, as a ridge. Names and landmarks prevail over them within these bounds.
+#: they weigh against the sample, as a ridge for each of its blocks. Names and landmarks prevail over them within these bounds.
 FEATURES = ("constant", "linked share", "words", "sentence end", "paragraph or heading", "list item or cell")
-PRIOR, RIDGE, BOUNDS = (-0.8, -4.0, 0.6, 0.4, 0.8, 0.0), 20.0, (-4.8, 2.4)
+PRIOR, RIDGE, BOUNDS = (-0.8, -4.0, 0.6, 0.4, 0.8, 0.0), 0.05, (-4.8, 2.4)
 #: Pages that the classifier is fitted on, and their blocks, at most; by hashes.
 SAMPLE_PAGES, SAMPLE_BLOCKS = 2_000, 50
 #: Cost of a cut between blocks that follow each other, by how far up their paths part.
@@ -181,7 +181,7 @@ def structural_label(b: Block) -> bool | None:
 
 def fitted(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[float, ...]:
     """Logistic weights, classes weighing alike, drawn towards PRIOR."""
-    start = np.array(PRIOR)
+    start, ridge = np.array(PRIOR), ridge * len(y)
     w, weight = start.copy(), np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -99,6 +99,8 @@ def test_fitted_weights(spark):
     d = spark.createDataFrame([(*r, "clash", 1) for r in rows], PAGES)
     w = m.learn(d)
     assert w != m.PRIOR and w[1] < 0 < w[2] and w == m.learn(d)
+    # Pages without paragraph elements are still taken for content.
+    assert m.main_text(page(f"<div>{words(1, 40)}.</div><div>{words(2, 40)}.</div>"), w) != ""
     got = {r.page_id: r.text for r in m.extract(d).collect()}
     assert got == {i: m.main_text(h, w) for i, _, h in rows} == want
     assert m.learn(d.limit(0)) == m.PRIOR
