@@ -56,11 +56,11 @@ def mix(docs: DataFrame, keep: Sequence[str] = ("doc_id",), weights: Sequence[in
     third of all rows still spreads over thousands of tasks.
 
     Null or empty text: size 0, taken 0. Null sources form a source of their own,
-    the last. Null doc_id: hashed as the empty string. Equal rows tie, in any order,
-    with equal results as a set. Empty table: empty result. Other columns, whatever
+    the last. The hash is of doc_id (null: the empty string) and text, so that one id, or none, on any part
+    of the rows spreads over the buckets. Equal rows tie, in any order, with equal results as a set. Empty table: empty result. Other columns, whatever
     their names, only travel inside `doc`.
     """
-    rank = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rank = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
     sized = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"), F.col("doc_id").alias("id"), F.col("source"), word_count(F.col("text")).alias("size"), rank.alias("rank"))
     sized = sized.withColumn("bucket", F.substring("rank", 1, BUCKET_DIGITS))
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
@@ -93,7 +93,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS rank
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS rank
   FROM documents),
 by_source AS (
   SELECT source, sum(size)::BIGINT AS source_size,
