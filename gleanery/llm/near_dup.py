@@ -32,7 +32,7 @@ CLASS_BYTES = 16 << 20
 #: Cells of the incidence matrices that are multiplied at once.
 CELLS = 1 << 22
 #: Code points hashed at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Narrow rows up to which a table of ids is broadcast.
 SMALL = 500_000
 
@@ -176,15 +176,22 @@ def _bands(signatures: np.ndarray) -> np.ndarray:
     return _mix((parts * factors).sum(axis=2, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _U(0xD6E8FEB86659FD93)).astype(np.int64)
 
 
+def _slices(texts: Sequence[str]) -> Iterator[tuple[int, int]]:
+    """Where to cut the texts so that each part has CHUNK code points or fewer, or is one text."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > CHUNK:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if len(texts) > start:
+        yield start, len(texts)
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, texts = b.column("id"), b.column("text").to_pylist()
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= CHUNK):
-                size += len(texts[end])
-                end += 1
+        for at, end in _slices(texts):
             part = texts[at:end]
             # Weights are the shingles' counts; where some repeat, a second signature takes each once.
             bags = shingles(part)
@@ -206,7 +213,6 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["id", "same", "signature", "bands"],
             )
-            at = end
 
 
 def _parted(signatures: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -230,8 +236,8 @@ def _against_hub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hub = None
     for b in batches:
         rows = []
-        for i in range(0, len(b), 64):
-            part = b.iloc[i : i + 64]
+        for start, end in _slices([*b.text]):
+            part = b.iloc[start:end]
             for at, mine, x in zip(part.id, part.partner, shingles([*part.text])):
                 y = x[0], repeats(x)
                 if not mine:
@@ -278,8 +284,8 @@ def _read(column: pd.Series) -> list[np.ndarray]:
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, texts = b.column("id"), b.column("text").to_pylist()
-        for i in range(0, len(texts), 64):
-            part = shingles(texts[i : i + 64])
+        for i, end in _slices(texts):
+            part = shingles(texts[i:end])
             yield pa.RecordBatch.from_arrays([ids.slice(i, len(part)), *_stored(part)], names=["id", "shingles", "again"])
 
 
@@ -334,8 +340,8 @@ def _residual(placed: DataFrame, signatures: DataFrame, texts: Texts) -> DataFra
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column("text").to_pylist()
-        for i in range(0, len(texts), 64):
-            part = shingles(texts[i : i + 64])
+        for i, end in _slices(texts):
+            part = shingles(texts[i:end])
             yield pa.RecordBatch.from_arrays([b.column("id").slice(i, len(part)), b.column("label").slice(i, len(part)), *_stored(part)], names=["id", "label", "shingles", "again"])
 
 

@@ -47,7 +47,7 @@ FILL = hashlib.shake_128(b"fill").digest(WINDOW * CODE)
 PAD = hashlib.shake_128(b"pad").digest(8 * CODE)
 WORD = re.compile(r"\w+")
 #: Codes that a worker keeps; beyond that it starts afresh.
-KEPT = 500_000
+KEPT = 150_000
 
 
 def fold_of(doc_id: Column) -> Column:
