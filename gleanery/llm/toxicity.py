@@ -173,7 +173,9 @@ def segments(sample: DataFrame, ranks: Sequence[Ranks]) -> dict[tuple[bool, int,
             yield pd.DataFrame([(*k, *v) for k, v in best.items()], columns=["toxic", "part", "word", "rank", "seg"])
 
     rows = sample.mapInPandas(found, "toxic boolean, part int, word string, rank int, seg array<string>").groupBy("toxic", "part", "word").agg(F.min(F.struct("rank", "seg")).alias("s"))
-    return {(r.toxic, r.part, r.word): (r.s.rank, list(r.s.seg)) for r in rows.collect()}
+    of_words = rows.select("toxic", "part", "word", "s.rank", "s.seg").toPandas()
+    wanted.destroy()
+    return {(bool(y), int(p), w): (int(r), list(seg)) for y, p, w, r, seg in of_words.itertuples(index=False)}
 
 
 def dictionaries(r: Ranks, found: dict[tuple[bool, int, str], tuple[int, list[str]]]) -> list[tuple[bytes, bytes]]:
@@ -268,6 +270,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pd.DataFrame({"toxic": b.toxic, "x": list(x)})
 
     m = rows.mapInPandas(measured, "toxic boolean, x array<double>").toPandas()
+    shared.destroy()
     rows.unpersist()
     y = m.toxic.to_numpy(float)
     weight = np.where(y > 0, 1 / shares[True], 1 / shares[False])
