@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontam, html_text, mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity, warc
+from gleanery.llm import decontam, html_text, licenses, mixing, near_dup, secrets_scan, sharding, syncmers, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_closed_syncmers": syncmers.op1,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_prefix_token_counts": token_counts.op8,
     "op9_trigram_secrets": secrets_scan.op9,
     "op10_wand_decontamination": decontam.op10,
+    "op11_license_rules": licenses.op11,
 }
 
 SQL: dict[str, str] = {
