@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontam, html_text, licenses, mixing, near_dup, repair, secrets_scan, sharding, syncmers, token_counts, toxicity, warc
+from gleanery.llm import decontam, html_text, licenses, mixing, near_dup, prefix_trie, repair, secrets_scan, sharding, syncmers, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_closed_syncmers": syncmers.op1,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_trigram_secrets": secrets_scan.op9,
     "op10_wand_decontamination": decontam.op10,
     "op11_license_rules": licenses.op11,
+    "op12_preorder_trie": prefix_trie.op12,
     "op13_earley_repair": repair.op13,
 }
 
@@ -27,5 +28,6 @@ SQL: dict[str, str] = {
     "op2_extendible_shards": sharding.op2_sql(),
     "op6_capped_mix": mixing.OP6_SQL,
     "op9_trigram_secrets": secrets_scan.OP9_SQL,
+    "op12_preorder_trie": prefix_trie.OP12_SQL,
     "op13_earley_repair": repair.OP13_SQL,
 }
