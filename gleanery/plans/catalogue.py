@@ -16,6 +16,7 @@ from gleanery.operators import dashboard
 from gleanery.operators.blocks import blocks, element_blocks, picture_suffixes, sessions, signals
 from gleanery.plans.views import RECORDS_SQL, records, rendered, table, turns
 from gleanery.sources import links as L
+from gleanery.sources import markup as M
 from gleanery.sources import pages as P
 from gleanery.sources.reports import list_cell
 
@@ -114,6 +115,54 @@ def a_chapter_links(spark, d):
     return L.chapter_links(html.select(F.col("n_regionkey").alias("page_id"), F.lit("https://site.test/courses/1").alias("url"), "html"))
 
 
+def course_page(spark, d, first: str):
+    """A region's page as a course: its nations as chapters or topics, each twice, with the course itself and
+    what is no chapter; `first` is a link's text."""
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    kind = F.when(k % 2 == 0, "chapter").otherwise("topic")
+    title = F.when(k % 5 == 4, F.concat(name, F.lit(" Mindmaps"))).otherwise(F.concat(name, F.lit(" &amp; Diseases")))
+    link = F.concat(F.lit('<li><a class="crs_chptr x" href="/'), kind, F.lit("/"), k.cast("string"), F.lit("_"), name, F.lit('"><div><h2 class="a subcoursetitle">'), title, F.lit(f"</h2></div>{first}</a>"))
+    again = F.concat(F.lit('<li><a href="/chapter/9'), k.cast("string"), F.lit('_again" class=crs_chptr>'), name, F.lit(" and disease NEET Notes</a>"))
+    own = F.concat(F.lit('<ul><li><a class="crs_chptr" href="/chapter/7000_own">Own course</a><li><a class=crs_chptr href=/other/1_x>Other</a>'), F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", link.alias("a"), again.alias("b")))), lambda x: F.array(x["a"], x["b"]))), ""), F.lit("</ul>"))
+    pages = table(spark, d, "nation").groupBy(F.col("n_regionkey").alias("page_id")).agg(own.alias("html"))
+    return pages.select("page_id", F.lit("https://site.test/courses/b/c").alias("url"), "html", F.lit("7000").alias("course_id"), F.lit("Biology Class 11").alias("course_title"))
+
+
+@query("""
+SELECT n_regionkey AS page_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS index, CASE WHEN n_nationkey % 5 = 4 THEN '9' || n_nationkey ELSE n_nationkey::VARCHAR END AS id,
+       CASE WHEN n_nationkey % 5 = 4 THEN n_name || ' and disease' ELSE n_name || ' & Diseases' END AS title,
+       CASE WHEN n_nationkey % 5 = 4 THEN 'https://site.test/chapter/9' || n_nationkey || '_again' ELSE 'https://site.test/' || CASE n_nationkey % 2 WHEN 0 THEN 'chapter/' ELSE 'topic/' END || n_nationkey || '_' || n_name END AS url, 'B11' AS class_code FROM nation""")
+def a_topic_links(spark, d):
+    """Chapters and topics by topic key: a mind map is none, so the second link of its nation is the first chapter."""
+    return L.topic_links(course_page(spark, d, "zz")).select("page_id", "index", "id", "title", "url", "class_code")
+
+
+@query("""
+WITH a AS (
+  SELECT n_regionkey AS page_id, n_nationkey, 0 AS second, n_nationkey::VARCHAR AS id, CASE WHEN n_nationkey % 5 = 4 THEN n_name || ' Mindmaps' ELSE n_name || ' & Diseases' END AS title FROM nation WHERE n_nationkey % 2 = 0
+  UNION ALL SELECT n_regionkey, n_nationkey, 1, '9' || n_nationkey, n_name || ' and disease NEET Notes' FROM nation
+  UNION ALL SELECT r_regionkey, -1, 0, '7000', 'Own course' FROM region)
+SELECT page_id, id AS chapter_id, title AS chapter_title, lower(replace(replace(replace(title, '&', 'and'), ' ', '-'), '_', '')) AS slug FROM a""")
+def a_course_chapters(spark, d):
+    """Chapters by the slug of their title, as a plain listing gives them."""
+    return L.course_chapters(course_page(spark, d, "")).select("page_id", "chapter_id", "chapter_title", "slug")
+
+
+@query("""
+SELECT n_nationkey AS page_id, n_name || ' & Diseases' AS title, 'd' || n_nationkey AS document_id, 'NEET Previous Year Questions (2014-24): ' || n_name || ' and Disease' AS document_title, 'https://site.test/t/d' || n_nationkey || '/q' AS url
+FROM nation WHERE n_nationkey % 4 <> 3 UNION ALL
+SELECT n_nationkey, n_name || ' & Diseases', 'e' || n_nationkey, 'NEET Previous Year Questions: ' || n_name || ' & Diseases', 'https://site.test/t/e' || n_nationkey || '/' FROM nation WHERE n_nationkey % 2 = 0""")
+def a_document_links(spark, d):
+    """Papers on a nation's page that are about it: by nested titles without their spans, or by text; others are not."""
+    k, name, paper = F.col("n_nationkey"), F.col("n_name"), "NEET Previous Year Questions"
+    own = F.concat(F.lit("<a href=/t/d"), k.cast("string"), F.lit('/q><div class="subcoursetitle">• '), F.lit(f"{paper} (2014-24): "), F.when(k % 4 == 3, "Else").otherwise(name), F.lit(" and Disease<span> new</span></div>12 pages</a>"))
+    second = F.when(k % 2 == 0, F.concat(F.lit("<a href='/t/e"), k.cast("string"), F.lit(f"/#x'><b>{paper}</b>: "), name, F.lit(" &amp; Diseases Doc | 3 Pages</a>"))).otherwise("")
+    html = F.concat(own, own, second, F.lit(f"<a href=/t/f>CBSE Previous Year Questions {paper}</a><a href=/u/g>{paper}: "), name, F.lit(" and Diseases</a>"))
+    pages = table(spark, d, "nation").select(k.alias("page_id"), F.lit("https://site.test/chapter/1").alias("url"), html.alias("html"), F.concat(name, F.lit(" & Diseases")).alias("title"))
+    found = L.document_links(pages, pages.select("page_id", "title"))
+    return found.select("page_id", "title", "document_id", "document_title", F.regexp_replace("url", "#.*$", "").alias("url"))
+
+
 @query("""
 SELECT n_nationkey AS page_id, CASE WHEN n_nationkey % 3 = 0 THEN 'https://site.test/t/own' WHEN n_nationkey % 3 = 1 THEN 'https://site.test/t/listed' ELSE 'https://site.test/t/first' END AS source_url
 FROM nation WHERE n_nationkey % 5 <> 4""")
@@ -174,14 +223,19 @@ def c_ui_leak(spark, d):
     return table(spark, d, "documents").select("doc_id", F.rlike(shown, F.lit(T.UI_LEAK)).alias("leaks"), F.rlike(t, F.lit("(?i)all rights reserved|copyright|license")).alias("notice"))
 
 
+_FOLD = "list_reduce(list_concat([[]::VARCHAR[]], list_transform(string_split(path, '/'), lambda x: [x])), lambda k, x: CASE x[1] WHEN '..' THEN CASE WHEN len(k) > 1 THEN k[:-2] ELSE k END WHEN '.' THEN k ELSE list_concat(k, x) END)"
+
+
 @query(rf"""
-WITH {ANCHORS_SQL}, parts AS (SELECT *, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS host, regexp_replace(url, '[?#].*$', '') AS bare FROM anchors)
-SELECT page_id, pos, CASE
-  WHEN regexp_matches(href, '(?i)^[a-z][a-z0-9+.-]*:') THEN href WHEN starts_with(href, '//') THEN regexp_extract(url, '^(https?:)', 1) || href WHEN starts_with(href, '/') THEN host || href
-  WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href WHEN starts_with(href, '?') THEN bare || href
-  ELSE regexp_replace(CASE WHEN bare = host THEN host || '/' ELSE regexp_replace(bare, '[^/]*$', '') END || regexp_replace(href, '^(?:\./)+', ''), '/[^/]+/\.\./', '/', 'g') END AS url FROM parts""")
+WITH {ANCHORS_SQL}, refs AS (SELECT page_id, pos, url, CASE pos % 5 WHEN 0 THEN '' WHEN 1 THEN '../x/.' WHEN 2 THEN '../../../y/./z/..' WHEN 3 THEN '/u/v/../w/../..' ELSE './a/b/..' END || href AS href FROM anchors),
+parts AS (SELECT *, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS host, regexp_replace(url, '[?#].*$', '') AS bare FROM refs),
+paths AS (SELECT *, CASE WHEN starts_with(href, '/') THEN href ELSE regexp_replace(CASE WHEN bare = host THEN '/' ELSE bare[len(host) + 1:] END, '[^/]*$', '') || href END AS path FROM parts)
+SELECT page_id, pos, host || array_to_string({_FOLD}, '/') || CASE WHEN regexp_matches(path, '(^|/)\.\.?$') THEN '/' ELSE '' END AS url FROM paths""")
 def d_explode_links(spark, d):
-    return L.anchors(table(spark, d, "pages"), "page_id", "url").select("page_id", "pos", L.absolute(F.col("href"), F.col("url")).alias("url"))
+    """The addresses that a page's links mean, with dot segments of all kinds ahead of them."""
+    n = F.col("pos") % 5
+    href = F.concat(F.when(n == 0, "").when(n == 1, "../x/.").when(n == 2, "../../../y/./z/..").when(n == 3, "/u/v/../w/../..").otherwise("./a/b/.."), "href")
+    return L.anchors(table(spark, d, "pages"), "page_id", "url").select("page_id", "pos", L.absolute(href, F.col("url")).alias("url"))
 
 
 @query("""
@@ -485,10 +539,96 @@ def k_tables_and_choosers(spark, d):
     return found.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"))
 
 
-@query()
+# Markup as node tables
+
+
+def decoded_sql(x: str) -> str:
+    """The character references that the given pages have."""
+    return f"regexp_replace(replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;?', '&', 'g')"
+
+
+def lines_sql(rows: str) -> str:
+    """page_id, pos, line of `rows` (page_id, html without scripts, styles and comments)."""
+    text = decoded_sql("regexp_replace(regexp_replace(html, '<br ?/?>', chr(10), 'g'), '<[^>]+>', '', 'g')")
+    return f"""
+SELECT page_id, i - 1 AS pos, ls[i] AS line FROM (
+  SELECT page_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (
+    SELECT page_id, list_filter(list_transform(string_split({text}, chr(10)), lambda x: {clean_sql('x')}), lambda x: x <> '') AS ls FROM ({rows})))"""
+
+
+_PLAIN = "regexp_replace(html, '(?s)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g')"
+
+
+@query(lines_sql(f"SELECT page_id, {_PLAIN} AS html FROM pages"))
 def d_element_lines(spark, d):
-    """Lines of whole pages; nested removals are not SQL, tests hold it against a plain loop."""
-    return table(spark, d, "pages").select("page_id", F.posexplode(P.shown_lines(F.col("html"))).alias("pos", "line"))
+    """Lines of whole pages, from the top element of each."""
+    tags, tree = M.parsed(table(spark, d, "pages"))
+    return M.element_lines(tags, tree, tree.where("name = 'html' AND depth = 1")).select("page_id", F.posexplode("lines").alias("pos", "line"))
+
+
+@query(lines_sql(f"SELECT page_id, regexp_extract({_PLAIN}, '(?s)<article>(.*)</article>', 1) AS html FROM pages"))
+def d_nested_lines(spark, d):
+    """Lines of articles whose paragraphs are followed by nested tables and rows of widgets, which are not theirs."""
+    more = '</p><table><tr><td>t<table><tr><td>u</table>v</table><div class="x nq2_report_row"><p>w<br>w</div><script>if (a<b) "<p>"</script>'
+    tags, tree = M.parsed(table(spark, d, "pages").select("page_id", F.replace("html", F.lit("</p>"), F.lit(more)).alias("html")))
+    return M.element_lines(tags, tree, tree.where("name = 'article'")).select("page_id", F.posexplode("lines").alias("pos", "line"))
+
+
+def supplier_pages(spark, d):
+    """A page per region: a div per nation, its suppliers in a table inside a cell of the nation's, end
+    tags left out where they may be."""
+    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("s"))
+    n = table(spark, d, "nation").join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left").withColumn("s", F.coalesce("s", F.array().cast("array<struct<s_suppkey:bigint,s_name:string>>")))
+    inner = F.array_join(F.transform("s", lambda x: F.concat(F.lit("<tr><td><b>"), x["s_name"], F.lit("</b>"))), "")
+    items = F.array_join(F.transform("s", lambda x: F.concat(F.lit("<p>see <i>"), x["s_name"], F.lit("</i>"))), "")
+    div = F.concat(F.lit('<div title="a > b" class="wide contenttextdiv">'), items, F.lit("<table><tbody><tr><th>"), F.col("n_name"), F.lit("<td> has <table>"), inner, F.lit("</table> all</td></table></div>"))
+    return n.groupBy(F.col("n_regionkey").alias("page_id")).agg(F.concat(F.lit("<html><body>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", div.alias("h")))), lambda x: x["h"]), "\n"), F.lit("</body></html>")).alias("html"))
+
+
+_SUPPLIERS_SQL = "s AS (SELECT n_regionkey AS page_id, n_nationkey, n_name, coalesce(list(s_name ORDER BY s_suppkey) FILTER (s_suppkey IS NOT NULL), []) AS names FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL)"
+
+
+@query(f"""
+WITH {_SUPPLIERS_SQL},
+t AS (
+  SELECT page_id, n_nationkey, 0 AS inner_, list_concat([list_concat([n_name, CASE WHEN len(names) = 0 THEN 'has all' ELSE 'has ' || array_to_string(names, '') || ' all' END], names)], list_transform(names, lambda x: [x])) AS rows FROM s
+  UNION ALL SELECT page_id, n_nationkey, 1, list_transform(names, lambda x: [x]) FROM s WHERE len(names) > 0)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n_nationkey, inner_) AS n, list_transform(rows, lambda r: array_to_string(r, '|')) AS rows FROM t""")
+def d_node_tables(spark, d):
+    """Tables in tables: all rows and cells inside a table are its own, an inner table's also that one's."""
+    found = M.node_tables(*M.parsed(supplier_pages(spark, d)))
+    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("open"))
+    return found.select("page_id", nth.alias("n"), F.transform("rows", lambda r: F.array_join(r, "|")).alias("rows"))
+
+
+@query(f"""
+WITH {_SUPPLIERS_SQL}
+SELECT page_id, arg_max(n_name, (len(names), -n_nationkey)) AS nation, max(len(names)) + 1 AS children FROM s GROUP BY 1""")
+def h_widest_container(spark, d):
+    """The nation whose container has the most children, its paragraphs and the table; what is deeper does not count."""
+    tags, tree = M.parsed(supplier_pages(spark, d))
+    best = M.widest(tree, "contenttextdiv")
+    head = M.text_of(M.texts(tags), tree.where("name = 'th'"))
+    first = M.held(head.withColumnRenamed("open", "pos"), best.select("page_id", "open", "close", "children"))
+    return first.select("page_id", F.trim("text").alias("nation"), F.col("node.children").alias("children"))
+
+
+@query("""
+SELECT p_partkey, list_concat(CASE WHEN p_size % 5 = 0 THEN [] ELSE ['Which is ' || p_name || '?'] END, ['(a) ' || p_brand, '(b) ' || p_type], CASE WHEN p_size % 3 = 0 THEN [] ELSE ['(c) size ' || p_size] END,
+       CASE WHEN p_size % 4 = 0 THEN [] ELSE ['Ans: (b)'] END, CASE WHEN p_size % 2 = 0 THEN ['It is ' || p_brand || ' by ' || p_type, 'so'] ELSE [] END) AS lines FROM part""")
+def d_widget_lines(spark, d):
+    """A question widget per part: its stem, options, answer and points, with what is none of these around them."""
+    s, text = F.col("p_size"), lambda *x: F.concat(*(F.lit(y) if isinstance(y, str) else y for y in x))
+    option = lambda letter, value: text('<div class="nq2_option"><span class="nq2_opt_letter"> ', letter, ' </span><span class="nq2_opt_text"><b>', value, "</b></span></div>")
+    stem = F.when(s % 5 == 0, "").otherwise(text("<p>Try yourself: Which is <i>", F.col("p_name"), "</i>?"))
+    body = F.when(s % 2 == 0, text('<div class="nq2_sol_body">Why<ul><li>It is ', F.col("p_brand"), " by <b>", F.col("p_type"), "</b><li>so</ul></div>")).otherwise("")
+    label = F.when(s % 4 == 0, '<p class="nq2_sol_label">Solution</p>').otherwise('<p class="nq2_sol_label">Correct  answer : <b>B</b></p>')
+    html = text(
+        '<div class="nq2_question_block q"><div class="nq2_type_label_wrap">MCQ</div>', stem, '<div class="nq2_options_grid">', option("A", F.col("p_brand")), option("B", F.col("p_type")),
+        option("C", F.when(s % 3 == 0, "").otherwise(text("size ", s.cast("string")))), '</div><div class="nq2_report_row"><a href=#>Report</a></div><div class="nq2_sol_panel">', label, body, "</div></div>",
+    )
+    tags, tree = M.parsed(table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html")))
+    return M.element_lines(tags, tree, tree.where("depth = 1")).select(F.col("page_id").alias("p_partkey"), "lines")
 
 
 @query("""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import collapsed, normal, slug
+from gleanery.functions.text import attribute, collapsed, normal, slug
 from gleanery.functions.titles import chapter_title, class_code, is_chapter, is_paper, subject, topic_key
+from gleanery.sources.markup import node_anchors, parsed
 
 ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
 # The forms of the sites' links, and what their document pages are called.
@@ -14,17 +15,10 @@ CHAPTER_HREF = r"^/(?:chapter|topic)/(\d+)_([^/?#\s]+)"
 DOCUMENT_HREF = r"^/t/([^/?#\s]+)(?:/([^?#\s]*))?"
 CHAPTER_CLASS = r"(?:^|\s)crs_chptr(?:\s|$)"
 CHAPTER_HEADING = r"(?is)<h2\b[^>]*\bsubcoursetitle\b[^>]*>(.*?)</h2>"
-NESTED_TITLE = r"(?is)<[a-z0-9]+\b[^>]*\bsubcoursetitle\b[^>]*>(.*?)</(?:h2|div|p|strong)>"
 PAPER = "NEET Previous Year Questions"
 LISTED_PAPER = rf'(?i)"name":"([^"]*{PAPER}[^"]*)","url":"(https://[^"/]+/t/[^"]+)"'
 
 
-def attribute(attrs: Column, name: str) -> Column:
-    """An attribute's value in a start tag's text; '' if it has none."""
-    pattern = rf"""(?i)(?:^|\s){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.concat(*(F.regexp_extract(attrs, pattern, i) for i in (1, 2, 3)))  # one of them at most is not empty
-
-
 def decoded(c: Column) -> Column:
     """The character references that titles have; `similarity.unescaped` takes all."""
     for name, by in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
@@ -36,16 +30,32 @@ def shown(inner: Column) -> Column:
     return collapsed(decoded(F.regexp_replace(inner, "<[^>]+>", " ")))
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its . and .. segments; .. at the top stays there."""
+    segments = F.split(path, "/", -1)
+    none = F.array().cast("array<string>")
+    up = lambda kept: F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+    kept = F.aggregate(segments, none, lambda k, x: F.when(x == "..", up(k)).when(x == ".", k).otherwise(F.concat(k, F.array(x))))
+    return F.concat(F.array_join(kept, "/"), F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise(""))
+
+
+#: The parts of a reference: scheme (1, 2), authority (3), path (4), query (5), fragment (6).
+REFERENCE = r"(?s)^(([^:/?#]+):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
 def absolute(href: Column, base: Column) -> Column:
-    """The address that a reference means on a page at `base`: full ones stay, //host takes the
-    scheme, /path the host, ?query and #part the page, anything else the page's folder."""
-    scheme, host = F.regexp_extract(base, "^(https?:)", 1), F.regexp_extract(base, "^(https?://[^/?#]+)", 1)
-    bare = F.regexp_replace(base, "[?#].*$", "")
-    folder = F.when(bare == host, F.concat(host, F.lit("/"))).otherwise(F.regexp_replace(bare, "[^/]*$", ""))
-    relative = F.regexp_replace(F.concat(folder, F.regexp_replace(href, r"^(?:\./)+", "")), r"/[^/]+/\.\./", "/")
+    """The address that a reference means on a page at `base`, by the general rules for references: full
+    ones stay but for dot segments, //host takes the scheme, /path the host, ?query and #part the page,
+    anything else the page's folder."""
+    part = lambda c, i: F.coalesce(F.regexp_extract(c, REFERENCE, i), F.lit(""))
+    host, own = part(base, 3), part(base, 4)
+    scheme, at, path, query, fragment = (part(href, i) for i in (1, 3, 4, 5, 6))
+    folder = F.when(own == "", "/").otherwise(F.regexp_replace(own, "[^/]*$", ""))
+    merged = F.when(path == "", own).when(path.startswith("/"), without_dots(path)).otherwise(without_dots(F.concat(folder, path)))
+    asked = F.when((path == "") & (query == ""), part(base, 5)).otherwise(query)
     return (
-        F.when(F.rlike(href, F.lit(r"(?i)^[a-z][a-z0-9+.-]*:")), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(host, href))
-        .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href)).when(href.startswith("?"), F.concat(bare, href)).otherwise(relative)
+        F.when((scheme != "") & (at == ""), href).when(scheme != "", F.concat(scheme, at, without_dots(path), query, fragment))
+        .when(at != "", F.concat(part(base, 1), at, without_dots(path), query, fragment)).otherwise(F.concat(part(base, 1), host, merged, asked, fragment))
     )
 
 
@@ -69,16 +79,30 @@ def links(pages: DataFrame) -> DataFrame:
 
 
 def _titled(pages: DataFrame, *keep: str | Column) -> DataFrame:
+    """The columns in `keep` and pos, href, title, id, href_slug of a page's chapter anchors, by
+    regular expressions as the sites' plain listings allow."""
     rows = anchors(pages, *keep).where(F.rlike("classes", F.lit(CHAPTER_CLASS)) & F.rlike("href", F.lit(CHAPTER_HREF)))
     heading = shown(F.regexp_extract("inner", CHAPTER_HEADING, 1))
     return rows.select(*rows.columns[: len(keep)], "pos", "href", F.coalesce(F.nullif(heading, F.lit("")), "text").alias("title"), F.regexp_extract("href", CHAPTER_HREF, 1).alias("id"), F.regexp_extract("href", CHAPTER_HREF, 2).alias("href_slug")).where("title != ''")
 
 
+def _found(pages: DataFrame, headings: str | None, spans: bool) -> DataFrame:
+    """pages' columns but html, and pos, href, classes, text, heading of each anchor in the node table."""
+    found = node_anchors(*parsed(pages.select("page_id", "html")), headings, spans).withColumnRenamed("open", "pos")
+    return pages.drop("html").join(found, "page_id")
+
+
+def _chapters(pages: DataFrame) -> DataFrame:
+    rows = _found(pages, "h2", True).where(F.rlike("classes", F.lit(CHAPTER_CLASS)) & F.rlike("href", F.lit(CHAPTER_HREF)))
+    rows = rows.withColumn("title", F.coalesce(F.nullif("heading", F.lit("")), "text")).where("title != ''")
+    return rows.withColumn("id", F.regexp_extract("href", CHAPTER_HREF, 1)).withColumn("href_slug", F.regexp_extract("href", CHAPTER_HREF, 2)).withColumn("address", absolute(F.col("href"), F.col("url")))
+
+
 def chapter_links(pages: DataFrame) -> DataFrame:
     """page_id, index, id, title, url, slug: the chapters that a course page (page_id, url, html)
-    lists, the first of each address."""
-    rows = _titled(pages, "page_id", F.col("url").alias("__base")).where(F.col("href").startswith("/chapter/")).withColumn("url", absolute(F.col("href"), F.col("__base")))
-    return first_of(rows, ["page_id"], "url").select("page_id", "index", "id", "title", "url", F.col("href_slug").alias("slug"))
+    lists, wherever in its markup; the first of each address."""
+    rows = _chapters(pages.select("page_id", "url", "html")).where(F.col("href").startswith("/chapter/"))
+    return first_of(rows, ["page_id"], "address").select("page_id", "index", "id", "title", F.col("address").alias("url"), F.col("href_slug").alias("slug"))
 
 
 def course_chapters(pages: DataFrame) -> DataFrame:
@@ -93,20 +117,20 @@ def topic_links(pages: DataFrame) -> DataFrame:
     """page_id, index, id, title, url, slug, class_code, subject: chapters and topics on a course
     page (page_id, url, html, course_id, course_title), without the course itself and what is no
     chapter; the first of each topic key."""
-    rows = _titled(pages, "page_id", F.col("url").alias("__base"), F.coalesce("course_id", F.lit("")).alias("__course"), F.coalesce("course_title", F.lit("")).alias("__title"))
-    rows = rows.withColumn("key", topic_key(F.col("title"))).where((F.col("id") != F.col("__course")) & is_chapter(F.col("title")) & (F.col("key") != "") & (F.col("key") != topic_key(F.col("__title"))))
-    code = class_code(F.col("__title"))
-    return first_of(rows, ["page_id"], "key").select("page_id", "index", "id", chapter_title(F.col("title")).alias("title"), absolute(F.col("href"), F.col("__base")).alias("url"), F.col("href_slug").alias("slug"), code.alias("class_code"), subject(code).alias("subject"))
+    title = F.coalesce("course_title", F.lit(""))
+    rows = _chapters(pages.select("page_id", "url", "html", F.coalesce("course_id", F.lit("")).alias("course"), title.alias("course_title"))).withColumn("key", topic_key(F.col("title")))
+    rows = rows.where((F.col("id") != F.col("course")) & is_chapter(F.col("title")) & (F.col("key") != "") & (F.col("key") != topic_key(F.col("course_title"))))
+    code = class_code(F.col("course_title"))
+    return first_of(rows, ["page_id"], "key").select("page_id", "index", "id", chapter_title(F.col("title")).alias("title"), F.col("address").alias("url"), F.col("href_slug").alias("slug"), code.alias("class_code"), subject(code).alias("subject"))
 
 
 def document_links(pages: DataFrame, chapters: DataFrame) -> DataFrame:
     """chapter columns (page_id, title) and document_id, document_title, url, slug: the papers
     on a chapter's page whose topic key is the chapter's; the first of each address."""
-    rows = anchors(pages, "page_id", F.col("url").alias("__base")).where(F.rlike("href", F.lit(DOCUMENT_HREF)))
-    nested = shown(F.regexp_replace(F.regexp_extract("inner", NESTED_TITLE, 1), r"(?is)<span\b.*?</span>", " "))
-    title = F.coalesce(F.nullif(nested, F.lit("")), F.trim(F.regexp_replace("text", r"(?i) Doc\s*\|.*$", "")))
+    rows = _found(pages.select("page_id", "url", "html"), None, False).where(F.rlike("href", F.lit(DOCUMENT_HREF)))
+    title = F.coalesce(F.nullif("heading", F.lit("")), F.trim(F.regexp_replace("text", r"(?i) Doc\s*\|.*$", "")))
     title = F.regexp_replace(title, r"^•\s*", "")
-    rows = rows.withColumn("document_title", title).where(is_paper(F.col("document_title"))).withColumn("key", topic_key(F.col("document_title"))).withColumn("at", absolute(F.col("href"), F.col("__base")))
+    rows = rows.withColumn("document_title", title).where(is_paper(F.col("document_title"))).withColumn("key", topic_key(F.col("document_title"))).withColumn("at", absolute(F.col("href"), F.col("url")))
     met = rows.join(chapters.select("page_id", "title", topic_key(F.col("title")).alias("key")), ["page_id", "key"])
     return first_of(met, ["page_id", "title"], "at").select("page_id", "title", F.regexp_extract("href", DOCUMENT_HREF, 1).alias("document_id"), "document_title", F.col("at").alias("url"), F.regexp_extract("href", DOCUMENT_HREF, 2).alias("slug"))
 

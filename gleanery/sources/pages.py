@@ -56,15 +56,9 @@ def last_wins(*maps: DataFrame, key: list[str]) -> DataFrame:
 
 
 def tables(html: Column) -> Column:
-    """array<array<array<string>>>: the cells' text of each table that has rows; tables do not nest."""
+    """array<array<array<string>>>: the cells' text of each table that has rows, for markup whose tables do not nest;
+    `markup.node_tables` takes any."""
     inner = lambda x, tag: F.regexp_extract_all(x, F.lit(rf"(?is)<(?:{tag})\b[^>]*>(.*?)</(?:{tag})>"), F.lit(1))
     text = lambda c: collapsed(F.regexp_replace(c, "<[^>]+>", " "))
     rows = lambda t: F.filter(F.transform(inner(t, "tr"), lambda r: F.transform(inner(r, "th|td"), lambda c: text(c))), lambda r: F.size(r) > 0)
     return F.filter(F.transform(inner(html, "table"), rows), lambda t: F.size(t) > 0)
-
-
-def shown_lines(html: Column) -> Column:
-    """An element's lines: no scripts, styles or tables; <br> ends a line; a picture is [IMG:address]."""
-    for pattern, by in ((r"(?is)<(script|style|noscript|table)\b.*?</\1>", " "), (r"(?i)<br\s*/?>", "\n"), (r"""(?i)<img\b[^>]*?\bsrc=["']?([^"'\s>]+)[^>]*>""", " [IMG:$1] "), (r"(?i)<img\b[^>]*>", " [IMG] "), ("<[^>]+>", "")):
-        html = F.regexp_replace(html, pattern, by)
-    return F.filter(F.transform(F.split(html, "\n"), collapsed), lambda x: x != "")
