@@ -72,16 +72,16 @@ def held(points: DataFrame, nodes: DataFrame, innermost: bool = False) -> DataFr
     return found.where(inside).select("p.*", F.col("level").alias("depth"), "node")
 
 
-def _paired(tags: DataFrame) -> DataFrame:
+def _paired(tags: DataFrame, *scope: str) -> DataFrame:
     """page_id, open, name, token, close: opening tags with their own closing tag, or null. A closing tag takes the
-    last open tag of its name that has none yet; one without any is passed over."""
-    by_name = Window.partitionBy("page_id", "name").orderBy("pos")
+    last open tag of its name (and scope) that has none yet; one without any is passed over."""
+    by_name = Window.partitionBy("page_id", *scope, "name").orderBy("pos")
     so_far = by_name.rowsBetween(Window.unboundedPreceding, 0)
-    rows = tags.where("kind IN ('open', 'close')").withColumn("s", F.sum(F.when(F.col("kind") == "open", 1).otherwise(-1)).over(so_far))
+    rows = tags.withColumn("s", F.sum(F.when(F.col("kind") == "open", 1).otherwise(-1)).over(so_far))
     rows = rows.withColumn("e", F.col("s") - F.least(F.lit(0), F.min("s").over(so_far)))  # how many are open
     rows = rows.withColumn("before", F.coalesce(F.lag("e").over(by_name), F.lit(0)))
     rows = rows.where("kind = 'open' OR before > 0").withColumn("level", F.greatest("e", "before"))
-    after = F.lead(F.struct("kind", "pos")).over(Window.partitionBy("page_id", "name", "level").orderBy("pos"))
+    after = F.lead(F.struct("kind", "pos")).over(Window.partitionBy("page_id", *scope, "name", "level").orderBy("pos"))
     rows = rows.withColumn("after", after).where("kind = 'open'")
     return rows.select("page_id", F.col("pos").alias("open"), "name", "token", F.when(F.col("after.kind") == "close", F.col("after.pos")).alias("close"))
 
@@ -89,11 +89,15 @@ def _paired(tags: DataFrame) -> DataFrame:
 def nodes(tags: DataFrame) -> DataFrame:
     """page_id, open, close, depth (from 1), parent (its open, null at the top), name, token (the start tag), one row per element.
 
-    tags: of `tokens`. Elements end at their end tags. Without one, those whose end tag is
-    optional end before the next start tag that ends them in the same parent, and any at the latest with the element around
-    them. Void elements are empty: they close right after they open.
+    tags: of `tokens`. Elements end at their end tags; where those may be left out, an end tag counts for an
+    element in the same parent only. Without one, such an element ends before the next start tag that ends it there,
+    and any at the latest with the element around it. Void elements are empty: they close right after they open.
     """
-    paired = _paired(tags)
+    optional = F.col("name").isin(*OPTIONAL)
+    pairs = tags.where("kind IN ('open', 'close')")
+    firm = _paired(pairs.where(~optional))
+    scoped = held(pairs.where(optional), firm.where("close IS NOT NULL").select("page_id", "open", "close"), innermost=True).withColumn("scope", F.coalesce("node.open", F.lit(-1)))
+    paired = firm.unionByName(_paired(scoped, "scope"))
     sure = paired.where("close IS NOT NULL")
     end = tags.groupBy("page_id").agg((F.max("pos") + 1).alias("end"))
     around = held(paired.select("page_id", F.col("open").alias("pos"), "name", "token", "close"), sure.select("page_id", "open", "close"), innermost=True)
@@ -105,7 +109,6 @@ def nodes(tags: DataFrame) -> DataFrame:
         stop = F.when(here, found) if stop is None else stop.when(here, found)
     bounded = around.withColumn("stop", stop).where("close IS NULL").join(end, "page_id")
     bounded = bounded.select("page_id", F.col("pos").alias("open"), "name", "token", F.least("stop", F.coalesce("node.close", "end")).alias("close"))
-    optional = F.col("name").isin(*OPTIONAL)
     firm = sure.unionByName(bounded.where(optional).select(*sure.columns))
     rest = held(bounded.where(~optional).withColumnRenamed("open", "pos"), firm.select("page_id", "open", "close"), innermost=True)
     rest = rest.select("page_id", F.col("pos").alias("open"), "name", "token", F.least("close", F.coalesce("node.close", "close")).alias("close"))

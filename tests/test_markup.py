@@ -19,6 +19,7 @@ CASES = [
     "<div><!-- <p> --><script>if (a<b) '</p><div>'</script><style>p>a{}</style><noscript>n</noscript>t</div>",
     "<dl><dt>a<dd>b<dt>c<dd>d</dl><select><option>1<option>2</select>",
     "<div><b>bold<p>para</div>rest</b>",
+    "<table><tr><td>a<table><tr><td><b>in</b></table> tail</td><td>b</table><ul><li>x<ul><li>y</ul> z</li></ul><div><p>q</div></p>r",
     "<DIV><P>Upper<IMG SRC=a.png></P></DIV>",
 ]
 
