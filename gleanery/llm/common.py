@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from itertools import chain, count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +45,9 @@ def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """df, marked for broadcast if it has no more than `rows` (narrow) rows; else as
     it is, for Spark to shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def unused(columns: Iterable[str], name: str) -> str:
+    """`name`, with a number if columns (whose case does not tell them apart) have it already."""
+    taken = {c.lower() for c in columns}
+    return next(n for n in chain([name], (f"{name}_{i}" for i in count(1))) if n.lower() not in taken)

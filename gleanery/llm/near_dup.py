@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bounded_broadcast, table, text_or_empty, written
+from gleanery.llm.common import bounded_broadcast, table, text_or_empty, unused, written
 from gleanery.llm.components import components
 
 #: Words of a shingle; similarity from which two documents are near-duplicates.
@@ -519,12 +519,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     as they were, whatever they are named."""
     classes, _, _, _ = _classed(docs, key)
     copy = F.when(F.col("class_id").isNull(), F.col("same") != F.col("keeper")).otherwise(~F.col("doc").eqNullSafe(F.col("class_id")))
-    extra = written(classes.where(copy).select(F.col("doc").alias("__copy"), F.col("same").alias("__same")).distinct(), "copies")
+    one, text = (unused(docs.columns, c) for c in ("copy_of", "copy_text"))
+    extra = written(classes.where(copy).select(F.col("doc").alias(one), F.col("same").alias(text)).distinct(), "copies")
     own = F.col(f"`{key}`")
-    kept = docs.join(bounded_broadcast(extra, SMALL), own.eqNullSafe(F.col("__copy")) & (_same() == F.col("__same")), "left_anti")
+    kept = docs.join(bounded_broadcast(extra, SMALL), own.eqNullSafe(F.col(one)) & (_same() == F.col(text)), "left_anti")
     if classes.where("doc is null").isEmpty():
         return kept
-    nameless = kept.where(own.isNull()).withColumn("__same", _same()).dropDuplicates(["__same"]).drop("__same")
+    nameless = kept.where(own.isNull()).withColumn(text, _same()).dropDuplicates([text]).drop(text)
     return kept.where(own.isNotNull()).unionByName(nameless)
 
 

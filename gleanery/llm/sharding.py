@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bounded_broadcast, table, written
+from gleanery.llm.common import bounded_broadcast, table, unused, written
 
-#: Bytes of a shard at most; tables of fewer than SHARDS such are cut as finely, so that they
-#: spread over as many readers.
-SHARD_BYTES, SHARDS = 64 << 20, 64
+#: Bytes of a shard at most, and those of the query, which shows the directory on smaller tables too.
+SHARD_BYTES, QUERY_BYTES = 64 << 20, 1 << 20
 #: Bits by which one pass over the open buckets deepens the directory.
 STEP = 8
 #: Rows of a directory level up to which it is broadcast (under 100 bytes a row).
@@ -22,12 +21,12 @@ def _bits(hex_byte):
     return F.lpad(F.conv(hex_byte, 16, 2), STEP, "0")
 
 
-def shard(docs: DataFrame, limit: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+def shard(docs: DataFrame, limit: int = SHARD_BYTES, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, n_bytes, shard, shard_depth, shard_docs, shard_bytes: one row per row of docs; and
     doc, a struct of the columns in `keep`, if there are any.
 
     The directory is indexed by the leading bits of md5(doc_id). A bucket with more
-    than `limit` bytes of text (UTF-8; by default SHARD_BYTES, or the table's bytes over SHARDS if that is less) splits on the next bit, no other does, until
+    than `limit` bytes of text (UTF-8) splits on the next bit, no other does, until
     all fit; a shard's name is its bit prefix ('' if the whole table fits). Bytes
     are summed by hash prefix, eight bits a pass, before anything is shuffled; only
     rows of buckets still too large take part in the next pass, and no more than 256
@@ -45,7 +44,6 @@ def shard(docs: DataFrame, limit: int | None = None, keep: Sequence[str] = ()) -
     rows = written(docs.select(*own, F.col("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"), number.alias("n")), "shard-rows")
     rows = rows.select(*names, F.concat(F.substring("h", 1, 16), F.md5(F.col("n").cast("string"))).alias("key"))
     total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b"), F.count("*").alias("c")).first()
-    limit = min(SHARD_BYTES, max(1, total.b // SHARDS)) if limit is None else limit
     if total.b <= limit or total.c <= 1:
         return rows.select(*names, F.lit("").alias("shard"), F.lit(0).alias("shard_depth"), F.lit(total.c).alias("shard_docs"), F.lit(total.b).alias("shard_bytes"))
     done, live, path = None, rows, None
@@ -72,36 +70,40 @@ def shard(docs: DataFrame, limit: int | None = None, keep: Sequence[str] = ()) -
     raise AssertionError("192 hash bits do not tell two rows apart")
 
 
-def write_shards(docs: DataFrame, path: str, limit: int | None = None) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> DataFrame:
     """Writes docs' rows, all columns, to a folder a shard (name=s and its bits), and returns the
     manifest: what shard() returns, and the folder. One shuffle of texts; a task holds whole shards, each
-    within the limit. Replaces what is at path."""
+    within the limit. Replaces what is at path.
+
+    Null ids and texts, repeated rows and very long texts as in shard(). The folders' column has a name that no column of
+    docs has, in whatever case. Empty table: no folders, an empty manifest.
+    """
     placed = shard(docs, limit, docs.columns)
+    name = unused(docs.columns, "name")
     folder = F.concat(F.lit("s"), F.col("shard"))
-    rows = placed.select(folder.alias("name"), "doc.*") if "name" not in docs.columns else placed.select(folder.alias("shard_name"), "doc.*")
-    rows.repartition(rows.columns[0]).write.mode("overwrite").partitionBy(rows.columns[0]).parquet(path)
-    return placed.drop("doc").withColumn("folder", F.concat(F.lit(f"{path}/{rows.columns[0]}="), folder))
+    rows = placed.select(folder.alias(name), "doc.*")
+    rows.repartition(name).write.mode("overwrite").partitionBy(name).parquet(path)
+    return placed.drop("doc").withColumn("folder", F.concat(F.lit(f"{path}/{name}="), folder))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard(table(spark, sf_dir, "documents"))
+    return shard(table(spark, sf_dir, "documents"), QUERY_BYTES)
 
 
-def op2_sql(limit: int | None = None) -> str:
+def op2_sql(limit: int = QUERY_BYTES) -> str:
     """Doc ids are unique in the tables, so 32 bits and no row numbers do here."""
     return f"""
 WITH rows_ AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
   FROM documents),
-most AS (SELECT {f"least({SHARD_BYTES}, greatest(1, sum(n_bytes)::BIGINT // {SHARDS}))" if limit is None else f"any_value({limit})"} AS top FROM rows_),
 nodes AS (
   SELECT d::INTEGER AS depth, h >> (32 - d)::BIGINT AS node, sum(n_bytes)::BIGINT AS b, count(*) AS c
   FROM rows_, range(0, 33) t(d) GROUP BY ALL),
 leaf AS (
   SELECT r.doc_id, r.n_bytes, r.h, min(n.depth) AS depth
   FROM rows_ r JOIN nodes n ON n.node = r.h >> (32 - n.depth)::BIGINT
-  WHERE n.b <= (SELECT top FROM most) OR n.c <= 1 GROUP BY ALL)
+  WHERE n.b <= {limit} OR n.c <= 1 GROUP BY ALL)
 SELECT l.doc_id, l.n_bytes, CASE WHEN l.depth = 0 THEN '' ELSE right(lpad(bin(n.node), 32, '0'), l.depth) END AS shard,
        l.depth AS shard_depth, n.c AS shard_docs, n.b AS shard_bytes
 FROM leaf l JOIN nodes n ON n.depth = l.depth AND n.node = l.h >> (32 - l.depth)::BIGINT

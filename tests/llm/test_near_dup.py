@@ -62,7 +62,7 @@ def test_classes_against_brute_force(spark):
 
 def test_keep_one(spark):
     rows = table()
-    frame = docs(spark, [*rows, (None, "x")], clash=True)
+    frame = docs(spark, [*rows, (None, "x")], clash=True).selectExpr("*", "1 AS copy_of", "2 AS copy_text", "3 AS same", "4 AS doc")
     kept = m.keep_one(frame)
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(brute(rows).values()))

@@ -44,11 +44,25 @@ def test_one_id_in_a_third_of_the_rows(spark):
     assert sum(1 for x in sums for y in sums if x != y and y.startswith(x)) == 0  # no shard within another
 
 
-def test_default_limit_splits_small_tables(spark):
-    rows = [(i, words(i, 30)) for i in range(400)]
-    got = m.shard(docs(spark, rows)).collect()
-    assert len({r.shard for r in got}) >= m.SHARDS and sum(r.n_bytes for r in got) == sum(len(t) for _, t in rows)
-    assert max(r.shard_bytes for r in got) <= sum(len(t) for _, t in rows) // m.SHARDS
+def test_limit_does_not_look_at_the_table(spark):
+    few, many = ([(i, words(i, 30)) for i in range(n)] for n in (100, 400))
+    for rows in (few, many):
+        assert {(r.shard, r.shard_depth) for r in m.shard(docs(spark, rows)).collect()} == {("", 0)}
+        assert max(r.shard_bytes for r in m.shard(docs(spark, rows), 9_000).collect()) <= 9_000
+
+
+def test_names_that_clash(spark, tmp_path):
+    rows = [(i, words(i, 9)) for i in range(40)]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        frame = docs(spark, rows).withColumn("Name", F.lit("a")).withColumn("name_1", F.lit("b")).withColumn("shard_name", F.lit("c")).withColumn("folder", F.lit("d"))
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    manifest = m.write_shards(frame, str(tmp_path / "out"), 600)
+    assert manifest.count() == 40
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {*back.columns} - {*frame.columns} == {"name_2"} and back.count() == 40
+    assert back.select("Name", "name_1", "shard_name", "folder").distinct().collect() == [("a", "b", "c", "d")]
 
 
 def test_shards_are_written_whole(spark, tmp_path):
