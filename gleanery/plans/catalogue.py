@@ -13,6 +13,7 @@ from gleanery.functions import titles
 from gleanery.functions.similarity import option_share, ratio, unescaped
 from gleanery.operators import align, findings, options, schema_rules, scoring
 from gleanery.operators import dashboard
+from gleanery.operators.containment import containing
 from gleanery.operators.blocks import blocks, element_blocks, picture_suffixes, sessions, signals
 from gleanery.plans.views import RECORDS_SQL, records, rendered, table, turns
 from gleanery.sources import links as L
@@ -815,6 +816,23 @@ def g_element_blocks(spark, d):
     return element_blocks(elements).select("page_id", "source_index", "year", F.size("lines").alias("n"))
 
 
+@query("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) AND b.text <> ''")
+def e_contained_items(spark, d):
+    """Test items that stand in documents, letter for letter."""
+    return containing(table(spark, d, "documents"), table(spark, d, "benchmark"), "doc_id", "item_id")
+
+
+@query("""
+SELECT p_partkey, n_nationkey FROM part JOIN (
+  SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN '#' || n_nationkey WHEN 1 THEN chr(97 + n_nationkey) ELSE ' ' || chr(97 + n_nationkey) END AS needle FROM nation) ON contains(p_name || ' ' || p_brand, needle)""")
+def e_contained_short(spark, d):
+    """Short needles, of one character to three, by the runs of characters in the texts."""
+    k = F.col("n_nationkey").cast("int")
+    needle = F.when(k % 3 == 0, F.concat(F.lit("#"), k.cast("string"))).when(k % 3 == 1, F.chr(k + 97)).otherwise(F.concat(F.lit(" "), F.chr(k + 97)))
+    texts = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("text"))
+    return containing(texts, table(spark, d, "nation").select("n_nationkey", needle.alias("text")), "p_partkey", "n_nationkey")
+
+
 @query("SELECT p_partkey, r_name FROM part JOIN region ON contains(upper(p_type), left(r_name, 1))")
 def e_theta_contains(spark, d):
     """A join on containment: the small side goes to every task."""
