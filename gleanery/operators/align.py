@@ -1,65 +1,121 @@
-"""One-to-one alignment of source blocks with extracted questions, by similarity."""
+"""One-to-one alignment of source blocks with extracted questions, by similarity.
+
+Pairs are made where they can matter. Blocks meet the questions of their own year and number by
+an equi-join; only a block that these may not suffice for meets all questions of its chapter.
+Blocks of a chapter in which all have such a question of their own are settled by year and number,
+each group for itself; the others in their chapter's order. What is settled in order comes as a
+sorted stream of scores, of which a task holds one block's at a time.
+"""
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.similarity import ratio
 from gleanery.functions.text import normal
+from gleanery.sources.stored import stored
 
 MATCHED = 0.55
 
 
-def _fold(pairs: pd.DataFrame) -> list[tuple]:
-    """Blocks in order each take the best question that is left, also if it is no match; of those
-    with their number and year, if any is left. Of equals the first."""
-    out = []
-    left: dict[int, bool] = {}
-    for source, rows in pairs.sort_values(["source_index", "scraped_index"]).groupby("source_index", sort=False):
-        at = rows.scraped_index.to_numpy()
-        free = np.array([not pd.isna(q) and left.get(int(q), True) for q in at], bool)
-        mine = free & rows.keyed.to_numpy(bool)
-        if not free.any():
-            out.append((source, None, 0.0, False))
-            continue
-        scores = rows.keyed_score.where(mine, -1.0) if mine.any() else rows.free_score.where(free, -1.0)
-        best = int(np.argmax(scores.to_numpy()))
-        left[int(at[best])] = False
-        score = float(scores.iloc[best])
-        out.append((source, int(at[best]), round(score, 4), score >= MATCHED))
-    return out
+def _choice(rows: list[tuple], used: set[int]) -> tuple:
+    """scraped_index, score, matched, starved of a block: of the questions with its number and year that are
+    left the best, if none is, of all; of equals the first. Starved: it would need pairs that were not made."""
+    left = [r for r in rows if r[0] is not None and r[0] not in used]
+    keyed = [r for r in left if r[1]]
+    if keyed:
+        best = max(keyed, key=lambda r: (r[2], -r[0]))
+        score = best[2]
+    elif any(r[3] is None for r in rows):
+        return None, 0.0, False, True
+    elif left:
+        best = max(left, key=lambda r: (r[3], -r[0]))
+        score = best[3]
+    else:
+        return None, 0.0, False, False
+    used.add(best[0])
+    return best[0], round(score, 4), score >= MATCHED, False
 
 
-def align(blocks: DataFrame, questions: DataFrame, key: str) -> DataFrame:
-    """key, source_index, scraped_index, score, matched: one row per block.
+def _settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    unit, block, rows, used = None, None, [], set()
+    names = ["id", "scraped_index", "score", "matched", "starved"]
+    for b in batches:
+        out = []
+        scraped = [None if x != x or x is None else int(x) for x in b.scraped_index.tolist()]
+        free = [None if x != x else x for x in b.free_score.tolist()]
+        for u, i, *row in zip(b.unit.tolist(), b.id.tolist(), scraped, b.keyed.tolist(), b.keyed_score.tolist(), free):
+            if (u, i) != (unit, block):
+                if rows:
+                    out.append((block, *_choice(rows, used)))
+                if u != unit:
+                    used = set()
+                unit, block, rows = u, i, []
+            rows.append(tuple(row))
+        yield pd.DataFrame(out, columns=names).astype({"scraped_index": "Int32"})
+    if rows:
+        yield pd.DataFrame([(block, *_choice(rows, used))], columns=names).astype({"scraped_index": "Int32"})
 
-    blocks: key, source_index, year, number, stem, lines; questions: key, scraped_index,
-    year, number, text, options, answer. A chapter's pairs are scored as rows, wherever Spark
-    deals them; only their numbers meet in a chapter's fold. A chapter is what one page
-    holds: its pairs grow with the product of its blocks and questions.
-    """
+
+def _pairs(b: DataFrame, q: DataFrame) -> DataFrame:
+    """Scored pairs: b's id, k, unit, order, needy with scraped_index and scores, those of all questions
+    for needy blocks, those of the same year and number for others."""
+    here = F.col("k").eqNullSafe(F.col("of"))
+    keyed = F.coalesce((F.col("number") == F.col("q_number")) & (F.col("year_key") == F.col("q_year_key")), F.lit(False))
+    rows = b.where("needy").join(q, here, "left").unionByName(b.where("NOT needy").join(q, here & (F.col("number") == F.col("q_number")) & (F.col("year_key") == F.col("q_year_key"))))
+    held = F.size(F.filter("options", lambda v: (v != "") & F.contains("whole", v))) / F.greatest(F.size("options"), F.lit(1))
+    same_year = F.when((F.coalesce("year", F.lit("")) != "") & (F.col("year") == F.col("q_year")), 1.0).otherwise(0.0)
+    rows = rows.select("id", "unit", "source_index", "scraped_index", "needy", keyed.alias("keyed"), ratio("stem", "text").alias("t"), held.alias("o"), same_year.alias("y"), "answered")
+    keyed_score = 0.8 * F.col("t") + 0.15 * F.col("o") + 0.05 * F.col("answered")
+    free_score = 0.6 * F.col("t") + 0.15 * F.col("y") + 0.15 * F.col("o") + 0.1 * F.col("answered")
+    score = lambda c: F.coalesce(c, F.lit(-1.0))  # noqa: E731  a block without questions has one row, without scores
+    return rows.select("id", "unit", "source_index", "scraped_index", "keyed", score(keyed_score).alias("keyed_score"), F.when(F.col("needy"), score(free_score)).alias("free_score"))
+
+
+def pairs_of(blocks: DataFrame, questions: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(blocks, questions) in the form in which they are paired. A block is needy if fewer questions have its year and
+    number than blocks before and with it; its chapter is mixed then."""
     clean = lambda c: normal(F.col(c))
     b = blocks.select(F.col(key).alias("k"), "source_index", F.col("number").cast("int").alias("number"), F.col("year").alias("year"), clean("year").alias("year_key"), clean("stem").alias("stem"), normal(F.array_join("lines", " ")).alias("whole"))
     q = questions.select(
         F.col(key).alias("of"), "scraped_index", F.col("number").cast("int").alias("q_number"), F.col("year").alias("q_year"), clean("year").alias("q_year_key"), clean("text").alias("text"),
         F.transform(F.coalesce("options", F.array().cast("array<string>")), normal).alias("options"), (F.coalesce("answer", F.lit("")) != "").cast("double").alias("answered"),
     )
-    pairs = b.join(q, F.col("k").eqNullSafe(F.col("of")), "left")
-    held = F.size(F.filter("options", lambda v: (v != "") & F.contains("whole", v))) / F.greatest(F.size("options"), F.lit(1))
-    same_year = F.when((F.coalesce("year", F.lit("")) != "") & (F.col("year") == F.col("q_year")), 1.0).otherwise(0.0)
-    keyed = F.coalesce((F.col("number") == F.col("q_number")) & (F.col("year_key") == F.col("q_year_key")), F.lit(False))
-    rows = pairs.select("k", "source_index", "scraped_index", keyed.alias("keyed"), ratio("stem", "text").alias("t"), held.alias("o"), same_year.alias("y"), "answered")
-    keyed_score = 0.8 * F.col("t") + 0.15 * F.col("o") + 0.05 * F.col("answered")
-    free_score = 0.6 * F.col("t") + 0.15 * F.col("y") + 0.15 * F.col("o") + 0.1 * F.col("answered")
-    scored = rows.select("k", "source_index", "scraped_index", "keyed", keyed_score.alias("keyed_score"), free_score.alias("free_score"))
-    kind = blocks.schema[key].dataType.simpleString()
+    q = stored(q, "questions")
+    counts = q.where("q_number IS NOT NULL").groupBy("of", "q_number", "q_year_key").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("k", "number", "year_key").orderBy("source_index"))
+    met = b.withColumn("nth", nth).join(counts, F.col("k").eqNullSafe(F.col("of")) & (F.col("number") == F.col("q_number")) & (F.col("year_key") == F.col("q_year_key")), "left")
+    needy = met.drop("of", "q_number", "q_year_key").withColumn("needy", F.coalesce(F.col("nth") > F.col("n"), F.lit(True))).drop("nth", "n")
+    mixed = F.max("needy").over(Window.partitionBy("k"))
+    unit = F.when(F.col("mixed"), F.struct("k", F.lit(None).cast("int").alias("number"), F.lit(None).cast("string").alias("year_key"))).otherwise(F.struct("k", "number", "year_key"))
+    made = needy.withColumn("mixed", mixed).withColumn("unit", F.to_json(unit)).withColumn("id", F.to_json(F.struct("k", "source_index")))
+    return stored(made, "blocks"), q
+
+
+def align(blocks: DataFrame, questions: DataFrame, key: str) -> DataFrame:
+    """key, source_index, scraped_index, score, matched: one row per block.
+
+    blocks: key, source_index (distinct in a key), year, number, stem, lines; questions: key, scraped_index,
+    year, number, text, options, answer. Blocks in order each take the best question that is left, also if
+    it is no match; of those with their number and year, if any is left. Pairs that are made: see the module;
+    should an earlier block take the last question with a later one's number, that chapter is done over
+    with all its pairs.
+    """
+    b, q = pairs_of(blocks, questions, key)
 
-    def fold(k: tuple, x: pd.DataFrame) -> pd.DataFrame:
-        found = pd.DataFrame(_fold(x), columns=["source_index", "scraped_index", "score", "matched"])
-        found.insert(0, key, k[0])
-        return found.astype({"scraped_index": "Int32"})
+    def settle(own: DataFrame) -> DataFrame:
+        rows = _pairs(own, q).repartition("unit").sortWithinPartitions("unit", "source_index", "scraped_index").drop("source_index")
+        return stored(rows.mapInPandas(_settled, "id string, scraped_index int, score double, matched boolean, starved boolean"), "aligned")
 
-    return scored.groupBy("k").applyInPandas(fold, f"`{key}` {kind}, source_index int, scraped_index int, score double, matched boolean")
+    found = settle(b)
+    starved = found.where("starved").select("id")
+    if not starved.isEmpty():
+        again = b.join(starved, "id", "left_semi").select(F.col("k").alias("again")).distinct()
+        over = b.join(again, b.k.eqNullSafe(again.again), "left_semi")
+        found = found.join(over.select("id"), "id", "left_anti").unionByName(settle(over.withColumn("needy", F.lit(True))))
+    rows = b.select("id", F.col("k").alias(key), "source_index").join(found, "id", "left")
+    return rows.select(key, "source_index", "scraped_index", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("matched", F.lit(False)).alias("matched"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from gleanery.operators.blocks import blocks, signals, with_keys
 from gleanery.operators.dashboard import total_order
 from gleanery.sources.pages import QUESTION, page_lines
 from gleanery.sources.reports import write_csv, write_json
+from gleanery.sources.stored import stored
 
 WHO = ("subject", "class_code", "chapter", "slug")
 NO_SOURCE = "no_source_mapping_for_chapter"
@@ -51,58 +54,159 @@ def _filled() -> Column:
     return F.filter(F.map_values(F.coalesce("options", F.create_map().cast("map<string,string>"))), lambda v: F.coalesce(v, F.lit("")) != "")
 
 
-def audit(targets: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
-    """The reports by name, a row a finding where a report has lists.
+class Audit:
+    """The stages of an audit and its reports; a stage that several reports read is stored once, when the
+    first of them asks for it.
 
     targets: of targets_of. pages: url, html; a source without a page counts as an empty one.
     Chapters meet their page, blocks and questions by class and slug; each is aligned within itself,
     and chapters spread over all tasks.
     """
-    t = targets.withColumn("page_id", F.concat_ws(":", "class_code", "slug"))
-    who = t.select("page_id", *WHO, "json_path", "source_url", "covered", "coverage_reason", "question_count")
-    covered = t.where("covered")
-    source = covered.select("page_id", F.col("source_url").alias("url")).join(pages.select("url", "html"), "url", "left").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
-    own_blocks = with_keys(blocks(page_lines(source)))
-    questions = _questions(t)
-    aligned = align.align(own_blocks, questions.join(covered.select("page_id"), "page_id", "left_semi").withColumn("options", F.map_values("options")), "page_id")
-    errors = schema_rules.chapter_errors(covered.select("page_id", "root"))
-    explanation = told_explanation(F.col("explanation"))
-    # How often a chapter's questions show what the scores count.
-    counted = questions.groupBy("page_id").agg(
-        F.count_if(F.coalesce("answer", F.lit("")) != "").alias("answers"),
-        F.sum(F.size(_filled())).alias("options"),
-        F.sum(_size("images")).alias("images"),
-        F.sum(_size("tables")).alias("tables"),
-        F.count_if(F.coalesce(explanation, F.lit("")) == "").alias("empty_explanations"),
-        F.count_if(F.size(F.array_distinct(F.map_values("options"))) < 4).alias("duplicate_options"),
-    )
-    meaning = aligned.groupBy("page_id").agg(F.avg(F.when(F.col("matched"), F.col("score")).otherwise(0.0)).alias("mean_alignment"))
-    faults = errors.groupBy("page_id").agg(F.count("*").alias("schema_errors"))
-    chapters = covered.select("page_id", F.col("question_count").cast("long").alias("questions")).join(signals(own_blocks, source), "page_id", "left")
-    for side in (counted, meaning, faults):
-        chapters = chapters.join(side, "page_id", "left")
-    zero = [c for c in chapters.columns if c not in ("page_id", "mean_alignment")]
-    scored = scoring.scored(chapters.na.fill(0, zero)).join(who, "page_id")
-
-    summary = scored.select(
-        *WHO, "source_url", "json_path", "expected_question_count", F.col("questions").alias("scraped_question_count"), F.col("schema_errors").alias("schema_error_count"), "structural_accuracy",
-        "completeness_accuracy", "semantic_accuracy", "schema_gap_risk", "anomaly_score", "final_accuracy", "risk", "dominant_failures",
-    )
-    told = _explanations(aligned, own_blocks, questions, who)
-    anomalies = _anomalies(questions, who)
-    return {
-        "chapter_summary": summary,
-        "high_risk_chapters": summary.where("risk <> 'low'"),
-        "schema_failures": errors.join(who, "page_id").select(*WHO, "json_path", "index", "field", "type", "expected", "actual"),
-        "residual_text_report": scored.select(*WHO, "json_path", "missing_question_ratio", "residual_block_ratio", "schema_gap_risk"),
-        "question_alignment": aligned.join(who, "page_id").select(*WHO, "json_path", "source_index", "scraped_index", "score", "matched"),
-        "uncovered_chapters": who.where("not covered").select(*WHO, "json_path", "question_count", "coverage_reason"),
-        "option_anomalies": anomalies.where(F.size("types") > 0).select(*WHO, F.col("id").alias("question_id"), "year", "text", "answer", "images", "tables", "non_empty_option_count", F.col("types").alias("anomaly_types")),
-        "option_anomaly_chapters": _anomaly_counts(anomalies, who, list(WHO)),
-        "option_anomaly_totals": _anomaly_counts(anomalies, who, []),
-        "explanation_accuracy_scan": told,
-        "explanation_chapters": _explanation_counts(told, own_blocks, who),
-    }
+
+    def __init__(self, targets: DataFrame, pages: DataFrame):
+        self.targets = targets.withColumn("page_id", F.concat_ws(":", "class_code", "slug"))
+        self.pages = pages.select("url", "html")
+
+    @cached_property
+    def who(self) -> DataFrame:
+        return stored(self.targets.select("page_id", *WHO, "json_path", "source_url", "covered", "coverage_reason", "question_count"), "audit-chapters")
+
+    @property
+    def covered(self) -> DataFrame:
+        return self.targets.where("covered")
+
+    @property
+    def source(self) -> DataFrame:
+        return self.covered.select("page_id", F.col("source_url").alias("url")).join(self.pages, "url", "left").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
+
+    @cached_property
+    def blocks(self) -> DataFrame:
+        return stored(with_keys(blocks(page_lines(self.source))), "audit-blocks")
+
+    @cached_property
+    def questions(self) -> DataFrame:
+        return stored(_questions(self.targets), "audit-questions")
+
+    @cached_property
+    def aligned(self) -> DataFrame:
+        covered = self.who.where("covered").select("page_id")
+        own = self.questions.join(covered, "page_id", "left_semi").withColumn("options", F.map_values("options"))
+        return stored(align.align(self.blocks, own, "page_id"), "audit-aligned")
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        return stored(schema_rules.chapter_errors(self.covered.select("page_id", "root")), "audit-errors")
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        """A row a covered chapter: what its page lets one expect, what its questions show, and the scores."""
+        explanation = told_explanation(F.col("explanation"))
+        counted = self.questions.groupBy("page_id").agg(
+            F.count_if(F.coalesce("answer", F.lit("")) != "").alias("answers"),
+            F.sum(F.size(_filled())).alias("options"),
+            F.sum(_size("images")).alias("images"),
+            F.sum(_size("tables")).alias("tables"),
+            F.count_if(F.coalesce(explanation, F.lit("")) == "").alias("empty_explanations"),
+            F.count_if(F.size(F.array_distinct(F.map_values("options"))) < 4).alias("duplicate_options"),
+        )
+        meaning = self.aligned.groupBy("page_id").agg(F.avg(F.when(F.col("matched"), F.col("score")).otherwise(0.0)).alias("mean_alignment"))
+        faults = self.errors.groupBy("page_id").agg(F.count("*").alias("schema_errors"))
+        chapters = self.who.where("covered").select("page_id", F.col("question_count").cast("long").alias("questions")).join(signals(self.blocks, self.source), "page_id", "left")
+        for side in (counted, meaning, faults):
+            chapters = chapters.join(side, "page_id", "left")
+        zero = [c for c in chapters.columns if c not in ("page_id", "mean_alignment")]
+        return stored(scoring.scored(chapters.na.fill(0, zero)).join(self.who, "page_id"), "audit-scores")
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return stored(_anomalies(self.questions, self.who), "audit-anomalies")
+
+    @cached_property
+    def told(self) -> DataFrame:
+        return stored(_explanations(self.aligned, self.blocks, self.questions, self.who), "audit-explanations")
+
+    def chapter_summary(self) -> DataFrame:
+        return self.scored.select(
+            "page_id", *WHO, "source_url", "json_path", "expected_question_count", F.col("questions").alias("scraped_question_count"), F.col("schema_errors").alias("schema_error_count"), "structural_accuracy",
+            "completeness_accuracy", "semantic_accuracy", "schema_gap_risk", "anomaly_score", "final_accuracy", "risk", "dominant_failures",
+        )
+
+    def high_risk_chapters(self) -> DataFrame:
+        return self.chapter_summary().where("risk <> 'low'")
+
+    def schema_failures(self) -> DataFrame:
+        return self.errors.join(self.who, "page_id").select("page_id", *WHO, "json_path", "index", "field", "type", "expected", "actual")
+
+    def residual_text_report(self) -> DataFrame:
+        return self.scored.select("page_id", *WHO, "json_path", "missing_question_ratio", "residual_block_ratio", "schema_gap_risk")
+
+    def question_alignment(self) -> DataFrame:
+        return self.aligned.join(self.who, "page_id").select("page_id", *WHO, "json_path", "source_index", "scraped_index", "score", "matched")
+
+    def uncovered_chapters(self) -> DataFrame:
+        return self.who.where("not covered").select("page_id", *WHO, "json_path", "question_count", "coverage_reason")
+
+    def option_anomalies(self) -> DataFrame:
+        return self.anomalies.where(F.size("types") > 0).select("page_id", *WHO, F.col("id").alias("question_id"), "year", "text", "answer", "images", "tables", "non_empty_option_count", F.col("types").alias("anomaly_types"))
+
+    def option_anomaly_chapters(self) -> DataFrame:
+        return _anomaly_counts(self.anomalies, self.who)
+
+    def explanation_accuracy_scan(self) -> DataFrame:
+        return self.told
+
+    def explanation_chapters(self) -> DataFrame:
+        return _explanation_counts(self.told, self.blocks, self.who)
+
+
+#: Reports of a row a chapter or finding, by name, and those that are made of others.
+OF_CHAPTERS = (
+    "chapter_summary", "high_risk_chapters", "schema_failures", "residual_text_report", "question_alignment", "uncovered_chapters", "option_anomalies", "option_anomaly_chapters", "explanation_accuracy_scan", "explanation_chapters",
+)
+
+
+def _overall(reports: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The reports without their chapters' keys, the totals added, chapters of findings in their order."""
+    sums = reports["option_anomaly_chapters"].agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ANOMALY_COUNTS), F.count("*").alias("chapter_count"))
+    out = {k: v.drop("page_id") for k, v in reports.items()} | {"option_anomaly_totals": sums}
+    listed = out["explanation_chapters"]
+    return out | {"explanation_chapters": listed.orderBy(*total_order(listed))}
+
+
+def audit(targets: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
+    """The reports by name, a row a finding where a report has lists."""
+    a = Audit(targets, pages)
+    return _overall({name: getattr(a, name)() for name in OF_CHAPTERS})
+
+
+def content(targets: DataFrame, pages: DataFrame) -> DataFrame:
+    """page_id, content: a digest of all that a chapter's audit depends on."""
+    rows = targets.join(pages.select(F.col("url").alias("source_url"), "html"), "source_url", "left")
+    told = F.array(F.to_json("root"), *(F.col(c) for c in (*WHO, "json_path", "source_url", "coverage_reason", "html")))
+    return rows.select(F.concat_ws(":", "class_code", "slug").alias("page_id"), F.sha2(F.to_json(told), 256).alias("content"))
+
+
+def refresh(targets: DataFrame, pages: DataFrame, folder: str, previous: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(reports; page_id of the chapters that were audited): as audit(), kept as Parquet under `folder`. Chapters whose
+    content is as it was when `previous` was written are taken from there; only the others are audited."""
+    spark = targets.sparkSession
+    now = stored(content(targets, pages), "audit-content")
+    if previous is None:
+        same = now.select("page_id").limit(0)
+    else:
+        same = stored(now.join(spark.read.parquet(f"{previous}/content"), ["page_id", "content"], "left_semi").select("page_id"), "audit-unchanged")
+    changed = now.select("page_id").join(same, "page_id", "left_anti")
+    key = F.concat_ws(":", "class_code", "slug")
+    a = Audit(targets.join(changed.withColumnRenamed("page_id", "changed"), key == F.col("changed"), "left_semi"), pages)
+    reports = {}
+    for name in OF_CHAPTERS:
+        rows = getattr(a, name)()
+        if previous is not None:
+            rows = rows.unionByName(spark.read.parquet(f"{previous}/{name}").join(same, "page_id", "left_semi"))
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        reports[name] = spark.read.parquet(f"{folder}/{name}")
+    now.write.mode("overwrite").parquet(f"{folder}/content")
+    return _overall(reports), changed
 
 
 def _anomalies(questions: DataFrame, who: DataFrame) -> DataFrame:
@@ -112,15 +216,15 @@ def _anomalies(questions: DataFrame, who: DataFrame) -> DataFrame:
     return rows.withColumn("types", findings.anomaly_types()).withColumn("non_empty_option_count", filled).drop("chapter").join(who.select("page_id", *WHO), "page_id")
 
 
-def _anomaly_counts(anomalies: DataFrame, who: DataFrame, keys: list[str]) -> DataFrame:
-    """By chapter, those without any included, or over all."""
+ANOMALY_COUNTS = ("anomaly_count", "all_empty_option_count", "partial_option_count", "image_backed_gap_count")
+
+
+def _anomaly_counts(anomalies: DataFrame, who: DataFrame) -> DataFrame:
+    """By chapter, those without any included."""
     has = lambda k: F.count_if(F.array_contains("types", k))
-    n = {"anomaly_count": F.count_if(F.size("types") > 0), "all_empty_option_count": has("all_options_empty"), "partial_option_count": has("partial_options"), "image_backed_gap_count": has("image_backed_option_gap")}
-    if not keys:
-        of_all = anomalies.agg(*(c.alias(k) for k, c in n.items()))
-        return of_all.crossJoin(F.broadcast(who.agg(F.count("*").alias("chapter_count"))))  # one row each
-    counts = anomalies.groupBy("page_id").agg(*(c.alias(k) for k, c in n.items()))
-    return who.join(counts, "page_id", "left").select(*keys, "question_count", *(F.coalesce(k, F.lit(0)).alias(k) for k in n))
+    n = (F.count_if(F.size("types") > 0), has("all_options_empty"), has("partial_options"), has("image_backed_option_gap"))
+    counts = anomalies.groupBy("page_id").agg(*(c.alias(k) for c, k in zip(n, ANOMALY_COUNTS)))
+    return who.join(counts, "page_id", "left").select("page_id", *WHO, "question_count", *(F.coalesce(k, F.lit(0)).alias(k) for k in ANOMALY_COUNTS))
 
 
 def _explanations(aligned: DataFrame, own_blocks: DataFrame, questions: DataFrame, who: DataFrame) -> DataFrame:
@@ -131,6 +235,7 @@ def _explanations(aligned: DataFrame, own_blocks: DataFrame, questions: DataFram
     found = findings.explanation_findings(pairs.select("page_id", "id", "year", "text", "source_number", "source_explanation", "json_explanation"))
     snippet = lambda c, *not_in: F.when(~F.col("category").isin("ui_leak", *not_in), truncated(F.col(c)))
     return found.join(who, "page_id").select(
+        "page_id",
         *WHO,
         "category",
         F.col("id").alias("json_id"),
@@ -144,14 +249,13 @@ def _explanations(aligned: DataFrame, own_blocks: DataFrame, questions: DataFram
 
 
 def _explanation_counts(told: DataFrame, own_blocks: DataFrame, who: DataFrame) -> DataFrame:
-    """By chapter, uncovered ones last: whether it is covered, and its findings by category."""
-    counts = told.groupBy("class_code", "slug").pivot("category", list(findings.FINDINGS)).count()
+    """By chapter: whether it is covered, and its findings by category."""
+    counts = told.groupBy("page_id").pivot("category", list(findings.FINDINGS)).count()
     sources = own_blocks.groupBy("page_id").agg(F.count("*").alias("source_question_count"))
-    rows = who.join(sources, "page_id", "left").join(counts, ["class_code", "slug"], "left")
+    rows = who.join(sources, "page_id", "left").join(counts, "page_id", "left")
     n = {c: F.coalesce(c, F.lit(0)) for c in ("source_question_count", *findings.FINDINGS)}
     total = sum((n[c] for c in findings.FINDINGS[1:]), n[findings.FINDINGS[0]])
-    rows = rows.select(*WHO, "source_url", "covered", "coverage_reason", F.col("question_count").alias("json_question_count"), *(v.alias(c) for c, v in n.items()), total.alias("total"))
-    return rows.orderBy(*total_order(rows))
+    return rows.select("page_id", *WHO, "source_url", "covered", "coverage_reason", F.col("question_count").alias("json_question_count"), *(v.alias(c) for c, v in n.items()), total.alias("total"))
 
 
 def write_reports(reports: dict[str, DataFrame], folder: str) -> None:

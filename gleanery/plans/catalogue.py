@@ -15,7 +15,8 @@ from gleanery.operators import align, findings, options, schema_rules, scoring
 from gleanery.operators import dashboard
 from gleanery.operators.containment import containing
 from gleanery.operators.blocks import blocks, element_blocks, picture_suffixes, sessions, signals
-from gleanery.plans.views import RECORDS_SQL, records, rendered, table, turns
+from gleanery.plans.audit import Audit, targets_of
+from gleanery.plans.views import CHAPTERS_SQL, RECORDS_SQL, audit_tables, records, rendered, table, turns
 from gleanery.sources import links as L
 from gleanery.sources import markup as M
 from gleanery.sources import pages as P
@@ -883,5 +884,61 @@ def f_source_signals(spark, d):
     return signals(blocks(P.page_lines(pages)), pages)
 
 
+# The audit's reports, each from the stages that it needs
+
+
+def audit_of(spark, d, classes: str = "") -> Audit:
+    files, sources, pages = audit_tables(spark, d)
+    return Audit(targets_of(files, sources, classes), pages)
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code, slug, source_index::INTEGER AS source_index, scraped_index::INTEGER AS scraped_index, round(0.8 + 0.15 * (filled / 4.0) + 0.05 * (answer <> '')::INT, 4)::DOUBLE AS score, true AS matched FROM placed WHERE covered""")
+def q_report_alignment(spark, d):
+    """Blocks of a page by year, questions of a file by id: each block meets the one of its year and number."""
+    return audit_of(spark, d).question_alignment().select("class_code", "slug", "source_index", "scraped_index", "score", "matched")
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code, slug, scraped_index::INTEGER AS index, 'tables' AS field, 'missing_key' AS type FROM placed WHERE covered AND id % 50 = 7""")
+def q_report_schema(spark, d):
+    return audit_of(spark, d).schema_failures().select("class_code", "slug", "index", "field", "type")
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code, slug, any_value(chapter) AS chapter, count(*)::INTEGER AS question_count, 'no_source_mapping_for_chapter' AS coverage_reason FROM placed WHERE NOT covered AND class_code IN ('B1', 'B4') GROUP BY ALL""")
+def q_report_uncovered(spark, d):
+    """Of the classes asked for, the chapters that no source covers."""
+    return audit_of(spark, d, " b4,,B1 ").uncovered_chapters().select("class_code", "slug", "chapter", "question_count", "coverage_reason")
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code, slug, count(*) AS expected_question_count, count(*) AS scraped_question_count, count(*) FILTER (id % 50 = 7) AS schema_error_count, round(1 - count(*) FILTER (id % 50 = 7) / count(*), 4) AS structural_accuracy, 0.0::DOUBLE AS schema_gap_risk
+FROM placed WHERE covered GROUP BY ALL""")
+def q_report_summary(spark, d):
+    return audit_of(spark, d).chapter_summary().select("class_code", "slug", "expected_question_count", "scraped_question_count", "schema_error_count", "structural_accuracy", "schema_gap_risk")
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code, slug, category, 'Q' || id AS json_id, 'Q' || n AS source_q, y AS year, CASE WHEN category = 'missing_in_json' THEN why END AS source_snippet, CASE WHEN category = 'missing_from_source' THEN why END AS json_snippet
+FROM (SELECT *, CASE id % 10 WHEN 0 THEN 'missing_in_json' WHEN 2 THEN 'ui_leak' WHEN 3 THEN 'missing_from_source' END AS category FROM placed) WHERE covered AND category IS NOT NULL""")
+def o_report_explanations(spark, d):
+    """Explanations of matched pairs that are missing on a side, or tell of the interface."""
+    return audit_of(spark, d).explanation_accuracy_scan().select("class_code", "slug", "category", "json_id", "source_q", "year", F.nullif("source_snippet", F.lit("")).alias("source_snippet"), F.nullif("json_snippet", F.lit("")).alias("json_snippet"))
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code, slug, covered, count(*) FILTER (covered) AS source_question_count, count(*) FILTER (covered AND id % 10 = 0) AS missing_in_json, count(*) FILTER (covered AND id % 10 = 3) AS missing_from_source,
+       0::BIGINT AS mismatch, count(*) FILTER (covered AND id % 10 = 2) AS ui_leak, count(*) FILTER (covered AND id % 10 IN (0, 2, 3)) AS total FROM placed GROUP BY ALL""")
+def o_report_chapters(spark, d):
+    return audit_of(spark, d).explanation_chapters().select("class_code", "slug", "covered", "source_question_count", "missing_in_json", "missing_from_source", "mismatch", "ui_leak", "total")
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code, slug, count(*)::INTEGER AS question_count, count(*) FILTER (filled < 4) AS anomaly_count, count(*) FILTER (filled = 0) AS all_empty_option_count, count(*) FILTER (filled > 0 AND filled < 4) AS partial_option_count, 0::BIGINT AS image_backed_gap_count FROM placed GROUP BY ALL""")
+def p_report_chapters(spark, d):
+    return audit_of(spark, d).option_anomaly_chapters().select("class_code", "slug", "question_count", "anomaly_count", "all_empty_option_count", "partial_option_count", "image_backed_gap_count")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["q_chapter_summary"](spark, sf_dir)

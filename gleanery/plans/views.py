@@ -65,3 +65,40 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     shown = F.when(kind == "lower", text("abcd", "(", ")", " ")).when(kind == "numbered", text("1234", "(", ")", " ")).when(kind == "upper", text("ABCD", "", ".", " ")).when(kind == "lines", text("abcd", "(", ")", "\n")).otherwise(stem)
     return p.select("p_partkey", kind.alias("kind"), stem.alias("stem"), options.alias("options"), shown.alias("text"))
+
+
+def audit_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(chapter files, their sources, pages): a nation's orders as a chapter, ten years later. The page shows them
+    by year, numbered within it; the file holds them by id. A nation in five has no source. Of ten
+    orders one has no explanation in the file, one tells of the interface, one has none on the page; of fifty
+    one lacks a field."""
+    own = Window.partitionBy("class", "chapter", "y").orderBy("id")
+    r = records(spark, sf_dir).withColumn("y", (F.col("year").cast("int") + 10).cast("string")).withColumn("n", F.row_number().over(own))
+    id_, tenth = F.col("id").cast("string"), F.col("id") % 10
+    asked, why = F.concat(F.lit("which parts has order "), id_), F.concat(F.lit("order "), id_, F.lit(" was shipped in parts"))
+    shown = F.array_join(F.transform("options", lambda v, i: F.concat(F.lit("<p>("), F.substring(F.lit("abcd"), (i + 1).cast("int"), F.lit(1)), F.lit(") "), v, F.lit("</p>"))), "")
+    block = F.concat(F.when(F.col("n") == 1, F.concat(F.lit("<h2>"), F.col("y"), F.lit("</h2>"))).otherwise(""), F.lit("<p>Q"), F.col("n").cast("string"), F.lit(": "), asked, F.lit("</p>"), shown, F.lit("<p>Ans: (a) "), F.when(tenth == 3, "").otherwise(why), F.lit("</p>"))
+    said = F.when(tenth == 0, "").when(tenth == 2, F.concat(F.lit("View Answer "), why)).otherwise(why)
+    options = F.struct(*(F.col("options")[i].alias(k) for i, k in enumerate("ABCD")))
+    answer = F.when(F.col("answer") == "F", "a").when(F.col("answer") == "O", "b").otherwise("")
+    none = F.array().cast("array<string>")
+    question = F.struct(
+        F.concat(F.lit("Q"), id_).alias("id"), asked.alias("text"), options.alias("options"), answer.alias("answer"), said.alias("explanation"), F.col("y").alias("year"), F.col("chapter"),
+        F.concat(F.lit("B"), F.col("class").cast("string")).alias("class"), none.alias("images"), F.when(F.col("id") % 50 != 7, F.array().cast("array<array<array<string>>>")).alias("tables"), F.col("n").cast("string").alias("sourceQuestionNumber"),
+    )
+    made = r.select("class", "chapter", "id", "y", "n", F.to_json(question).alias("j"), block.alias("b"))
+    slug = F.lower(F.replace("chapter", F.lit("_"), F.lit("-")))
+    joined = lambda c, *by: F.transform(F.array_sort(F.collect_list(F.struct(*by, c))), lambda x: x[c])
+    chapters = made.groupBy("class", "chapter").agg(F.concat(F.lit("["), F.array_join(joined("j", "id"), ","), F.lit("]")).alias("j"), F.array_join(joined("b", "y", "n"), "").alias("html"))
+    code, address = F.concat(F.lit("B"), F.col("class").cast("string")), F.concat(F.lit("https://site.test/t/"), slug)
+    files = chapters.select(F.lit("biology").alias("subject"), code.alias("class_code"), slug.alias("slug"), F.concat(F.lit("/"), slug, F.lit(".json")).alias("json_path"), F.parse_json("j").alias("root"))
+    covered = chapters.where(~F.col("chapter").rlike("[49]$"))
+    return files, covered.select(code.alias("class_code"), slug.alias("slug"), address.alias("source_url"), F.lit("paper").alias("source_label")), chapters.select(address.alias("url"), "html")
+
+
+CHAPTERS_SQL = RECORDS_SQL + """,
+asked AS (
+  SELECT *, 'B' || class AS class_code, lower(replace(chapter, '_', '-')) AS slug, (year::INT + 10)::VARCHAR AS y, NOT regexp_matches(chapter, '[49]$') AS covered,
+         row_number() OVER (PARTITION BY class, chapter, year ORDER BY id) AS n, row_number() OVER (PARTITION BY class, chapter ORDER BY id) - 1 AS scraped_index,
+         len(list_filter(options, lambda x: x <> '')) AS filled, 'order ' || id || ' was shipped in parts' AS why FROM records),
+placed AS (SELECT *, row_number() OVER (PARTITION BY class, chapter ORDER BY y, n) - 1 AS source_index FROM asked)"""

@@ -79,6 +79,49 @@ def test_reports_are_written(spark, reports):
     assert spark.read.csv(f"{reports[1]}/chapter_summary.csv", header=True).count() == 2
 
 
+def chapter_files(spark, chapters):
+    rows = [("biology", "B11", slug, f"/{slug}.json", json.dumps(content)) for slug, content in chapters.items()]
+    return spark.createDataFrame(rows, "subject string, class_code string, slug string, json_path string, j string").select("subject", "class_code", "slug", "json_path", F.parse_json("j").alias("root"))
+
+
+def test_only_changed_chapters_are_done_again(spark, tmp_path):
+    chapters = {"the-cell": [question(1), question(2)], "tides": [question(3, chapter="Tides"), question(4, chapter="Tides", explanation="")], "gone": [question(5)]}
+    sources = spark.createDataFrame([("B11", s, f"{BASE}/t/{s}", s) for s in ("the-cell", "tides", "new")], "class_code string, slug string, source_url string, source_label string")
+    html = "<h2>2020</h2>" + "".join(block(n) for n in (1, 2, 3, 4))
+    pages = [(f"{BASE}/t/{s}", html) for s in ("the-cell", "tides", "new")]
+
+    def run(folder, previous):
+        p = spark.createDataFrame(pages, "url string, html string")
+        targets = audit.targets_of(chapter_files(spark, chapters), sources)
+        reports, done = audit.refresh(targets, p, f"{tmp_path}/{folder}", previous and f"{tmp_path}/{previous}")
+        whole = audit.audit(targets, p)
+        assert reports.keys() == whole.keys()
+        for name in whole:
+            assert sorted(map(str, reports[name].collect())) == sorted(map(str, whole[name].collect())), name
+        return {r.page_id for r in done.collect()}
+
+    assert run("first", None) == {"B11:the-cell", "B11:tides", "B11:gone"}
+    assert run("same", "first") == set()
+    chapters["tides"] = [question(3, chapter="Tides", answer="")]
+    chapters["new"] = [question(1, chapter="New")]
+    del chapters["gone"]
+    assert run("files", "same") == {"B11:tides", "B11:new"}
+    pages[0] = (pages[0][0], html + block(5))
+    assert run("page", "files") == {"B11:the-cell"}
+
+
+def test_alignment_is_made_once(spark, tmp_path, monkeypatch):
+    calls = []
+    real = audit.align.align
+    monkeypatch.setattr(audit.align, "align", lambda *a: calls.append(1) or real(*a))
+    sources = spark.createDataFrame([("B11", "the-cell", f"{BASE}/t/1", "x")], "class_code string, slug string, source_url string, source_label string")
+    targets = audit.targets_of(chapter_files(spark, {"the-cell": [question(1)]}), sources)
+    a = audit.Audit(targets, spark.createDataFrame([(f"{BASE}/t/1", "<h2>2020</h2>" + block(1))], "url string, html string"))
+    rows = [getattr(a, n)() for n in audit.OF_CHAPTERS]
+    assert len(calls) == 1
+    assert "ArrowEvalPython" not in "".join(r._jdf.queryExecution().optimizedPlan().toString() for r in (rows[0], rows[4], rows[9]))
+
+
 def test_dashboard(spark):
     rows = [("B11", "the-cell", question(1, images=["a.png", "b.png"], optionExtraction={"source": "s", "status": "partial", "imageTokenCount": 0, "nonEmptyOptionCount": 2})), ("B11", "the-cell", question(2, year="2022")), ("B12", "tides", question(1))]
     raw = spark.createDataFrame([(c, s, json.dumps(q)) for c, s, q in rows], "class string, slug string, j string")

@@ -126,10 +126,14 @@ def test_scores_without_questions(spark):
     assert b.dominant_failures == ["completeness_drop"]
 
 
-def sides(spark, blocks_, questions_):
+def frames(spark, blocks_, questions_):
     b = spark.createDataFrame([(1, i, y, n, t, [t]) for i, (y, n, t) in enumerate(blocks_)], "k long, source_index int, year string, number int, stem string, lines array<string>")
     q = spark.createDataFrame([(1, i, y, n, t, [], "a") for i, (y, n, t) in enumerate(questions_)], "k long, scraped_index int, year string, number int, text string, options array<string>, answer string")
-    return [tuple(r)[1:] for r in align.align(b, q, "k").orderBy("source_index").collect()]
+    return b, q
+
+
+def sides(spark, blocks_, questions_):
+    return [tuple(r)[1:] for r in align.align(*frames(spark, blocks_, questions_), "k").orderBy("source_index").collect()]
 
 
 def test_alignment(spark):
@@ -202,6 +206,14 @@ def norm(t):
     return " ".join(t.replace("&", " and ").split()).lower()
 
 
+def test_an_earlier_block_takes_a_later_ones_question(spark):
+    blocks_ = [("2020", None, "alpha beta"), ("2020", 1, "zzz"), ("2020", 1, "gamma"), ("2021", 7, "delta")]
+    questions_ = [("2020", 1, "alpha beta"), ("2020", 2, "gamma"), ("2021", 7, "delta")]
+    assert sides(spark, blocks_, questions_) == brute_alignment(blocks_, questions_)
+    made = align._pairs(*align.pairs_of(*frames(spark, blocks_[3:], questions_), "k"))
+    assert made.count() == 1  # of three
+
+
 def test_alignment_against_its_definition(spark):
     r = random.Random(5)
     say = lambda: " ".join(r.choice("alpha beta gamma delta tide leaf stone".split()) for _ in range(r.randint(2, 6)))
