@@ -12,13 +12,13 @@ from gleanery.llm.common import bounded_broadcast, table, unused, written
 #: Bytes of a shard at most, and those of the query, which shows the directory on smaller tables too.
 SHARD_BYTES, QUERY_BYTES = 64 << 20, 1 << 20
 #: Bits by which one pass over the open buckets deepens the directory.
-STEP = 8
+STEP = 4
 #: Rows of a directory level up to which it is broadcast (under 100 bytes a row).
 SMALL_DIRECTORY = 100_000
 
 
-def _bits(hex_byte):
-    return F.lpad(F.conv(hex_byte, 16, 2), STEP, "0")
+def _bits(hex_digit):
+    return F.lpad(F.conv(hex_digit, 16, 2), STEP, "0")
 
 
 def shard(docs: DataFrame, limit: int = SHARD_BYTES, keep: Sequence[str] = ()) -> DataFrame:
@@ -28,8 +28,8 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, keep: Sequence[str] = ()) -
     The directory is indexed by the leading bits of md5(doc_id). A bucket with more
     than `limit` bytes of text (UTF-8) splits on the next bit, no other does, until
     all fit; a shard's name is its bit prefix ('' if the whole table fits). Bytes
-    are summed by hash prefix, eight bits a pass, before anything is shuffled; only
-    rows of buckets still too large take part in the next pass, and no more than 256
+    are summed by hash prefix, four bits a pass, before anything is shuffled; only
+    rows of buckets still too large take part in the next pass, and no more than 16
     sums per bucket come out of one.
 
     A single document larger than the limit ends alone in a shard of its own. Rows
@@ -47,10 +47,10 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, keep: Sequence[str] = ()) -
     if total.b <= limit or total.c <= 1:
         return rows.select(*names, F.lit("").alias("shard"), F.lit(0).alias("shard_depth"), F.lit(total.c).alias("shard_docs"), F.lit(total.b).alias("shard_bytes"))
     done, live, path = None, rows, None
-    for level in range(1, 25):
-        at = F.substring("key", 1, 2 * level)
+    for level in range(1, 49):
+        at = F.substring("key", 1, level)
         cells = live.groupBy(at.alias("cell")).agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("docs"))
-        cells = cells.withColumn("parent", F.substring("cell", 1, 2 * level - 2)).withColumn("bits", _bits(F.substring("cell", 2 * level - 1, 2)))
+        cells = cells.withColumn("parent", F.substring("cell", 1, level - 1)).withColumn("bits", _bits(F.substring("cell", level, 1)))
         cells = cells.withColumn("path", F.lit("")) if path is None else cells.join(path, "parent")
         cells = written(cells, "shard-cells")
         nodes = cells.select("cell", "parent", "bytes", "docs", F.explode(F.transform(F.sequence(F.lit(1), F.lit(STEP)), lambda j: F.col("bits").substr(F.lit(1), j))).alias("node"))
