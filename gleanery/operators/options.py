@@ -1,32 +1,47 @@
-"""Answer options from a question's text: a cascade of stages, the first that fits wins."""
+"""Answer options from a question's text: a cascade of stages, the first that fits wins.
+
+A stage finds its markers, places with a label; which markers it takes follows from their
+labels and places alone. Texts are cut and cleaned only for the markers taken. The stages are lambdas over the
+text, so that a row is tried by one after the other until a stage fits, and no further.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import CHOOSER, collapsed, option_value, question_text
 
-RESULT = "struct<stem:string,options:array<string>,source:string>"
-#: Stages in order: name, pattern of a marker (label in group 1 or 2), how markers are read.
-#: "labels": four or more markers, the first of each label counts. "window": the best run of
-#: A, B, C, D. "first": the first four, whatever their labels.
+# The stages in order, by name, pattern of a marker (its label is the group that is not empty), and
+# how its markers are read. "labels": four or more markers, the first value of each label that is not empty. "window":
+# the best run of A, B, C, D. "first": the first four, whatever their labels. The flag: only if all four values say something.
+LOWER = r"(?i)\(([a-d])\)\s*"
 STAGES = (
-    ("inline_lower_option_lines", r"(?im)^\(([a-d])\)\s*", "labels", True),
-    ("lower_markers", r"\(([a-d])\)\s*", "labels", True),
-    ("compact_lower_markers", r"\b([a-d])\)\s*", "labels", True),
-    ("sequential_lower_markers", r"\(([a-d])\)?\s*", "window", True),
-    ("loose_lower_sequence", r"\(([a-d])\)?\s*", "first", True),
+    ("lower_markers", LOWER, "labels", True),
+    ("compact_lower_markers", r"(?i)\b([a-d])\)\s*", "labels", True),
+    ("sequential_lower_markers", r"(?i)\(([a-d])\)?\s*", "window", True),
+    ("loose_lower_sequence", LOWER, "first", True),
     ("numbered_paren_options", r"\(([1-4])\)\s*", "window", True),
-    ("three_lower_plus_terminal_upper", r"\(([a-c])\)\s*|\b(D)\b\s*[:.)-]?\s*", "window", True),
-    ("mixed_option_markers", r"\(([a-dA-D])\)\s*|\b([A-Da-d])\b\s*[:.)-]\s*", "window", True),
-    ("packed_upper_labels", r"(?:^|(?<=[\]?a-z0-9]))([A-D])(?=[A-Z][a-z])", "window", True),
+    ("three_lower_plus_terminal_upper", LOWER, "three", True),
+    ("mixed_option_markers", r"(?i)\(([a-d])\)\s*|\b([A-D])\b\s*[:.)-]\s*", "window", True),
+    ("implicit_a_lower_bcd", r"(?i)\(([b-d])\)\s*", "implicit", True),
+    ("packed_upper_labels", r"(?:^|(?<=[\]?]))([A-D])(?=[A-Z])|(?<=[a-z0-9\]])([A-D])(?=[A-Z][a-z])", "window", True),
+    ("ordered_upper_labels", r"", "ordered", True),
     ("compact_upper_numeric_labels", r"(?<![A-Za-z])([A-D])(?=[0-9(\-−])", "window", True),
     ("compact_upper_tight_labels", r"(?:^|(?<=[?:)\]0-9/\s\-−]))([A-D])(?=\S)", "window", True),
     ("upper_punct_markers", r"\b([A-D])\b\s*[:.)-]\s*", "window", True),
     ("upper_markers", r"([A-E])\.\s*", "labels", False),
     ("compact_upper_markers", r"([A-D])(?=(?:[A-Z][a-z]|\s+[A-Z][a-z]))", "window", False),
 )
+OPTION_LINE = r"(?i)^\(([a-d])\)\s*(.*)$"
+TERMINAL_D = r"(?s)^(.*?)\bD\b\s*[:.)-]?\s*(.*)$"
+#: Upper-case labels in order, each before something that is no space, the first after : or ?.
+ORDERED = r"(?s)^(.*?[?:])\s*A(?=\S)(.*?)B(?=\S)(.*?)C(?=\S)(.*?)D(?=\S)(.*)$"
+#: What a filled value counts against its length, where runs of markers compete.
+FILLED = 10_000
 
 
 def meaningful(v: Column) -> Column:
@@ -34,65 +49,144 @@ def meaningful(v: Column) -> Column:
     return F.coalesce(F.rlike(v, F.lit(r"(?i)\[diagram\]|\[img")) | F.rlike(v, F.lit(r"[\p{L}\p{N}]")), F.lit(False))
 
 
-def _label(a: Column, b: Column) -> Column:
-    """Markers' labels as A to D (1 to 4 count as such)."""
-    return F.translate(F.upper(F.when(a != "", a).otherwise(b)), "1234", "ABCD")
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once."""
+    return F.transform(F.array(value), f)[0]
 
 
-def stage(text: Column, name: str, pattern: str, how: str, usable: bool) -> Column:
-    """A result, or null where the stage does not fit."""
-    groups = 2 if "|\\b(" in pattern else 1
-    first = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    second = F.regexp_extract_all(text, F.lit(pattern), F.lit(groups))
-    labels = F.transform(F.arrays_zip(first.alias("a"), second.alias("b")), lambda x: _label(x["a"], x["b"]))
+def _cut(text: Column, start: Column, end: Column) -> Column:
+    return text.substr(start + 1, F.greatest(end - start, F.lit(0)))
+
+
+def _value(text: Column, start: Column, end: Column) -> Column:
+    return option_value(_cut(text, start, end))
+
+
+def markers(text: Column, pattern: str) -> Column:
+    """array<struct<label, at, end>>: the matches of a pattern, labels as A to E (1 to 4 count as such), places
+    in code points from 0."""
+    found = lambda g: F.regexp_extract_all(text, F.lit(pattern), F.lit(g))
+    groups = [found(g) for g in range(1, re.compile(pattern).groups + 1)]
     pieces = F.split(text, pattern, -1)
-    values = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda v: option_value(v))
-    n = F.size(labels)
-    if how == "labels":
-        at = [F.array_position(labels, x).cast("int") for x in "ABCD"]
-        options = F.array(*(F.when(i > 0, F.try_element_at(values, i)).otherwise("") for i in at))
-        stem = F.element_at(pieces, 1)
-        fits = n >= 4
-    else:
-        starts = F.sequence(F.lit(1), F.greatest(n - 3, F.lit(1)))
-        run = lambda i: F.array_join(F.slice(labels, i, F.lit(4)), "") == "ABCD"
-        if how == "first":
-            best = F.lit(1)
-            fits = n >= 4
-        else:
-            # Of several runs, the one with the most filled values, then the most text, then the latest.
-            scored = F.transform(F.filter(starts, run), lambda i: F.struct(F.aggregate(F.slice(values, i, F.lit(4)), F.lit(0), lambda s, v: s + F.when(v != "", 10_000).otherwise(0) + F.length(v)).alias("score"), i.alias("i")))
-            best = F.coalesce(F.array_max(scored)["i"], F.lit(1))
-            fits = (n >= 4) & F.exists(starts, run)
-        options = F.slice(values, best, F.lit(4))
-        stem = F.array_join(F.slice(pieces, F.lit(1), best), "")
-    result = F.struct(question_text(stem).alias("stem"), options.alias("options"), F.lit(name).alias("source"))
-    ok = fits & F.forall(options, meaningful) if usable else fits
-    return F.when(ok, result)
-
-
-def chooser_stages(text: Column) -> list[Column]:
-    """Options after a line that asks to choose: as lines of their own, then anywhere."""
-    pattern = f"(?is)^(.*?(?:{CHOOSER}))(.*)$"
-    head, tail = (F.regexp_extract(text, pattern, i) for i in (1, 2))
-    out = []
-    for name, marker in (("lower_option_lines", STAGES[0][1]), ("chooser_lower_markers", STAGES[1][1])):
-        r = stage(tail, name, marker, "labels", True)
-        out.append(F.when(r.isNotNull(), F.struct(question_text(head).alias("stem"), r["options"].alias("options"), r["source"].alias("source"))))
-    return out
-
-
-def _by_pattern(text: Column, name: str, pattern: str) -> Column:
-    """A stage that one pattern describes: stem, then the four options."""
-    stem, *found = (F.regexp_extract(text, pattern, i) for i in range(1, 6))
-    values = F.array(*map(option_value, found))
-    return F.when(F.rlike(text, F.lit(pattern)) & F.forall(values, meaningful), F.struct(question_text(stem).alias("stem"), values.alias("options"), F.lit(name).alias("source")))
-
-
-#: The first option has no label of its own: it stands between the question's last : or ? and (b).
-IMPLICIT_A = r"(?is)^(.*[:?])([^:?]*?)\(b\)\s*(.*?)\(c\)\s*(.*?)\(d\)\s*(.*)$"
-#: Upper-case labels in order, each before something that is no space, the first after : or ?.
-ORDERED = r"(?s)^(.*?[?:])\s*A(?=\S)(.*?)B(?=\S)(.*?)C(?=\S)(.*?)D(?=\S)(.*)$"
+    label = lambda x: F.translate(F.upper(F.concat(*(x[f"g{i}"] for i in range(len(groups))))), "1234", "ABCD")
+    zipped = F.arrays_zip(found(0).alias("m"), pieces.alias("p"), *(g.alias(f"g{i}") for i, g in enumerate(groups)))
+    zipped = F.filter(zipped, lambda x: x["m"].isNotNull())
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<label:string,at:int,end:int>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        at = acc["at"] + F.length(x["p"])
+        end = at + F.length(x["m"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(label(x).alias("label"), at.alias("at"), end.alias("end")))).alias("out"))
+
+    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+
+
+def _starts(marks: Column, labels: str) -> Column:
+    """Places (from 0) at which markers of these labels follow one another."""
+    k = len(labels)
+    run = lambda i: F.array_join(F.transform(F.slice(marks, i + 1, F.lit(k)), lambda m: m["label"]), "") == labels
+    return F.when(F.size(marks) >= k, F.filter(F.sequence(F.lit(0), F.size(marks) - k), run)).otherwise(F.array().cast("array<int>"))
+
+
+def _of(stem_end: Column, values: Column) -> Column:
+    return F.struct(stem_end.alias("cut"), values.alias("options"))
+
+
+def _between(text: Column, marks: Column, i: Column, k: int) -> list[Column]:
+    """The values of k markers from the i-th on, the last one up to the end of the text."""
+    ends = [marks[i + j + 1]["at"] for j in range(k - 1)] + [F.length(text)]
+    return [_value(text, marks[i + j]["end"], ends[j]) for j in range(k)]
+
+
+def _labels(text: Column, marks: Column) -> Column:
+    end = lambda i: F.coalesce(F.try_element_at(marks, i + 2)["at"], F.length(text))
+    pairs = F.transform(marks, lambda m, i: F.struct(m["label"].alias("label"), _value(text, m["end"], end(i)).alias("value")))
+    first = lambda p, x: F.coalesce(F.try_element_at(F.filter(p, lambda y: (y["label"] == x) & (y["value"] != "")), F.lit(1))["value"], F.lit(""))
+    return F.when(F.size(marks) >= 4, _of(marks[0]["at"], _let(pairs, lambda p: F.array(*(first(p, x) for x in "ABCD")))))
+
+
+def _window(text: Column, marks: Column) -> Column:
+    """Of several runs, the one with the most filled values; then the more text and the later it begins; the first of equals."""
+    filled = lambda o: F.aggregate(o, F.lit(0), lambda s, v: s + F.when(v != "", FILLED).otherwise(0) + F.length(v))
+    scored = F.transform(_starts(marks, "ABCD"), lambda i: _let(F.array(*_between(text, marks, i, 4)), lambda o: F.struct((filled(o) + marks[i]["at"]).alias("score"), (-i).alias("first"), marks[i]["at"].alias("at"), o.alias("o"))))
+    return _let(F.array_max(scored), lambda b: F.when(b.isNotNull(), _of(b["at"], b["o"])))
+
+
+def _first_four(text: Column, marks: Column) -> Column:
+    end = lambda i: F.coalesce(F.try_element_at(marks, F.lit(i + 2))["at"], F.length(text))
+    return F.when(F.size(marks) >= 4, _of(marks[0]["at"], F.array(*(_value(text, marks[i]["end"], end(i)) for i in range(4)))))
+
+
+def _usable_first(found: Column) -> Column:
+    return F.try_element_at(F.filter(found, lambda r: r.isNotNull() & F.forall(r["options"], meaningful)), F.lit(1))
+
+
+def _three(text: Column, marks: Column) -> Column:
+    """(a), (b) and (c), and after them a D of its own."""
+
+    def of(i: Column) -> Column:
+        after = marks[i + 2]["end"]
+        tail = _cut(text, after, F.length(text))
+        c, d = (option_value(F.regexp_extract(tail, TERMINAL_D, g)) for g in (1, 2))
+        a, b = (_value(text, marks[i + j]["end"], marks[i + j + 1]["at"]) for j in range(2))
+        return F.when(F.rlike(tail, F.lit(TERMINAL_D)), _of(marks[i]["at"], F.array(a, b, c, d)))
+
+    return _usable_first(F.transform(_starts(marks, "ABC"), of))
+
+
+def _implicit(text: Column, marks: Column) -> Column:
+    """The first option has no label of its own: it stands between the question's last : or ? and (b)."""
+
+    def of(i: Column) -> Column:
+        before = F.left(text, marks[i]["at"])
+        cut = F.length(F.regexp_extract(before, r"(?s)^(.*[:?])", 1))
+        return F.when(cut > 0, _of(cut, F.array(_value(text, cut, marks[i]["at"]), *_between(text, marks, i, 3))))
+
+    return _usable_first(F.transform(_starts(marks, "BCD"), of))
+
+
+def _ordered(text: Column) -> Column:
+    stem, *found = (F.regexp_extract(text, ORDERED, i) for i in range(1, 6))
+    return F.when(F.rlike(text, F.lit(ORDERED)), _of(F.length(stem), F.array(*map(option_value, found))))
+
+
+READ = {"labels": _labels, "window": _window, "first": _first_four, "three": _three, "implicit": _implicit}
+
+
+def stage(text: Column, name: str, pattern: str, how: str, usable: bool) -> Column:
+    """struct<stem, options, source>, or null where the stage does not fit."""
+    found = _ordered(text) if how == "ordered" else _let(markers(text, pattern), lambda m: READ[how](text, m))
+
+    def result(r: Column) -> Column:
+        ok = r.isNotNull() & F.forall(r["options"], meaningful) if usable else r.isNotNull()
+        return F.when(ok, F.struct(question_text(F.left(text, r["cut"])).alias("stem"), r["options"].alias("options"), F.lit(name).alias("source")))
+
+    return _let(found, result)
+
+
+def _of_lines(lines: Column, stem: Column, name: str) -> Column:
+    """Options that are lines of their own; of a label the last line counts."""
+    own = F.filter(lines, lambda x: F.rlike(x, F.lit(OPTION_LINE)))
+    last = lambda o, k: F.coalesce(F.try_element_at(F.filter(o, lambda x: F.upper(F.regexp_extract(x, OPTION_LINE, 1)) == k), F.lit(-1)), F.lit(""))
+    values = _let(own, lambda o: F.array(*(option_value(F.regexp_extract(last(o, k), OPTION_LINE, 2)) for k in "ABCD")))
+    return F.when(F.size(own) >= 4, _let(values, lambda v: F.when(F.forall(v, meaningful), F.struct(question_text(stem).alias("stem"), v.alias("options"), F.lit(name).alias("source")))))
+
+
+def line_stages(text: Column) -> list[Column]:
+    """Options after a line that asks to choose, as lines or anywhere; then options as lines of their own."""
+    lines = F.split(text, "\n", -1)
+    asks = F.array_position(F.transform(lines, lambda x: F.rlike(x, F.lit(f"(?i){CHOOSER}"))), True).cast("int")
+    after = F.when(asks > 0, F.slice(lines, asks + 1, F.size(lines))).otherwise(F.array().cast("array<string>"))
+    chooser = _of_lines(after, F.array_join(F.slice(lines, F.lit(1), F.greatest(asks, F.lit(0))), " "), "lower_option_lines")
+    head = F.regexp_extract(text, f"(?is)^(.*?(?:{CHOOSER}))", 1)
+    anywhere = _let(_cut(text, F.length(head), F.length(text)), lambda t: _let(_labels_of(t), lambda r: F.when((asks > 0) & r.isNotNull() & F.forall(r["options"], meaningful), F.struct(question_text(head).alias("stem"), r["options"].alias("options"), F.lit("chooser_lower_markers").alias("source")))))
+    first = F.array_position(F.transform(lines, lambda x: F.rlike(x, F.lit(OPTION_LINE))), True).cast("int")
+    inline = _of_lines(lines, F.array_join(F.slice(lines, F.lit(1), F.greatest(first - 1, F.lit(0))), " "), "inline_lower_option_lines")
+    return [chooser, anywhere, inline]
+
+
+def _labels_of(text: Column) -> Column:
+    return _let(markers(text, LOWER), lambda m: _labels(text, m))
 
 
 def table_options(tables: Column) -> Column:
@@ -107,20 +201,16 @@ def table_options(tables: Column) -> Column:
 
 def parse_options(text: Column, tables: Column | None = None) -> Column:
     """struct<stem, options (four, '' where unresolved), source>; source is 'fallback' if no stage fits."""
-    stages = chooser_stages(text)
-    if tables is not None:
-        found = table_options(tables)
-        stages.insert(0, F.when(found.isNotNull(), F.struct(question_text(text).alias("stem"), found.alias("options"), F.lit("table").alias("source"))))
-    for s in STAGES:
-        if s[0] == "packed_upper_labels":
-            stages.append(_by_pattern(text, "implicit_a_lower_bcd", IMPLICIT_A))
-        if s[0] == "compact_upper_numeric_labels":
-            stages.append(_by_pattern(text, "ordered_upper_labels", ORDERED))
-        stages.append(stage(text, *s))
-    # The chooser stages are not tried again after the lettered ones: on the same text they cannot fit then.
-    fallback = F.struct(question_text(text).alias("stem"), F.array(*[F.lit("")] * 4).alias("options"), F.lit("fallback").alias("source"))
-    found = F.coalesce(*stages, fallback)
-    return with_defaults(found)
+
+    def cascade(t: Column) -> Column:
+        stages = [*line_stages(t), *(stage(t, *x) for x in STAGES)]
+        if tables is not None:
+            stages.insert(0, _let(table_options(tables), lambda found: F.when(found.isNotNull(), F.struct(question_text(t).alias("stem"), found.alias("options"), F.lit("table").alias("source")))))
+        # The chooser stage is not tried again after the lettered ones: on the same text it cannot fit then.
+        fallback = F.struct(question_text(t).alias("stem"), F.array(*[F.lit("")] * 4).alias("options"), F.lit("fallback").alias("source"))
+        return F.coalesce(*stages, fallback)
+
+    return _let(_let(text, cascade), with_defaults)
 
 
 # The options of questions that print none, and how such questions are told.

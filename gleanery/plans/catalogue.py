@@ -527,6 +527,39 @@ def k_cascade(spark, d):
     return r.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"), options.status(F.col("r.options"), F.col("text")).alias("status"))
 
 
+# By the remainder of a part's key: stem, the four values, the stage, and the text, of "name" and "size" in SQL and columns.
+_FORMS = (
+    ("Sort", "{n}|cc|dd|ee. (5) ff", "numbered_paren_options", "Sort (1) {n} (2) cc (3) dd (4) ee. (5) ff"),
+    ("Match (1) pp (2) qq (3) rr (4) ss Choose", "{n}|qr|rs|sp", "numbered_paren_options", "Match (1) pp (2) qq (3) rr (4) ss (NEET 2019 and before) Choose (1) {n} (2) qr (3) rs (4) sp"),
+    ("Which", "{n}|two|three|four", "compact_lower_markers", "Which a) {n} b) two c) three D) four"),
+    ("Which", "{n}|two|three|four", "sequential_lower_markers", "Which (a {n} (b two (c three (d four"),
+    ("Which", "{n}|two|three|four", "loose_lower_sequence", "Which (a) {n} (a) two (b) three (c) four (b) five"),
+    ("Which", "{n}|two|three|four {s}", "three_lower_plus_terminal_upper", "Which (a) {n} (b) two (c) three D. four {s}"),
+    ("Which is it", "{n}|two|three|four", "implicit_a_lower_bcd", "Which is it: {n} (b) two (c) three (d) four"),
+    ("Is it ?", "DNA]|RNA]|ATP]|ADP {n}", "packed_upper_labels", "Is it ?ADNA]BRNA]CATP]DADP {n}"),
+    ("Which value?", "1{s}|34|56|78", "ordered_upper_labels", "Which value? A1{s} B34 C56 D78"),
+    ("Which value", "1{s}|34|56|78", "compact_upper_numeric_labels", "Which value A1{s} B34 C56 D78"),
+    ("Ratio {s}", "/{n}|/y|/z|/w", "compact_upper_tight_labels", "Ratio {s} A/{n} B/y C/z D/w"),
+    ("Pick", "{n}|two|three|", "upper_markers", "Pick A.{n} B.two C.three E.five"),
+    ("Say", "Cell {s}|Wall|Core|Skin", "compact_upper_markers", "Say A Cell {s} B Wall C Core D Skin"),
+)
+_FORM = "p_partkey % " + str(len(_FORMS))
+
+
+def _forms_sql(i: int) -> str:
+    return "CASE " + _FORM + " " + " ".join(f"WHEN {k} THEN replace(replace('{f[i]}', '{{n}}', p_name), '{{s}}', p_size::VARCHAR)" for k, f in enumerate(_FORMS)) + " END"
+
+
+@query(f"SELECT p_partkey, {_forms_sql(0)} AS stem, {_forms_sql(1)} AS options, {_forms_sql(2)} AS source FROM part")
+def k_option_forms(spark, d):
+    """A form for each of the cascade's rarer stages, and texts in which several runs of markers compete."""
+    shown = F.lit(None)
+    for k, f in enumerate(_FORMS):
+        shown = F.when(F.expr(_FORM) == k, F.replace(F.replace(F.lit(f[3]), F.lit("{n}"), F.col("p_name")), F.lit("{s}"), F.col("p_size").cast("string"))).otherwise(shown)
+    r = table(spark, d, "part").withColumn("r", options.parse_options(shown))
+    return r.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"))
+
+
 @query("""
 SELECT p_partkey, 'Which one is ' || p_name AS stem, p_brand || '|' || p_type || '|size ' || p_size || '|none' AS options,
        CASE WHEN p_size <= 10 THEN 'table' WHEN p_size <= 20 THEN 'lower_option_lines' WHEN p_size <= 30 THEN 'chooser_lower_markers' ELSE 'implicit_a_lower_bcd' END AS source FROM part""")

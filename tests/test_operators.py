@@ -79,7 +79,25 @@ CASES = [
     ("Which value A12 B34 C56 D78", "Which value", ["12", "34", "56", "78"], "compact_upper_numeric_labels"),
     ("Which? (a) one (b) two (c) three (d", "Which? (a) one (b) two (c) three (d", [""] * 4, "fallback"),
     ("What? (a one (b two (c three (d four", "What?", ["one", "two", "three", "four"], "sequential_lower_markers"),
-    ("What? (a one (c two (b three (d four", "What?", ["one", "two", "three", "four"], "loose_lower_sequence"),
+    ("What? (a one (c two (b three (d four", "What? (a one (c two (b three (d four", [""] * 4, "fallback"),
+    ("What? (a) one (a) two (b) three (c) four (b) five", "What?", ["one", "two", "three", "four"], "loose_lower_sequence"),
+    # The first value of a label that is not empty; capitals count as well.
+    ("What? (A) (a) one (B) two (c) three (D) four", "What?", ["one", "two", "three", "four"], "lower_markers"),
+    # Of two runs the later, if its values are filled and as long; the last value runs to the end of the text.
+    ("Match (1) pp (2) qq (3) rr (4) ss (NEET 2019) Choose (1) pq (2) qr (3) rs (4) sp", "Match (1) pp (2) qq (3) rr (4) ss Choose", ["pq", "qr", "rs", "sp"], "numbered_paren_options"),
+    ("Match (1) alpha (2) beta (3) gamma (4) theta iota (1) p", "Match", ["alpha", "beta", "gamma", "theta iota (1) p"], "numbered_paren_options"),
+    ("Match (1) x (2) y (3) z (4) w (5) v", "Match", ["x", "y", "z", "w (5) v"], "numbered_paren_options"),
+    ("Is it ?ADNA]BRNA]CATP]DADP", "Is it ?", ["DNA]", "RNA]", "ATP]", "ADP"], "packed_upper_labels"),
+    ("Pick oneATwo xBThree yCFour zDFive", "Pick one", ["Two x", "Three y", "Four z", "Five"], "packed_upper_labels"),
+    ("Say ATwo BThree CFour DFive", "Say", ["Two", "Three", "Four", "Five"], "compact_upper_tight_labels"),
+    ("Which is it: one (b) two (c) three (d) four", "Which is it", ["one", "two", "three", "four"], "implicit_a_lower_bcd"),
+    ("Ratio of A-1 B-2 C-3 D-4", "Ratio of", ["1", "2", "3", "4"], "mixed_option_markers"),
+    ("Ratio A/x B/y C/z D/w", "Ratio", ["/x", "/y", "/z", "/w"], "compact_upper_tight_labels"),
+    ("Pick A.one B.two C.three E.five", "Pick", ["one", "two", "three", ""], "upper_markers"),
+    ("Say A Cell B Wall C Core D Skin", "Say", ["Cell", "Wall", "Core", "Skin"], "compact_upper_markers"),
+    ("Which? (a) one (b) two (D) x (c) three D: four (d", "Which?", ["one", "two", "three D: four (d", "x"], "lower_markers"),
+    ("Which?\n(a) one\n(b) two\n(c) three\nmore of it\n(d) four\n(a) uno", "Which?", ["uno", "two", "three", "four"], "inline_lower_option_lines"),
+    ("Ask\nChoose the correct answer from the options given below:\n(a) i\n(b) ii\n(c) iii\n(d) iv", "Ask", ["i", "ii", "iii", "iv"], "lower_option_lines"),
     ("Assertion (A): it floats. Reason (R): it is light", "Assertion (A): it floats. Reason (R): it is light", list(options.STATEMENT_OPTIONS), "fallback"),
     ("Statement I: x\nStatement II: y", "Statement I: x Statement II: y", list(options.STATEMENT_OPTIONS), "fallback"),
     ("No options here", "No options here", [""] * 4, "fallback"),
