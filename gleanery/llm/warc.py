@@ -46,6 +46,8 @@ HEADERS = {"record_type": "warc-type", "record_id": "warc-record-id", "target_ur
 #: The same as they are written.
 WRITTEN = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "date": "WARC-Date", "content_type": "Content-Type", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To"}
 DATE = "2024-01-01T00:00:00Z"
+#: What the standard calls a revisit of the same payload.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes of a file that one task reads; of a file that one task writes.
 SPLIT_BYTES, FILE_BYTES = 64 << 20, 512 << 20
 #: Bytes taken from a file at once while headers are looked for.
@@ -95,8 +97,8 @@ class Stretch(InputPartition):
 class _Cursor:
     """Reads a file from front to back; what is skipped is not read."""
 
-    def __init__(self, file, at: int) -> None:
-        self.file, self.at, self.held = file, at, b""
+    def __init__(self, file, at: int, size: int | None = None) -> None:
+        self.file, self.at, self.size, self.held = file, at, size, b""
         file.seek(at)
 
     def more(self) -> bool:
@@ -114,8 +116,11 @@ class _Cursor:
         return self.take(i + len(mark))
 
     def take(self, n: int) -> bytes:
+        """The next n bytes; an archive that ends before them is damaged."""
         if n > len(self.held):
             self.held += self.file.read(n - len(self.held))
+        if n > len(self.held):
+            raise ValueError(f"archive ends {n - len(self.held)} bytes early, in the record at {self.at}")
         out, self.held = self.held[:n], self.held[n:]
         self.at += len(out)
         return out
@@ -126,6 +131,9 @@ class _Cursor:
         else:
             self.file.seek(self.at + n)
             self.held = b""
+            # A plain file can be sought past its end; in a compressed one the place stays at the end.
+            if self.at + n > (self.file.tell() if self.size is None else self.size):
+                raise ValueError(f"archive ends early, in the record at {self.at}")
         self.at += n
 
 
@@ -165,7 +173,8 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition: Stretch | None) -> Iterator[pa.RecordBatch]:
         """Headers first; the payload of a record that the filters drop, or of a query
-        that does not ask for payloads, is passed over. None: there are no files."""
+        that does not ask for payloads, is passed over. None: there are no files. A file that ends within
+        a record, or a payload that is not as long as it says, is an error."""
         if partition is None:
             return
         fs, _ = _file_system(self.path)
@@ -174,7 +183,8 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         size = 0
         with fs.open_input_file(partition.path) as file:
-            c = _Cursor(gzip.GzipFile(fileobj=file) if partition.end == ENDLESS else file, partition.start)
+            packed = partition.end == ENDLESS
+            c = _Cursor(gzip.GzipFile(fileobj=file) if packed else file, partition.start, None if packed else file.size())
             if partition.start and not self._first(c, partition):
                 return
             while c.at < partition.end:
@@ -182,7 +192,7 @@ class WarcReader(DataSourceReader):
                     break
                 head = c.until(b"\r\n\r\n")
                 if head is None:
-                    break
+                    raise ValueError(f"archive ends in the headers at {c.at} of {partition.path}")
                 if not head.startswith(b"WARC/"):
                     raise ValueError(f"no WARC record at {c.at - len(head)} of {partition.path}")
                 headers = {}
@@ -197,7 +207,8 @@ class WarcReader(DataSourceReader):
                 row = {n: headers.get(HEADERS[n]) for n in names if n in HEADERS}
                 if "payload" in names:
                     row["payload"] = c.take(length)
-                    c.skip(4)
+                    if c.take(4) != b"\r\n\r\n":
+                        raise ValueError(f"the record before {c.at} of {partition.path} is longer than it says")
                     size += length
                 else:
                     c.skip(length + 4)
@@ -215,7 +226,7 @@ class WarcReader(DataSourceReader):
     def _first(self, c: _Cursor, partition: Stretch) -> bool:
         """Moves to the first record that begins in the stretch. Payloads may hold what
         looks like a record, so the search starts from the file's beginning, over headers only."""
-        c.__init__(c.file, 0)
+        c.__init__(c.file, 0, c.size)
         while c.at < partition.start:
             head = c.until(b"\r\n\r\n")
             if head is None:
@@ -308,7 +319,7 @@ def archive_rows(pages: DataFrame, least: int = 0) -> DataFrame:
     Of the records with equal payloads of `least` bytes or more, that of the least page_id
     (and of the least url, where pages share an id; null ids and urls come last) is the
     response and holds the payload; the others are revisits of it, with its record id in
-    WARC-Refers-To and without a payload, whose length and digest they keep in headers. Rows
+    WARC-Refers-To, the profile of that kind, and without a payload, whose length and digest they keep in headers. Rows
     that are equal in all of page_id, url and payload are each what one of them is. A record's
     id is made of page_id and digest, a revisit's of its url too. Null html is an empty
     payload; payloads are taken whole. Empty table: no records. Other columns are not read.
@@ -329,7 +340,7 @@ def archive_rows(pages: DataFrame, least: int = 0) -> DataFrame:
         F.when(is_first, F.col("n_bytes")).otherwise(0).cast("long").alias("content_length"),
         F.concat(F.lit("sha1:"), F.col("digest")).alias("payload_digest"),
         F.when(~is_first, name(F.col("first.page_id"))).alias("refers_to"),
-        F.create_map(F.lit("X-Payload-Bytes"), F.col("n_bytes").cast("string")).alias("headers"),
+        F.when(is_first, F.create_map(F.lit("X-Payload-Bytes"), F.col("n_bytes").cast("string"))).otherwise(F.create_map(F.lit("X-Payload-Bytes"), F.col("n_bytes").cast("string"), F.lit("WARC-Profile"), F.lit(PROFILE))).alias("headers"),
         F.when(is_first, F.col("html").cast("binary")).alias("payload"),
     )
 

@@ -1,6 +1,8 @@
 import base64
+import gzip
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanery.llm import warc as m
@@ -111,7 +113,7 @@ def test_pushed_filters_skip_payloads(tmp_path):
 
     with open(tmp_path / "a.warc", "rb") as f:
         counted = Counting(f)
-        c = m._Cursor(counted, 0)
+        c = m._Cursor(counted, 0, (tmp_path / "a.warc").stat().st_size)
         head = c.until(b"\r\n\r\n")
         c.skip(len(big) + 4)
         assert c.until(b"\r\n\r\n") and head and counted.n <= 2 * m.READ_BYTES
@@ -122,3 +124,38 @@ def test_least_bytes_and_empty_table(spark, tmp_path):
     kinds = {number(r.record_id): r.record_type for r in m.archive_rows(pages(spark, rows), least=5).collect()}
     assert kinds == {1: "response", 2: "response", 3: "response", 4: "revisit"}
     assert m.op4(spark, save(pages(spark, []), tmp_path, "pages")).count() == 0
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_damaged_archives_are_errors(tmp_path, packed):
+    """What is cut off, or is longer than it says, does not pass as whole, with payloads or without."""
+    records = [m.record({"WARC-Type": "response", "WARC-Record-ID": f"<urn:page:{i}:x>"}, b"y" * 1000) for i in range(3)]
+    made = b"".join(gzip.compress(r) if packed else r for r in records)
+    whole = b"".join(records)
+    places = {"payload": len(whole) - 400, "end": len(whole) - 2, "headers": len(whole) - 1030, "version": 2 * len(records[0]) + 3}
+    file = tmp_path / f"a.warc{'.gz' if packed else ''}"
+    columns = ("record_id,payload", "record_id")
+
+    def read(names):
+        reader = m.WarcReader(str(file), m.StructType([m.SCHEMA[c] for c in names.split(",")]), 1 << 20)
+        return sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+
+    file.write_bytes(made)
+    assert [read(c) for c in columns] == [3, 3]
+    for n in places.values():
+        file.write_bytes(gzip.compress(whole[:n]) if packed else whole[:n])
+        for c in columns:
+            with pytest.raises(ValueError, match="archive ends"):
+                read(c)
+    longer = whole.replace(b"Content-Length: 1000", b"Content-Length: 0900")
+    file.write_bytes(gzip.compress(longer) if packed else longer)
+    for c in columns:
+        with pytest.raises(ValueError):
+            read(c)
+
+
+def test_revisits_tell_their_profile(spark, tmp_path):
+    m.register(spark)
+    m.archive_rows(pages(spark, [(1, "a", "same"), (2, "b", "same")])).write.format("warc").mode("append").save(str(tmp_path))
+    got = {r.record_type: r.headers for r in spark.read.format("warc").load(str(tmp_path)).collect()}
+    assert got["revisit"]["warc-profile"] == m.PROFILE and "warc-profile" not in got["response"]
