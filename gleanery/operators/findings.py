@@ -33,6 +33,16 @@ def anomaly_rollup(questions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return t.groupBy(*keys).agg(F.count("*").alias("question_count"), F.count_if(F.size("types") > 0).alias("anomaly_count"), has("all_options_empty").alias("all_empty_option_count"), has("partial_options").alias("partial_option_count"), has("image_backed_option_gap").alias("image_backed_gap_count"))
 
 
+def anomaly_levels(questions: DataFrame, *keys: str) -> DataFrame:
+    """The same by all keys, by each shorter list of them, and over the corpus, from one reading: level is the
+    number of keys that count; the others are null there."""
+    t = questions.withColumn("types", anomaly_types())
+    has = lambda k: F.count_if(F.array_contains("types", k))
+    levels = t.groupingSets([[F.col(k) for k in keys[:n]] for n in range(len(keys), -1, -1)], *keys)
+    counted = levels.agg(F.grouping_id(*keys).alias("unset"), F.count("*").alias("question_count"), F.count_if(F.size("types") > 0).alias("anomaly_count"), has("all_options_empty").alias("all_empty_option_count"), has("partial_options").alias("partial_option_count"), has("image_backed_option_gap").alias("image_backed_gap_count"))
+    return counted.withColumn("level", (F.lit(len(keys)) - F.bit_count("unset")).cast("int")).drop("unset")
+
+
 def explanation_findings(pairs: DataFrame) -> DataFrame:
     """pairs (key columns, source_explanation, json_explanation) as one row a finding, with its
     category and, for a mismatch, the similarity."""

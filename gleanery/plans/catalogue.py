@@ -324,6 +324,12 @@ def f_corpus_totals(spark, d):
     return findings.anomaly_rollup(records(spark, d), [])
 
 
+@query(f"WITH {RECORDS_SQL}, {ANOMALY_SQL} SELECT class, chapter, (2 - (GROUPING(class) + GROUPING(chapter)))::INTEGER AS level, {_ROLLUP} GROUP BY GROUPING SETS ((class, chapter), (class), ())")
+def f_anomaly_levels(spark, d):
+    """Chapters, classes and the corpus at once."""
+    return findings.anomaly_levels(records(spark, d), "class", "chapter")
+
+
 @query("""
 SELECT user_id, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'view') AS view, count(*) FILTER (event_type = 'purchase') AS purchase,
        count(*) FILTER (event_type = 'signup') AS signup, count(*) FILTER (event_type IN ('click', 'view', 'purchase', 'signup')) AS total FROM events GROUP BY 1""")
@@ -973,5 +979,92 @@ def p_report_chapters(spark, d):
     return audit_of(spark, d).option_anomaly_chapters().select("class_code", "slug", "question_count", "anomaly_count", "all_empty_option_count", "partial_option_count", "image_backed_gap_count")
 
 
+# The dashboard's records, from the audit's stages
+
+
+def question_summaries_of(a: Audit) -> DataFrame:
+    """The questions of the chapter files, as the dashboard shows them."""
+    return dashboard.question_summaries(a.questions.drop("class").join(a.who.select("page_id", F.col("class_code").alias("class"), "slug"), "page_id"))
+
+
+def papers_of(spark, d) -> DataFrame:
+    """A paper for each nation, and one without a chapter for each region."""
+    code = lambda c: F.concat(F.lit("B"), F.col(c).cast("string")).alias("class")
+    nations = table(spark, d, "nation").select(code("n_regionkey"), F.replace("n_name", F.lit("_"), F.lit("-")).alias("title"), F.array(F.concat(F.lit("/t/"), "n_name")).alias("pyq_links"))
+    regions = table(spark, d, "region").select(code("r_regionkey"), F.concat(F.lit("Region "), "r_name").alias("title"), F.array(F.lit("/t/r")).alias("pyq_links"))
+    return nations.unionByName(regions)
+
+
+def dashboard_of(spark, d) -> DataFrame:
+    """The chapters' records."""
+    a, place = audit_of(spark, d), F.xxhash64("class_code", "slug")
+    audited = a.chapter_summary().withColumn("place", place).drop("page_id", "chapter", "subject", "json_path", "source_url")
+    residuals = a.residual_text_report().withColumn("place", place)
+    return dashboard.chapter_records(question_summaries_of(a), papers_of(spark, d), audited, residuals, a.question_alignment(), a.schema_failures())
+
+
+_DASHBOARD_SQL = CHAPTERS_SQL + """,
+own AS (
+  SELECT class_code AS class, slug, covered, count(*) AS n, count(*) FILTER (covered AND id % 50 = 7) AS failures, list_reverse(list_sort(list(DISTINCT y))) AS years, any_value(lower(replace(chapter, '_', '-'))) AS s FROM placed GROUP BY ALL),
+linked AS (SELECT 'B' || n_regionkey AS class, lower(replace(n_name, '_', '-')) AS slug, false AS region FROM nation UNION ALL SELECT 'B' || r_regionkey, 'region-' || lower(regexp_replace(replace(r_name, ' ', '-'), '[^a-zA-Z0-9-]', '', 'g')), true FROM region)"""
+
+
+@query(f"""WITH {_DASHBOARD_SQL}
+SELECT l.class || ':' || l.slug AS key, coalesce(n, 0) AS "questionCount", coalesce(years, []) AS years, years[-1] || '-' || years[1] AS "yearRange", n IS NOT NULL AS scraped, coalesce(covered, false) AS audited, coalesce(failures, 0) AS "schemaFailureCount", 0 AS weak
+FROM linked l LEFT JOIN own o ON o.class = l.class AND o.slug = l.slug""")
+def r_chapters(spark, d):
+    """A record a chapter or paper: counts, years, what was scraped and audited, and the faults found."""
+    return dashboard_of(spark, d).select("key", "questionCount", "years", "yearRange", "scraped", "audited", "schemaFailureCount", F.size("weakMatches").alias("weak"))
+
+
+@query(f"""WITH {_DASHBOARD_SQL}
+SELECT count(*) AS "chapterCount", count(*) AS "pyqChapterCount", count(n) AS "scrapedChapterCount", count(*) FILTER (covered) AS "auditedChapterCount", coalesce(sum(n), 0)::BIGINT AS "totalQuestions", coalesce(sum(failures), 0)::BIGINT AS "schemaFailureCount",
+       count(*) FILTER (covered) || '/' || count(*) AS "auditedShare", count(n) || '/' || count(*) AS "scrapedShare" FROM linked l LEFT JOIN own o ON o.class = l.class AND o.slug = l.slug""")
+def r_overview(spark, d):
+    names = ("chapterCount", "pyqChapterCount", "scrapedChapterCount", "auditedChapterCount", "totalQuestions", "schemaFailureCount", "auditedShare", "scrapedShare")
+    return dashboard.overview(dashboard_of(spark, d)).select(*names)
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT class_code AS class, slug, 'Q' || id AS id, upper(CASE answer WHEN 'F' THEN 'a' WHEN 'O' THEN 'b' ELSE '' END) AS answer, id % 10 <> 0 AS "hasExplanation" FROM placed WHERE y = '2009' AND contains('q' || id || ' which parts has order ' || id, '12')""")
+def r_question_search(spark, d):
+    """Questions of one year whose number has these digits."""
+    summaries = question_summaries_of(audit_of(spark, d))
+    found = dashboard.matching(summaries.withColumn("searchText", F.concat_ws(" ", F.lower("id"), F.lower("text"))), "12", "2009")
+    return found.select("class", "slug", "id", "answer", "hasExplanation")
+
+
+@query("SELECT 'B' || r_regionkey AS class, 'Region ' || r_name AS title FROM region")
+def e_paper_orphans(spark, d):
+    """Papers whose chapter has no questions."""
+    return dashboard.orphans(papers_of(spark, d), question_summaries_of(audit_of(spark, d))).select("class", "title")
+
+
+@query(f"""WITH {CHAPTERS_SQL}
+SELECT slug, count(*) AS "expectedQuestionCount", count(*) AS "scrapedQuestionCount", 0.0::DOUBLE AS "schemaGapRisk", 0 AS "weakMatchCount" FROM placed WHERE covered GROUP BY slug""")
+def r_audit_summary(spark, d):
+    """Audited chapters under the names that readers see."""
+    return dashboard.audit_summary(dashboard_of(spark, d)).select("slug", "expectedQuestionCount", "scrapedQuestionCount", "schemaGapRisk", "weakMatchCount")
+
+
+# Titles
+
+
+@query(f"""
+SELECT page_id, {clean_sql(decoded_sql("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} AS page_title, '' AS canonical_url, '' AS course_title, '' AS hidden_title FROM pages""")
+def a_page_metadata(spark, d):
+    return L.page_metadata(table(spark, d, "pages"))
+
+
+@query("""
+SELECT n_nationkey, n_nationkey % 3 <> 2 AS paper, n_nationkey % 3 = 0 AND CASE WHEN n_nationkey % 2 = 1 THEN n_nationkey % 5 = 0 WHEN n_nationkey % 4 = 0 THEN n_nationkey % 5 <> 0 ELSE true END AS same FROM nation""")
+def c_paper_titles(spark, d):
+    """Whether a page's title is a paper's of this exam, and whether it is the chapter's own: by its topic, and by its course if it tells one."""
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    title = F.concat(F.when(k % 3 == 2, "CBSE Previous Year Questions, ").otherwise(""), F.when(k % 3 == 1, "neet previous year questions").otherwise("NEET Previous Year Questions"), F.lit(" (2014-24): "), F.when(k % 3 == 1, "Else").otherwise(name), F.lit(" and Diseases"))
+    rows = table(spark, d, "nation").select(k, title.alias("page_title"), F.concat(name, F.lit(" & disease")).alias("title"), F.when(k % 2 == 1, "Physics Class 11").when(k % 4 == 0, "Chemistry  Class 12").otherwise("").alias("course_title"), F.when(k % 5 == 0, "P11").otherwise("C12").alias("class_code"))
+    return rows.select(k, titles.is_paper(F.col("page_title")).alias("paper"), (L.verified(rows) & titles.is_paper(F.col("page_title"))).alias("same"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["q_chapter_summary"](spark, sf_dir)
