@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,6 +22,7 @@ from gleanery.sources import links as L
 from gleanery.sources import markup as M
 from gleanery.sources import pages as P
 from gleanery.sources.reports import list_cell
+from gleanery.sources.stored import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1066,5 +1068,15 @@ def c_paper_titles(spark, d):
     return rows.select(k, titles.is_paper(F.col("page_title")).alias("paper"), (L.verified(rows) & titles.is_paper(F.col("page_title"))).alias("same"))
 
 
+@query(f"WITH {RECORDS_SQL} SELECT 'C' || class AS class, chapter, count(*) AS questions, min(id) AS first FROM records JOIN region ON class = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE') GROUP BY ALL")
+def c_chosen_folders(spark, d):
+    """Questions written by class, of which the classes that a table names are read."""
+    path = f"{shared_folder(spark)}/questions-{uuid.uuid4().hex}"
+    code = lambda c: F.concat(F.lit("C"), F.col(c).cast("string")).alias("class")
+    P.write_chapters(records(spark, d).select(F.lit("biology").alias("subject"), code("class"), "id", "chapter"), path)
+    asked = table(spark, d, "region").where("r_name IN ('ASIA', 'EUROPE')").select(F.lit("biology").alias("subject"), code("r_regionkey"))
+    return P.chosen_chapters(spark, path, "id long, chapter string", asked).groupBy("class", "chapter").agg(F.count("*").alias("questions"), F.min("id").alias("first"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["q_chapter_summary"](spark, sf_dir)

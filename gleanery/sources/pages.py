@@ -12,6 +12,9 @@ QUESTION = (
     "images array<string>, tables array<array<array<string>>>, optionExtraction struct<source:string,status:string,imageTokenCount:int,nonEmptyOptionCount:int>, parserWarnings array<string>"
 )
 
+#: Rows of a table of subjects and classes up to which it is broadcast.
+SMALL_CONFIG = 10_000
+
 
 def html_files(spark: SparkSession, path: str) -> DataFrame:
     """page_id (the path), url, html: one row per file."""
@@ -36,6 +39,20 @@ def chapter_roots(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("json_path"), stem_of_path(F.col("_metadata.file_path")).alias("slug"), "root")
 
 
+def write_chapters(questions: DataFrame, path: str) -> None:
+    """Questions (subject, class and more) as JSON lines in a folder a subject and class."""
+    questions.repartition("subject", "class").write.mode("overwrite").partitionBy("subject", "class").json(path)
+
+
+def chosen_chapters(spark: SparkSession, path: str, schema: str, config: DataFrame) -> DataFrame:
+    """Questions of `write_chapters` whose subject and class `config` has. Only those folders are read: what is
+    broadcast of a filtered config prunes them while the query runs. A config of more than SMALL_CONFIG rows is joined without."""
+    rows = spark.read.schema(f"{schema}, subject string, class string").json(path)
+    asked = config.select("subject", "class").distinct()
+    small = asked.limit(SMALL_CONFIG + 1).count() <= SMALL_CONFIG
+    return rows.join(F.broadcast(asked) if small else asked, ["subject", "class"])
+
+
 def json_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON arrays or lines at path; if nothing is there, a table without rows. Broken files fail."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
