@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 #: Unicode white space, spelled out: Java's \s is ASCII only.
 SPACE = r"[\t-\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 ZERO_WIDTH = r"[\x{200B}-\x{200D}\x{FEFF}]"
+# How answers, numbers and the interface's words stand in lines.
 ANSWER = r"(?i)(?:Correct\s*Answer|Ans(?:wer)?)[.:\s-]+[\s(]*([a-d])"
 QUESTION_NUMBER = r"(?i)^Q(\d+)[:\s.]"
 UI_LEAK = r"(?i)Type\s*Your\s*Answer|View\s*Answer|Solution:?"
@@ -78,11 +79,13 @@ def stated_explanation(lines: Column) -> Column:
 
 
 def told_explanation(value: Column) -> Column:
-    """An explanation that may be a JSON object {correct, others}, or text."""
-    asked = F.get_json_object(value, "$.correct"), F.get_json_object(value, "$.others")
-    of_object = F.coalesce(F.nullif(asked[0], F.lit("")), F.nullif(asked[1], F.lit("")), value)
-    text = without_zero_width(F.when(F.trim(value).startswith('{"correct":'), of_object).otherwise(value))
-    return collapsed(text)
+    """An explanation that may be an object {correct, others}, in JSON or with single quotes, or text; what looks
+    like such an object and is none stays as it is."""
+    text = F.trim(without_zero_width(value))
+    v = F.coalesce(F.try_parse_json(text), F.try_parse_json(F.replace(text, F.lit("'"), F.lit('"'))))
+    said = [F.nullif(F.try_variant_get(v, f"$.{k}", "string"), F.lit("")) for k in ("correct", "others")]
+    begins = text.startswith('{"correct":') | text.startswith("{'correct':")
+    return collapsed(F.when(begins, F.coalesce(*said, text)).otherwise(text))
 
 
 # What the pages' interface leaves in the text of questions and options.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import collapsed, first_number
 
+# The grammar of the pages' lines.
 YEAR = r"\b(20\d{2})\b"
 START = r"(?i)^Q\d+[:\s.]"
 ANSWER_LINE = r"(?i)Ans[:\s-]+"
@@ -67,6 +68,7 @@ def picture_suffixes(pictures: DataFrame, key: Sequence[str]) -> DataFrame:
     return own.withColumn("suffix", suffix).drop("__n")
 
 
+# The headings above what is said of the other options, and what leads an answer.
 OTHER_OPTIONS = r"(?i)^(other options|explanation of incorrect options|incorrect options|why other options)"
 ANSWER_LEAD = r"(?i)^Ans[:\s-]+[\s(]*[a-d][)\s.]*"
 

@@ -22,7 +22,8 @@ from gleanery.sources import links as L
 from gleanery.sources import markup as M
 from gleanery.sources import pages as P
 from gleanery.sources.reports import list_cell
-from gleanery.sources.stored import shared_folder
+from gleanery.sources.stored import broadcast_if_small, shared_folder
+from gleanery.streaming import rollups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -470,10 +471,13 @@ def j_answer_parts(spark, d):
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_size <= 25 THEN p_brand ELSE p_type END AS told FROM part""")
+SELECT p_partkey, CASE WHEN p_size <= 25 THEN p_brand WHEN p_size <= 30 THEN p_name WHEN p_size <= 35 THEN '{''correct'': ''it''s ' || p_name || '''}' ELSE p_type END AS told FROM part""")
 def j_explanation_union(spark, d):
-    value = F.when(F.col("p_size") <= 25, F.to_json(F.struct(F.col("p_brand").alias("correct"), F.lit("x").alias("others")))).otherwise(F.col("p_type"))
-    return table(spark, d, "part").select("p_partkey", T.told_explanation(value).alias("told"))
+    """Objects in JSON, objects in single quotes, what such quotes break, and text."""
+    s, name = F.col("p_size"), F.col("p_name")
+    of_json = F.when(s <= 25, F.to_json(F.struct(F.col("p_brand").alias("correct"), F.lit("x").alias("others"))))
+    quoted = F.when((s > 25) & (s <= 30), F.concat(F.lit("{'correct': '', 'others': ' "), name, F.lit("'}"))).when((s > 30) & (s <= 35), F.concat(F.lit("{'correct': 'it's "), name, F.lit("'}")))
+    return table(spark, d, "part").select("p_partkey", T.told_explanation(F.coalesce(of_json, quoted, "p_type")).alias("told"))
 
 
 @query("""
@@ -694,7 +698,7 @@ def l_chapter_errors(spark, d):
     good = json.dumps({"id": "Q1", "text": "t", "options": dict.fromkeys("ABCD", "x"), "answer": "a", "explanation": "e", "year": "2020", "chapter": "c", "class": "B11", "images": [], "tables": []})
     files = F.when(k % 3 == 0, '{"a": 1}').when(k % 3 == 1, f"[{good}, 5]").otherwise(f"[{good}]")
     rows = table(spark, d, "part").select(k.alias("slug")).distinct().withColumn("p_size", F.col("slug")).select("slug", F.parse_json(files).alias("root"))
-    return schema_rules.chapter_errors(rows).where("type <> 'missing_explanation_key'").select("slug", "index", "type")
+    return schema_rules.chapter_errors(rows).select("slug", "index", "type")
 
 
 @query("""
@@ -877,8 +881,9 @@ def e_contained_short(spark, d):
 
 @query("SELECT p_partkey, r_name FROM part JOIN region ON contains(upper(p_type), left(r_name, 1))")
 def e_theta_contains(spark, d):
-    """A join on containment: the small side goes to every task."""
-    return table(spark, d, "part").join(F.broadcast(table(spark, d, "region")), F.contains(F.upper("p_type"), F.left("r_name", F.lit(1)))).select("p_partkey", "r_name")
+    """A join on containment of one letter, which is in nearly all texts; a small side goes to every task.
+    `e_contained_items` is the join of two large sides."""
+    return table(spark, d, "part").join(broadcast_if_small(table(spark, d, "region"), 1_000), F.contains(F.upper("p_type"), F.left("r_name", F.lit(1)))).select("p_partkey", "r_name")
 
 
 @query("SELECT c_custkey AS slug, c_name AS chapter, 0::BIGINT AS question_count, 'no_source_mapping_for_chapter' AS coverage_reason FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
@@ -1078,5 +1083,24 @@ def c_chosen_folders(spark, d):
     return P.chosen_chapters(spark, path, "id long, chapter string", asked).groupBy("class", "chapter").agg(F.count("*").alias("questions"), F.min("id").alias("first"))
 
 
+@query("""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS begins, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL""")
+def s_event_rollups(spark, d):
+    """The events as a stream, rolled up by the hour to its end."""
+    out, state = (f"{shared_folder(spark)}/{n}-{uuid.uuid4().hex}" for n in ("rollups", "rollup-state"))
+    stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    rollups.keep_rollups(stream, out, state, ["event_type"], "value").awaitTermination()
+    return rollups.latest(spark, out, ["event_type"]).select(F.date_format("begins", "yyyy-MM-dd HH").alias("begins"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+@query("""
+SELECT c_custkey, o_orderkey, (n - 1)::INTEGER AS place FROM (SELECT c_custkey, o_orderkey, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) AS n FROM customer JOIN orders ON c_custkey = o_custkey)""")
+def d_chapter_papers(spark, d):
+    """A row for each paper (order) in the list of its chapter (customer), in the list's order; chapters without papers have none."""
+    papers = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("papers"))
+    chapters = table(spark, d, "customer").join(papers, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return chapters.select("c_custkey", F.posexplode("papers").alias("place", "o_orderkey"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["q_chapter_summary"](spark, sf_dir)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import collapsed, stem_of_path
+from gleanery.sources.stored import broadcast_if_small
 
 QUESTION = (
     "id string, text string, options map<string,string>, answer string, explanation string, year string, chapter string, class string, "
@@ -48,9 +49,7 @@ def chosen_chapters(spark: SparkSession, path: str, schema: str, config: DataFra
     """Questions of `write_chapters` whose subject and class `config` has. Only those folders are read: what is
     broadcast of a filtered config prunes them while the query runs. A config of more than SMALL_CONFIG rows is joined without."""
     rows = spark.read.schema(f"{schema}, subject string, class string").json(path)
-    asked = config.select("subject", "class").distinct()
-    small = asked.limit(SMALL_CONFIG + 1).count() <= SMALL_CONFIG
-    return rows.join(F.broadcast(asked) if small else asked, ["subject", "class"])
+    return rows.join(broadcast_if_small(config.select("subject", "class").distinct(), SMALL_CONFIG), ["subject", "class"])
 
 
 def json_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,3 +26,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """df, marked for broadcast if it has no more than so many (narrow) rows; else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -56,6 +56,8 @@ def test_cleaning(spark):
     assert values(spark, T.answer_letter, "Ans: (B) x", "Correct Answer - c", "none") == ["b", "c", ""]
     assert values(spark, S.unescaped, "&eacute;&amp &#65;", None) == [html.unescape("&eacute;&amp &#65;"), ""]
     assert values(spark, T.told_explanation, '{"correct": "x", "others": "y"}', '{"correct": "", "others": "y"}', "plain  text") == ["x", "y", "plain text"]
+    quoted = ("{'correct': 'x  y', 'others': 'z'}", "{'correct': '', 'others': 'z'}", "{'correct': 'it's', 'others': ''}", "{'correct': '', 'others': ''}", "{'correct': ", '{"correct": "it\'s"}', None)
+    assert values(spark, T.told_explanation, *quoted) == ["x y", "z", quoted[2], quoted[3], "{'correct':", "it's", ""]
 
 
 def test_ratio_is_the_librarys(spark):
