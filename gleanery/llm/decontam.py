@@ -25,7 +25,8 @@ THRESHOLD = 0.5
 #: Share of the item's word shingles that the matched passages must have; or of the question's
 #: and of the answer's that the document must have, where the two stand apart.
 OVERLAP = 0.5
-ITEM_SHINGLE = 5
+#: Of an item as a whole three words: half of them outlive the change of every sixth word.
+ITEM_SHINGLE = 3
 QUESTION_SHINGLE, ANSWER_SHINGLE = 5, 2
 K1, B = 1.2, 0.75
 #: Postings of a block, each with its own greatest impact.
@@ -294,7 +295,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that contain a test item; all columns, whatever they are named."""
+    """docs without the rows that contain a test item; all columns, whatever they are named.
+
+    Null and empty texts contain nothing and stay; so do rows without an id. Repeated rows stay or go together. Texts are
+    searched whole. No items, or no documents: docs as they are.
+    """
     return docs.where(F.size(matches(benchmark)) == 0)
 
 

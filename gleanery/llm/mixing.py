@@ -77,8 +77,12 @@ def mix(docs: DataFrame, keep: Sequence[str] = ("doc_id",), weights: Sequence[in
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The mix as rows of docs' own columns: each document as often as it is taken,
-    a fractional repetition of half a document or more as a whole one."""
+    """The mix as rows of docs' own columns, whatever they are named: each document as often as it is taken,
+    a fractional repetition of half a document or more as a whole one.
+
+    Null and empty texts stay once. Null ids and sources as in mix(). Repeated rows are documents of their own. Texts
+    are taken whole. Empty table: empty result.
+    """
     rows = mix(docs, keep=docs.columns, **options)
     times = F.col("copies") + F.when((F.col("extra") > 0) & (F.col("extra") * 2 >= F.col("size")), 1).otherwise(0)
     # Documents without words take part in no source's words; they stay once.

@@ -309,7 +309,12 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from a score of 0.5 on, that one included), a row
-    a row of documents. A null id is not held out."""
+    a row of documents. A null id is not held out, and learned from no label.
+
+    Null, empty and very long texts, repeated rows and texts without any known word are scored as by `score`, each
+    row by its whole text. No labels, or no documents of a class: all get one score below 0.5. Empty table: no
+    rows. Other columns are not read.
+    """
     docs = table(spark, sf_dir, "documents")
     model = learn(docs, table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), score(model).alias("score"))

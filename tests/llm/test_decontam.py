@@ -89,3 +89,22 @@ def test_parts_of_an_item_are_leaks(spark):
         rows += [(10 * i + n, f"{words(2000 + i, 70)} {' '.join(k)} {words(3000 + i, 80)}") for n, k in enumerate(kept)]
     got = {(r.doc_id, r.item_id) for r in m.contaminated(docs(spark, rows), bench).collect()}
     assert got == {(10 * i + n, i) for i, _ in items for n in range(4)}
+
+
+def test_recall_of_edited_items():
+    """Items with words changed, in other text: all with one word in ten, nine of ten with three in twenty."""
+    r = random.Random(7)
+    items = [(i, f"{words(5000 + i, 30)}. {words(7000 + i, 6)}.") for i in range(150)]
+    index = m.Index(items)
+
+    def edited(text, share):
+        w = text.split()
+        for i in r.sample(range(len(w)), round(share * len(w))):
+            w[i] = words(r.randrange(10**6), 1)
+        return f"{words(r.randrange(10**6), 50)} {' '.join(w)} {words(r.randrange(10**6), 50)}"
+
+    for share, least in ((0.05, 1.0), (0.1, 1.0), (0.15, 0.9)):
+        got = index.matches([edited(t, share) for _, t in items])
+        assert sum(any(x[0] == i for x in g) for (i, _), g in zip(items, got)) >= least * len(items)
+        assert not any(x[0] != i for (i, _), g in zip(items, got) for x in g)
+    assert index.matches([words(10**6 + i, 300) for i in range(100)]) == [[]] * 100
