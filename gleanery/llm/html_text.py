@@ -52,7 +52,7 @@ ADJACENT, SIBLING = 1.2, 0.6
 @dataclass
 class Block:
     text: str
-    path: tuple[tuple[int, str, str], ...]  # (number, tag, names) of the elements around it, outermost first
+    path: tuple[tuple[int, str, str], ...]  # (number, tag, names and \0 and id) of the elements around it, outermost first
     linked: int
     cost: float = 0.0  # positive: rather content; in nats
     around: list[int] = field(default_factory=list)
@@ -102,11 +102,11 @@ class _Blocks(HTMLParser):
         if tag in VOID:
             return
         a = dict(attrs)
-        names = " ".join(filter(None, (a.get("class"), a.get("id"), a.get("role")))).lower()
+        names = " ".join(filter(None, (a.get("class"), a.get("role")))).lower()
         if "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or re.search(r"display\s*:\s*none", a.get("style") or "", re.I):
             names += " hidden"
         self.n += 1
-        self.open.append((self.n, tag, names))
+        self.open.append((self.n, tag, f"{names}\0{(a.get('id') or '').lower()}"))
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
 
@@ -146,13 +146,24 @@ def features(b: Block) -> list[float]:
     return [1.0, b.linked / len(b.text), min(2.0 / 0.6, math.log(words)), float(b.text[-1] in ".!?…。！？"), float(tag in ("p", "blockquote", "pre") or tag in HEADINGS), float(tag in ("li", "td", "th", "dt", "dd"))]
 
 
+def names_at(b: Block, at: int) -> str:
+    """The names of an element around a block as they count. Those of the page's own elements do not. Within an
+    article, a block's own id is what links lead to, and a heading's own names are its looks: neither says
+    that the article's text is none."""
+    _, tag, names = b.path[at]
+    if tag in ("html", "body"):
+        return ""
+    if at == len(b.path) - 1 and any(t == "article" for _, t, _ in b.path[:at]):
+        return "" if tag in HEADINGS else names.partition("\0")[0]
+    return names
+
+
 def terminal_cost(b: Block, weights: Sequence[float] = PRIOR) -> float:
     """How much rather content than boilerplate a block is, as log odds: the nearest
     element that says so, and the classifier."""
     cost, seen, told = 0.0, False, False
-    for n, (_, tag, names) in enumerate(reversed(b.path)):
-        if tag in ("html", "body"):
-            names = ""
+    for n, (_, tag, _) in enumerate(reversed(b.path)):
+        names = names_at(b, len(b.path) - 1 - n)
         if tag == "header" and b.path[-1][1] in HEADINGS and any(t == "article" for _, t, _ in b.path[: len(b.path) - 1 - n]):
             continue  # an article's title stands in its header
         boiler = max(BOILER_TAGS.get(tag, 0), NAME_COST if names and BOILER_NAMES.search(names) else 0)
@@ -175,7 +186,7 @@ def structural_label(b: Block) -> bool | None:
     """For a page that has an article: whether a block is in it and in nothing that is boilerplate (true), or in a
     landmark or named as boilerplate outside it (false); None if neither."""
     tags = [t for _, t, _ in b.path]
-    odd = any(t in BOILER_TAGS and BOILER_TAGS[t] for t in tags) or any(n and BOILER_NAMES.search(n) for _, t, n in b.path if t not in ("html", "body"))
+    odd = any(t in BOILER_TAGS and BOILER_TAGS[t] for t in tags) or any(BOILER_NAMES.search(names_at(b, at)) for at in range(len(b.path)))
     return not odd if "article" in tags else False if odd else None
 
 

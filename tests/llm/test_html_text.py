@@ -1,3 +1,4 @@
+import re
 import random
 from itertools import product
 
@@ -80,6 +81,16 @@ def test_title_in_the_articles_header():
     assert m.main_text(page(body)) == f"Title of it\n{words(1, 30)}."
 
 
+def test_names_on_an_articles_own_blocks():
+    """Ids are what links lead to, and a heading's names its looks; what a container or a paragraph's class says still counts."""
+    text = "A full paragraph of the article, with words enough to be read as such, and an end."
+    kept = ['<h1 class="entry-header">The title</h1>', '<h2 id="related-work">Related work</h2>', '<h2 id="social">Social aspects</h2>', '<h3 id="copyright" class="widget-title">Copyright law</h3>', f'<p id="share">{text}</p>', f"<p>{text} Again.</p>"]
+    gone = [f'<p class="advert">{text}</p>', f'<div id="comments"><h3>Comments</h3><p>{text}</p></div>', f"<aside><h2>Aside</h2><p>{text}</p></aside>"]
+    plain = lambda x: re.sub("<[^>]+>", "", x)
+    html = f"<body><nav><a href=/>Home</a></nav><article>{''.join(kept)}{''.join(gone)}</article><div id=footer><h2>Footer</h2></div></body>"
+    assert m.main_text(html) == "\n".join(map(plain, kept))
+
+
 def test_deep_nesting():
     text = words(3, 40) + "."
     assert m.main_text(page("<div>" * 400 + f"<p>{text}</p>" + "</div>" * 400)) == text
