@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +55,12 @@ def chosen_chapters(spark: SparkSession, path: str, schema: str, config: DataFra
 
 def json_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON arrays or lines at path; if nothing is there, a table without rows. Broken files fail."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
-    if not found or not len(found):
+    try:
+        return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def last_wins(*maps: DataFrame, key: list[str]) -> DataFrame:
