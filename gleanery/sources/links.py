@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.functions.similarity import unescaped
 from gleanery.functions.text import attribute, collapsed, normal, slug
 from gleanery.functions.titles import chapter_title, class_code, is_chapter, is_paper, subject, topic_key
 from gleanery.sources.markup import node_anchors, parsed
@@ -152,12 +153,13 @@ def document_of(pages: DataFrame) -> DataFrame:
 def page_metadata(pages: DataFrame) -> DataFrame:
     """page_id, page_title, canonical_url, course_title (of the breadcrumb), hidden_title."""
     tag = lambda pattern: F.regexp_extract("html", pattern, 0)
+    told = lambda inner: collapsed(unescaped(F.regexp_replace(inner, "<[^>]+>", " ")))
     crumb = F.regexp_extract("html", r"""(?is)<[^>]*class=["']?[^"'>]*(?:brdcrmb_cntnr|breadcrumbspn)[^>]*>.*?(<a\b[^>]*href=["']?[^"'\s>]*/courses/[^>]*>.*?)</a>""", 1)
     return pages.select(
         "page_id",
-        shown(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title>", 1)).alias("page_title"),
+        told(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title>", 1)).alias("page_title"),
         attribute(tag(r"""(?is)<link\b[^>]*rel=["']?canonical[^>]*>"""), "href").alias("canonical_url"),
-        shown(crumb).alias("course_title"),
+        told(crumb).alias("course_title"),
         collapsed(attribute(tag(r"""(?is)<input\b[^>]*id=["']?leftSideCourseTitleHidden[^>]*>"""), "value")).alias("hidden_title"),
     )
 
