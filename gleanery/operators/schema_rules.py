@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.sources.stored import numbered, spread
+
 # The record's contract, by key.
 REQUIRED = {"id": ("str",), "text": ("str",), "options": ("dict",), "answer": ("str",), "explanation": ("str", "dict"), "year": ("str",), "chapter": ("str",), "class": ("str",), "images": ("list",), "tables": ("list",)}
 EXTRACTION = {"source": "str", "status": "str", "imageTokenCount": "int", "nonEmptyOptionCount": "int"}
@@ -12,64 +14,66 @@ LABELS = "ABCD"
 ERROR = "struct<field:string,type:string,expected:string,actual:string>"
 
 
-def type_name(v: Column) -> Column:
-    """The type's name as Python has it."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(s.startswith("OBJECT"), "dict").when(s.startswith("ARRAY"), "list").when(s == "STRING", "str").when(s == "BIGINT", "int")
-        .when(s == "BOOLEAN", "bool").when(s == "VOID", "NoneType").otherwise("float")
-    )
+TYPE_NAMES = {"OBJECT": "dict", "ARRAY": "list", "STRING": "str", "BIGINT": "int", "BOOLEAN": "bool", "VOID": "NoneType"}
 
 
-def _at(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "variant")
+def type_name(v: Column) -> Column:
+    """The type's name as Python has it."""
+    names = F.create_map(*(F.lit(x) for pair in TYPE_NAMES.items() for x in pair))
+    return F.coalesce(names[F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)], F.lit("float"))
 
 
-def _keys(v: Column, path: str = "$") -> Column:
-    return F.coalesce(F.json_object_keys(F.to_json(_at(v, path))), F.array().cast("array<string>"))
+def _types(v: Column, path: str = "$") -> Column:
+    """map<string,string> of an object's keys and their types; empty for what is no object."""
+    fields = F.try_variant_get(v, path, "map<string,variant>")
+    return F.coalesce(F.transform_values(fields, lambda _, x: type_name(x)), F.create_map().cast("map<string,string>"))
 
 
 def _error(field: str, kind: str, expected: str | None = None, actual: Column | None = None) -> Column:
     return F.struct(F.lit(field).alias("field"), F.lit(kind).alias("type"), F.lit(expected).cast("string").alias("expected"), (F.lit(None).cast("string") if actual is None else actual).alias("actual"))
 
 
+INNER = {"options": (LABELS, "missing_option", "wrong_option_type"), "explanation": (("correct", "others"), "missing_explanation_key", "wrong_explanation_type")}
+
+
 def question_errors(v: Column) -> Column:
-    """array of errors of one record (a variant), in the order of the rules."""
-    keys = F.json_object_keys(F.to_json(v))
-    has = lambda k: F.array_contains(keys, k)
-    kind = lambda k: type_name(_at(v, f"$.{k}"))
+    """array of errors of one record (a variant), in the order of the rules. The record is taken apart once; the
+    rules see the types of its fields."""
+    of_list = F.exists(F.try_variant_get(v, "$.parserWarnings", "array<variant>"), lambda x: type_name(x) != "str")
+    own = F.struct(type_name(v).alias("self"), _types(v).alias("top"), *(_types(v, f"$.{k}").alias(k) for k in (*INNER, "optionExtraction")), of_list.alias("of_list"))
+    return F.transform(F.array(own), _broken_rules)[0]
+
+
+def _broken_rules(own: Column) -> Column:
+    top = own["top"]
+    kind = lambda k: top[k]
+    has = lambda k: kind(k).isNotNull()
     out = []
     for k, types in REQUIRED.items():
-        out.append(F.when(~has(k), _error(k, "missing_key")))
-        out.append(F.when(has(k) & ~kind(k).isin(*types), _error(k, "wrong_type", "|".join(types), kind(k))))
+        out.append(F.when(~has(k), _error(k, "missing_key")).when(~kind(k).isin(*types), _error(k, "wrong_type", "|".join(types), kind(k))))
     # A record without options or explanation lacks each of their keys, too.
-    inner = {"options": (LABELS, "missing_option", "wrong_option_type"), "explanation": (("correct", "others"), "missing_explanation_key", "wrong_explanation_type")}
-    for k, (labels, missing, wrong) in inner.items():
+    for k, (labels, missing, wrong) in INNER.items():
         is_dict = ~has(k) | (kind(k) == "dict")
         for x in labels:
-            there = has(k) & F.array_contains(_keys(v, f"$.{k}"), x)
-            out.append(F.when(is_dict & ~there, _error(f"{k}.{x}", missing)))
-            out.append(F.when(is_dict & there & (type_name(_at(v, f"$.{k}.{x}")) != "str"), _error(f"{k}.{x}", wrong, "str", type_name(_at(v, f"$.{k}.{x}")))))
+            there = own[k][x]
+            out.append(F.when(is_dict & there.isNull(), _error(f"{k}.{x}", missing)).when(is_dict & (there != "str"), _error(f"{k}.{x}", wrong, "str", there)))
         if k == "explanation":
             out.append(F.when(has(k) & ~kind(k).isin("str", "dict"), _error(k, wrong, "str|dict", kind(k))))
     oe = "optionExtraction"
     out.append(F.when(has(oe) & (kind(oe) != "dict"), _error(oe, "wrong_type", "dict", kind(oe))))
     for x, t in EXTRACTION.items():
-        there = F.array_contains(_keys(v, f"$.{oe}"), x)
-        actual = type_name(_at(v, f"$.{oe}.{x}"))
-        out.append(F.when(has(oe) & (kind(oe) == "dict") & ~there, _error(f"{oe}.{x}", "missing_key")))
-        out.append(F.when(has(oe) & there & ~actual.isin(t, *(["bool"] if t == "int" else [])), _error(f"{oe}.{x}", "wrong_type", t, actual)))
+        actual = own[oe][x]
+        out.append(F.when((kind(oe) == "dict") & actual.isNull(), _error(f"{oe}.{x}", "missing_key")).when(~actual.isin(t, *(["bool"] if t == "int" else [])), _error(f"{oe}.{x}", "wrong_type", t, actual)))
     pw = "parserWarnings"
     out.append(F.when(has(pw) & (kind(pw) != "list"), _error(pw, "wrong_type", "list", kind(pw))))
-    of_list = F.exists(F.try_variant_get(v, f"$.{pw}", "array<variant>"), lambda x: type_name(x) != "str")
-    out.append(F.when(has(pw) & (kind(pw) == "list") & of_list, _error(pw, "wrong_warning_type", "str")))
-    return F.when(type_name(v) != "dict", F.array(_error("question", "question_not_object", "dict", type_name(v)))).otherwise(F.filter(F.array(*out), lambda e: e.isNotNull()))
+    out.append(F.when((kind(pw) == "list") & own["of_list"], _error(pw, "wrong_warning_type", "str")))
+    return F.when(own["self"] != "dict", F.array(_error("question", "question_not_object", "dict", own["self"]))).otherwise(F.filter(F.array(*out), lambda e: e.isNotNull()))
 
 
 def record_errors(records: DataFrame, json: str = "json") -> DataFrame:
     """The records' columns and n_error (in order), field, type, expected, actual: a row an error."""
-    rows = records.withColumn("errors", question_errors(F.try_parse_json(json)))
-    return rows.select(*records.columns, F.posexplode("errors").alias("n_error", "e")).select(*records.columns, "n_error", "e.*")
+    rows = numbered(spread(records), question_errors(F.try_parse_json(json)), "n_error", "e")
+    return rows.select(*records.columns, "n_error", "e.*")
 
 
 def chapter_errors(chapters: DataFrame, root: str = "root") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows dealt over all tasks, for work that is heavy by the row on files of few row groups."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def numbered(df: DataFrame, array: Column, pos: str, item: str) -> DataFrame:
+    """df's columns, pos (from 0) and item of each element of the array. Spark derives a filter on an inner
+    explode's array and reckons it twice more for it; on an outer one it does not."""
+    return df.select("*", F.posexplode_outer(array).alias(pos, item)).where(F.col(pos).isNotNull())
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """df, marked for broadcast if it has no more than so many (narrow) rows; else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
