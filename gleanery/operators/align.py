@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.similarity import ratio
 from gleanery.functions.text import normal
-from gleanery.sources.stored import stored
+from gleanery.sources.stored import broadcast_if_small, stored
 
 MATCHED = 0.55
+#: Rows of keys of mixed chapters up to which they are broadcast.
+SMALL = 100_000
 
 
 def _choice(rows: list[tuple], used: set[int]) -> tuple:
@@ -89,10 +91,11 @@ def pairs_of(blocks: DataFrame, questions: DataFrame, key: str) -> tuple[DataFra
     counts = q.where("q_number IS NOT NULL").groupBy("of", "q_number", "q_year_key").agg(F.count("*").alias("n"))
     nth = F.row_number().over(Window.partitionBy("k", "number", "year_key").orderBy("source_index"))
     met = b.withColumn("nth", nth).join(counts, F.col("k").eqNullSafe(F.col("of")) & (F.col("number") == F.col("q_number")) & (F.col("year_key") == F.col("q_year_key")), "left")
-    needy = met.drop("of", "q_number", "q_year_key").withColumn("needy", F.coalesce(F.col("nth") > F.col("n"), F.lit(True))).drop("nth", "n")
-    mixed = F.max("needy").over(Window.partitionBy("k"))
+    needy = stored(met.drop("of", "q_number", "q_year_key").withColumn("needy", F.coalesce(F.col("nth") > F.col("n"), F.lit(True))).drop("nth", "n"), "needy")
+    keys = broadcast_if_small(needy.where("needy").select(F.col("k").alias("of")).distinct().withColumn("mixed", F.lit(True)), SMALL)
+    needy = needy.join(keys, F.col("k").eqNullSafe(F.col("of")), "left").drop("of").withColumn("mixed", F.col("mixed").isNotNull())
     unit = F.when(F.col("mixed"), F.struct("k", F.lit(None).cast("int").alias("number"), F.lit(None).cast("string").alias("year_key"))).otherwise(F.struct("k", "number", "year_key"))
-    made = needy.withColumn("mixed", mixed).withColumn("unit", F.to_json(unit)).withColumn("id", F.to_json(F.struct("k", "source_index")))
+    made = needy.withColumn("unit", F.to_json(unit)).withColumn("id", F.to_json(F.struct("k", "source_index")))
     return stored(made, "blocks"), q
 
 

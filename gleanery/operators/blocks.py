@@ -18,24 +18,34 @@ INTERFACE_LINE = r"(?i)^(Type\s*Your\s*Answer|View\s*Answer|Solution:?)$"
 
 
 def is_year_header(line: Column) -> Column:
-    return (F.length(line) < 20) & F.rlike(line, F.lit(YEAR))
+    """A short line with a year; an option that is one belongs to its question."""
+    return (F.length(line) < 20) & F.rlike(line, F.lit(YEAR)) & ~F.rlike(line, F.lit(OPTION_LINE))
 
 
-def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header: Column, value: Column, start: Column, initial: str = "") -> DataFrame:
+def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header: Column, value: Column, start: Column, initial: str = "", stretch: Column | None = None) -> DataFrame:
     """rows with `block` (0-based) and `carried`: the value of the last header at the block's
     start, or `initial`. Headers belong to no block and are never starts; rows before the
-    first start go."""
-    running = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first start go. stretch: ascends with the order; stretches of a key are run through apart then, each
+    beginning with the sums of those before it."""
     marked = rows.withColumn("__header", header).withColumn("__start", ~F.col("__header") & start)
-    filled = marked.withColumn("__value", F.last(F.when(F.col("__header"), value), ignorenulls=True).over(running)).withColumn("block", (F.sum(F.col("__start").cast("int")).over(running) - 1).cast("int"))
+    told, own = F.when(F.col("__header"), value), list(key)
+    if stretch is not None:
+        marked, own = marked.withColumn("__stretch", stretch), [*key, "__stretch"]
+    running = Window.partitionBy(*own).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = marked.withColumn("__value", F.last(told, ignorenulls=True).over(running)).withColumn("block", (F.sum(F.col("__start").cast("int")).over(running) - 1).cast("int"))
+    if stretch is not None:
+        each = marked.groupBy(*own).agg(F.count_if("__start").alias("__starts"), F.max_by(told, F.when(told.isNotNull(), F.struct(*order))).alias("__last"))
+        earlier = Window.partitionBy(*key).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+        sums = each.select(*own, F.coalesce(F.sum("__starts").over(earlier), F.lit(0)).alias("__starts"), F.last("__last", ignorenulls=True).over(earlier).alias("__last"))
+        filled = filled.join(sums, own).withColumn("block", (F.col("block") + F.col("__starts")).cast("int")).withColumn("__value", F.coalesce("__value", "__last")).drop("__stretch", "__starts", "__last")
     kept = filled.where("not __header and block >= 0")
     own = Window.partitionBy(*key, "block")
     return kept.withColumn("carried", F.coalesce(F.max(F.when(F.col("__start"), F.col("__value"))).over(own), F.lit(initial))).drop("__header", "__start", "__value")
 
 
-def blocks(lines: DataFrame, key: str = "page_id", initial: str = "") -> DataFrame:
-    """key, source_index, year, lines: the question blocks of pages given by their lines."""
-    rows = sessions(lines, [key], ["pos"], is_year_header(F.col("line")), F.regexp_extract("line", YEAR, 1), F.rlike("line", F.lit(START)), initial)
+def blocks(lines: DataFrame, key: str = "page_id", initial: str = "", stretch: Column | None = None) -> DataFrame:
+    """key, source_index, year, lines: the question blocks of pages given by their lines; stretch as in `sessions`."""
+    rows = sessions(lines, [key], ["pos"], is_year_header(F.col("line")), F.regexp_extract("line", YEAR, 1), F.rlike("line", F.lit(START)), initial, stretch)
     grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("ls"))
     return grouped.select(key, F.col("block").alias("source_index"), "year", F.transform("ls", lambda x: x["line"]).alias("lines"))
 
@@ -87,19 +97,23 @@ def rebuilt_explanation(body: Column, lines: Column) -> Column:
 
 def signals(of: DataFrame, pages: DataFrame, key: str = "page_id") -> DataFrame:
     """key and what its page leads one to expect: questions, answers, options, images, tables,
-    blocks left short."""
+    blocks left short. A page may come in rows with a `part` each."""
     has_answer = F.exists("lines", lambda x: F.rlike(x, F.lit(ANSWER_LINE)))
     options = F.size(F.filter("lines", lambda x: F.rlike(x, F.lit(OPTION_LINE))))
     counts = of.groupBy(key).agg(F.count("*").alias("q"), F.count_if(has_answer).alias("a"), F.sum(options).alias("o"), F.count_if(F.size("lines") < 3).alias("r"))
-    count = lambda mark: F.regexp_count("html", F.lit(mark))
+    marks = {"__images": F.regexp_count("html", F.lit("<img")), "__tables": F.regexp_count("html", F.lit("<table"))}
+    if "part" in pages.columns:
+        pages = pages.groupBy(key).agg(*(F.sum(c).alias(k) for k, c in marks.items()))
+    else:
+        pages = pages.withColumns(marks)
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return pages.join(counts, key, "left").select(
         key,
         zero(F.col("q")).alias("expected_question_count"),
         zero(F.col("a")).alias("expected_answer_markers"),
         zero(F.col("o")).alias("expected_option_markers"),
-        zero(count("<img")).alias("expected_images"),
-        zero(count("<table")).alias("expected_tables"),
+        zero(F.col("__images")).alias("expected_images"),
+        zero(F.col("__tables")).alias("expected_tables"),
         zero(F.col("r")).alias("residual_blocks"),
     )
 

@@ -80,8 +80,18 @@ def chapter_errors(chapters: DataFrame, root: str = "root") -> DataFrame:
     """The chapters' other columns and index, n_error, field, type, expected, actual: errors of
     chapter files given as variants. A root that is no list is one error, without an index."""
     keep = [c for c in chapters.columns if c != root]
-    items = F.try_variant_get(root, "$", "array<variant>")
-    rows = chapters.where(type_name(F.col(root)) == "list").select(*keep, F.posexplode(items).alias("index", "__v"))
-    errors = rows.select(*keep, "index", F.posexplode(question_errors(F.col("__v"))).alias("n_error", "e")).select(*keep, "index", "n_error", "e.*")
-    odd = chapters.where(type_name(F.col(root)) != "list").select(*keep, F.lit(None).cast("int").alias("index"), F.lit(0).alias("n_error"), _error("root", "root_not_list").alias("e")).select(*keep, "index", "n_error", "e.*")
-    return errors.unionByName(odd)
+    return records_errors(numbered(chapters, records_of(F.col(root)), "index", "r").select(*keep, "index", "r.*"))
+
+
+def records_of(root: Column) -> Column:
+    """array of struct<v: variant, whole: boolean>: a chapter file's records; a root that is no list is a whole one."""
+    items = F.transform(F.try_variant_get(root, "$", "array<variant>"), lambda x: F.struct(x.alias("v"), F.lit(False).alias("whole")))
+    return F.coalesce(items, F.array(F.struct(root.alias("v"), F.lit(True).alias("whole"))))
+
+
+def records_errors(records: DataFrame) -> DataFrame:
+    """As chapter_errors, of rows with index, v and whole."""
+    keep = [c for c in records.columns if c not in ("index", "v", "whole")]
+    odd = F.array(_error("root", "root_not_list"))
+    found = numbered(records, F.when(F.col("whole"), odd).otherwise(question_errors(F.col("v"))), "n_error", "e")
+    return found.select(*keep, F.when(~F.col("whole"), F.col("index")).alias("index"), "n_error", "e.*")

@@ -4,42 +4,61 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import collapsed, number_of, stated_explanation, told_explanation, truncated
 from gleanery.operators import align, findings, schema_rules, scoring
 from gleanery.operators.blocks import blocks, signals, with_keys
 from gleanery.operators.dashboard import total_order
-from gleanery.sources.pages import QUESTION, page_lines
+from gleanery.sources.pages import PART_BITS, QUESTION, page_lines
 from gleanery.sources.reports import write_csv, write_json
-from gleanery.sources.stored import stored
+from gleanery.sources.stored import broadcast_if_small, numbered, stored
 
 WHO = ("subject", "class_code", "chapter", "slug")
 NO_SOURCE = "no_source_mapping_for_chapter"
+#: Covered chapters up to which they are broadcast to their pages.
+SMALL = 100_000
 
 
 def targets_of(files: DataFrame, sources: DataFrame, classes: str = "", subjects: str = "") -> DataFrame:
     """Chapter files (subject, class_code, slug, json_path, root) with the source of their class and
     slug, if `sources` (class_code, slug, source_url, source_label) has one. classes and subjects: comma-separated lists,
-    empty ones ask for all."""
+    empty ones ask for all. A file may come in several rows with a `part` each, stretches of its list in order: no task
+    need hold a chapter. first_index is the place of a row's first record in the file, 0 in the chapter's leading row."""
     asked = lambda s: [x.strip().lower() for x in s.split(",") if x.strip()]
     for column, wanted in (("class_code", asked(classes)), ("subject", asked(subjects))):
         if wanted:
             files = files.where(F.lower(column).isin(wanted))
-    first = F.try_variant_get("root", "$[0].chapter", "string")
+    if "part" in files.columns:
+        files = stored(files, "audit-files")
+    first = F.nullif(collapsed(F.try_variant_get("root", "$[0].chapter", "string")), F.lit(""))
+    count = F.coalesce(F.size(F.try_variant_get("root", "$", "array<variant>")), F.lit(0))
     spelled = F.initcap(F.replace("slug", F.lit("-"), F.lit(" ")))
-    rows = files.withColumn("chapter", F.coalesce(F.nullif(collapsed(first), F.lit("")), spelled))
-    rows = rows.withColumn("question_count", F.coalesce(F.size(F.try_variant_get("root", "$", "array<variant>")), F.lit(0)))
+    if "part" in files.columns:
+        whole = Window.partitionBy("class_code", "slug")
+        earlier = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = files.select("class_code", "slug", "part", first.alias("first"), F.greatest(count, F.lit(0)).alias("n"))
+        sizes = sizes.select(
+            "class_code", "slug", "part", F.min_by("first", "part").over(whole).alias("chapter"), F.sum("n").over(whole).cast("int").alias("question_count"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("int").alias("first_index"), (F.col("part") == F.min("part").over(whole)).alias("leading")
+        )
+        rows = files.join(sizes, ["class_code", "slug", "part"]).drop("part").withColumn("chapter", F.coalesce("chapter", spelled))
+    else:
+        rows = files.withColumn("chapter", F.coalesce(first, spelled)).withColumn("question_count", count).withColumn("first_index", F.lit(0)).withColumn("leading", F.lit(True))
     found = sources.select("class_code", "slug", "source_url", "source_label")
     rows = rows.join(found, ["class_code", "slug"], "left").withColumn("covered", F.col("source_url").isNotNull())
     return rows.withColumn("coverage_reason", F.when(~F.col("covered"), F.lit(NO_SOURCE)))
 
 
+def _records(targets: DataFrame) -> DataFrame:
+    """page_id, index, v, whole: what the chapter files hold, of schema_rules.records_of."""
+    rows = numbered(targets.select("page_id", "first_index", "root"), schema_rules.records_of(F.col("root")), "n", "r")
+    return rows.select("page_id", (F.col("first_index") + F.col("n")).alias("index"), "r.*")
+
+
 def _questions(targets: DataFrame) -> DataFrame:
     """page_id, scraped_index and a question's columns, of every record that is an object."""
-    items = F.try_variant_get("root", "$", "array<variant>")
-    rows = targets.select("page_id", F.posexplode(items).alias("scraped_index", "v")).where(schema_rules.type_name(F.col("v")) == "dict")
+    rows = _records(targets).where(~F.col("whole") & (schema_rules.type_name(F.col("v")) == "dict")).withColumnRenamed("index", "scraped_index")
     # A field that is not of its type counts as absent; the schema report has it.
     record = F.from_json(F.to_json("v"), QUESTION)
     number = number_of(F.try_variant_get("v", "$.sourceQuestionNumber", "string"))
@@ -58,30 +77,36 @@ class Audit:
     """The stages of an audit and its reports; a stage that several reports read is stored once, when the
     first of them asks for it.
 
-    targets: of targets_of. pages: url, html; a source without a page counts as an empty one.
+    targets: of targets_of. pages: url, html, and part, where pages come in parts; a source without a page counts as an empty one.
     Chapters meet their page, blocks and questions by class and slug; each is aligned within itself,
-    and chapters spread over all tasks.
+    and chapters, in the parts they come in, spread over all tasks.
     """
 
     def __init__(self, targets: DataFrame, pages: DataFrame):
         self.targets = targets.withColumn("page_id", F.concat_ws(":", "class_code", "slug"))
-        self.pages = pages.select("url", "html")
+        self.pages = pages.select("url", "html", *(c for c in pages.columns if c == "part"))
 
     @cached_property
     def who(self) -> DataFrame:
-        return stored(self.targets.select("page_id", *WHO, "json_path", "source_url", "covered", "coverage_reason", "question_count"), "audit-chapters")
+        return stored(self.targets.where("leading").select("page_id", *WHO, "json_path", "source_url", "covered", "coverage_reason", "question_count"), "audit-chapters")
 
     @property
     def covered(self) -> DataFrame:
         return self.targets.where("covered")
 
-    @property
+    @cached_property
     def source(self) -> DataFrame:
-        return self.covered.select("page_id", F.col("source_url").alias("url")).join(self.pages, "url", "left").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
+        own = self.who.where("covered").select("page_id", F.col("source_url").alias("url"))
+        if "part" not in self.pages.columns:
+            return own.join(self.pages, "url", "left").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
+        there = self.pages.join(broadcast_if_small(own, SMALL), "url").select("page_id", "html", "part")
+        gone = own.join(self.pages.select("url"), "url", "left_anti").select("page_id", F.lit("").alias("html"), F.lit(0).alias("part"))
+        return stored(there.unionByName(gone), "audit-source")
 
     @cached_property
     def blocks(self) -> DataFrame:
-        return stored(with_keys(blocks(page_lines(self.source))), "audit-blocks")
+        stretch = F.shiftright("pos", PART_BITS) if "part" in self.pages.columns else None
+        return stored(with_keys(blocks(page_lines(self.source), stretch=stretch)), "audit-blocks")
 
     @cached_property
     def questions(self) -> DataFrame:
@@ -95,7 +120,7 @@ class Audit:
 
     @cached_property
     def errors(self) -> DataFrame:
-        return stored(schema_rules.chapter_errors(self.covered.select("page_id", "root")), "audit-errors")
+        return stored(schema_rules.records_errors(_records(self.covered)), "audit-errors")
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -181,9 +206,13 @@ def audit(targets: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
 
 def content(targets: DataFrame, pages: DataFrame) -> DataFrame:
     """page_id, content: a digest of all that a chapter's audit depends on."""
-    rows = targets.join(pages.select(F.col("url").alias("source_url"), "html"), "source_url", "left")
-    told = F.array(F.to_json("root"), *(F.col(c) for c in (*WHO, "json_path", "source_url", "coverage_reason", "html")))
-    return rows.select(F.concat_ws(":", "class_code", "slug").alias("page_id"), F.sha2(F.to_json(told), 256).alias("content"))
+    key = F.concat_ws(":", "class_code", "slug").alias("page_id")
+    part = F.col("part") if "part" in pages.columns else F.lit(0)
+    digests = lambda rows, by, at, told: rows.select(by, F.struct(at.alias("at"), F.sha2(F.to_json(told), 256).alias("d")).alias("x")).groupBy(by).agg(F.to_json(F.array_sort(F.collect_list("x"))).alias("x"))
+    files = digests(targets.withColumn("page_id", key), F.col("page_id"), F.col("first_index"), F.array(F.to_json("root"), *(F.col(c) for c in (*WHO, "json_path", "source_url", "coverage_reason"))))
+    html = digests(pages, F.col("url"), part, F.array("html")).select(F.col("url").alias("source_url"), F.col("x").alias("html"))
+    rows = files.join(targets.where("leading").select(key, "source_url"), "page_id").join(html, "source_url", "left")
+    return rows.select("page_id", F.sha2(F.to_json(F.array("x", "html")), 256).alias("content"))
 
 
 def refresh(targets: DataFrame, pages: DataFrame, folder: str, previous: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:

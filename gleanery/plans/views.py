@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleanery.sources.stored import stored
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -71,7 +73,7 @@ def audit_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """(chapter files, their sources, pages): a nation's orders as a chapter, ten years later. The page shows them
     by year, numbered within it; the file holds them by id. A nation in five has no source. Of ten
     orders one has no explanation in the file, one tells of the interface, one has none on the page; of fifty
-    one lacks a field."""
+    one lacks a field. Files and pages come in parts, of ids and of numbers."""
     own = Window.partitionBy("class", "chapter", "y").orderBy("id")
     r = records(spark, sf_dir).withColumn("y", (F.col("year").cast("int") + 10).cast("string")).withColumn("n", F.row_number().over(own))
     id_, tenth = F.col("id").cast("string"), F.col("id") % 10
@@ -86,14 +88,16 @@ def audit_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         F.concat(F.lit("Q"), id_).alias("id"), asked.alias("text"), options.alias("options"), answer.alias("answer"), said.alias("explanation"), F.col("y").alias("year"), F.col("chapter"),
         F.concat(F.lit("B"), F.col("class").cast("string")).alias("class"), none.alias("images"), F.when(F.col("id") % 50 != 7, F.array().cast("array<array<array<string>>>")).alias("tables"), F.col("n").cast("string").alias("sourceQuestionNumber"),
     )
-    made = r.select("class", "chapter", "id", "y", "n", F.to_json(question).alias("j"), block.alias("b"))
+    made = stored(r.select("class", "chapter", "id", "y", "n", F.to_json(question).alias("j"), block.alias("b")), "audit-orders")
     slug = F.lower(F.replace("chapter", F.lit("_"), F.lit("-")))
     joined = lambda c, *by: F.transform(F.array_sort(F.collect_list(F.struct(*by, c))), lambda x: x[c])
-    chapters = made.groupBy("class", "chapter").agg(F.concat(F.lit("["), F.array_join(joined("j", "id"), ","), F.lit("]")).alias("j"), F.array_join(joined("b", "y", "n"), "").alias("html"))
+    file_part, page_part = F.floor(F.col("id") / 20_000).alias("part"), (F.shiftleft(F.col("y").cast("long"), 24) + F.floor(F.col("n") / 1_000)).alias("part")
+    lists = made.groupBy("class", "chapter", file_part).agg(F.concat(F.lit("["), F.array_join(joined("j", "id"), ","), F.lit("]")).alias("j"))
+    pages = made.groupBy("class", "chapter", page_part).agg(F.array_join(joined("b", "n"), "").alias("html"))
     code, address = F.concat(F.lit("B"), F.col("class").cast("string")), F.concat(F.lit("https://site.test/t/"), slug)
-    files = chapters.select(F.lit("biology").alias("subject"), code.alias("class_code"), slug.alias("slug"), F.concat(F.lit("/"), slug, F.lit(".json")).alias("json_path"), F.parse_json("j").alias("root"))
-    covered = chapters.where(~F.col("chapter").rlike("[49]$"))
-    return files, covered.select(code.alias("class_code"), slug.alias("slug"), address.alias("source_url"), F.lit("paper").alias("source_label")), chapters.select(address.alias("url"), "html")
+    files = lists.select(F.lit("biology").alias("subject"), code.alias("class_code"), slug.alias("slug"), F.concat(F.lit("/"), slug, F.lit(".json")).alias("json_path"), F.parse_json("j").alias("root"), "part")
+    covered = made.select("class", "chapter").distinct().where(~F.col("chapter").rlike("[49]$"))
+    return files, covered.select(code.alias("class_code"), slug.alias("slug"), address.alias("source_url"), F.lit("paper").alias("source_label")), pages.select(address.alias("url"), "html", "part")
 
 
 CHAPTERS_SQL = RECORDS_SQL + """,

@@ -7,13 +7,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import collapsed, stem_of_path
-from gleanery.sources.stored import broadcast_if_small
+from gleanery.sources.stored import broadcast_if_small, numbered
 
 QUESTION = (
     "id string, text string, options map<string,string>, answer string, explanation string, year string, chapter string, class string, "
     "images array<string>, tables array<array<array<string>>>, optionExtraction struct<source:string,status:string,imageTokenCount:int,nonEmptyOptionCount:int>, parserWarnings array<string>"
 )
 
+#: A part of a page has fewer than 2 to this power lines.
+PART_BITS = 24
+
 #: Rows of a table of subjects and classes up to which it is broadcast.
 SMALL_CONFIG = 10_000
 
@@ -24,9 +27,13 @@ def html_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
-    """page_id, pos (0-based, of the lines kept), line: what stands between tags, if anything."""
+    """page_id, pos (0-based, of the lines kept), line: what stands between tags, if anything. A page may come in several
+    rows with a `part` each (from 0), cut between tags; pos is in order then, with gaps."""
     kept = F.filter(F.transform(F.split("html", "<[^>]+>"), collapsed), lambda x: x != "")
-    return pages.select("page_id", F.posexplode(kept).alias("pos", "line"))
+    if "part" not in pages.columns:
+        return numbered(pages.select("page_id", "html"), kept, "pos", "line").drop("html")
+    rows = numbered(pages.select("page_id", "part", "html"), kept, "n", "line")
+    return rows.select("page_id", (F.shiftleft(F.col("part").cast("long"), PART_BITS) + F.col("n")).alias("pos"), "line")
 
 
 def chapter_files(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,10 @@ import json
 from pyspark.sql import functions as F
 
 from gleanery.operators import schema_rules
+from gleanery.operators.blocks import blocks
+from gleanery.plans import audit
 from gleanery.sources import links
+from gleanery.sources.pages import page_lines
 
 
 def plan(df):
@@ -24,3 +27,28 @@ def test_records_are_taken_apart_once(spark):
 def test_titles_have_all_references_decoded(spark):
     page = spark.createDataFrame([(1, "<title>A&amp;&ampB &copy; &quotC&amp</title>")], "page_id int, html string")
     assert links.page_metadata(page).first().page_title == 'A&&B © "C&'
+
+
+def test_an_option_that_looks_like_a_year_heads_nothing(spark):
+    html = "<h2>2020</h2><p>Q1: when</p><p>(a) 2015</p><p>(b) 2016</p><p>Ans: (a)</p><p>Q2: who</p>"
+    rows = blocks(page_lines(spark.createDataFrame([(1, html)], "page_id int, html string"))).orderBy("source_index").collect()
+    assert [(r.year, r.lines) for r in rows] == [("2020", ["Q1: when", "(a) 2015", "(b) 2016", "Ans: (a)"]), ("2020", ["Q2: who"])]
+
+
+def test_chapters_in_parts_are_audited_as_whole_ones(spark):
+    ask = lambda n, **other: {"id": f"Q{n}", "text": f"what is {n}", "options": dict.fromkeys("ABCD", str(n)), "answer": "a", "explanation": "so", "year": "2020", "chapter": "The Cell", "class": "B11", "images": [], "sourceQuestionNumber": str(n)} | other
+    lists = [[ask(1), 5], [ask(2, tables=[]), ask(3)], [ask(4)]]
+    pieces = ["<h2>2020</h2><p>Q1: what is 1</p>", "<p>(a) 1</p><p>Q2: what is 2</p><img><p>Ans: (a) so</p>", "<p>tail</p>", "<h2>2021</h2><p>Q3: what is 3</p>"]
+
+    def reports(parts):
+        rows = list(enumerate(lists)) if parts else [(0, sum(lists, []))]
+        files = spark.createDataFrame([("biology", "B11", s, f"/{s}", n, json.dumps(x)) for s in ("cell", "gone") for n, x in rows], "subject string, class_code string, slug string, json_path string, part int, j string")
+        pages = spark.createDataFrame([("/cell", n, x) for n, x in (enumerate(pieces) if parts else [(0, "".join(pieces))])], "url string, part int, html string")
+        files = files.withColumn("root", F.parse_json("j")).drop("j")
+        sources = spark.createDataFrame([("B11", "cell", "/cell", "x"), ("B11", "gone", "/gone", "x")], "class_code string, slug string, source_url string, source_label string")
+        if not parts:
+            files, pages = files.drop("part"), pages.drop("part")
+        a = audit.Audit(audit.targets_of(files, sources), pages)
+        return {n: sorted(map(str, getattr(a, n)().collect())) for n in ("chapter_summary", "schema_failures", "question_alignment", "option_anomaly_chapters", "explanation_chapters")}
+
+    assert reports(True) == reports(False)
