@@ -101,7 +101,8 @@ def nodes(tags: DataFrame) -> DataFrame:
     sure = paired.where("close IS NOT NULL")
     end = tags.groupBy("page_id").agg((F.max("pos") + 1).alias("end"))
     around = held(paired.select("page_id", F.col("open").alias("pos"), "name", "token", "close"), sure.select("page_id", "open", "close"), innermost=True)
-    siblings = Window.partitionBy("page_id", "node").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+    # Those after it, run through backwards: a frame up to the last row would be summed anew for each row.
+    siblings = Window.partitionBy("page_id", "node").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
     stop = None
     for names, by in ENDED_BY.items():
         here = F.col("name").isin(*names.split())

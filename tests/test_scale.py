@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleanery.operators import schema_rules
 from gleanery.operators.blocks import blocks
 from gleanery.plans import audit
-from gleanery.sources import links
+from gleanery.sources import links, markup
 from gleanery.sources.pages import page_lines
 
 
@@ -35,6 +35,14 @@ def test_an_option_that_looks_like_a_year_heads_nothing(spark):
     assert [(r.year, r.lines) for r in rows] == [("2020", ["Q1: when", "(a) 2015", "(b) 2016", "Ans: (a)"]), ("2020", ["Q2: who"])]
 
 
+def test_siblings_are_run_through_once(spark):
+    tags = spark.createDataFrame([(1, "<ul><li>a<li>b<li>c</ul>")], "page_id int, html string")
+    found = markup.nodes(markup.tokens(tags))
+    # A frame that ends with the last row is summed from its first one for every row.
+    assert "unboundedfollowing" not in plan(found).lower()
+    assert [(r.open, r.close) for r in found.orderBy("open").collect()] == [(0, 7), (1, 3), (3, 5), (5, 7)]
+
+
 def test_chapters_in_parts_are_audited_as_whole_ones(spark):
     ask = lambda n, **other: {"id": f"Q{n}", "text": f"what is {n}", "options": dict.fromkeys("ABCD", str(n)), "answer": "a", "explanation": "so", "year": "2020", "chapter": "The Cell", "class": "B11", "images": [], "sourceQuestionNumber": str(n)} | other
     lists = [[ask(1), 5], [ask(2, tables=[]), ask(3)], [ask(4)]]
