@@ -11,14 +11,18 @@ from gleanery.llm.common import bounded_broadcast, table, unused, written
 
 #: Bytes of a shard at most, and those of the query, which shows the directory on smaller tables too.
 SHARD_BYTES, QUERY_BYTES = 64 << 20, 1 << 20
-#: Bits by which one pass over the open buckets deepens the directory.
-STEP = 4
+#: Bits of the first pass beyond those that would do for buckets of one size, and those by which each later one deepens.
+SPARE, STEP = 4, 4
 #: Rows of a directory level up to which it is broadcast (under 100 bytes a row).
 SMALL_DIRECTORY = 100_000
+#: Hex digits of a row's hash, and those turned into bits at once.
+DIGITS, CHUNK = 48, 12
 
 
-def _bits(hex_digit):
-    return F.lpad(F.conv(hex_digit, 16, 2), STEP, "0")
+def _prefix(n: int):
+    """The first n bits of a row's key, as text."""
+    chunks = [F.lpad(F.conv(F.substring("key", i, CHUNK), 16, 2), 4 * CHUNK, "0") for i in range(1, (n + 3) // 4 + 1, CHUNK)]
+    return F.substring(F.concat(*chunks), 1, n)
 
 
 def shard(docs: DataFrame, limit: int = SHARD_BYTES, keep: Sequence[str] = ()) -> DataFrame:
@@ -28,9 +32,10 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, keep: Sequence[str] = ()) -
     The directory is indexed by the leading bits of md5(doc_id). A bucket with more
     than `limit` bytes of text (UTF-8) splits on the next bit, no other does, until
     all fit; a shard's name is its bit prefix ('' if the whole table fits). Bytes
-    are summed by hash prefix, four bits a pass, before anything is shuffled; only
-    rows of buckets still too large take part in the next pass, and no more than 16
-    sums per bucket come out of one.
+    are summed by hash prefix before anything is shuffled: in the first pass by
+    prefixes so long that buckets of usual tables fit, 16 to 32 for each shard that
+    the bytes alone ask for; only rows of buckets still too large take part in the
+    next ones, of four bits each, and meet only the directory's last level.
 
     A single document larger than the limit ends alone in a shard of its own. Rows
     that share a doc_id share 64 hash bits; beyond these a row number's hash splits
@@ -46,27 +51,27 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, keep: Sequence[str] = ()) -
     total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b"), F.count("*").alias("c")).first()
     if total.b <= limit or total.c <= 1:
         return rows.select(*names, F.lit("").alias("shard"), F.lit(0).alias("shard_depth"), F.lit(total.c).alias("shard_docs"), F.lit(total.b).alias("shard_bytes"))
-    done, live, path = None, rows, None
-    for level in range(1, 49):
-        at = F.substring("key", 1, level)
+    done, live = None, rows
+    above, to = 0, min(((total.b - 1) // max(limit, 1)).bit_length() + SPARE, 4 * CHUNK)
+    while above < 4 * DIGITS:
+        at = _prefix(to)
         cells = live.groupBy(at.alias("cell")).agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("docs"))
-        cells = cells.withColumn("parent", F.substring("cell", 1, level - 1)).withColumn("bits", _bits(F.substring("cell", level, 1)))
-        cells = cells.withColumn("path", F.lit("")) if path is None else cells.join(path, "parent")
         cells = written(cells, "shard-cells")
-        nodes = cells.select("cell", "parent", "bytes", "docs", F.explode(F.transform(F.sequence(F.lit(1), F.lit(STEP)), lambda j: F.col("bits").substr(F.lit(1), j))).alias("node"))
-        sums = nodes.groupBy("parent", "node").agg(F.sum("bytes").alias("b"), F.sum("docs").alias("c")).withColumn("full", (F.col("b") > limit) & (F.col("c") > 1))
+        nodes = cells.select("cell", "bytes", "docs", F.explode(F.transform(F.sequence(F.lit(above + 1), F.lit(to)), lambda j: F.substring("cell", F.lit(1), j))).alias("node"))
+        sums = nodes.groupBy("node").agg(F.sum("bytes").alias("b"), F.sum("docs").alias("c")).withColumn("full", (F.col("b") > limit) & (F.col("c") > 1))
         # A bucket's parents are full if it is full: the leaf of a cell is its first node that is not.
-        leaves = nodes.join(sums, ["parent", "node"]).where(~F.col("full")).groupBy("cell").agg(F.min_by(F.struct("node", "b", "c"), F.length("node")).alias("leaf"))
-        leaves = written(cells.join(leaves, "cell", "left").select("cell", "path", "bits", "leaf"), "shard-directory")
-        closed = leaves.where("leaf is not null").select("cell", F.concat("path", "leaf.node").alias("shard"), F.col("leaf.c").alias("shard_docs"), F.col("leaf.b").alias("shard_bytes"))
-        still = leaves.where("leaf is null").select(F.col("cell").alias("parent"), F.concat("path", "bits").alias("path"))
+        leaves = nodes.join(sums, "node").where(~F.col("full")).groupBy("cell").agg(F.min_by(F.struct("node", "b", "c"), F.length("node")).alias("leaf"))
+        leaves = written(cells.join(leaves, "cell", "left").select("cell", "leaf"), "shard-directory")
+        closed = leaves.where("leaf is not null").select("cell", F.col("leaf.node").alias("shard"), F.col("leaf.c").alias("shard_docs"), F.col("leaf.b").alias("shard_bytes"))
         placed = live.withColumn("cell", at).join(bounded_broadcast(closed, SMALL_DIRECTORY), "cell")
         placed = placed.select(*names, "shard", F.length("shard").alias("shard_depth"), "shard_docs", "shard_bytes")
         done = placed if done is None else done.unionByName(placed)
+        still = leaves.where("leaf is null").select(F.col("cell").alias("open"))
         if still.isEmpty():
             return done
-        live = live.join(bounded_broadcast(still.select(F.col("parent").alias("open")), SMALL_DIRECTORY), F.col("open") == at, "left_semi")
-        path = still
+        # Who is in a bucket of this level was in one of each level before.
+        live = rows.join(bounded_broadcast(still, SMALL_DIRECTORY), F.col("open") == at, "left_semi")
+        above, to = to, min(to + STEP, 4 * DIGITS)
     raise AssertionError("192 hash bits do not tell two rows apart")
 
 

@@ -51,6 +51,17 @@ def test_limit_does_not_look_at_the_table(spark):
         assert max(r.shard_bytes for r in m.shard(docs(spark, rows), 9_000).collect()) <= 9_000
 
 
+def test_rows_meet_one_directory_however_many_shards(spark, monkeypatch):
+    levels = []
+    monkeypatch.setattr(m, "written", lambda df, name, own=m.written: levels.append(name) or own(df, name))
+    rows = [(i, words(i, 20)) for i in range(600)]
+    for limit in (9_000, 1_500):
+        levels.clear()
+        assert len({r.shard for r in m.shard(docs(spark, rows), limit).collect()}) > 8
+        # Before, each four bits of depth took all rows through one more semi-join than the last.
+        assert levels.count("shard-directory") == 1
+
+
 def test_names_that_clash(spark, tmp_path):
     rows = [(i, words(i, 9)) for i in range(40)]
     spark.conf.set("spark.sql.caseSensitive", "true")
