@@ -155,7 +155,8 @@ READ = {"labels": _labels, "window": _window, "first": _first_four, "three": _th
 
 def stage(text: Column, name: str, pattern: str, how: str, usable: bool) -> Column:
     """struct<stem, options, source>, or null where the stage does not fit."""
-    found = _ordered(text) if how == "ordered" else _let(markers(text, pattern), lambda m: READ[how](text, m))
+    # A text without any marker is told by one search, before all are taken.
+    found = _ordered(text) if how == "ordered" else F.when(F.rlike(text, F.lit(pattern)), _let(markers(text, pattern), lambda m: READ[how](text, m)))
 
     def result(r: Column) -> Column:
         ok = r.isNotNull() & F.forall(r["options"], meaningful) if usable else r.isNotNull()

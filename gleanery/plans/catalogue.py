@@ -22,7 +22,7 @@ from gleanery.sources import links as L
 from gleanery.sources import markup as M
 from gleanery.sources import pages as P
 from gleanery.sources.reports import list_cell
-from gleanery.sources.stored import broadcast_if_small, shared_folder
+from gleanery.sources.stored import broadcast_if_small, shared_folder, spread
 from gleanery.streaming import rollups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -535,7 +535,7 @@ SELECT p_partkey, 'Which holds for part ' || p_partkey || '?' AS stem,
        CASE WHEN p_size <= 10 THEN 'lower_markers' WHEN p_size <= 20 THEN 'numbered_paren_options' WHEN p_size <= 30 THEN 'mixed_option_markers' WHEN p_size <= 40 THEN 'inline_lower_option_lines' ELSE 'fallback' END AS source,
        CASE WHEN p_size > 40 THEN 'missing' ELSE 'parsed' END AS status FROM part""")
 def k_cascade(spark, d):
-    r = rendered(spark, d).withColumn("r", options.parse_options(F.col("text")))
+    r = spread(rendered(spark, d)).withColumn("r", options.parse_options(F.col("text")))
     return r.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"), options.status(F.col("r.options"), F.col("text")).alias("status"))
 
 
@@ -568,7 +568,7 @@ def k_option_forms(spark, d):
     shown = F.lit(None)
     for k, f in enumerate(_FORMS):
         shown = F.when(F.expr(_FORM) == k, F.replace(F.replace(F.lit(f[3]), F.lit("{n}"), F.col("p_name")), F.lit("{s}"), F.col("p_size").cast("string"))).otherwise(shown)
-    r = table(spark, d, "part").withColumn("r", options.parse_options(shown))
+    r = spread(table(spark, d, "part")).withColumn("r", options.parse_options(shown))
     return r.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"))
 
 
@@ -582,7 +582,7 @@ def k_tables_and_choosers(spark, d):
     ask = F.lit("\nChoose the correct answer from the options given below:")
     text = F.when(s <= 10, stem).when(s <= 20, F.concat(stem, ask, shown("", "\n"))).when(s <= 30, F.concat(stem, ask, shown("", " "))).otherwise(F.concat(stem, F.lit(": "), values[0], *(x for k, v in zip("bcd", values[1:]) for x in (F.lit(f" ({k}) "), v))))
     html = F.concat(F.lit("<table>"), *(x for k, v in zip("abcd", values) for x in (F.lit(f"<tr><td>({k})</td><td><b>"), v, F.lit("</b></td></tr>"))), F.lit("</table>"))
-    found = table(spark, d, "part").select("p_partkey", options.parse_options(text, P.tables(F.when(s <= 10, html).otherwise(""))).alias("r"))
+    found = spread(table(spark, d, "part")).select("p_partkey", options.parse_options(text, P.tables(F.when(s <= 10, html).otherwise(""))).alias("r"))
     return found.select("p_partkey", F.col("r.stem").alias("stem"), F.array_join("r.options", "|").alias("options"), F.col("r.source").alias("source"))
 
 
@@ -685,7 +685,7 @@ def k_assertion_defaults(spark, d):
     """Questions of two statements get the usual options; others that print none stay without."""
     s = F.col("p_size")
     text = F.when(s <= 15, "Assertion (A): it floats. Reason (R): it is light").when(s <= 30, "Statement I: it floats. Statement II: it is light").when(s <= 35, "Which shows it? [IMG:a.png]").when(s <= 40, "Nothing is said").otherwise("Which? (a) x (b) y (c) z (d)")
-    found = table(spark, d, "part").select("p_partkey", "p_size", text.alias("t"), options.parse_options(text).alias("r"))
+    found = spread(table(spark, d, "part")).select("p_partkey", "p_size", text.alias("t"), options.parse_options(text).alias("r"))
     some = F.when(s <= 40, F.col("r.options")).otherwise(F.array(*map(F.lit, ("x", "y", "z", ""))))
     di = options.diagnostics(some, F.col("t"), F.col("r.source"))
     return found.select("p_partkey", di["nonEmptyOptionCount"].alias("filled"), di["status"].alias("status"), some[0].alias("first"))

@@ -2,11 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators import schema_rules
 from gleanery.operators.blocks import blocks
-from gleanery.plans import audit
+from gleanery.plans import audit, catalogue
 from gleanery.sources import links, markup
 from gleanery.sources.pages import page_lines
 
@@ -43,6 +44,12 @@ def test_siblings_are_run_through_once(spark):
     assert [(r.open, r.close) for r in found.orderBy("open").collect()] == [(0, 7), (1, 3), (3, 5), (5, 7)]
 
 
+@pytest.mark.parametrize("name", ["k_assertion_defaults", "k_cascade", "k_option_forms"])
+def test_texts_are_dealt_over_all_tasks(spark, name):
+    # The table's file has one row group, which one task read and took through all stages.
+    assert "Repartition" in plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
 def test_chapters_in_parts_are_audited_as_whole_ones(spark):
     ask = lambda n, **other: {"id": f"Q{n}", "text": f"what is {n}", "options": dict.fromkeys("ABCD", str(n)), "answer": "a", "explanation": "so", "year": "2020", "chapter": "The Cell", "class": "B11", "images": [], "sourceQuestionNumber": str(n)} | other
     lists = [[ask(1), 5], [ask(2, tables=[]), ask(3)], [ask(4)]]
