@@ -15,8 +15,8 @@ from gleanery.functions.text import normal
 
 def sequence_ratio(a: str, b: str) -> float:
     """Gestalt pattern matching; 1 for two empty texts. The order matters, as does the
-    library's rule for long second texts."""
-    return 1.0 if not a and not b else difflib.SequenceMatcher(None, a, b).ratio()
+    library's rule for second texts of 200 characters or more; shorter ones that are equal need no comparison."""
+    return 1.0 if a == b and len(b) < 200 else difflib.SequenceMatcher(None, a, b).ratio()
 
 
 @F.pandas_udf(DoubleType())
@@ -35,7 +35,9 @@ def explanation_similarity(a: Column, b: Column) -> Column:
     """1 if equal in normal form, 0.98 if one holds the other, else their ratio."""
     x, y = normal(a), normal(b)
     held = (x != "") & (y != "") & (F.contains(x, y) | F.contains(y, x))
-    return F.when(x == y, F.lit(1.0)).when(held, F.lit(0.98)).otherwise(ratio(x, y))
+    # A function in Python is called for all rows: those settled without it give it nothing to compare.
+    rest = lambda t: F.when((x == y) | held, F.lit("")).otherwise(t)
+    return F.when(x == y, F.lit(1.0)).when(held, F.lit(0.98)).otherwise(ratio(rest(x), rest(y)))
 
 
 def option_share(text: Column, options: Column) -> Column:

@@ -20,7 +20,8 @@ def truthy(c: Column) -> Column:
 
 
 def collapsed(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE + "+", " "))
+    # Most characters are settled by one range, not by all that SPACE has.
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "(?![!-~])" + SPACE + "+", " "))
 
 
 def normal(c: Column) -> Column:
@@ -82,9 +83,10 @@ def told_explanation(value: Column) -> Column:
     """An explanation that may be an object {correct, others}, in JSON or with single quotes, or text; what looks
     like such an object and is none stays as it is."""
     text = F.trim(without_zero_width(value))
-    v = F.coalesce(F.try_parse_json(text), F.try_parse_json(F.replace(text, F.lit("'"), F.lit('"'))))
-    said = [F.nullif(F.try_variant_get(v, f"$.{k}", "string"), F.lit("")) for k in ("correct", "others")]
     begins = text.startswith('{"correct":') | text.startswith("{'correct':")
+    object_ = F.when(begins, text)  # other texts are not parsed, to fail
+    v = F.coalesce(F.try_parse_json(object_), F.try_parse_json(F.replace(object_, F.lit("'"), F.lit('"'))))
+    said = [F.nullif(F.try_variant_get(v, f"$.{k}", "string"), F.lit("")) for k in ("correct", "others")]
     return collapsed(F.when(begins, F.coalesce(*said, text)).otherwise(text))
 
 

@@ -46,7 +46,7 @@ def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header:
 def blocks(lines: DataFrame, key: str = "page_id", initial: str = "", stretch: Column | None = None) -> DataFrame:
     """key, source_index, year, lines: the question blocks of pages given by their lines; stretch as in `sessions`."""
     rows = sessions(lines, [key], ["pos"], is_year_header(F.col("line")), F.regexp_extract("line", YEAR, 1), F.rlike("line", F.lit(START)), initial, stretch)
-    grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("ls"))
+    grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("ls"))
     return grouped.select(key, F.col("block").alias("source_index"), "year", F.transform("ls", lambda x: x["line"]).alias("lines"))
 
 
@@ -60,7 +60,7 @@ def element_blocks(elements: DataFrame, key: str = "page_id") -> DataFrame:
     t = F.col("text")
     header = F.rlike(t, F.lit(YEAR)) & (F.col("tag").isin("h1", "h2", "h3", "h4") | (F.length(t) < 20))
     rows = sessions(elements, [key], ["pos"], header, F.regexp_extract(t, YEAR, 1), F.rlike(t, F.lit(ELEMENT_START)), FIRST_YEAR)
-    grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("ls"))
+    grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.sort_array(F.collect_list(F.struct("pos", "text"))).alias("ls"))
     return grouped.select(key, F.col("block").alias("source_index"), "year", F.transform("ls", lambda x: x["text"]).alias("lines"))
 
 

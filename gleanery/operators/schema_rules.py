@@ -20,7 +20,7 @@ TYPE_NAMES = {"OBJECT": "dict", "ARRAY": "list", "STRING": "str", "BIGINT": "int
 def type_name(v: Column) -> Column:
     """The type's name as Python has it."""
     names = F.create_map(*(F.lit(x) for pair in TYPE_NAMES.items() for x in pair))
-    return F.coalesce(names[F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)], F.lit("float"))
+    return F.coalesce(names[F.substring_index(F.schema_of_variant(v), "<", 1)], F.lit("float"))
 
 
 def _types(v: Column, path: str = "$") -> Column:
@@ -89,6 +89,14 @@ def records_of(root: Column) -> Column:
     return F.coalesce(items, F.array(F.struct(root.alias("v"), F.lit(True).alias("whole"))))
 
 
+def record_texts(root: Column, text: bool) -> Column:
+    """array of a chapter file's records as JSON texts; null for a root that is no list. root: a variant, or the file's text.
+    Objects keep their text as it is."""
+    told = root if text else F.to_json(root)
+    items, kinds = F.from_json(told, "array<string>"), F.from_json(told, "array<variant>")
+    return F.zip_with(items, kinds, lambda t, v: F.when(F.try_variant_get(v, "$", "struct<>").isNotNull(), t).otherwise(F.to_json(v)))
+
+
 def records_errors(records: DataFrame) -> DataFrame:
     """As chapter_errors, of rows with index, v and whole."""
     keep = [c for c in records.columns if c not in ("index", "v", "whole")]

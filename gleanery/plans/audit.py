@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gleanery.functions.text import collapsed, number_of, stated_explanation, told_explanation, truncated
 from gleanery.operators import align, findings, schema_rules, scoring
@@ -16,24 +17,27 @@ from gleanery.sources.reports import write_csv, write_json
 from gleanery.sources.stored import broadcast_if_small, numbered, stored
 
 WHO = ("subject", "class_code", "chapter", "slug")
+NUMBER = "sourceQuestionNumber"
 NO_SOURCE = "no_source_mapping_for_chapter"
 #: Covered chapters up to which they are broadcast to their pages.
 SMALL = 100_000
 
 
 def targets_of(files: DataFrame, sources: DataFrame, classes: str = "", subjects: str = "") -> DataFrame:
-    """Chapter files (subject, class_code, slug, json_path, root) with the source of their class and
+    """Chapter files (subject, class_code, slug, json_path, root) by their records, with the source of their class and
     slug, if `sources` (class_code, slug, source_url, source_label) has one. classes and subjects: comma-separated lists,
     empty ones ask for all. A file may come in several rows with a `part` each, stretches of its list in order: no task
-    need hold a chapter. first_index is the place of a row's first record in the file, 0 in the chapter's leading row."""
+    need hold a chapter. first_index is the place of a row's first record in the file, 0 in the chapter's leading row.
+    root: a variant, or the file's text. It is taken apart once, into records (JSON texts; null if it is no list)."""
     asked = lambda s: [x.strip().lower() for x in s.split(",") if x.strip()]
     for column, wanted in (("class_code", asked(classes)), ("subject", asked(subjects))):
         if wanted:
             files = files.where(F.lower(column).isin(wanted))
+    files = files.withColumn("records", schema_rules.record_texts(F.col("root"), files.schema["root"].dataType == StringType())).drop("root")
     if "part" in files.columns:
         files = stored(files, "audit-files")
-    first = F.nullif(collapsed(F.try_variant_get("root", "$[0].chapter", "string")), F.lit(""))
-    count = F.coalesce(F.size(F.try_variant_get("root", "$", "array<variant>")), F.lit(0))
+    first = F.nullif(collapsed(F.try_variant_get(F.try_parse_json(F.try_element_at("records", F.lit(1))), "$.chapter", "string")), F.lit(""))
+    count = F.coalesce(F.size("records"), F.lit(0))
     spelled = F.initcap(F.replace("slug", F.lit("-"), F.lit(" ")))
     if "part" in files.columns:
         whole = Window.partitionBy("class_code", "slug")
@@ -51,18 +55,21 @@ def targets_of(files: DataFrame, sources: DataFrame, classes: str = "", subjects
 
 
 def _records(targets: DataFrame) -> DataFrame:
-    """page_id, index, v, whole: what the chapter files hold, of schema_rules.records_of."""
-    rows = numbered(targets.select("page_id", "first_index", "root"), schema_rules.records_of(F.col("root")), "n", "r")
-    return rows.select("page_id", (F.col("first_index") + F.col("n")).alias("index"), "r.*")
+    """page_id, index, j, whole: the records of the chapter files as JSON texts; a root that is no list is a whole one, null."""
+    rows = numbered(targets.select("page_id", "first_index", "records"), F.coalesce("records", F.array(F.lit(None).cast("string"))), "n", "j")
+    return rows.select("page_id", (F.col("first_index") + F.col("n")).alias("index"), "j", F.col("records").isNull().alias("whole"))
 
 
 def _questions(targets: DataFrame) -> DataFrame:
     """page_id, scraped_index and a question's columns, of every record that is an object."""
-    rows = _records(targets).where(~F.col("whole") & (schema_rules.type_name(F.col("v")) == "dict")).withColumnRenamed("index", "scraped_index")
+    rows = _records(targets).where(F.col("j").startswith("{")).withColumnRenamed("index", "scraped_index")
     # A field that is not of its type counts as absent; the schema report has it.
-    record = F.from_json(F.to_json("v"), QUESTION)
-    number = number_of(F.try_variant_get("v", "$.sourceQuestionNumber", "string"))
-    return rows.select("page_id", "scraped_index", number.alias("number"), record.alias("q")).select("page_id", "scraped_index", "number", "q.*")
+    record = F.from_json("j", f"{QUESTION}, {NUMBER} string")
+    rows = rows.select("page_id", "scraped_index", "j", record.alias("q")).select("page_id", "scraped_index", "j", "q.*")
+    # 5.0 is a number and "5.0" none; what may be either is looked at with its type.
+    typed = F.try_variant_get(F.try_parse_json(F.when(F.rlike(NUMBER, F.lit("[.eE]")), F.col("j"))), f"$.{NUMBER}", "string")
+    number = F.when(F.rlike(NUMBER, F.lit("[.eE]")), number_of(typed)).otherwise(number_of(F.col(NUMBER)))
+    return rows.withColumn("number", number).drop("j", NUMBER)
 
 
 def _size(c: str) -> Column:
@@ -106,7 +113,10 @@ class Audit:
     @cached_property
     def blocks(self) -> DataFrame:
         stretch = F.shiftright("pos", PART_BITS) if "part" in self.pages.columns else None
-        return stored(with_keys(blocks(page_lines(self.source), stretch=stretch)), "audit-blocks")
+        lines = page_lines(self.source)
+        if stretch is not None:  # they are read for what a stretch hands on, too
+            lines = stored(lines, "audit-lines")
+        return stored(with_keys(blocks(lines, stretch=stretch)), "audit-blocks")
 
     @cached_property
     def questions(self) -> DataFrame:
@@ -120,7 +130,7 @@ class Audit:
 
     @cached_property
     def errors(self) -> DataFrame:
-        return stored(schema_rules.records_errors(_records(self.covered)), "audit-errors")
+        return stored(schema_rules.records_errors(_records(self.covered).withColumn("v", F.try_parse_json("j")).drop("j")), "audit-errors")
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -209,7 +219,7 @@ def content(targets: DataFrame, pages: DataFrame) -> DataFrame:
     key = F.concat_ws(":", "class_code", "slug").alias("page_id")
     part = F.col("part") if "part" in pages.columns else F.lit(0)
     digests = lambda rows, by, at, told: rows.select(by, F.struct(at.alias("at"), F.sha2(F.to_json(told), 256).alias("d")).alias("x")).groupBy(by).agg(F.to_json(F.array_sort(F.collect_list("x"))).alias("x"))
-    files = digests(targets.withColumn("page_id", key), F.col("page_id"), F.col("first_index"), F.array(F.to_json("root"), *(F.col(c) for c in (*WHO, "json_path", "source_url", "coverage_reason"))))
+    files = digests(targets.withColumn("page_id", key), F.col("page_id"), F.col("first_index"), F.array(F.to_json(F.struct("records")), *(F.col(c) for c in (*WHO, "json_path", "source_url", "coverage_reason"))))
     html = digests(pages, F.col("url"), part, F.array("html")).select(F.col("url").alias("source_url"), F.col("x").alias("html"))
     rows = files.join(targets.where("leading").select(key, "source_url"), "page_id").join(html, "source_url", "left")
     return rows.select("page_id", F.sha2(F.to_json(F.array("x", "html")), 256).alias("content"))

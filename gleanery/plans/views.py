@@ -23,7 +23,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     images, its customer's nation the chapter, that nation's region the class."""
     first = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     lines = table(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(first))
-    option = lambda i: F.coalesce(F.max(F.when(F.col("n") == i, F.col("l_partkey").cast("string"))), F.lit(""))
+    option = lambda i: F.coalesce(F.max(F.when(F.col("n") == i, F.col("l_partkey"))).cast("string"), F.lit(""))
     made = lines.groupBy("l_orderkey").agg(F.array(*map(option, range(1, 5))).alias("options"), F.count_if(F.col("l_returnflag") == "R").alias("images"), F.count_if(F.col("l_linestatus") == "F").alias("tables"), F.count_if(F.col("l_discount") > 0.095).alias("warnings"))
     orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     none = F.array(*[F.lit("")] * 4)
@@ -90,12 +90,12 @@ def audit_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     )
     made = stored(r.select("class", "chapter", "id", "y", "n", F.to_json(question).alias("j"), block.alias("b")), "audit-orders")
     slug = F.lower(F.replace("chapter", F.lit("_"), F.lit("-")))
-    joined = lambda c, *by: F.transform(F.array_sort(F.collect_list(F.struct(*by, c))), lambda x: x[c])
+    joined = lambda c, *by: F.sort_array(F.collect_list(F.struct(*by, c)))[c]
     file_part, page_part = F.floor(F.col("id") / 20_000).alias("part"), (F.shiftleft(F.col("y").cast("long"), 24) + F.floor(F.col("n") / 1_000)).alias("part")
     lists = made.groupBy("class", "chapter", file_part).agg(F.concat(F.lit("["), F.array_join(joined("j", "id"), ","), F.lit("]")).alias("j"))
     pages = made.groupBy("class", "chapter", page_part).agg(F.array_join(joined("b", "n"), "").alias("html"))
     code, address = F.concat(F.lit("B"), F.col("class").cast("string")), F.concat(F.lit("https://site.test/t/"), slug)
-    files = lists.select(F.lit("biology").alias("subject"), code.alias("class_code"), slug.alias("slug"), F.concat(F.lit("/"), slug, F.lit(".json")).alias("json_path"), F.parse_json("j").alias("root"), "part")
+    files = lists.select(F.lit("biology").alias("subject"), code.alias("class_code"), slug.alias("slug"), F.concat(F.lit("/"), slug, F.lit(".json")).alias("json_path"), F.col("j").alias("root"), "part")
     covered = made.select("class", "chapter").distinct().where(~F.col("chapter").rlike("[49]$"))
     return files, covered.select(code.alias("class_code"), slug.alias("slug"), address.alias("source_url"), F.lit("paper").alias("source_label")), pages.select(address.alias("url"), "html", "part")
 

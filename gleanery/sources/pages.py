@@ -29,7 +29,7 @@ def html_files(spark: SparkSession, path: str) -> DataFrame:
 def page_lines(pages: DataFrame) -> DataFrame:
     """page_id, pos (0-based, of the lines kept), line: what stands between tags, if anything. A page may come in several
     rows with a `part` each (from 0), cut between tags; pos is in order then, with gaps."""
-    kept = F.filter(F.transform(F.split("html", "<[^>]+>"), collapsed), lambda x: x != "")
+    kept = F.filter(F.transform(F.split("html", "(?:<[^>]+>)+"), collapsed), lambda x: x != "")
     if "part" not in pages.columns:
         return numbered(pages.select("page_id", "html"), kept, "pos", "line").drop("html")
     rows = numbered(pages.select("page_id", "part", "html"), kept, "n", "line")

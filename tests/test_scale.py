@@ -5,6 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from gleanery.functions import similarity
+from gleanery.functions.text import told_explanation
 from gleanery.operators import schema_rules
 from gleanery.operators.blocks import blocks
 from gleanery.plans import audit, catalogue
@@ -67,3 +69,35 @@ def test_chapters_in_parts_are_audited_as_whole_ones(spark):
         return {n: sorted(map(str, getattr(a, n)().collect())) for n in ("chapter_summary", "schema_failures", "question_alignment", "option_anomaly_chapters", "explanation_chapters")}
 
     assert reports(True) == reports(False)
+
+
+def test_files_are_taken_apart_once_whatever_they_hold(spark):
+    records = ['{"id": "Q1", "sourceQuestionNumber": 50.0, "text": "a \\" b"}', '"{\\"id\\": 1}"', "5", "null", '[{"a": 1}]', '{"sourceQuestionNumber": "5.0", "id": 7}']
+    rows = [("one", "[" + ", ".join(records) + "]", 0), ("two", '{"a": 1}', 0), ("three", "[]", 0)]
+    files = spark.createDataFrame(rows, "slug string, root string, part int").select(F.lit("biology").alias("subject"), F.lit("B11").alias("class_code"), "slug", F.lit("/x").alias("json_path"), "root", "part")
+    sources = spark.createDataFrame([("B11", s, f"/{s}", "x") for s in ("one", "two", "three")], "class_code string, slug string, source_url string, source_label string")
+    pages = spark.createDataFrame([], "url string, html string")
+
+    def found(files):
+        a = audit.Audit(audit.targets_of(files, sources), pages)
+        # A stored variant was cut into columns and put together again by each reader.
+        assert "variant" not in [t for _, t in a.targets.dtypes]
+        return [sorted(map(str, x.collect())) for x in (a.who, a.questions, a.errors)]
+
+    text = found(files)
+    assert text == found(files.withColumn("root", F.parse_json("root"))) == found(files.withColumn("root", F.parse_json("root")).drop("part"))
+    a = audit.Audit(audit.targets_of(files, sources), pages)
+    assert [(r.scraped_index, r.number, r.id) for r in a.questions.orderBy("scraped_index").collect()] == [(0, 50, "Q1"), (5, None, "7")]
+    odd = a.errors.where("type IN ('question_not_object', 'root_not_list')").orderBy("page_id", "index").collect()
+    assert [(r.page_id[4:], r["index"], r.actual) for r in odd] == [("one", 1, "str"), ("one", 2, "int"), ("one", 3, "NoneType"), ("one", 4, "list"), ("two", None, None)]
+
+
+def test_equal_texts_are_not_compared(monkeypatch):
+    monkeypatch.setattr(similarity.difflib, "SequenceMatcher", None)
+    assert similarity.sequence_ratio("which part", "which part") == similarity.sequence_ratio("", "") == 1.0
+
+
+def test_only_what_begins_like_an_object_is_parsed_as_one(spark):
+    told = ['{"correct": "a", "others": "b"}', "{'correct': 'a'}", '{"correct": broken', '{"others": "b"}', "plain", None]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(told)], "n int, t string")
+    assert [r.x for r in rows.orderBy("n").select(told_explanation(F.col("t")).alias("x")).collect()] == ["a", "a", '{"correct": broken', '{"others": "b"}', "plain", ""]
