@@ -48,14 +48,20 @@ def tokens(pages: DataFrame, html: str = "html") -> DataFrame:
     return rows.select("page_id", "pos", kind.alias("kind"), name.alias("name"), "token")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """rows by page_id: steps on a page's rows, and unions and joins of them, shuffle nothing from there on."""
+    return rows.repartition("page_id")
+
+
 def held(points: DataFrame, nodes: DataFrame, innermost: bool = False) -> DataFrame:
     """points' columns, depth, and node, the struct of `nodes`' columns besides page_id, for each node with
     open < pos < close: one row per pair, the outermost first in depth (1); or, if `innermost`, one per point,
     node null where none holds it.
 
-    points: page_id, pos and more; nodes: page_id, open, close and more, properly nested or apart.
+    points: page_id, pos and more; nodes: page_id, open, close and more, properly nested or apart. Where both are
+    dealt by page_id (`dealt`), so is what comes out, and nothing is shuffled.
     """
-    of_point, of_node = F.struct(*points.columns), F.struct(*(c for c in nodes.columns if c != "page_id"))
+    of_point, of_node = F.struct(*(c for c in points.columns if c != "page_id")), F.struct(*(c for c in nodes.columns if c != "page_id"))
     no_point, no_node = (F.lit(None).cast(d.select(s.alias("s")).schema["s"].dataType) for d, s in ((points, of_point), (nodes, of_node)))
     row = lambda d, at, v, p, n: d.select("page_id", F.col(at).alias("at"), F.lit(v).alias("v"), p.alias("p"), n.alias("n"))
     events = row(nodes, "open", 1, no_point, of_node).unionByName(row(nodes, "close", -1, no_point, no_node)).unionByName(row(points, "pos", 0, of_point, no_node))
@@ -63,13 +69,14 @@ def held(points: DataFrame, nodes: DataFrame, innermost: bool = False) -> DataFr
     depth = F.sum("v").over(Window.partitionBy("page_id").orderBy("at", "v").rowsBetween(Window.unboundedPreceding, 0))
     events = events.withColumn("depth", depth.cast("int")).where("v >= 0")
     levels = F.when((F.col("v") == 1) | (F.col("depth") == 0) | F.lit(innermost), F.array("depth")).otherwise(F.sequence(F.lit(1), F.greatest("depth", F.lit(1))))
-    dealt = events.select("page_id", "at", "v", "p", "n", "depth", F.explode(levels).alias("level"))
+    by_level = events.select("page_id", "at", "v", "p", "n", "depth", F.explode(levels).alias("level"))
     last = F.last("n", ignorenulls=True).over(Window.partitionBy("page_id", "level").orderBy("at", "v").rowsBetween(Window.unboundedPreceding, 0))
-    found = dealt.withColumn("node", last).where("p IS NOT NULL")
+    found = by_level.withColumn("node", last).where("p IS NOT NULL")
+    own = [F.col("page_id") if c == "page_id" else F.col("p")[c].alias(c) for c in points.columns]
     inside = (F.col("depth") > 0) & (F.col("node.close") > F.col("at"))
     if innermost:
-        return found.select("p.*", F.when(inside, F.col("depth")).otherwise(0).alias("depth"), F.when(inside, F.col("node")).alias("node"))
-    return found.where(inside).select("p.*", F.col("level").alias("depth"), "node")
+        return found.select(*own, F.when(inside, F.col("depth")).otherwise(0).alias("depth"), F.when(inside, F.col("node")).alias("node"))
+    return found.where(inside).select(*own, F.col("level").alias("depth"), "node")
 
 
 def _paired(tags: DataFrame, *scope: str) -> DataFrame:
@@ -93,11 +100,13 @@ def nodes(tags: DataFrame) -> DataFrame:
     element in the same parent only. Without one, such an element ends before the next start tag that ends it there,
     and any at the latest with the element around it. Void elements are empty: they close right after they open.
     """
-    optional = F.col("name").isin(*OPTIONAL)
+    optional, tags = F.col("name").isin(*OPTIONAL), dealt(tags)
     pairs = tags.where("kind IN ('open', 'close')")
-    firm = _paired(pairs.where(~optional))
+    # Each step reads the one before it several times: it is stored, else all before would be done as often.
+    kept = lambda rows, name: dealt(stored(rows, name))
+    firm = kept(_paired(pairs.where(~optional)), "firm")
     scoped = held(pairs.where(optional), firm.where("close IS NOT NULL").select("page_id", "open", "close"), innermost=True).withColumn("scope", F.coalesce("node.open", F.lit(-1)))
-    paired = firm.unionByName(_paired(scoped, "scope"))
+    paired = kept(firm.unionByName(_paired(scoped, "scope")), "paired")
     sure = paired.where("close IS NOT NULL")
     end = tags.groupBy("page_id").agg((F.max("pos") + 1).alias("end"))
     around = held(paired.select("page_id", F.col("open").alias("pos"), "name", "token", "close"), sure.select("page_id", "open", "close"), innermost=True)
@@ -109,12 +118,12 @@ def nodes(tags: DataFrame) -> DataFrame:
         found = F.min(F.when(F.col("name").isin(*by), F.col("pos"))).over(siblings)
         stop = F.when(here, found) if stop is None else stop.when(here, found)
     bounded = around.withColumn("stop", stop).where("close IS NULL").join(end, "page_id")
-    bounded = bounded.select("page_id", F.col("pos").alias("open"), "name", "token", F.least("stop", F.coalesce("node.close", "end")).alias("close"))
+    bounded = kept(bounded.select("page_id", F.col("pos").alias("open"), "name", "token", F.least("stop", F.coalesce("node.close", "end")).alias("close")), "bounded")
     firm = sure.unionByName(bounded.where(optional).select(*sure.columns))
     rest = held(bounded.where(~optional).withColumnRenamed("open", "pos"), firm.select("page_id", "open", "close"), innermost=True)
     rest = rest.select("page_id", F.col("pos").alias("open"), "name", "token", F.least("close", F.coalesce("node.close", "close")).alias("close"))
     void = tags.where("kind = 'void'").select("page_id", F.col("pos").alias("open"), "name", "token", (F.col("pos") + 1).alias("close"))
-    every = firm.unionByName(rest)
+    every = kept(firm.unionByName(rest), "elements")
     placed = held(every.unionByName(void).withColumnRenamed("open", "pos"), every.select("page_id", "open", "close"), innermost=True)
     return placed.select("page_id", F.col("pos").alias("open"), "close", (F.col("depth") + 1).alias("depth"), F.col("node.open").alias("parent"), "name", "token")
 
@@ -159,17 +168,23 @@ def element_lines(tags: DataFrame, tree: DataFrame, of: DataFrame) -> DataFrame:
     """page_id, open, lines: the lines of each element of `of` (rows of `tree`) that has any. Tables, scripts and
     widgets inside it are left out; <br> ends a line; a picture is [IMG:address]. Widgets of `of` have the lines that
     `widget_lines` gives."""
+    tree, words = dealt(tree), dealt(stored(texts(tags), "texts"))
+    own = dealt(of.select("page_id", "open", "close", "name", "token"))
     cards = tree.where(has_class("nq2_card")).select("page_id", F.col("open").alias("pos"))
-    own = of.select("page_id", "open", "close", "name", "token")
     with_card = held(cards, own).select("page_id", F.col("node.open").alias("open"))
-    widgets = own.where(has_class("nq2_question_block")).select("page_id", "open").unionByName(with_card).distinct()
-    plain = own.where(~F.col("name").isin(*HIDDEN)).join(widgets, ["page_id", "open"], "left_anti")
+    widgets = own.where(has_class("nq2_question_block")).select("page_id", "open").unionByName(with_card).distinct().withColumn("widget", F.lit(True))
+    own = stored(own.join(widgets, ["page_id", "open"], "left").withColumn("widget", F.col("widget").isNotNull()).where(F.col("widget") | ~F.col("name").isin(*HIDDEN)), "elements")
+    plain, widgets = dealt(own.where("NOT widget")), dealt(own.where("widget"))
+    # What there are none of is not looked for in all texts.
+    if plain.isEmpty():
+        return _widget_lines(words, tree, widgets).where(F.size("lines") > 0)
     source = attribute(F.col("token"), "src")
     marks = tags.where("name IN ('br', 'img') AND kind = 'void'").select("page_id", "pos", F.when(F.col("name") == "br", "\n").when(source != "", F.concat(F.lit(" [IMG:"), source, F.lit("] "))).otherwise(" [IMG] ").alias("text"))
     without = tree.where(F.col("name").isin("table", *HIDDEN) | has_class(*WIDGETS))
-    shown = text_of(texts(tags).unionByName(marks), plain, without)
+    shown = text_of(words.unionByName(dealt(marks)), plain, without)
     rows = shown.select("page_id", "open", F.filter(F.transform(F.split("text", "\n"), collapsed), lambda x: x != "").alias("lines"))
-    rows = rows.unionByName(widget_lines(tags, tree, own.join(widgets, ["page_id", "open"], "left_semi")))
+    if not widgets.isEmpty():
+        rows = rows.unionByName(_widget_lines(words, tree, widgets))
     return rows.where(F.size("lines") > 0)
 
 
@@ -182,15 +197,23 @@ def _first(rows: DataFrame) -> DataFrame:
 def widget_lines(tags: DataFrame, tree: DataFrame, widgets: DataFrame) -> DataFrame:
     """page_id, open, lines of question widgets: the stem; "(a) value" for each option; "Ans: (a)"; the points of the
     solution. What a widget lacks has no line."""
-    words, own = texts(tags), widgets.select("page_id", "open", "close")
+    return _widget_lines(dealt(stored(texts(tags), "texts")), dealt(tree), dealt(widgets))
+
+
+def _widget_lines(words: DataFrame, tree: DataFrame, widgets: DataFrame) -> DataFrame:
+    """widget_lines by the pages' texts, all dealt by page."""
+    own = widgets.select("page_id", "open", "close")
     lead = F.regexp_replace(collapsed(F.regexp_replace("text", r"(?i)^\s*Try yourself:\s*", "")), r"^\s+", "")
     stem = text_of(words, own, tree.where(has_class(*NOT_STEM) | F.col("name").isin(*HIDDEN))).select("page_id", "open", F.lit(0).alias("part"), F.lit(0).alias("at"), lead.alias("line"))
 
+    labelled, is_item = ("nq2_opt_letter", "nq2_opt_text", "nq2_sol_label"), F.col("name") == "li"
+    told_by = dealt(stored(text_of(words, tree.where(has_class(*labelled) | is_item)).withColumnRenamed("open", "at"), "widget-texts"))
+
     def parts(of: DataFrame, *classes: str) -> DataFrame:
         """page_id, widget (open of the node of `of`), at, text of the elements of these classes inside it."""
         found = tree.where(has_class(*classes))
         inside = held(found.select("page_id", F.col("open").alias("pos")), of).select("page_id", F.col("node.open").alias("widget"), F.col("pos").alias("at"))
-        return inside.join(text_of(words, found).withColumnRenamed("open", "at"), ["page_id", "at"], "left").withColumn("text", collapsed(F.col("text")))
+        return inside.join(told_by, ["page_id", "at"], "left").withColumn("text", collapsed(F.col("text")))
 
     options = tree.where(has_class("nq2_option")).select("page_id", "open", "close")
     in_widget = held(options.select("page_id", F.col("open").alias("pos")), own).select("page_id", F.col("node.open").alias("open"), F.col("pos").alias("option"))
@@ -200,9 +223,9 @@ def widget_lines(tags: DataFrame, tree: DataFrame, widgets: DataFrame) -> DataFr
     told = F.regexp_extract("text", r"(?i)Correct\s*Answer\s*:\s*([a-d])", 1)
     answer = _first(parts(own, "nq2_sol_label")).where(told != "").select("page_id", F.col("widget").alias("open"), F.lit(2).alias("part"), F.lit(0).alias("at"), F.concat(F.lit("Ans: ("), F.lower(told), F.lit(")")).alias("line"))
     bodies = tree.where(has_class("nq2_sol_body")).select("page_id", "open", "close")
-    items = tree.where("name = 'li'")
+    items = tree.where(is_item)
     in_body = held(items.select("page_id", F.col("open").alias("pos")), bodies).select("page_id", "pos").distinct()
-    points = held(in_body, own).select("page_id", F.col("node.open").alias("open"), F.col("pos").alias("at")).join(text_of(words, items).withColumnRenamed("open", "at"), ["page_id", "at"])
+    points = held(in_body, own).select("page_id", F.col("node.open").alias("open"), F.col("pos").alias("at")).join(told_by, ["page_id", "at"])
     points = points.select("page_id", "open", F.lit(3).alias("part"), "at", collapsed(F.col("text")).alias("line"))
     rows = stem.unionByName(listed).unionByName(answer).unionByName(points).where("line <> ''")
     return rows.groupBy("page_id", "open").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "at", "line"))), lambda x: x["line"]).alias("lines"))

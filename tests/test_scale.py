@@ -101,3 +101,12 @@ def test_only_what_begins_like_an_object_is_parsed_as_one(spark):
     told = ['{"correct": "a", "others": "b"}', "{'correct': 'a'}", '{"correct": broken', '{"others": "b"}', "plain", None]
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(told)], "n int, t string")
     assert [r.x for r in rows.orderBy("n").select(told_explanation(F.col("t")).alias("x")).collect()] == ["a", "a", '{"correct": broken', '{"others": "b"}', "plain", ""]
+
+
+def test_steps_on_rows_dealt_by_page_shuffle_nothing(spark):
+    points = spark.createDataFrame([(1, 3, "x"), (1, 9, "y")], "page_id int, pos int, text string")
+    elements = spark.createDataFrame([(1, 0, 8), (1, 2, 5)], "page_id int, open int, close int")
+    found = markup.held(markup.dealt(points), markup.dealt(elements), innermost=True)
+    # Those that deal the elements (read twice) and the points.
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 3
+    assert [(r.text, r.depth, r.node and r.node.open) for r in found.orderBy("pos").collect()] == [("x", 2, 2), ("y", 0, None)]
