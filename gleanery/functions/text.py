@@ -20,8 +20,8 @@ def truthy(c: Column) -> Column:
 
 
 def collapsed(c: Column) -> Column:
-    # Most characters are settled by one range, not by all that SPACE has.
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "(?![!-~])" + SPACE + "+", " "))
+    # Most characters are settled by one range, not by all that SPACE has, and a single blank stays where it is.
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"(?![!-~])(?: {SPACE}+|(?! ){SPACE}+)", " "))
 
 
 def normal(c: Column) -> Column:

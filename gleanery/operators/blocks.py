@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import collapsed, first_number
+from gleanery.sources.stored import stored
 
 # The grammar of the pages' lines.
 YEAR = r"\b(20\d{2})\b"
@@ -22,11 +23,8 @@ def is_year_header(line: Column) -> Column:
     return (F.length(line) < 20) & F.rlike(line, F.lit(YEAR)) & ~F.rlike(line, F.lit(OPTION_LINE))
 
 
-def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header: Column, value: Column, start: Column, initial: str = "", stretch: Column | None = None) -> DataFrame:
-    """rows with `block` (0-based) and `carried`: the value of the last header at the block's
-    start, or `initial`. Headers belong to no block and are never starts; rows before the
-    first start go. stretch: ascends with the order; stretches of a key are run through apart then, each
-    beginning with the sums of those before it."""
+def _numbered(rows: DataFrame, key: Sequence[str], order: Sequence[str], header: Column, value: Column, start: Column, stretch: Column | None) -> DataFrame:
+    """The rows of `sessions`, with `block`, __start and __value, the value of the last header, and __stretch, if there is a stretch."""
     marked = rows.withColumn("__header", header).withColumn("__start", ~F.col("__header") & start)
     told, own = F.when(F.col("__header"), value), list(key)
     if stretch is not None:
@@ -37,16 +35,34 @@ def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header:
         each = marked.groupBy(*own).agg(F.count_if("__start").alias("__starts"), F.max_by(told, F.when(told.isNotNull(), F.struct(*order))).alias("__last"))
         earlier = Window.partitionBy(*key).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
         sums = each.select(*own, F.coalesce(F.sum("__starts").over(earlier), F.lit(0)).alias("__starts"), F.last("__last", ignorenulls=True).over(earlier).alias("__last"))
-        filled = filled.join(sums, own).withColumn("block", (F.col("block") + F.col("__starts")).cast("int")).withColumn("__value", F.coalesce("__value", "__last")).drop("__stretch", "__starts", "__last")
-    kept = filled.where("not __header and block >= 0")
+        filled = filled.join(sums, own).withColumn("block", (F.col("block") + F.col("__starts")).cast("int")).withColumn("__value", F.coalesce("__value", "__last")).drop("__starts", "__last")
+    return filled.where("not __header and block >= 0").drop("__header")
+
+
+def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header: Column, value: Column, start: Column, initial: str = "", stretch: Column | None = None) -> DataFrame:
+    """rows with `block` (0-based) and `carried`: the value of the last header at the block's
+    start, or `initial`. Headers belong to no block and are never starts; rows before the
+    first start go. stretch: ascends with the order; stretches of a key are run through apart then, each
+    beginning with the sums of those before it."""
+    kept = _numbered(rows, key, order, header, value, start, stretch)
     own = Window.partitionBy(*key, "block")
-    return kept.withColumn("carried", F.coalesce(F.max(F.when(F.col("__start"), F.col("__value"))).over(own), F.lit(initial))).drop("__header", "__start", "__value")
+    return kept.withColumn("carried", F.coalesce(F.max(F.when(F.col("__start"), F.col("__value"))).over(own), F.lit(initial))).drop("__start", "__value", "__stretch")
 
 
 def blocks(lines: DataFrame, key: str = "page_id", initial: str = "", stretch: Column | None = None) -> DataFrame:
-    """key, source_index, year, lines: the question blocks of pages given by their lines; stretch as in `sessions`."""
-    rows = sessions(lines, [key], ["pos"], is_year_header(F.col("line")), F.regexp_extract("line", YEAR, 1), F.rlike("line", F.lit(START)), initial, stretch)
-    grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("ls"))
+    """key, source_index, year, lines: the question blocks of pages given by their lines; stretch as in `sessions`.
+    With stretches, the marked lines are stored, which are read for what a stretch hands on, too, and lines are
+    put together within their stretch before blocks are."""
+    line = F.col("line")
+    marked = lines.withColumn("__told", F.when(is_year_header(line), F.regexp_extract(line, YEAR, 1))).withColumn("__begins", F.rlike(line, F.lit(START)))
+    if stretch is not None:
+        marked = stored(marked, "block-lines")
+    rows = _numbered(marked, [key], ["pos"], F.col("__told").isNotNull(), F.col("__told"), F.col("__begins"), stretch)
+    year, ls = F.max(F.when(F.col("__start"), F.col("__value"))).alias("year"), F.collect_list(F.struct("pos", "line")).alias("ls")
+    if stretch is not None:
+        pieces = rows.groupBy(key, "__stretch", "block").agg(year, ls)
+        year, ls, rows = F.max("year").alias("year"), F.flatten(F.collect_list("ls")).alias("ls"), pieces
+    grouped = rows.groupBy(key, "block").agg(F.coalesce(year, F.lit(initial)).alias("year"), F.sort_array(ls).alias("ls"))
     return grouped.select(key, F.col("block").alias("source_index"), "year", F.transform("ls", lambda x: x["line"]).alias("lines"))
 
 
@@ -121,9 +137,10 @@ def signals(of: DataFrame, pages: DataFrame, key: str = "page_id") -> DataFrame:
 def stem(lines: Column) -> Column:
     """A block's lines up to its first answer or option, without interface lines and its number."""
     shown = F.filter(lines, lambda x: (x != "") & ~F.rlike(x, F.lit(INTERFACE_LINE)))
-    stops = F.transform(shown, lambda x: F.rlike(x, F.lit(r"(?i)^Ans\s*[:.-]?|^\([a-d]\)\s*")))
-    n = F.array_position(stops, True)
-    before = F.when(n > 0, F.slice(shown, F.lit(1), (n - 1).cast("int"))).otherwise(shown)
+    stops = lambda ls: F.array_position(F.transform(ls, lambda x: F.rlike(x, F.lit(r"(?i)^Ans\s*[:.-]?|^\([a-d]\)\s*"))), True)
+    until = lambda ls, n: F.when(n > 0, F.slice(ls, F.lit(1), (n - 1).cast("int"))).otherwise(ls)
+    # As values of lambdas, the lines shown and the place of the first stop are reckoned once.
+    before = F.transform(F.array(shown), lambda ls: F.transform(F.array(stops(ls)), lambda n: until(ls, n))[0])[0]
     return F.trim(F.array_join(F.filter(F.transform(before, lambda x: F.regexp_replace(x, r"(?i)^Q\d+[:\s.]\s*", "")), lambda x: x != ""), " "))
 
 

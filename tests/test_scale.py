@@ -1,17 +1,19 @@
 """Work that must not be done more than once a row, and steps that must be the same in pieces."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.functions import similarity
+from gleanery.functions import similarity, text
 from gleanery.functions.text import told_explanation
-from gleanery.operators import schema_rules
+from gleanery.operators import align, schema_rules
 from gleanery.operators.blocks import blocks
 from gleanery.plans import audit, catalogue
 from gleanery.sources import links, markup
 from gleanery.sources.pages import page_lines
+from tests.test_operators import brute_alignment
 
 
 def plan(df):
@@ -110,3 +112,51 @@ def test_steps_on_rows_dealt_by_page_shuffle_nothing(spark):
     # Those that deal the elements (read twice) and the points.
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 3
     assert [(r.text, r.depth, r.node and r.node.open) for r in found.orderBy("pos").collect()] == [("x", 2, 2), ("y", 0, None)]
+
+
+def chapters(spark, blocks_, questions_):
+    b = spark.createDataFrame([(k, i, y, n, t, [t]) for k, rows in blocks_.items() for i, (y, n, t) in enumerate(rows)], "k long, source_index int, year string, number int, stem string, lines array<string>")
+    q = spark.createDataFrame([(k, i, y, n, t, [], "a") for k, rows in questions_.items() for i, (y, n, t) in enumerate(rows)], "k long, scraped_index int, year string, number int, text string, options array<string>, answer string")
+    return b, q
+
+
+def test_plain_chapters_texts_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(align, "_mixed", None)
+    monkeypatch.setattr(align, "_pairs", None)
+    rows = [("2020", n, f"text {n}") for n in range(5)]
+    found = align.align(*chapters(spark, {1: rows, 2: rows[:2]}, {1: rows[::-1], 2: rows, 3: rows}), "k")
+    # Blocks and questions, by year and number.
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+    assert sorted(map(tuple, found.collect())) == [(1, n, 4 - n, 0.85, True) for n in range(5)] + [(2, n, n, 0.85, True) for n in range(2)]
+
+
+def test_plain_and_mixed_chapters_against_the_definition(spark, monkeypatch):
+    monkeypatch.setattr(align, "_plain", lambda *a, real=align._plain: asked.append(1) or real(*a))
+    asked, r = [], random.Random(7)
+    say = lambda: " ".join(r.choice("alpha beta gamma delta tide leaf stone".split()) for _ in range(r.randint(2, 6)))
+    # Of chapters 0 to 3 each block has a question of its year and number, of some more than one.
+    keys = [("2020", 1), ("2020", 1), ("2020", 2), ("2021", 1), ("", 3)]
+    blocks_ = {k: [(*x, say()) for x in r.sample(keys, 5)] for k in range(4)}
+    questions_ = {k: [(*x, say()) for x in r.sample([*keys, *keys, ("2021", None)], 11)] for k in range(4)}
+    for k in (4, 5, None):
+        blocks_[k] = [(r.choice(["2020", "2021", ""]), r.choice([None, 1, 2]), say()) for _ in range(6)]
+        questions_[k] = [(r.choice(["2020", "2021", ""]), r.choice([None, 1, 2]), say()) for _ in range(5)]
+    questions_.pop(5)
+    got = [tuple(x) for x in align.align(*chapters(spark, blocks_, questions_), "k").collect()]
+    want = [(k, *x) for k, rows in blocks_.items() for x in brute_alignment(rows, questions_.get(k, []))]
+    assert asked and sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_blocks_across_stretches_are_those_of_the_whole_page(spark):
+    said = ["x", "2024", "Q1: a", "b", "Q2. c", "2023", "e", "f", "Q3: long enough text of (2019)", "g", "2022", "h", "Q4 \t d", "(a) 2015", "i"]
+    lines = spark.createDataFrame([(k, i, x) for k in (1, 2) for i, x in enumerate(said[k - 1 :])], "page_id int, pos int, line string")
+    whole = sorted(map(tuple, blocks(lines).collect()))
+    assert [x[1:3] for x in whole[:4]] == [(0, "2024"), (1, "2024"), (2, "2023"), (3, "2022")]
+    for length in (1, 2, 4, 100):
+        assert sorted(map(tuple, blocks(lines, stretch=F.floor(F.col("pos") / length)).collect())) == whole
+
+
+def test_only_white_space_that_is_no_single_blank_is_replaced(spark):
+    texts = ["a b", " a  b ", "a\tb", "a  b", " a  b\n", "a\u0085 \tb  c d", "", None, "a&b"]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string").select("n", text.collapsed(F.col("t")).alias("x"), F.trim(F.regexp_replace(F.coalesce("t", F.lit("")), text.SPACE + "+", " ")).alias("y"))
+    assert all(r.x == r.y for r in rows.collect())
