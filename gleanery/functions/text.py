@@ -14,6 +14,11 @@ QUESTION_NUMBER = r"(?i)^Q(\d+)[:\s.]"
 UI_LEAK = r"(?i)Type\s*Your\s*Answer|View\s*Answer|Solution:?"
 
 
+def matches(c: Column, first: str, pattern: str) -> Column:
+    """Whether a pattern that begins with ^ and one of the characters `first` matches; others are settled without it."""
+    return F.left(c, F.lit(1)).isin(*first) & F.rlike(c, F.lit(pattern))
+
+
 def truthy(c: Column) -> Column:
     """Whether a string is neither null nor empty."""
     return F.coalesce(c, F.lit("")) != ""
@@ -58,7 +63,7 @@ def stem_of_path(path: Column) -> Column:
 
 def first_number(lines: Column) -> Column:
     """The number of the first line that begins like a question; null if none does."""
-    found = F.filter(F.transform(lines, lambda x: F.regexp_extract(x, QUESTION_NUMBER, 1)), lambda x: x != "")
+    found = F.transform(F.filter(lines, lambda x: matches(x, "Qq", QUESTION_NUMBER)), lambda x: F.regexp_extract(x, QUESTION_NUMBER, 1))
     return F.try_element_at(found, F.lit(1)).cast("int")
 
 

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import collapsed, first_number
-from gleanery.sources.stored import stored
+from gleanery.functions.text import collapsed, first_number, matches
+from gleanery.sources.pages import kept_lines
+from gleanery.sources.stored import numbered, stored
 
 # The grammar of the pages' lines.
 YEAR = r"\b(20\d{2})\b"
@@ -20,11 +21,11 @@ INTERFACE_LINE = r"(?i)^(Type\s*Your\s*Answer|View\s*Answer|Solution:?)$"
 
 def is_year_header(line: Column) -> Column:
     """A short line with a year; an option that is one belongs to its question."""
-    return (F.length(line) < 20) & F.rlike(line, F.lit(YEAR)) & ~F.rlike(line, F.lit(OPTION_LINE))
+    return (F.length(line) < 20) & F.contains(line, F.lit("20")) & F.rlike(line, F.lit(YEAR)) & ~F.rlike(line, F.lit(OPTION_LINE))
 
 
 def _numbered(rows: DataFrame, key: Sequence[str], order: Sequence[str], header: Column, value: Column, start: Column, stretch: Column | None) -> DataFrame:
-    """The rows of `sessions`, with `block`, __start and __value, the value of the last header, and __stretch, if there is a stretch."""
+    """All rows given to `sessions`, with __header, __start, `block` (-1 before the first start) and __value, the value of the last header."""
     marked = rows.withColumn("__header", header).withColumn("__start", ~F.col("__header") & start)
     told, own = F.when(F.col("__header"), value), list(key)
     if stretch is not None:
@@ -35,8 +36,8 @@ def _numbered(rows: DataFrame, key: Sequence[str], order: Sequence[str], header:
         each = marked.groupBy(*own).agg(F.count_if("__start").alias("__starts"), F.max_by(told, F.when(told.isNotNull(), F.struct(*order))).alias("__last"))
         earlier = Window.partitionBy(*key).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
         sums = each.select(*own, F.coalesce(F.sum("__starts").over(earlier), F.lit(0)).alias("__starts"), F.last("__last", ignorenulls=True).over(earlier).alias("__last"))
-        filled = filled.join(sums, own).withColumn("block", (F.col("block") + F.col("__starts")).cast("int")).withColumn("__value", F.coalesce("__value", "__last")).drop("__starts", "__last")
-    return filled.where("not __header and block >= 0").drop("__header")
+        filled = filled.join(sums, own).withColumn("block", (F.col("block") + F.col("__starts")).cast("int")).withColumn("__value", F.coalesce("__value", "__last")).drop("__stretch", "__starts", "__last")
+    return filled
 
 
 def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header: Column, value: Column, start: Column, initial: str = "", stretch: Column | None = None) -> DataFrame:
@@ -44,28 +45,42 @@ def sessions(rows: DataFrame, key: Sequence[str], order: Sequence[str], header:
     start, or `initial`. Headers belong to no block and are never starts; rows before the
     first start go. stretch: ascends with the order; stretches of a key are run through apart then, each
     beginning with the sums of those before it."""
-    kept = _numbered(rows, key, order, header, value, start, stretch)
+    kept = _numbered(rows, key, order, header, value, start, stretch).where("not __header and block >= 0")
     own = Window.partitionBy(*key, "block")
-    return kept.withColumn("carried", F.coalesce(F.max(F.when(F.col("__start"), F.col("__value"))).over(own), F.lit(initial))).drop("__start", "__value", "__stretch")
+    return kept.withColumn("carried", F.coalesce(F.max(F.when(F.col("__start"), F.col("__value"))).over(own), F.lit(initial))).drop("__header", "__start", "__value")
 
 
 def blocks(lines: DataFrame, key: str = "page_id", initial: str = "", stretch: Column | None = None) -> DataFrame:
-    """key, source_index, year, lines: the question blocks of pages given by their lines; stretch as in `sessions`.
-    With stretches, the marked lines are stored, which are read for what a stretch hands on, too, and lines are
-    put together within their stretch before blocks are."""
-    line = F.col("line")
-    marked = lines.withColumn("__told", F.when(is_year_header(line), F.regexp_extract(line, YEAR, 1))).withColumn("__begins", F.rlike(line, F.lit(START)))
-    if stretch is not None:
-        marked = stored(marked, "block-lines")
-    rows = _numbered(marked, [key], ["pos"], F.col("__told").isNotNull(), F.col("__told"), F.col("__begins"), stretch)
-    year, ls = F.max(F.when(F.col("__start"), F.col("__value"))).alias("year"), F.collect_list(F.struct("pos", "line")).alias("ls")
-    if stretch is not None:
-        pieces = rows.groupBy(key, "__stretch", "block").agg(year, ls)
-        year, ls, rows = F.max("year").alias("year"), F.flatten(F.collect_list("ls")).alias("ls"), pieces
-    grouped = rows.groupBy(key, "block").agg(F.coalesce(year, F.lit(initial)).alias("year"), F.sort_array(ls).alias("ls"))
+    """key, source_index, year, lines: the question blocks of pages given by their lines; stretch as in `sessions`."""
+    rows = sessions(lines, [key], ["pos"], is_year_header(F.col("line")), F.regexp_extract("line", YEAR, 1), F.rlike("line", F.lit(START)), initial, stretch)
+    grouped = rows.groupBy(key, "block").agg(F.max("carried").alias("year"), F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("ls"))
     return grouped.select(key, F.col("block").alias("source_index"), "year", F.transform("ls", lambda x: x["line"]).alias("lines"))
 
 
+def runs(pages: DataFrame) -> DataFrame:
+    """page_id, part, n (from 0), told, begins, lines: pages' parts cut before each header and start. told: the header's
+    year, whose line is left out; begins: whether it is a start. Neither holds for lines before a part's first."""
+    marked = lambda x: is_year_header(x) | matches(x, "Qq", START)
+    rows = pages.select("page_id", "part", kept_lines(F.col("html")).alias("ls"))
+    rows = rows.withColumn("at", F.filter(F.transform("ls", lambda x, i: F.when(marked(x), i)), lambda i: i.isNotNull()))
+    cut = F.zip_with(F.concat(F.array(F.lit(0)), "at"), F.concat("at", F.array(F.size("ls"))), lambda a, z: F.slice("ls", a + 1, z - a))
+    rows = numbered(rows, cut, "n", "lines").where(F.size("lines") > 0).drop("ls", "at")
+    first, inner = F.col("lines")[0], F.col("n") > 0
+    rows = rows.withColumn("told", F.when(inner & is_year_header(first), F.regexp_extract(first, YEAR, 1)))
+    begins = inner & F.col("told").isNull()
+    return rows.select("page_id", "part", "n", "told", begins.alias("begins"), F.when(F.col("told").isNull(), F.col("lines")).otherwise(F.slice("lines", 2, F.size("lines"))).alias("lines"))
+
+
+def blocks_of_parts(pages: DataFrame, initial: str = "") -> DataFrame:
+    """As `blocks`, of pages (page_id, part, html) in parts. What is run through are not lines but their runs, each from a
+    header or start to the next; parts are gone through apart, as stretches in `sessions`."""
+    rows = stored(runs(pages), "block-runs")  # they are read for what a part hands on, too
+    rows = _numbered(rows, ["page_id"], ["part", "n"], F.col("told").isNotNull(), F.col("told"), F.col("begins"), F.col("part")).where("block >= 0")
+    year = F.max(F.when(F.col("__start"), F.col("__value")))
+    grouped = rows.groupBy("page_id", "block").agg(F.coalesce(year, F.lit(initial)).alias("year"), F.sort_array(F.collect_list(F.struct("part", "n", "lines"))).alias("ls"))
+    return grouped.select("page_id", F.col("block").alias("source_index"), "year", F.flatten(F.transform("ls", lambda x: x["lines"])).alias("lines"))
+
+
 #: The same on elements of a page instead of lines: headings are headers however long they
 #: are, and the year before the first header is this one.
 ELEMENT_START, FIRST_YEAR = r"(?i)^Q\s*\d+[:\s.]", "2022"
@@ -136,8 +151,8 @@ def signals(of: DataFrame, pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def stem(lines: Column) -> Column:
     """A block's lines up to its first answer or option, without interface lines and its number."""
-    shown = F.filter(lines, lambda x: (x != "") & ~F.rlike(x, F.lit(INTERFACE_LINE)))
-    stops = lambda ls: F.array_position(F.transform(ls, lambda x: F.rlike(x, F.lit(r"(?i)^Ans\s*[:.-]?|^\([a-d]\)\s*"))), True)
+    shown = F.filter(lines, lambda x: (x != "") & ~matches(x, "TtVvSs", INTERFACE_LINE))
+    stops = lambda ls: F.array_position(F.transform(ls, lambda x: matches(x, "Aa(", r"(?i)^Ans\s*[:.-]?|^\([a-d]\)\s*")), True)
     until = lambda ls, n: F.when(n > 0, F.slice(ls, F.lit(1), (n - 1).cast("int"))).otherwise(ls)
     # As values of lambdas, the lines shown and the place of the first stop are reckoned once.
     before = F.transform(F.array(shown), lambda ls: F.transform(F.array(stops(ls)), lambda n: until(ls, n))[0])[0]

@@ -10,9 +10,9 @@ from pyspark.sql.types import StringType
 
 from gleanery.functions.text import collapsed, number_of, stated_explanation, told_explanation, truncated
 from gleanery.operators import align, findings, schema_rules, scoring
-from gleanery.operators.blocks import blocks, signals, with_keys
+from gleanery.operators.blocks import blocks, blocks_of_parts, signals, with_keys
 from gleanery.operators.dashboard import total_order
-from gleanery.sources.pages import PART_BITS, QUESTION, page_lines
+from gleanery.sources.pages import QUESTION, page_lines
 from gleanery.sources.reports import write_csv, write_json
 from gleanery.sources.stored import broadcast_if_small, numbered, stored
 
@@ -112,8 +112,8 @@ class Audit:
 
     @cached_property
     def blocks(self) -> DataFrame:
-        stretch = F.shiftright("pos", PART_BITS) if "part" in self.pages.columns else None
-        return stored(with_keys(blocks(page_lines(self.source), stretch=stretch)), "audit-blocks")
+        found = blocks_of_parts(self.source) if "part" in self.pages.columns else blocks(page_lines(self.source))
+        return stored(with_keys(found), "audit-blocks")
 
     @cached_property
     def questions(self) -> DataFrame:

@@ -26,10 +26,15 @@ def html_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("page_id"), F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
+def kept_lines(html: Column) -> Column:
+    """array of what stands between tags, if anything. White space is collapsed in the whole page at once: none goes across a tag."""
+    return F.filter(F.transform(F.split(collapsed(html), "(?:<[^>]+>)+"), lambda x: F.trim(x)), lambda x: x != "")
+
+
 def page_lines(pages: DataFrame) -> DataFrame:
     """page_id, pos (0-based, of the lines kept), line: what stands between tags, if anything. A page may come in several
     rows with a `part` each (from 0), cut between tags; pos is in order then, with gaps."""
-    kept = F.filter(F.transform(F.split("html", "(?:<[^>]+>)+"), collapsed), lambda x: x != "")
+    kept = kept_lines(F.col("html"))
     if "part" not in pages.columns:
         return numbered(pages.select("page_id", "html"), kept, "pos", "line").drop("html")
     rows = numbered(pages.select("page_id", "part", "html"), kept, "n", "line")

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from gleanery.functions import similarity, text
 from gleanery.functions.text import told_explanation
 from gleanery.operators import align, schema_rules
-from gleanery.operators.blocks import blocks
+from gleanery.operators.blocks import blocks, blocks_of_parts, runs
 from gleanery.plans import audit, catalogue
 from gleanery.sources import links, markup
-from gleanery.sources.pages import page_lines
+from gleanery.sources.pages import PART_BITS, page_lines
 from tests.test_operators import brute_alignment
 
 
@@ -147,13 +147,22 @@ def test_plain_and_mixed_chapters_against_the_definition(spark, monkeypatch):
     assert asked and sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_blocks_across_stretches_are_those_of_the_whole_page(spark):
+def test_blocks_across_parts_are_those_of_the_whole_page(spark):
     said = ["x", "2024", "Q1: a", "b", "Q2. c", "2023", "e", "f", "Q3: long enough text of (2019)", "g", "2022", "h", "Q4 \t d", "(a) 2015", "i"]
-    lines = spark.createDataFrame([(k, i, x) for k in (1, 2) for i, x in enumerate(said[k - 1 :])], "page_id int, pos int, line string")
-    whole = sorted(map(tuple, blocks(lines).collect()))
-    assert [x[1:3] for x in whole[:4]] == [(0, "2024"), (1, "2024"), (2, "2023"), (3, "2022")]
-    for length in (1, 2, 4, 100):
-        assert sorted(map(tuple, blocks(lines, stretch=F.floor(F.col("pos") / length)).collect())) == whole
+    pages = [(k, i, f"<p>{x}</p>") for k in (1, 2) for i, x in enumerate(said[k - 1 :])]
+    whole = [(k, "".join(x for own, _, x in pages if own == k)) for k in (1, 2)]
+    want = sorted(map(tuple, blocks(page_lines(spark.createDataFrame(whole, "page_id int, html string"))).collect()))
+    assert [x[1:] for x in want[:4]] == [(0, "2024", ["Q1: a", "b"]), (1, "2024", ["Q2. c", "e", "f"]), (2, "2023", ["Q3: long enough text of (2019)", "g", "h"]), (3, "2022", ["Q4 d", "(a) 2015", "i"])]
+    for length in (1, 2, 3, 4, 100):
+        parts = spark.createDataFrame(pages, "page_id int, pos int, html string").groupBy("page_id", F.floor(F.col("pos") / length).alias("part")).agg(F.array_join(F.sort_array(F.collect_list(F.struct("pos", "html")))["html"], "").alias("html"))
+        assert sorted(map(tuple, blocks_of_parts(parts).collect())) == want
+        lines = page_lines(parts).withColumn("part", F.shiftright("pos", PART_BITS))
+        assert sorted(map(tuple, blocks(lines, stretch=F.col("part")).collect())) == want
+
+
+def test_pages_in_parts_are_run_through_by_blocks_not_lines(spark):
+    html = "<h2>2024</h2>" + "".join(f"<p>Q{n}: which</p><p>(a) x</p><p>(b) y</p><p>Ans: (a)</p>" for n in range(20))
+    assert runs(spark.createDataFrame([(1, 0, html)], "page_id int, part int, html string")).count() == 21
 
 
 def test_only_white_space_that_is_no_single_blank_is_replaced(spark):
