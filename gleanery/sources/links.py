@@ -151,7 +151,8 @@ def document_of(pages: DataFrame) -> DataFrame:
 
 
 def page_metadata(pages: DataFrame) -> DataFrame:
-    """page_id, page_title, canonical_url, course_title (of the breadcrumb), hidden_title."""
+    """page_id, page_title, canonical_url, course_title (of the breadcrumb), hidden_title; '' where a page has none, or no html."""
+    pages = pages.select("page_id", F.coalesce("html", F.lit("")).alias("html"))
     tag = lambda pattern: F.regexp_extract("html", pattern, 0)
     told = lambda inner: collapsed(unescaped(F.regexp_replace(inner, "<[^>]+>", " ")))
     crumb = F.regexp_extract("html", r"""(?is)<[^>]*class=["']?[^"'>]*(?:brdcrmb_cntnr|breadcrumbspn)[^>]*>.*?(<a\b[^>]*href=["']?[^"'\s>]*/courses/[^>]*>.*?)</a>""", 1)

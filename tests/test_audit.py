@@ -181,6 +181,11 @@ def test_metadata_and_verification(spark):
     assert [r.v for r in rows.select(links.verified(rows).alias("v")).collect()] == [True, True, False, True]
 
 
+def test_a_page_without_html_has_empty_metadata(spark):
+    pages = spark.createDataFrame([(1, None), (2, "")], "page_id int, html string")
+    assert sorted(map(tuple, links.page_metadata(pages).collect())) == [(1, "", "", "", ""), (2, "", "", "", "")]
+
+
 @pytest.mark.parametrize(("href", "base", "want"), [("/a/b", "https://h.t/x/y?q", "https://h.t/a/b"), ("//o.t/z", "https://h.t/x", "https://o.t/z"), ("https://o/z", "https://h.t/x", "https://o/z"), ("c.html", "https://h.t/x/y.html", "https://h.t/x/c.html"), ("../c", "https://h.t/x/y/z", "https://h.t/x/c"), ("?p=2", "https://h.t/x?p=1", "https://h.t/x?p=2"), ("#f", "https://h.t/x#e", "https://h.t/x#f"), ("c", "https://h.t", "https://h.t/c"), ("mailto:a@b", "https://h.t", "mailto:a@b")])
 def test_absolute(spark, href, base, want):
     assert spark.createDataFrame([(href, base)], "h string, b string").select(links.absolute(F.col("h"), F.col("b")).alias("v")).first().v == want
